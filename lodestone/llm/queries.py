@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import media, tokens, urlrules
+from lodestone.llm import html, langid, media, secrets, tokens, urlrules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_media_columns": media.op1_media_columns,
         "op2_token_counts": tokens.op2_token_counts,
+        "op4_secret_scan": secrets.op4_secret_scan,
+        "op5_html_extraction": html.op5_html_extraction,
+        "op7_language_id": langid.op7_language_id,
         "op8_url_filter": urlrules.op8_url_filter,
     }
 
