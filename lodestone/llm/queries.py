@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import html, langid, media, secrets, tokens, urlrules
+from lodestone.llm import html, langid, media, secrets, setjoin, tokens, urlrules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_html_extraction": html.op5_html_extraction,
         "op7_language_id": langid.op7_language_id,
         "op8_url_filter": urlrules.op8_url_filter,
+        "op9_jaccard_join": setjoin.op9_jaccard_join,
     }
 
 
