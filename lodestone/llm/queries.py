@@ -6,18 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import html, langid, media, secrets, setjoin, tokens, urlrules
+from lodestone.llm import html, langid, media, packing, repair, secrets, setjoin, tokens, urlrules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_media_columns": media.op1_media_columns,
         "op2_token_counts": tokens.op2_token_counts,
+        "op3_best_fit_packing": packing.op3_best_fit_packing,
         "op4_secret_scan": secrets.op4_secret_scan,
         "op5_html_extraction": html.op5_html_extraction,
         "op7_language_id": langid.op7_language_id,
         "op8_url_filter": urlrules.op8_url_filter,
         "op9_jaccard_join": setjoin.op9_jaccard_join,
+        "op10_token_id_files": repair.op10_token_id_files,
     }
 
 
