@@ -112,6 +112,18 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
     return out.withColumnsRenamed({f"_{k}": c for k, c in enumerate(extra)})
 
 
+def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MARGIN, text_column: str = "text") -> DataFrame:
+    """The rows that aren't rejected, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(dictionaries)  # languages x DICT_BYTES
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Classifier(shared.value)
+        for b in byte_slices(batches, text_column):
+            yield b.filter(pa.array([not model.predict(t, margin)[2] for t in b.column(text_column).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out():
     """Rows never learned from."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import html, langid, media, packing, repair, secrets, setjoin, tokens, urlrules
+from lodestone.llm import decontam, html, langid, media, packing, repair, secrets, setjoin, tokens, urlrules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_best_fit_packing": packing.op3_best_fit_packing,
         "op4_secret_scan": secrets.op4_secret_scan,
         "op5_html_extraction": html.op5_html_extraction,
+        "op6_decontamination": decontam.op6_decontamination,
         "op7_language_id": langid.op7_language_id,
         "op8_url_filter": urlrules.op8_url_filter,
         "op9_jaccard_join": setjoin.op9_jaccard_join,
