@@ -1 +1 @@
-
+"""Column builders: complex numbers, flags, times and text keys."""

@@ -1 +1 @@
-
+"""Operators over flagged, weighted visibility tables."""
