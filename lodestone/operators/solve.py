@@ -73,7 +73,7 @@ def _cube(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     bls, b = np.unique(bl, return_inverse=True)
     chans, c = np.unique(pdf.chan.to_numpy(), return_inverse=True)
     vis, weight = np.full((len(bls), len(chans)), np.nan, dtype=complex), np.zeros((len(bls), len(chans)))
-    ok = pdf.flags.to_numpy() == 0
+    ok = pdf["flags"].to_numpy() == 0
     vis[b[ok], c[ok]] = (pdf.re.to_numpy() + 1j * pdf.im.to_numpy())[ok]
     weight[b[ok], c[ok]] = pdf.weight.to_numpy()[ok]
     return vis, weight, bls // 100_000, bls % 100_000, chans

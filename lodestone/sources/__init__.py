@@ -1 +1 @@
-
+"""Inputs: parameter files, synthetic visibilities, heap directories, attributes."""
