@@ -45,7 +45,7 @@ ALPHABETS = ("0123456789abcdef", "0123456789abcdefghijklmnopqrstuvwxyz", "ABCDEF
 #: Seeded random strings per alphabet, and their length.
 SEEDED, SEEDED_LENGTH = 400, 40
 #: Log-likelihood ratio per character (nats) from which a candidate is random.
-THRESHOLD = 0.5
+THRESHOLD = 1.0
 #: Characters 0..127 and one class for all others.
 SIZE = 129
 
