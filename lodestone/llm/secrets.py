@@ -11,7 +11,7 @@ ratio per character of random against ordinary is above ``THRESHOLD`` and no bas
 covers it.
 
 Labelled samples: random are the base spans of the corpus and seeded random strings
-(``SEEDED`` of each alphabet); ordinary are all other words of the corpus.  The counts
+(``SEEDED`` of each alphabet); ordinary are all other words of the corpus but the candidates.  The counts
 of character pairs cover every document; only the two count tables (alphabet squared)
 reach the driver.
 
@@ -25,7 +25,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +47,7 @@ ALPHABETS = ("0123456789abcdef", "0123456789abcdefghijklmnopqrstuvwxyz", "ABCDEF
 #: Seeded random strings per alphabet, and their length.
 SEEDED, SEEDED_LENGTH = 400, 40
 #: Log-likelihood ratio per character (nats) from which a candidate is random.
-THRESHOLD = 1.0
+THRESHOLD = 2.0
 #: Characters 0..127 and one class for all others.
 SIZE = 129
 
@@ -60,6 +62,18 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+def _candidates(text: str, base: list[Span]) -> list[re.Match]:
+    """Candidate words that no base span covers."""
+    starts, reach = [s for s, _, _ in base], list(accumulate((e for _, _, e in base), max))
+    found = []
+    for m in _CANDIDATE.finditer(text):
+        if _HAS_BOTH.match(m[0]):
+            k = bisect_right(starts, m.start())
+            if not k or reach[k - 1] < m.end():
+                found.append(m)
+    return found
+
+
 def _codes(word: str) -> np.ndarray:
     return np.minimum(np.frombuffer(word.encode("utf-32-le"), dtype="<u4"), 128).astype(np.int64)
 
@@ -90,7 +104,11 @@ def pair_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
             texts = b.column("t").to_pylist()
             total[0] += np.bincount(_pairs("\n".join(texts)), minlength=SIZE * SIZE)
             for text in texts:
-                for start, kind, end in base_spans(text):
+                found = base_spans(text)
+                # A candidate that no base pattern covers has no label: it trains neither side.
+                for m in _candidates(text, found):
+                    total[0] -= np.bincount(_pairs(m[0]), minlength=SIZE * SIZE)
+                for start, kind, end in found:
                     inside = np.bincount(_pairs(text[start:end]), minlength=SIZE * SIZE)
                     total[0] -= inside
                     if kind:  # an assignment also holds its name
@@ -112,7 +130,7 @@ def train(docs: DataFrame, text_column: str = "text") -> np.ndarray:
     total[1] += seeded_pairs().reshape(SIZE, SIZE)
     for r in pair_counts(docs, text_column).collect():
         total[r.label].flat[r.pair] += r.n
-    total += 0.5
+    total += 0.05
     logs = np.log(total / total.sum(axis=2, keepdims=True))
     return logs[1] - logs[0]
 
@@ -121,11 +139,8 @@ def scan_text(text: str, ratio: np.ndarray, threshold: float = THRESHOLD) -> lis
     """Base spans and the random ones, by start and then kind."""
     base = base_spans(text)
     extra = []
-    for m in _CANDIDATE.finditer(text):
-        word = m[0]
-        if not _HAS_BOTH.match(word) or any(s <= m.start() and m.end() <= e for s, _, e in base):
-            continue
-        c = _codes(word)
+    for m in _candidates(text, base):
+        c = _codes(m[0])
         if ratio[c[:-1], c[1:]].mean() > threshold:
             extra.append((m.start(), 3, m.end()))
     return sorted(base + extra)
