@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestone import queries as _sql_queries
+from lodestone import synthetic_queries as _synthetic
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_sql_queries.QUERIES)
+    return _sql_queries.QUERIES | _synthetic.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,0 +1,99 @@
+"""Queries without SQL: solvers, flagging, beams, reports and streams on generated data.
+
+Their size follows the tables' only through the antenna and dump counts; correctness is
+tested by recovery (``tests/test_solve.py``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestone.operators import model, pointing, report, solve
+from lodestone.plans import pipeline
+from lodestone.sources import synthetic
+from lodestone.streaming import batcher
+
+CHANS, DUMPS, ANTS = 64, 6, 4
+
+
+def _data(spark: SparkSession, **kw) -> tuple[DataFrame, DataFrame]:
+    v = synthetic.visibilities(spark, synthetic.Truth(ANTS), CHANS, DUMPS, **kw).withColumn("scan", F.lit(0))
+    return v, synthetic.channel_table(spark, CHANS, 856e6, 1284e6)
+
+
+def solve_delay(spark, sf):
+    return pipeline.calibrate(*_data(spark), ANTS, 0)["K"]
+
+
+def solve_bandpass(spark, sf):
+    return pipeline.calibrate(*_data(spark), ANTS, 0)["B"]
+
+
+def solve_gain(spark, sf):
+    return pipeline.calibrate(*_data(spark), ANTS, 0)["G"]
+
+
+def solve_cross_delay(spark, sf):
+    channels = synthetic.channel_table(spark, CHANS, 856e6, 1284e6)
+    turn = 2 * 3.141592653589793 * 3e-11 * F.col("freq_hz")
+    rows = channels.select("chan", F.lit(0).alias("ant"), F.lit(1.0).alias("weight"), F.cos(turn).alias("re"), F.sin(turn).alias("im"))
+    return solve.solve_cross_delay(rows, channels, ["ant"], "h")
+
+
+def cross_phase_sky(spark, sf):
+    """Cross-hand phases turned to the sky by a spline."""
+    v, _ = _data(spark)
+    unit = solve.cross_phase(pipeline.cross_hands(v, True).select("dump", "chan", "freq_hz", "ant1", "pol", "re", "im"))
+    return solve.rotate_by_spline(unit, [800.0] * 4 + [1800.0] * 4, [0.0, 10.0, 20.0, 30.0], 3, True)
+
+
+def calibrate_apply(spark, sf):
+    v, channels = _data(spark)
+    return pipeline.apply_all(v, pipeline.calibrate(v, channels, ANTS, 0), channels)
+
+
+def reference_antenna(spark, sf):
+    return solve.reference_antenna(pipeline.parallel_hands(_data(spark)[0]))
+
+
+def rfi_sumthreshold(spark, sf):
+    return pipeline.flag(_data(spark, corrupt=(2,), noise=0.05)[0])
+
+
+def sky_model(spark, sf):
+    rows = [("m", k, *model.parse_component(f"s{k}, radec, 0:0:{k}, 0:0:{10 * k}, 800 2000 wsclean {k + 1}.0 [-0.7] true 1284e6")) for k in range(3)]
+    bl = spark.range(DUMPS).select(F.col("id").alias("dump"), F.lit(0).alias("ant1"), F.lit(1).alias("ant2"), (F.col("id") * 10.0).alias("u"), F.lit(50.0).alias("v"), F.lit(1.0).alias("w"))
+    return model.model_visibilities(spark.createDataFrame(rows, model.COMPONENT), synthetic.channel_table(spark, CHANS, 856e6, 1284e6), bl, 0.0, 0.0)
+
+
+def beam_fit(spark, sf):
+    grid = spark.range(25).select(((F.col("id") % 5) * 0.5 - 1).alias("x"), (F.floor(F.col("id") / 5) * 0.5 - 1).alias("y"))
+    amp = 3 * F.exp(-0.5 * (F.pow((F.col("x") - 0.1) / 0.8, 2) + F.pow((F.col("y") + 0.2) / 0.6, 2)))
+    return pointing.beam_fits(grid.select(F.lit(0).alias("ant"), F.lit(0).alias("chunk"), F.lit("h").alias("pol"), "x", "y", amp.alias("amp")))
+
+
+def report_delays(spark, sf):
+    k = solve_delay(spark, sf).withColumn("time", F.lit(0.0))
+    return report.delay_table(k, range(ANTS))
+
+
+def report_snr(spark, sf):
+    g = solve_gain(spark, sf).withColumn("time", F.lit(0.0)).withColumn("product", F.lit("G"))
+    return report.snr_table(g)
+
+
+def stream_batches(spark, sf):
+    """The event log read as a stream of heaps; closed batches are written and read back."""
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    e = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet")
+    heaps = e.select(
+        F.lit("cb").alias("cb"), (F.col("user_id") % 8).cast("int").alias("chan_group"), F.col("event_id").alias("dump"), F.col("event_type").alias("activity"), F.col("event_id").cast("double").alias("activity_time"),
+        F.lit("gaincal").alias("tags"), F.lit(False).alias("is_stop"), F.lit(0).alias("flags"), F.lit(None).cast("string").alias("payload"),
+    )
+    out = batcher.shared_path(spark, "batches")
+    batcher.write_batches(batcher.batch_stream(heaps, 30), out, batcher.shared_path(spark, "stream")).awaitTermination()
+    return spark.read.schema(batcher.OUT).parquet(out)
+
+
+QUERIES = {f.__name__: f for f in (solve_delay, solve_bandpass, solve_gain, solve_cross_delay, cross_phase_sky, calibrate_apply, reference_antenna, rfi_sumthreshold, sky_model, beam_fit, report_delays, report_snr, stream_batches)}
