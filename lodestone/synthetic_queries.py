@@ -86,7 +86,7 @@ def report_snr(spark, sf):
 def stream_batches(spark, sf):
     """The event log read as a stream of heaps; closed batches are written and read back."""
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    e = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet")
+    e = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     heaps = e.select(
         F.lit("cb").alias("cb"), (F.col("user_id") % 8).cast("int").alias("chan_group"), F.col("event_id").alias("dump"), F.col("event_type").alias("activity"), F.col("event_id").cast("double").alias("activity_time"),
         F.lit("gaincal").alias("tags"), F.lit(False).alias("is_stop"), F.lit(0).alias("flags"), F.lit(None).cast("string").alias("payload"),
