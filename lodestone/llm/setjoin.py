@@ -11,13 +11,14 @@ H(b) + 1, and a cost model with the band's node count chooses them (signatures w
 against chance agreements of unrelated nodes, mostly empty segments).  A node is indexed in
 its own band, and in the next lower one if a similar smaller node may be there.
 
-Links.  Signatures that at least two nodes share form buckets.  Round 0 verifies each
-node against its bucket's smallest node.  Later rounds look only at nodes of one bucket
-that aren't connected yet: sketches (one parity bit per hashed shingle) give an exact
-lower bound of the difference, and a spanning forest of the pairs that pass is verified.
-When a round connects nothing, all pairs still open are verified, so no link that would
-join two components is missed; pairs inside a component are never expanded.  Large
-buckets are handled as pairs of blocks of ``BUCKET_BLOCK`` nodes.
+Links.  Signatures that at least two nodes share form buckets.  Each round compares the
+nodes of a bucket that aren't connected yet by their sketches (a parity bit per hashed
+shingle: the differing bits are never more than the differing shingles, so nothing similar
+is lost), and verifies a spanning forest of the pairs that pass.  When a round connects
+nothing, all pairs still open are verified, so no link that would join two components is
+missed; pairs inside a component are never expanded.  Shingle sets are made once, for the
+nodes that passed a comparison.  Large buckets are handled as pairs of blocks of
+``BUCKET_BLOCK`` nodes.
 
 Everything between rounds is a table in the shared folder; nothing is collected but counts.
 
@@ -41,12 +42,16 @@ from lodestone.llm.common import byte_slices, materialize, partitions, table, te
 BAND_RATIO = 1.4
 #: Nodes of a bucket compared at a time.
 BUCKET_BLOCK = 1024
-#: Parity bits of a sketch per shingle of the node, within limits.
-SKETCH_PER, SKETCH_LEAST, SKETCH_MOST = 4, 256, 1 << 16
+#: Parity bits of a sketch.
+SKETCH_BITS = 512
 #: Rounds of spanning forests at most; then all open pairs are verified.
 FOREST_ROUNDS = 4
-#: Words remembered per worker.
+#: Words (and set fingerprints) remembered per worker.
 REMEMBER = 200_000
+#: From so many segments on, empty whole segments aren't indexed.  That two similar sets then
+#: share no signature needs every difference in a segment of its own and all segments else
+#: empty in both: a chance below MANY! / MANY ** MANY = 1e-16 for hashed segments.
+MANY = 40
 
 _U = np.uint64
 _GOLD, _MIX1, _MIX2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -117,11 +122,12 @@ class Bands:
             most = self.differences(band)
             load = max(1, self.upper[band - 1] if band else 1) / (most + 1)
             empty = np.exp(-2 * load)
+            sure = most + 1 < MANY
             options = []
             for deletions in {0, (most + 1) // 2}:
                 whole = most + 1 - 2 * deletions
                 signatures = n * (whole + deletions * (2 * load + 1))
-                chance = n * n / 2 * (whole * empty + deletions * (empty * (1 + 2 * load)) ** 2)
+                chance = n * n / 2 * (sure * whole * empty + deletions * (empty * (1 + 2 * load)) ** 2)
                 options.append((signatures + chance, whole, deletions))
             chosen[band] = min(options)[1:]
         return Bands(self.num, self.den, chosen)
@@ -146,7 +152,11 @@ class Bands:
         sums = np.concatenate([[_U(0)], np.cumsum(value, dtype=_U)])
         total = sums[ends] - sums[np.concatenate([[0], ends[:-1]])]
         name = mix(np.arange(whole + deletions, dtype=_U) * _GOLD + salt)
-        out = [mix(total + name)]
+        whole_name = mix(total + name)
+        if whole + 2 * deletions >= MANY:
+            filled = np.diff(ends, prepend=0) > 0
+            whole_name = whole_name[filled | (np.arange(whole + deletions) >= whole)]
+        out = [whole_name]
         if deletions:
             at = segment[order]
             inner = at >= whole
@@ -155,51 +165,65 @@ class Bands:
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """Parity of the shingles on each of some hashed bits (a power of two, by the size)."""
-    bits = min(SKETCH_MOST, max(SKETCH_LEAST, 1 << int(SKETCH_PER * len(tokens) - 1).bit_length()))
-    parity = np.bincount((mix(tokens + _MIX1) & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    """Parity of the shingles on each of the hashed bits."""
+    parity = np.bincount((mix(tokens + _MIX1) & _U(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
     return np.packbits(parity.astype(np.uint8)).tobytes()
 
 
-def _fold(words: np.ndarray, size: int) -> np.ndarray:
-    """Sketches with more bits as sketches of ``size`` words: parities of equal low bits add up."""
-    while words.shape[1] > size:
-        half = words.shape[1] // 2
-        words = words[:, :half] ^ words[:, half:]
-    return words
+def _fingerprint(tokens: np.ndarray) -> bytes:
+    import xxhash
 
+    return xxhash.xxh3_128_digest(tokens.tobytes())
 
-def describe(docs: DataFrame, k: int, num: int, den: int, bands: Bands | None) -> DataFrame:
-    """Per row: doc_id, n, set fingerprint (two longs), and with ``bands`` the signatures."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
+def describe(docs: DataFrame, k: int) -> DataFrame:
+    """Per row: doc_id, n, set fingerprint (two longs), sketch."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in byte_slices(batches, "t"):
-            sizes, prints, sigs = [], [], []
+            sizes, prints, sketches = [], [], []
             for text in b.column("t").to_pylist():
                 tokens = shingles(text, k)
                 sizes.append(len(tokens))
-                prints.append(xxhash.xxh3_128_digest(tokens.tobytes()))
-                sigs.append(bands.signatures(tokens).view(np.int64) if bands else None)
+                prints.append(_fingerprint(tokens))
+                sketches.append(sketch(tokens))
             both = np.frombuffer(b"".join(prints), dtype=np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(sigs, pa.list_(pa.int64()))], ["doc_id", "n", "fp1", "fp2", "sigs"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(sketches, pa.binary())], ["doc_id", "n", "fp1", "fp2", "sketch"])
+
+    return docs.select("doc_id", text_or_empty().alias("t")).mapInArrow(run, "doc_id long, n long, fp1 long, fp2 long, sketch binary")
 
-    return docs.select("doc_id", text_or_empty().alias("t")).mapInArrow(run, "doc_id long, n long, fp1 long, fp2 long, sigs array<bigint>")
+
+def sign(docs: DataFrame, k: int, bands: Bands) -> DataFrame:
+    """(sig, fp1) of the sets; of equal sets in one task the first is signed."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for b in byte_slices(batches, "t", 4 << 20):
+            sigs, prints = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for text in b.column("t").to_pylist():
+                tokens = shingles(text, k)
+                name = _fingerprint(tokens)
+                if name in seen or not len(tokens):
+                    continue
+                if len(seen) >= REMEMBER:
+                    seen.clear()
+                seen.add(name)
+                sigs.append(bands.signatures(tokens).view(np.int64))
+                prints.append(np.full(len(sigs[-1]), np.frombuffer(name, dtype=np.int64)[0]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(prints))], ["sig", "fp1"])
+
+    return docs.select(text_or_empty().alias("t")).mapInArrow(run, "sig long, fp1 long")
 
 
 def node_sets(docs: DataFrame, k: int) -> DataFrame:
-    """Per row: node (doc_id), n, tokens (sorted 64-bit hashes as bytes), sketch."""
+    """Per row: node (doc_id), n, tokens (sorted 64-bit hashes as bytes)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in byte_slices(batches, "t"):
+        for b in byte_slices(batches, "t", 4 << 20):
             sets = [shingles(t, k) for t in b.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([sketch(s) for s in sets], pa.binary())],
-                ["node", "n", "tokens", "sketch"],
-            )
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "n", "tokens"])
 
-    return docs.select("doc_id", text_or_empty().alias("t")).mapInArrow(run, "node long, n long, tokens binary, sketch binary")
+    return docs.select("doc_id", text_or_empty().alias("t")).mapInArrow(run, "node long, n long, tokens binary")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -254,9 +278,7 @@ def _open_pairs(rows: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
     dealt by bucket and sorted.
     """
 
-    def compare(out: list, nodes, sizes, comps, sketches, sides) -> None:
-        least = min(map(len, sketches))
-        words = np.concatenate([_fold(np.frombuffer(s, _U)[None], least // 8) for s in sketches])
+    def compare(out: list, nodes, sizes, comps, words, sides) -> None:
         top = {c: c for c in set(comps.tolist())}
 
         def find(c: int) -> int:
@@ -297,11 +319,17 @@ def _open_pairs(rows: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
             else:
                 held.clear()
             nodes, sizes, comps, sides = (t[c].to_numpy() for c in ("node", "n", "comp", "side"))
-            sketches = t["sketch"]
-            found: list[tuple[int, int]] = []
-            for s, e in zip(starts, ends, strict=True):
-                if e - s > 1:
-                    compare(found, nodes[s:e].tolist(), sizes[s:e], comps[s:e], sketches.slice(s, e - s).to_pylist(), sides[s:e])
+            words = np.frombuffer(b"".join(t["sketch"].to_pylist()), dtype=_U).reshape(len(bucket), -1)
+            starts, ends = np.array(starts, dtype=np.int64), np.array(ends, dtype=np.int64)
+            # Most buckets are one pair: all of them at once.
+            i = starts[ends - starts == 2]
+            i = i[(comps[i] != comps[i + 1]) & ((sides[i] != sides[i + 1]) | (sides[i] == 0)) & (sizes[i + 1] * den >= sizes[i] * num) & (sizes[i] * den >= sizes[i + 1] * num)]
+            apart = np.bitwise_count(words[i] ^ words[i + 1]).sum(axis=1, dtype=np.int64)
+            i = i[apart * (num + den) <= (den - num) * (sizes[i] + sizes[i + 1])]
+            found = list(zip(np.minimum(nodes[i], nodes[i + 1]).tolist(), np.maximum(nodes[i], nodes[i + 1]).tolist(), strict=True))
+            for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
+                if e - s > 2:
+                    compare(found, nodes[s:e].tolist(), sizes[s:e], comps[s:e], words[s:e], sides[s:e])
             found = list(set(found))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
 
@@ -313,50 +341,53 @@ def _open_pairs(rows: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def _dealt(buckets: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def _dealt(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Rows for ``_open_pairs``: buckets with several components, large ones as pairs of blocks."""
     spark = buckets.sparkSession
-    named = buckets.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    several = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k")).where("lo < hi").select("sig", "k")
-    rows = named.join(several, "sig").withColumn("blocks", F.ceil(F.col("k") / F.lit(BUCKET_BLOCK)).cast("int"))
+    if labels is None:
+        rows = buckets.withColumn("comp", F.col("node"))
+    else:
+        rows = buckets.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    several = rows.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k")).where("lo < hi").select("sig", "k")
+    rows = rows.join(several, "sig").withColumn("blocks", F.ceil(F.col("k") / F.lit(BUCKET_BLOCK)).cast("int"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     spread = rows.withColumn("block", block).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("block", "to"), F.greatest("block", "to")
     side = F.when(F.col("block") == F.col("to"), 0).when(F.col("block") < F.col("to"), 1).otherwise(2)
-    spread = spread.select(F.col("sig").alias("bucket"), (low * 1_000_000 + high).cast("long").alias("other"), side.alias("side"), "node", "comp")
-    full = spread.join(sets.select("node", "n", "sketch"), "node").select("bucket", "other", "side", "node", "n", "comp", "sketch")
+    full = spread.select(F.col("sig").alias("bucket"), (low * 1_000_000 + high).cast("long").alias("other"), side.alias("side"), "node", "n", "comp", "sketch")
     return full.repartition(partitions(spark), "bucket", "other").sortWithinPartitions("bucket", "other", "node")
 
 
 def link_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id; link: den * intersection >= num * union."""
     docs = docs.select("doc_id", "text")
+    described = materialize(describe(docs, k), "described")
     bands = Bands(num, den)
-    described = materialize(describe(docs, k, num, den, bands), "sets")
-    # The cost model needs the nodes per band; unless it changes an allocation, the signatures stand.
     edges = F.array(*(F.lit(x) for x in bands.upper))
     band = F.size(F.filter(edges, lambda e: e < F.col("n")))
+    # One row per band.
     counts = {r.band: r.c for r in described.where("n > 0").groupBy(band.alias("band")).agg(F.count("*").alias("c")).collect()}
-    chosen = bands.allocate(counts)
-    if any(chosen.segments(b) != bands.segments(b) for b in counts):
-        described = materialize(describe(docs, k, num, den, chosen), "sets")
-    keyed = described.where("n > 0")
-    nodes = keyed.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("node"))
-    distinct = nodes.select(F.col("node").alias("doc_id")).distinct()
-    signed = keyed.join(distinct, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), F.explode("sigs").alias("sig"))
-    same = Window.partitionBy("sig")
-    shared = signed.withColumn("low", F.min("node").over(same)).withColumn("high", F.max("node").over(same)).where("low < high")
-    buckets = materialize(shared.select("sig", "node", "low").distinct(), "buckets")
-    sets = materialize(node_sets(docs.join(buckets.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi"), k), "tokens")
+    named = described.where("n > 0").groupBy("fp1", "fp2").agg(F.min(F.struct("doc_id", "n", "sketch")).alias("s"))
+    nodes = materialize(named.select("fp1", "fp2", F.col("s.doc_id").alias("node"), "s.n", "s.sketch"), "nodes")
 
-    links = materialize(verify(buckets.where("low < node").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct(), sets, num, den), "links")
+    same = Window.partitionBy("sig")
+    signed = sign(docs, k, bands.allocate(counts))
+    shared = signed.withColumn("low", F.min("fp1").over(same)).withColumn("high", F.max("fp1").over(same)).where("low < high")
+    shared = shared.select("sig", "fp1").distinct()
+    buckets = materialize(shared.join(nodes.select("fp1", "node", "n", "sketch"), "fp1").select("sig", "node", "n", "sketch"), "buckets")
+
+    # The first forest covers every node that has a partner.
+    pairs = materialize(_open_pairs(_dealt(buckets, None), num, den, True), "pairs")
+    partners = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "partners")
+    buckets = buckets.join(partners, "node", "left_semi")
+    sets = materialize(node_sets(docs.join(partners.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), k), "tokens")
+    links = materialize(verify(pairs, sets, num, den), "links")
     labels = components(links)
     tried = FOREST_ROUNDS
     while True:
         tried -= 1
         forest = tried > 0
-        pairs = _open_pairs(_dealt(buckets, labels, sets), num, den, forest)
-        more = materialize(verify(pairs, sets, num, den), "links")
+        more = materialize(verify(_open_pairs(_dealt(buckets, labels), num, den, forest), sets, num, den), "links")
         if more.limit(1).count():
             links = links.unionByName(more)
             labels = components(links)
@@ -365,7 +396,7 @@ def link_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
             continue
         if not forest:
             break
-    ids = described.select("doc_id", "n", "fp1", "fp2").join(nodes, ["fp1", "fp2"], "left")
+    ids = described.select("doc_id", "n", "fp1", "fp2").join(nodes.select("fp1", "fp2", "node"), ["fp1", "fp2"], "left")
     named = ids.join(labels, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "node", "doc_id").alias("component_id"))
     return named
 
