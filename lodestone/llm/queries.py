@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_filter": urlrules.ORACLE}
+    return {"op8_url_filter": urlrules.ORACLE, "op9_jaccard_join": setjoin.ORACLE}

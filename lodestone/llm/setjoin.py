@@ -403,3 +403,17 @@ def link_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_components(table(spark, sf_dir, "documents"), 3, 90, 100)
+
+
+ORACLE = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+                                     WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT x, y FROM p JOIN n na ON na.doc_id = x JOIN n nb ON nb.doc_id = y WHERE 100 * i >= 90 * (na.n + nb.n - i)),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT l.y, r.c FROM r JOIN l ON l.x = r.doc_id),
+m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM documents d JOIN m ON m.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
