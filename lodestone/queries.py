@@ -581,3 +581,116 @@ def limit_scans_json(spark, sf):
     """The first scans only, as JSON rows."""
     t = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_linenumber < 3")
     return t.select(F.col("l_orderkey").alias("k"), F.to_json(F.struct(F.col("l_linenumber").alias("scan"), F.col("l_linestatus").alias("state"))).alias("meta"))
+
+
+# --- ingest and reshaping -------------------------------------------------------------------------
+
+
+@query("SELECT event_id FROM events WHERE value IS NOT NULL AND props IS NOT NULL AND event_id % 17 <> 0")
+def valid_heaps(spark, sf):
+    """Incomplete records are dropped."""
+    e = spark.read.parquet(f"{sf}/events.parquet").withColumn("data", F.when(F.col("event_id") % 17 != 0, F.col("value")))
+    return e.where("data IS NOT NULL AND props IS NOT NULL").select("event_id")
+
+
+@query("SELECT p_partkey AS k, greatest(p_size, 10) AS lo, least(p_size + 8, 30) AS hi FROM part WHERE greatest(p_size, 10) < least(p_size + 8, 30)")
+def channel_overlap(spark, sf):
+    """Overlap of a heap's channel range with the server's; empty ones are skipped."""
+    p = spark.read.parquet(f"{sf}/part.parquet")
+    lo, hi = F.greatest("p_size", F.lit(10)), F.least(F.col("p_size") + 8, F.lit(30))
+    return p.select(F.col("p_partkey").alias("k"), lo.alias("lo"), hi.alias("hi")).where("lo < hi")
+
+
+@query("SELECT dump, chan // 16 AS substream, count(*) AS n FROM spec GROUP BY ALL")
+def substream_slice(spark, sf):
+    return spec(spark, sf).groupBy("dump", F.floor(F.col("chan") / 16).cast("int").alias("substream")).agg(F.count("*").alias("n"))
+
+
+@query("""WITH f AS (SELECT min(time) AS t FROM vis), b AS (SELECT DISTINCT ant1, ant2 FROM vis WHERE time = (SELECT t FROM f)), p(pol, k) AS (VALUES ('hh', 0), ('vv', 1), ('hv', 2), ('vh', 3))
+SELECT ant1, ant2, pol, row_number() OVER (ORDER BY ant1 <> ant2, ant1, ant2, k) - 1 AS idx FROM b, p""")
+def corrprod_order(spark, sf):
+    """Correlation products of the first dump, autocorrelations first, each in four hands (a small dimension)."""
+    rows = vis(spark, sf)
+    first = rows.agg(F.min("time").alias("time"))
+    bls = rows.join(F.broadcast(first), "time").select("ant1", "ant2").distinct()
+    hands = spark.createDataFrame([("hh", 0), ("vv", 1), ("hv", 2), ("vh", 3)], "pol string, k int")
+    w = Window.orderBy(F.col("ant1") != F.col("ant2"), "ant1", "ant2", "k")
+    return bls.crossJoin(F.broadcast(hands)).select("ant1", "ant2", "pol", (F.row_number().over(w) - 1).cast("long").alias("idx"))
+
+
+@query("""WITH o AS (SELECT a, b, row_number() OVER (ORDER BY a, b) - 1 AS idx FROM (SELECT DISTINCT ant1 AS a, ant2 AS b FROM vis))
+SELECT v.dump, v.chan, o.idx, count(*) AS n FROM vis v JOIN o ON v.ant1 = o.a AND v.ant2 = o.b GROUP BY ALL""")
+def reorder_products(spark, sf):
+    rows = vis(spark, sf)
+    order = rows.select("ant1", "ant2").distinct().withColumn("idx", (F.row_number().over(Window.orderBy("ant1", "ant2")) - 1).cast("long"))
+    return rows.join(order, ["ant1", "ant2"]).groupBy("dump", "chan", "idx").agg(F.count("*").alias("n"))
+
+
+@query("SELECT dump, chan, round(sum(weight * (1 + chan % 3)), 4) AS weight FROM vis GROUP BY ALL")
+def weight_channel_scale(spark, sf):
+    return vis(spark, sf).groupBy("dump", "chan").agg(_r(F.sum(F.col("weight") * (1 + F.col("chan") % 3)), 4).alias("weight"))
+
+
+@query("SELECT dump, chan, ant1, ant2, CAST(bit_or((flags | chan) & ~1) AS INTEGER) AS flags FROM vis GROUP BY ALL")
+def or_hands_masked(spark, sf):
+    """Flags of all hands of a cell together, one bit masked out."""
+    f = F.col("flags").bitwiseOR(F.col("chan")).bitwiseAND(F.lit(~1))
+    return vis(spark, sf).groupBy("dump", "chan", "ant1", "ant2").agg(F.bit_or(f).cast("int").alias("flags"))
+
+
+@query("SELECT chan, pol, ant1, ant2, round(100.0::DOUBLE * count(*) FILTER (WHERE flags <> 0) / count(*), 6) AS flag_pct FROM vis GROUP BY ALL")
+def flag_percent_time(spark, sf):
+    return average.flag_percent(vis(spark, sf), ["chan", "pol", "ant1", "ant2"]).select("chan", "pol", "ant1", "ant2", _r("flag_pct").alias("flag_pct"))
+
+
+@query("SELECT label AS target, round(abs(avg(x)), 6) AS flux FROM (SELECT label, unnest(embedding[9:40]) AS x FROM embeddings) GROUP BY ALL")
+def model_flux_window(spark, sf):
+    rows = spec(spark, sf).where("chan >= 8 AND chan < 40")
+    return rows.groupBy(F.col("pol").alias("target")).agg(_r(F.abs(F.avg("re"))).alias("flux"))
+
+
+@query("SELECT l_orderkey AS k, l_linenumber AS line, round(sqrt(l_quantity * l_quantity + l_extendedprice * l_extendedprice) * 1.284e9 / 299792458.0::DOUBLE, 2) AS uv FROM lineitem")
+def uv_distance(spark, sf):
+    t = spark.read.parquet(f"{sf}/lineitem.parquet")
+    uv = F.sqrt(F.col("l_quantity") * F.col("l_quantity") + F.col("l_extendedprice") * F.col("l_extendedprice")) * F.lit(1.284e9) / F.lit(299792458.0)
+    return t.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("line"), _r(uv, 2).alias("uv"))
+
+
+@query("""SELECT p_partkey AS k, round(degrees(2 * asin(sqrt(pow(sin((radians(p_size) - 0.1::DOUBLE) / 2), 2) + cos(0.1::DOUBLE) * cos(radians(p_size)) * pow(sin((radians(p_retailprice / 10) - 0.2::DOUBLE) / 2), 2)))), 6) AS sep FROM part""")
+def angular_separation(spark, sf):
+    p = spark.read.parquet(f"{sf}/part.parquet")
+    sep = keys.haversine_deg(F.lit(0.2), F.lit(0.1), F.radians(F.col("p_retailprice") / 10), F.radians("p_size"))
+    return p.select(F.col("p_partkey").alias("k"), _r(sep).alias("sep"))
+
+
+@query("""SELECT o_orderkey AS k, CASE WHEN (o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_custkey % 2 = 0) OR o_totalprice > 250000 THEN 'Jy' ELSE 'Counts' END AS units FROM orders""")
+def flux_units(spark, sf):
+    from lodestone.operators import report
+
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    tags = F.array(F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "bpcal").otherwise("target"))
+    return o.select(F.col("o_orderkey").alias("k"), report.units(tags, F.col("o_custkey") % 2 == 0, F.col("o_totalprice") > 250000).alias("units"))
+
+
+@query("""WITH b AS (SELECT time, pol, ant1 AS ant, bool_or(flags = 0 AND ant1 % 4 <> 1) AS valid FROM vis GROUP BY ALL)
+SELECT pol, ant, count(*) FILTER (WHERE valid) AS n_solutions, bool_and(NOT valid) AS all_bad FROM b GROUP BY ALL""")
+def bandpass_counts(spark, sf):
+    from lodestone.operators import report
+
+    rows = vis(spark, sf).withColumn("ant", F.col("ant1")).withColumn("re", F.when((F.col("flags") == 0) & (F.col("ant1") % 4 != 1), F.col("re")))
+    return report.bandpass_counts(rows)
+
+
+@query("SELECT l_orderkey AS k, bool_and(l_linestatus = 'F') AS done, CASE WHEN count(*) FILTER (WHERE l_linestatus = 'F') >= 2 THEN 'DEAD' WHEN count(*) FILTER (WHERE l_linestatus = 'F') = 1 THEN 'REPORTING' ELSE 'CAPTURING' END AS state FROM lineitem GROUP BY ALL")
+def block_state(spark, sf):
+    """State of a capture block by the number of end events."""
+    ends = F.count_if(F.col("l_linestatus") == "F")
+    state = F.when(ends >= 2, "DEAD").when(ends == 1, "REPORTING").otherwise("CAPTURING")
+    return spark.read.parquet(f"{sf}/lineitem.parquet").groupBy(F.col("l_orderkey").alias("k")).agg(F.bool_and(F.col("l_linestatus") == "F").alias("done"), state.alias("state"))
+
+
+@query("SELECT n, 1284e6::DOUBLE + (n - 1) / 2.0::DOUBLE * 208984.375::DOUBLE AS centre, 856e6::DOUBLE AS bandwidth FROM (SELECT DISTINCT CAST(p_size AS DOUBLE) AS n FROM part)")
+def rechannelised_centre(spark, sf):
+    """Centre frequency after combining n channels."""
+    n = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_size").cast("double").alias("n")).distinct()
+    return n.select("n", (F.lit(1284e6) + (F.col("n") - 1) / 2.0 * F.lit(208984.375)).alias("centre"), F.lit(856e6).alias("bandwidth"))
