@@ -5,6 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lodestone.functions import keys
 
 BEAM = "ant int, chunk int, pol string, x0 double, y0 double, wx double, wy double, height double, valid boolean"
 
@@ -42,3 +45,13 @@ def beam_fits(gains: DataFrame) -> DataFrame:
         return pd.DataFrame([row], columns=[c.split()[0] for c in BEAM.split(", ")])
 
     return gains.groupBy("ant", "chunk", "pol").applyInPandas(fit, BEAM)
+
+
+def offsets(track: DataFrame) -> DataFrame:
+    """Offsets (x, y, degrees) of pointings from their target; columns az, el, target_az, target_el in degrees.
+
+    The target's direction cosines seen from the pointing, so x grows with azimuth.
+    """
+    az, el, az0, el0 = (F.radians(c) for c in ("az", "el", "target_az", "target_el"))
+    l, m, _ = keys.sin_projection(az, el, az0, el0)
+    return track.withColumn("x", F.degrees(F.asin(l))).withColumn("y", F.degrees(F.asin(m)))

@@ -231,3 +231,22 @@ def reference_antenna(vis: DataFrame, previous: int | None = None, most_flagged:
     keep = (F.col("ant") == F.lit(previous)) & (F.col("flagged") < most_flagged) if previous is not None else F.lit(False)
     excluded = (F.col("ant") == F.lit(previous)) & (F.col("flagged") >= most_flagged) if previous is not None else F.lit(False)
     return quality.orderBy(F.desc(keep), excluded, F.desc_nulls_last("quality"), "ant").limit(1).select("ant")
+
+
+def residuals(vis: DataFrame, gains: DataFrame, on: list[str]) -> DataFrame:
+    """Corrected visibilities less one."""
+    from lodestone.operators.apply import apply_gains
+
+    return apply_gains(vis, gains, on).withColumn("re", F.col("re") - 1)
+
+
+def poor_antennas(resid: DataFrame, keys: list[str], limit: float = 0.2) -> DataFrame:
+    """Per key and antenna: weighted rms residual over its baselines, and whether it is above the limit.
+
+    Flagged and missing cells don't count; an antenna without any is poor.
+    """
+    from lodestone.operators.average import per_antenna
+
+    w = F.when((F.col("flags") == 0) & F.col("re").isNotNull(), F.col("weight"))
+    rms = F.sqrt(F.sum(w * (F.col("re") ** 2 + F.col("im") ** 2)) / F.sum(w))
+    return per_antenna(resid).groupBy(*keys, "ant").agg(rms.alias("rms")).withColumn("poor", F.coalesce(F.col("rms") > limit, F.lit(True)))

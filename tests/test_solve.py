@@ -164,3 +164,16 @@ def test_flags_are_monotone():
     amp[5] += 20
     flagged = rng.random((20, 40)) < 0.2
     assert not (rfi.sum_threshold(amp, flagged) & flagged).any()
+
+
+def test_poor_antennas(spark):
+    rows = [(0, 1, 1.0, 0.0, 0, 1.0), (0, 2, 1.9, 0.0, 0, 1.0), (1, 2, 1.9, 0.0, 0, 1.0), (0, 3, 1.0, 0.0, 1, 1.0)]
+    vis = spark.createDataFrame(rows, "ant1 int, ant2 int, re double, im double, flags int, weight double").withColumn("pol", F.lit("h"))
+    gains = spark.createDataFrame([(a, "h", 1.0, 0.0) for a in range(4)], "ant int, pol string, re double, im double")
+    got = {r.ant: r.poor for r in solve.poor_antennas(solve.residuals(vis, gains, []), ["pol"], 0.7).collect()}
+    assert got == {0: False, 1: False, 2: True, 3: True}
+
+
+def test_pointing_offsets(spark):
+    got = pointing.offsets(spark.createDataFrame([(10.0, 1.0, 10.0, 0.0), (11.0, 0.0, 10.0, 0.0)], "az double, el double, target_az double, target_el double")).collect()
+    assert np.allclose([got[0].x, got[0].y, got[1].x, got[1].y], [0, 1, 1, 0], atol=1e-9)
