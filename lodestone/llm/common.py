@@ -18,9 +18,19 @@ SLICE_ROWS = 512
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one input table."""
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch sent to a Python task: with the default a batch holds 10,000 rows however long.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by bytes too, so long texts and sets don't fill a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share: ``spark.checkpoint.dir``.
 
@@ -43,6 +53,7 @@ def scratch(spark: SparkSession, label: str) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -64,7 +75,7 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
 
 
 #: Text bytes per slice of ``byte_slices``.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 
 
 def byte_slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
