@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import byte_slices, partitions, scratch, table, text_or_empty
-from lodestone.llm.tokens import WORD_FILE, encoder
+from lodestone.llm.tokens import WORD_FILE, encoder, gather
 
 END_ID = 1
 SHARD_IDS = 1 << 20
@@ -49,55 +49,101 @@ LEAST_COUNT, PASSES, RULES = 8, 12, 1 << 15
 _SCHEMA = "part int, shard int, n_ids long, left binary, right binary, lengths binary, symbols binary, doc_ids array<bigint>, sizes array<bigint>"
 
 
-def _frequent_pairs(symbols: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(left, right) of frequent pairs, no two of which share a symbol, most frequent first."""
-    keys = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:].astype(np.uint64)
-    # A pair is counted exactly only where its hashed bucket is frequent.
-    bucket = (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
-    heavy = np.bincount(bucket.astype(np.int64), minlength=1 << 20) >= LEAST_COUNT
-    pair, count = np.unique(keys[heavy[bucket]], return_counts=True)
-    pair, count = pair[count >= LEAST_COUNT], count[count >= LEAST_COUNT]
-    order = np.lexsort((pair, -count))
-    left, right = (pair[order] >> np.uint64(32)).astype(np.int64), (pair[order] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    taken: set[int] = set()
-    chosen = []
-    for k, (a, b) in enumerate(zip(left.tolist(), right.tolist(), strict=True)):
-        if a not in taken and b not in taken:
-            taken.update((a, b))
-            chosen.append(k)
-            if len(chosen) == most:
-                break
-    return left[chosen], right[chosen]
+def _keys(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The pairs at ``at`` as numbers."""
+    return symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1].astype(np.uint64)
+
+
+def _bucket(keys: np.ndarray) -> np.ndarray:
+    """A 20-bit hash."""
+    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).view(np.int64)
+
+
+def _frequent(keys: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs with LEAST_COUNT or more, each key's number among them from ``first`` on, -1 for others)."""
+    pair, count = np.unique(keys, return_counts=True)
+    pair = pair[count >= LEAST_COUNT]
+    if not len(pair):
+        return pair, np.full(len(keys), -1, np.int32)
+    if len(keys) > 1 << 16:  # by hash, and by search where two pairs have one
+        at = np.zeros(1 << 20, np.int32)
+        at[_bucket(pair)] = np.arange(len(pair))
+        at = at[_bucket(keys)]
+        miss = np.flatnonzero(pair[at] != keys)
+        at[miss] = np.minimum(np.searchsorted(pair, keys[miss]), len(pair) - 1)
+    else:
+        at = np.minimum(np.searchsorted(pair, keys), len(pair) - 1)
+    return pair, np.where(pair[at] == keys, at + first, -1).astype(np.int32)
+
+
+def _choose(pairs: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
+    """Numbers of frequent pairs, no two of which share a symbol, most frequent first."""
+    often = np.flatnonzero(counts >= LEAST_COUNT)
+    often = often[np.lexsort((pairs[often], -counts[often]))]
+    left, right = (pairs[often] >> np.uint64(32)).astype(np.int64), (pairs[often] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    size = int(max(left.max(), right.max())) + 1 if len(often) else 0
+    place, chosen = np.arange(len(often)), []
+    # A pair that comes first for both its symbols is chosen, and others with these symbols go.
+    while len(place):
+        first = np.full(size, len(often))
+        first[right[place][::-1]] = place[::-1]
+        by_left = np.full(size, len(often))
+        by_left[left[place][::-1]] = place[::-1]
+        np.minimum(first, by_left, out=first)
+        won = place[(first[left[place]] == place) & (first[right[place]] == place)]
+        chosen.append(won)
+        taken = np.zeros(size, dtype=bool)
+        taken[left[won]] = taken[right[won]] = True
+        place = place[~taken[left[place]] & ~taken[right[place]]]
+    return often[np.sort(np.concatenate(chosen))[:most]] if chosen else often
 
 
 def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(left, right, lengths, symbols) of a Re-Pair grammar of the ids."""
-    symbols = ids.astype(np.int64)
+    """(left, right, lengths, symbols) of a Re-Pair grammar of the ids.
+
+    Counts of pairs only fall, but for pairs with a new symbol: pairs are numbered once, a
+    rare one (-1) stays rare, and after a pass only the pairs beside new symbols are looked up.
+    """
+    symbols = ids.astype(np.int32)
     lefts, rights, lengths = [], [], np.zeros(0, np.int64)
+    number = np.full(len(symbols), -1, np.int32)
+    at = np.arange(max(0, len(symbols) - 1))
+    keys = _keys(symbols, at)
+    # Only pairs in a frequent hashed bucket can be frequent.
+    bucket = _bucket(keys)
+    at = at[(np.bincount(bucket, minlength=1 << 20) >= LEAST_COUNT)[bucket]]
+    pairs, number[at] = _frequent(keys[at], 0)
     for _ in range(PASSES):
         made = len(lengths)
-        if len(symbols) < 2 or made >= RULES:
+        if made >= RULES or not len(pairs):
             break
-        left, right = _frequent_pairs(symbols, RULES - made)
-        if not len(left):
+        chosen = _choose(pairs, np.bincount(number + 1, minlength=len(pairs) + 1)[1:], RULES - made)
+        if not len(chosen):
             break
-        size = int(max(symbols.max(), left.max(), right.max())) + 1
-        partner, name = np.full(size, -1, np.int64), np.zeros(size, np.int64)
-        partner[left], name[left] = right, FIRST_RULE + made + np.arange(len(left))
-        hit = np.flatnonzero(partner[symbols[:-1]] == symbols[1:])
+        name = np.zeros(len(pairs) + 1, np.int32)  # the last place is number -1
+        name[chosen] = FIRST_RULE + made + np.arange(len(chosen))
+        named = name[number]
+        hit = np.flatnonzero(named)
         # Of overlapping hits (a, a, a) every second one counts, from the left.
         fresh = np.ones(len(hit), dtype=bool)
         fresh[1:] = hit[1:] != hit[:-1] + 1
         run = np.maximum.accumulate(np.where(fresh, np.arange(len(hit)), 0))
         hit = hit[(np.arange(len(hit)) - run) % 2 == 0]
-        symbols[hit] = name[symbols[hit]]
+        symbols[hit] = named[hit]
         keep = np.ones(len(symbols), dtype=bool)
         keep[hit + 1] = False
-        symbols = symbols[keep]
-        lefts.append(left)
-        rights.append(right)
-        lengths = np.concatenate([lengths, _lengths(left, lengths) + _lengths(right, lengths)])
-    none = [np.zeros(0, np.int64)]
+        symbols, number = symbols[keep], number[keep]
+        own = hit - np.arange(len(hit))
+        beside = np.zeros(len(symbols) + 1, dtype=bool)
+        beside[own] = beside[own - 1] = True  # place -1 is the spare one
+        near = np.flatnonzero(beside[: len(symbols) - 1])
+        number[len(symbols) - 1] = -1
+        more, number[near] = _frequent(_keys(symbols, near), len(pairs))
+        lefts.append((pairs[chosen] >> np.uint64(32)).astype(np.int32))
+        rights.append((pairs[chosen] & np.uint64(0xFFFFFFFF)).astype(np.int32))
+        pairs = np.concatenate([pairs, more])
+        lengths = np.concatenate([lengths, _lengths(lefts[-1], lengths) + _lengths(rights[-1], lengths)])
+    none = [np.zeros(0, np.int32)]
     return np.concatenate(lefts or none), np.concatenate(rights or none), lengths, symbols
 
 
@@ -110,17 +156,21 @@ def _lengths(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def expand(symbols: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Ids of a sequence of symbols."""
-    while True:
-        rule = symbols >= FIRST_RULE
-        if not rule.any():
-            return symbols
+    """Ids of a sequence of symbols: the rules are expanded once, then looked up."""
+    rules, owner = np.arange(FIRST_RULE, FIRST_RULE + len(left)), np.arange(len(left))
+    while (rule := rules >= FIRST_RULE).any():
         at = np.cumsum(rule + 1) - (rule + 1)
-        out = np.empty(len(symbols) + int(rule.sum()), dtype=symbols.dtype)
-        out[at[~rule]] = symbols[~rule]
-        k = symbols[rule] - FIRST_RULE
+        out = np.empty(len(rules) + int(rule.sum()), dtype=np.int64)
+        out[at[~rule]] = rules[~rule]
+        k = rules[rule] - FIRST_RULE
         out[at[rule]], out[at[rule] + 1] = left[k], right[k]
-        symbols = out
+        rules, owner = out, np.repeat(owner, rule + 1)
+    sizes = np.ones(FIRST_RULE + len(left), dtype=np.int32)
+    sizes[FIRST_RULE:] = np.bincount(owner, minlength=len(left))
+    starts = np.arange(len(sizes), dtype=np.int32)
+    starts[FIRST_RULE:] = FIRST_RULE + np.cumsum(sizes[FIRST_RULE:]) - sizes[FIRST_RULE:]
+    flat = np.concatenate([np.arange(FIRST_RULE), rules])
+    return gather(flat, starts[symbols], sizes[symbols])
 
 
 def decode_range(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, lengths: np.ndarray, start: int, size: int) -> np.ndarray:
@@ -160,7 +210,7 @@ def write_ids(docs: DataFrame, path: str, name: str = WORD_FILE, end_id: int = E
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], ["part", "shard", "n_ids", "left", "right", "lengths", "symbols", "doc_ids", "sizes"])
 
         waiting = 0
-        for b in byte_slices(batches, "t", 4 << 20):
+        for b in byte_slices(batches, "t", 8 << 20):
             ids, counts = enc.encode(b.column("t"))
             # The end id goes behind each document's ids.
             held.append(np.insert(ids, np.cumsum(counts), end_id).astype(np.uint32))
