@@ -1,13 +1,16 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
 
 Words are lower-case runs of letters and digits.  Every document is searched for the word
-``SEED``-grams of the benchmark items; a hit's surroundings (as numbers of benchmark
-words, other words being -1) are kept as a passage.  The documents with each seed are
-counted over the whole corpus.  A seed is rare for its item if it is in at most
-``RARE_FLOOR`` documents or in at most twice the median of the item's seeds; so a copy in
-very many documents, which lifts all seeds of its item alike, keeps them rare.  Passages
-with a rare seed are aligned with the item (match 2, other word -1, gap -1), and a document
-is contaminated if the best score is at least ``THRESHOLD`` of a full match.
+``SEED``-grams of the benchmark items; a hit's surroundings (as numbers of the item's
+words, other words being -1) are kept as a passage, unless it shares too few words with
+the item to reach ``THRESHOLD`` in whatever order they stand.  Every passage kept is aligned
+with the item (match 2, other word -1, gap -1), and a document is contaminated if the best
+score is at least ``THRESHOLD`` of a full match.
+
+The documents of the kept passages are counted by seed.  Rarity decides only how a passage
+is aligned: with a seed in at most ``RARE_FLOOR`` documents it has few equals and is aligned
+at once; the others are aligned once per distinct item and passage, and the score is joined
+back, so an edited copy in very many documents is found and stays cheap.
 
 Benchmark items go to the tasks in blocks of at most ``BLOCK_WORDS`` words (one pass over
 the documents per block), so what is broadcast is bounded.
@@ -58,6 +61,7 @@ class Items:
         keys, item, place = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, item, place))
         order = np.argsort(keys, kind="stable")
         self.keys_, self.item, self.place = keys[order], item[order], place[order]
+        self.bags = [np.unique(ws, return_counts=True) for ws in self.words]
 
     def keys(self, ws: np.ndarray) -> np.ndarray:
         """Number of each seed; meaningless where a word is -1."""
@@ -70,8 +74,19 @@ class Items:
         get = self.number.get
         return np.array([get(w, -1) for w in words(text)], dtype=np.int64)
 
-    def passages(self, text: str) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(item, first word, seeds hit, words) of the places that share seeds with an item."""
+    def own_words(self, k: int, passage: np.ndarray) -> tuple[int, np.ndarray]:
+        """Most matches an alignment with the item can have, and the passage with other words as -1, none at the ends."""
+        known, most = self.bags[k]
+        at = np.minimum(np.searchsorted(known, passage), len(known) - 1)
+        own = known[at] == passage
+        inner = np.flatnonzero(own)
+        if not len(inner):
+            return 0, passage[:0]
+        matches = int(np.minimum(np.bincount(at[own], minlength=len(known)), most).sum())
+        return matches, np.where(own, passage, -1)[inner[0] : inner[-1] + 1]
+
+    def passages(self, text: str, threshold: float = 0.0) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(item, first word, seeds hit, words) of the places that share seeds with an item and can score ``threshold``."""
         if len(self.keys_) == 0:
             return []
         ws = self.numbers(text)
@@ -97,7 +112,9 @@ class Items:
             size, b = len(self.words[k]), begin[mine]
             for group in np.split(mine, np.flatnonzero(np.diff(b) > size) + 1):
                 first, last = max(0, int(begin[group].min()) - size // 2), int(begin[group].max()) + size + size // 2
-                found.append((k, first, np.unique(self.keys_[entry[group]]), ws[first:last]))
+                matches, passage = self.own_words(k, ws[first:last])
+                if matches / size >= threshold:
+                    found.append((k, first, np.unique(self.keys_[entry[group]]), passage))
         return found
 
 
@@ -115,7 +132,7 @@ def align(item: np.ndarray, passage: np.ndarray) -> int:
     return best
 
 
-def find_passages(docs: DataFrame, items: Items) -> DataFrame:
+def find_passages(docs: DataFrame, items: Items, threshold: float = THRESHOLD) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)  # at most BLOCK_WORDS words
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +140,7 @@ def find_passages(docs: DataFrame, items: Items) -> DataFrame:
         for b in byte_slices(batches, "t"):
             out: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("t").to_pylist(), strict=True):
-                for k, first, seeds, passage in known.passages(text):
+                for k, first, seeds, passage in known.passages(text, threshold):
                     for x, v in zip(out, (doc_id, k, first, seeds, passage.astype(np.int32)), strict=True):
                         x.append(v)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
@@ -160,26 +177,31 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, list[str]]]]:
 
 def _contaminated_block(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
     spark = docs.sparkSession
-    passages = materialize(find_passages(docs, items), "passages")
+    passages = materialize(find_passages(docs, items, threshold), "passages")
     # One row per seed and item of the block at most.
     hits = passages.select("doc_id", "item", F.explode("seeds").alias("seed")).groupBy("item", "seed").agg(F.count("*").alias("n"))
-    middle = hits.groupBy("item").agg(F.percentile("n", F.lit(0.5)).alias("middle"))
-    rare = hits.join(middle, "item").where((F.col("n") <= RARE_FLOOR) | (F.col("n") <= 2 * F.col("middle")))
-    rare = rare.groupBy("item").agg(F.collect_list("seed").alias("rare"))
-    chosen = passages.join(rare, "item").where(F.arrays_overlap("seeds", "rare")).select("doc_id", "item", "first", "passage")
+    rare = hits.where(F.col("n") <= RARE_FLOOR).groupBy("item").agg(F.collect_list("seed").alias("rare"))
+    routed = passages.join(rare, "item", "left").withColumn("few", F.coalesce(F.arrays_overlap("seeds", "rare"), F.lit(False)))
     shared = spark.sparkContext.broadcast(items)  # at most BLOCK_WORDS words
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for b in batches:
-            numbers = b.column("item").to_pylist()
-            score = [align(known.words[k], np.array(p, dtype=np.int64)) / (MATCH * len(known.words[k])) for k, p in zip(numbers, b.column("passage").to_pylist(), strict=True)]
-            ids = pa.array([known.ids[k] for k in numbers], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids, pa.array(score, pa.float64()), b.column("first")], ["doc_id", "item_id", "score", "first"])
-
-    scored = chosen.mapInArrow(run, "doc_id long, item_id long, score double, first long")
+            pairs = zip(b.column("item").to_pylist(), b.column("passage").to_pylist(), strict=True)
+            score = [align(known.words[k], np.array(p, dtype=np.int64)) / (MATCH * len(known.words[k])) for k, p in pairs]
+            ids = pa.array([known.ids[k] for k in b.column("item").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns, ids, pa.array(score, pa.float64())], [*b.schema.names, "item_id", "score"])
+
+    alone = routed.where("few").select("doc_id", "item", "first", "passage")
+    alone = alone.mapInArrow(run, "doc_id long, item int, first long, passage array<int>, item_id long, score double").where(F.col("score") >= threshold)
+    many = routed.where("NOT few").select("doc_id", "item", "first", "passage")
+    once = many.select("item", "passage").distinct().mapInArrow(run, "item int, passage array<int>, item_id long, score double")
+    # Written first, so Spark broadcasts it only when it is small and otherwise splits a frequent passage's rows.
+    once = materialize(once.where(F.col("score") >= threshold), "scores")
+    columns = ["doc_id", "item_id", "score", "first"]
+    scored = alone.select(columns).unionByName(many.join(once, ["item", "passage"]).select(columns))
     best = F.max_by(F.col("first"), F.struct("score", -F.col("first"))).alias("first")
-    return scored.where(F.col("score") >= threshold).groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), best)
+    return scored.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), best)
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

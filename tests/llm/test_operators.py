@@ -226,6 +226,15 @@ def test_leaks_and_edited_leaks(spark):
     assert decontam.contaminated(docs(spark, texts), bench.limit(0)).count() == 0
     assert decontam.contaminated(docs(spark, texts).limit(0), bench).count() == 0
 
+def test_frequent_edited_copies_beside_a_verbatim_one(spark):
+    item = [f"w{k}" for k in range(20)]
+    edited = " ".join("other" if k % 4 == 3 else w for k, w in enumerate(item))
+    texts = [" ".join(item), *["before " * 30 + edited + " after" * 30] * 200, "no w0 w1 w2 more " + " ".join(f"x{k}" for k in range(40))]
+    bench = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in decontam.contaminated(docs(spark, texts), bench).collect()}
+    assert set(got) == set(range(201))
+    assert got[0] == 1.0 and {got[k] for k in range(1, 201)} == {0.65}
+
 
 # --- op7 ------------------------------------------------------------------------------------------
 
