@@ -2,9 +2,9 @@
 
 A payload is written with the standard ``wave`` module, one sample per byte, so the
 stored form is lossless.  The stored bytes are read back, cut into Hann-windowed
-frames (short-time Fourier transform), the magnitude peaks that exceed all their
-neighbours in time and frequency are kept, and each peak is paired with the next ones
-in time (Wang 2003).  A pair is one 64-bit integer, with its time in the upper bits:
+frames (short-time Fourier transform; zeros fill the last frame), the magnitude peaks that
+exceed all their neighbours in time and frequency are kept, and each peak is paired with
+the next ones of later frames (Wang 2003).  A pair is one 64-bit integer, with its time in the upper bits:
 ``time << 32 | f1 << 20 | f2 << 8 | dt``.
 
 Memory: frames are transformed ``BLOCK`` at a time, with the neighbours' frames
@@ -82,8 +82,7 @@ def _neighbourhood_max(m: np.ndarray) -> np.ndarray:
 def peaks(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(frame, bin) of the spectral peaks, by time and then frequency."""
     x = np.frombuffer(payload, dtype=np.uint8).astype(np.float32) - 128
-    if len(x) < FRAME:
-        x = np.concatenate([x, np.zeros(FRAME - len(x), np.float32)])
+    x = np.concatenate([x, np.zeros(FRAME - len(x) if len(x) < FRAME else -(len(x) - FRAME) % HOP, np.float32)])
     frames = np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP]
     times, bins = [], []
     for at in range(0, len(frames), BLOCK):
@@ -101,10 +100,12 @@ def fingerprint(payload: bytes) -> np.ndarray:
     """Time-coded peak pairs, ascending."""
     t, f = peaks(payload)
     codes = []
-    for k in range(1, FAN + 1):
-        dt = t[k:] - t[:-k]
-        near = (dt > 0) & (dt <= REACH)
-        codes.append((t[:-k] << 32 | f[:-k] << 20 | f[k:] << 8 | dt)[near])
+    later = np.searchsorted(t, t, side="right")
+    for k in range(FAN):
+        a = np.flatnonzero(later + k < len(t))
+        b = later[a] + k
+        dt = t[b] - t[a]
+        codes.append((t[a] << 32 | f[a] << 20 | f[b] << 8 | dt)[dt <= REACH])
     return np.sort(np.concatenate(codes).astype(np.int64))
 
 

@@ -56,6 +56,24 @@ def test_peaks_do_not_depend_on_blocks(monkeypatch):
     assert np.array_equal(whole, media.fingerprint(payload))
 
 
+def test_last_bytes_reach_the_peaks():
+    for units in (5, 7, 9, 21):
+        payload = bytes(np.random.default_rng(units).integers(0, 256, 64 * units, dtype=np.uint8))
+        tone = payload[:-64] + bytes(round(128 + 120 * np.sin(k * 0.8)) for k in range(64))
+        got, other = (set(zip(*(x.tolist() for x in media.peaks(p)), strict=True)) for p in (payload, tone))
+        assert got != other and max(t for t, _ in other) <= -(-(64 * units - 256) // 128)
+
+
+def test_peaks_are_paired_with_later_frames():
+    payload = bytes(np.random.default_rng(2).integers(0, 256, 6400, dtype=np.uint8))
+    at = list(zip(*(x.tolist() for x in media.peaks(payload)), strict=True))
+    want = []
+    for t, f in at:
+        want += [t << 32 | f << 20 | g << 8 | (u - t) for u, g in [p for p in at if p[0] > t][: media.FAN] if u - t <= media.REACH]
+    assert media.fingerprint(payload).tolist() == sorted(want) and len(want) > 100
+    assert media.fingerprint(bytes(64)).tolist() == []
+
+
 # --- op2, tokens ----------------------------------------------------------------------------------
 
 
