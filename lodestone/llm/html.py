@@ -1,13 +1,15 @@
 """Main text of web pages by site-template removal.
 
 Pass 1 parses every page, hashes the subtree of each block element (tag, class, id and
-content) and counts in Spark on how many pages of a host each hash occurs.  Hashes on at
-least ``MIN_PAGES`` pages and ``SHARE`` of the host's pages are the host's template.
+content) and counts in Spark with how many distinct articles of a host each hash occurs, so
+copies of one article count once.  Hashes with at least ``MIN_PAGES`` articles and ``SHARE``
+of the host's articles are the host's template.
 Pass 2 parses again, deletes template subtrees, and of the rest keeps the article: the
 ``article`` (else ``main``, else ``body``) elements without menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments, which small hosts
-have no counts for.  Inside an article only what recurs on ``MAIN_SHARE`` of at least
-``MAIN_PAGES`` pages is deleted, since copies of one article also recur.
+have no counts for.  Where the template has more than half of an article's text, the
+article is taken for an edited copy, and only what recurs with ``MAIN_SHARE`` of at least
+``MAIN_PAGES`` articles is deleted from it.  What holds the article is never deleted.
 
 The template table is written first, so Spark broadcasts it only when it is small and
 otherwise joins by host, where a hot host's partition is split.
@@ -21,7 +23,6 @@ from __future__ import annotations
 
 import html as _html
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -163,6 +164,17 @@ def main_text(root: Node, template: frozenset[int] | set[int] = frozenset(), mai
     """Blocks of the article joined by line ends."""
     tags = {x.tag for x, leaving in _walk(root) if not leaving and not x.dropped}
     main = next((t for t in ("article", "main") if t in tags), None)
+    text, deleted = _text_without(root, main, template)
+    if main and deleted:
+        whole, _ = _text_without(root, main, main_template)
+        if 2 * len(text) < len(whole):
+            return whole
+    return text
+
+
+def _text_without(root: Node, main: str | None, template: frozenset[int] | set[int]) -> tuple[str, bool]:
+    """Text of the ``main`` elements (None: of the page) without the template, and whether any was deleted."""
+    deleted = False
     blocks: list[str] = []
     inline: list[str] = []
 
@@ -186,7 +198,8 @@ def main_text(root: Node, template: frozenset[int] | set[int] = frozenset(), mai
                 flush()
         elif x.tag == "br":
             inline.append(" ")
-        elif (x.hash in main_template) if inside and main else (x.hash in template and x.tag not in ("article", "main", "body", "html")):
+        elif inside and x.hash in template and (main or x.tag not in ("body", "html")):
+            deleted = True
             flush()
         else:
             block = x.tag not in _INLINE
@@ -196,24 +209,27 @@ def main_text(root: Node, template: frozenset[int] | set[int] = frozenset(), mai
             within = inside or x.tag == main
             todo.extend((c, within) for c in reversed(x.children))
     flush()
-    return "\n".join(blocks)
+    return "\n".join(blocks), deleted
 
 
 def count_subtrees(pages: DataFrame) -> DataFrame:
-    """(host, hash, n): pages of the host that have the subtree; hash -1 counts the host's pages."""
+    """(host, hash, n): distinct article texts of the host that have the subtree; hash -1 counts the host's article texts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         for b in byte_slices(batches, "html"):
-            seen: Counter[tuple[str, int]] = Counter()
+            seen: set[tuple[str, int, int]] = set()
             for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
                 root = parse(page)
                 hash_subtrees(root)
-                seen.update((host, h) for h in block_hashes(root))
-                seen[host, -1] += 1
-            hosts, hashes = zip(*seen, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(seen.values(), pa.int64())], ["host", "hash", "n"])
+                article = xxhash.xxh64_intdigest(main_text(root)) >> 1
+                seen.update((host, h, article) for h in block_hashes(root))
+                seen.add((host, -1, article))
+            hosts, hashes, articles = zip(*seen, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(articles, pa.int64())], ["host", "hash", "article"])
 
-    return pages.select("host", "html").mapInArrow(run, "host string, hash long, n long").groupBy("host", "hash").agg(F.sum("n").alias("n"))
+    return pages.select("host", "html").mapInArrow(run, "host string, hash long, article long").groupBy("host", "hash").agg(F.count_distinct("article").alias("n"))
 
 
 def site_templates(counts: DataFrame) -> DataFrame:
@@ -221,7 +237,7 @@ def site_templates(counts: DataFrame) -> DataFrame:
     sizes = counts.where("hash = -1").select("host", F.col("n").alias("pages"))
     many = counts.where(F.col("hash") >= 0).where(F.col("n") >= MIN_PAGES).join(sizes, "host").where(F.col("n") >= F.col("pages") * SHARE)
     strong = (F.col("n") >= MAIN_PAGES) & (F.col("n") >= F.col("pages") * MAIN_SHARE)
-    # A host's list is short: each entry is on SHARE of its pages.
+    # A host's list is short: each entry is with SHARE of its articles.
     return many.groupBy("host").agg(F.collect_list("hash").alias("template"), F.collect_list(F.when(strong, F.col("hash"))).alias("main_template"))
 
 

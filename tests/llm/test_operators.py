@@ -206,6 +206,32 @@ def test_copies_of_an_article_stay(spark):
     assert all(r.text == ("copied story" if r.page_id < 10 else f"own {r.page_id}") for r in got)
 
 
+def _extracted(spark, pages):
+    rows = [(k, f"http://a.example/{k}", page) for k, page in enumerate(pages)]
+    return {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_wrapped_copies_of_an_article_stay(spark):
+    story = lambda k: "copied story" if k < 5 else f"own {k}"
+    got = _extracted(spark, [f"<body><div class=wrap><article><p>{story(k)}</p></article></div></body>" for k in range(50)])
+    assert got == {k: story(k) for k in range(50)}
+
+
+@pytest.mark.parametrize(("pages", "every"), [(19, 1), (60, 2)])
+def test_notice_inside_articles_is_deleted(spark, pages, every):
+    body = lambda k: f"the story number {k} has a long text of its own, with word {k * 7919}"
+    notice = lambda k: "<div><p>read our rules first</p></div>" if k % every == 0 else ""
+    got = _extracted(spark, [f"<article>{notice(k)}<p>{body(k)}</p></article>" for k in range(pages)])
+    assert got == {k: body(k) for k in range(pages)}
+
+
+def test_edited_copies_of_an_article_stay(spark):
+    shared = [f"paragraph {j} of the story that the copies share" for j in range(4)]
+    text = lambda k: [*shared, f"edit {k}"] if k < 8 else [f"own story {k}"]
+    got = _extracted(spark, [f"<article>{''.join(f'<p>{p}</p>' for p in text(k))}</article>" for k in range(40)])
+    assert got == {k: "\n".join(text(k)) for k in range(40)}
+
+
 # --- op6 ------------------------------------------------------------------------------------------
 
 
