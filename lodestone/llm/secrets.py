@@ -74,6 +74,17 @@ def _candidates(text: str, base: list[Span]) -> list[re.Match]:
     return found
 
 
+def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans with overlapping ones as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], end))
+        else:
+            out.append((start, end))
+    return out
+
+
 def _codes(word: str) -> np.ndarray:
     return np.minimum(np.frombuffer(word.encode("utf-32-le"), dtype="<u4"), 128).astype(np.int64)
 
@@ -106,14 +117,12 @@ def pair_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
             for text in texts:
                 found = base_spans(text)
                 # A candidate that no base pattern covers has no label: it trains neither side.
-                for m in _candidates(text, found):
-                    total[0] -= np.bincount(_pairs(m[0]), minlength=SIZE * SIZE)
+                spans = [(s, e) for s, _, e in found] + [m.span() for m in _candidates(text, found)]
+                for start, end in _union(spans):  # each pair is taken off once
+                    total[0] -= np.bincount(_pairs(text[start:end]), minlength=SIZE * SIZE)
                 for start, kind, end in found:
-                    inside = np.bincount(_pairs(text[start:end]), minlength=SIZE * SIZE)
-                    total[0] -= inside
                     if kind:  # an assignment also holds its name
-                        total[1] += inside
-        total = np.maximum(total, 0)  # a hexadecimal run inside an assignment was taken off twice
+                        total[1] += np.bincount(_pairs(text[start:end]), minlength=SIZE * SIZE)
         label, pair = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(pair, pa.int32()), pa.array(total[label, pair], pa.int64())], ["label", "pair", "n"])
 

@@ -169,6 +169,23 @@ def test_secret_spans(spark):
     assert secrets.find_secrets(d.limit(0), secrets.train(d.limit(0))).count() == 0
 
 
+def test_pair_counts_do_not_depend_on_partitions(spark):
+    hot = "api_key=deadbeefdeadbeef0123 x"
+    plain = ["made a header, added a leaded bead", "key=qK7vT2xR9mZ4pL8wdeadbeefdeadbeef/Q de ad"]
+    texts = [*[hot] * 40, *plain * 3]
+    want = {}
+    for text in texts:
+        base = secrets.base_spans(text)
+        spans = [(s, e) for s, _, e in base] + [m.span() for m in secrets._candidates(text, base)]
+        for k in range(len(text) - 1):
+            if not any(s <= k and k + 1 < e for s, e in spans) and ord(text[k]) > 32 and ord(text[k + 1]) > 32:
+                pair = ord(text[k]) * secrets.SIZE + ord(text[k + 1])
+                want[pair] = want.get(pair, 0) + 1
+    d = docs(spark, texts)
+    one, many = ({(r.label, r.pair): r.n for r in secrets.pair_counts(x).collect()} for x in (d.coalesce(1), d.repartitionByRange(4, "doc_id")))
+    assert one == many and {p: n for (label, p), n in one.items() if label == 0} == want
+
+
 # --- op5 ------------------------------------------------------------------------------------------
 
 PAGE = (
