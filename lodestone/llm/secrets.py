@@ -4,20 +4,24 @@ Base kinds (leftmost, non-overlapping per kind; failing matches are dropped):
 ``assign`` (a named value of 12 or more characters), ``access`` (access key of 18 or more)
 and ``hex`` (16 or more hexadecimal digits).
 
-The method adds ``random`` spans.  Two first-order Markov models over characters are
-trained: one on random strings, one on ordinary identifiers.  A candidate (a run of 16
-or more key characters with a digit and a letter) is a secret if the log-likelihood
-ratio per character of random against ordinary is above ``THRESHOLD`` and no base span
-covers it.
+The method adds ``random`` spans.  Two first-order Markov chains over characters, with a
+start and an end symbol, are trained: one on random strings, one on ordinary identifiers.  Every
+run of ``LEAST`` or more key characters that no base span covers is scored, and is a secret if
+the log-likelihood ratio per step of random against ordinary is above ``THRESHOLD``.
 
-Labelled samples: random are the base spans of the corpus and seeded random strings
-(``SEEDED`` of each alphabet); ordinary are all other words of the corpus but the candidates.  The counts
-of character pairs cover every document; only the two count tables (alphabet squared)
-reach the driver.
+Labelled samples, each chain an even mixture of two:
+
+* random: seeded strings (``SEEDED`` of each alphabet), and the base spans of the corpus;
+* ordinary: seeded identifiers (camel case, snake case, paths, versions of the words in
+  ``IDENTIFIER_WORDS``), and the corpus's own words in the same forms (``identifier_forms``).
+
+The corpus's counts of character pairs cover every document and word outside base spans and
+unlabelled candidates; only the two count tables (alphabet squared) reach the driver.  Rows of
+the chains are mixed as probabilities, so the size of the corpus doesn't shift the balance.
 
 Edge cases: null and empty texts have no spans (empty strings, zero counts); offsets are
 code points, ends exclusive; repeated rows stay rows; an empty table trains on the seeded
-strings alone.
+samples alone.
 """
 
 from __future__ import annotations
@@ -39,17 +43,29 @@ from lodestone.llm.common import byte_slices, table, text_or_empty
 _ASSIGN = re.compile(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-_HAS_BOTH = re.compile(r"(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
 
 KINDS = ("assign", "access", "hex", "random")
-ALPHABETS = ("0123456789abcdef", "0123456789abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
-#: Seeded random strings per alphabet, and their length.
-SEEDED, SEEDED_LENGTH = 400, 40
-#: Log-likelihood ratio per character (nats) from which a candidate is random.
-THRESHOLD = 2.0
-#: Characters 0..127 and one class for all others.
-SIZE = 129
+ALPHABETS = ("0123456789abcdef", "0123456789abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+#: Seeded samples: random strings per alphabet and their length, and identifiers.
+SEEDED, SEEDED_LENGTH, SEEDED_IDENTIFIERS = 2000, 32, 20_000
+#: Labelled sample: words of which ordinary identifiers are made.
+IDENTIFIER_WORDS = (
+    "account action active address app array async auth base batch block body browser buffer build button cache call check child class click client cloud code column config count create current "
+    "data date debug default delete detail device disk docs edit element email enable engine entity error event example export factory field file filter flag font format frame from function get graph group "
+    "handler has hash header height host html http icon id image index init input install is item java job join json key label last layout length level library limit line list load local login main manager map max "
+    "memory menu message method mode model module name network node number object offset option order output owner package page parent parse path plugin point policy port post prefix process profile public query queue "
+    "read record region remote report request reset resource result role root route row run save schema scope search server service session set shape size source src start state status step stream string "
+    "system table target task test text thread time title token tool tree type unit update upload url user util value version view volume web width window word work wrapper www xml zone"
+)
+#: Shortest run of key characters that the chains score.
+LEAST = 16
+#: Log-likelihood ratio per step (nats) from which a candidate is random.
+THRESHOLD = 0.6
+#: Share of a chain's probability that is spread evenly over all characters.
+SMOOTH = 0.01
+#: Characters 0..127, one class for all others, the start and the end.
+SIZE, START, END = 131, 129, 130
 
 Span = tuple[int, int, int]
 
@@ -63,11 +79,11 @@ def base_spans(text: str) -> list[Span]:
 
 
 def _candidates(text: str, base: list[Span]) -> list[re.Match]:
-    """Candidate words that no base span covers."""
+    """Runs of at least ``LEAST`` key characters that no base span covers."""
     starts, reach = [s for s, _, _ in base], list(accumulate((e for _, _, e in base), max))
     found = []
     for m in _CANDIDATE.finditer(text):
-        if _HAS_BOTH.match(m[0]):
+        if m.end() - m.start() >= LEAST:
             k = bisect_right(starts, m.start())
             if not k or reach[k - 1] < m.end():
                 found.append(m)
@@ -90,36 +106,59 @@ def _codes(word: str) -> np.ndarray:
 
 
 def _pairs(text: str) -> np.ndarray:
-    """Numbers of the character pairs inside words (runs without white space)."""
-    c = _codes(text)
-    pair = c[:-1] * SIZE + c[1:]
-    return pair[(c[:-1] > 32) & (c[1:] > 32)]
+    """Numbers of the steps of every word (run without white space), with start and end."""
+    c = np.concatenate([[32], _codes(text), [32]])
+    inside = c > 32
+    begins, ends = ~inside[:-1] & inside[1:], inside[:-1] & ~inside[1:]
+    before, after = np.where(begins, START, c[:-1]), np.where(ends, END, c[1:])
+    return (before * SIZE + after)[inside[:-1] | inside[1:]]
+
+
+#: What stands between two words of an identifier; "" begins the next word with a capital.
+_JOINTS = ("_", "", "/", "", ".", "-", "", "_", "7", "", "/", "2", "", "_", "-", "")
+
+
+def identifier_forms(words: list[str]) -> str:
+    """The words as identifiers of three: joined by ``_JOINTS``; every fifth identifier is all capitals."""
+    out = []
+    for k in range(0, len(words), 3):
+        part = [words[k], *((j if j else "") + (w if j else w[:1].upper() + w[1:]) for w, j in zip(words[k + 1 : k + 3], (_JOINTS[k % 16], _JOINTS[(k // 3) % 16]), strict=False))]
+        whole = "".join(part)
+        out.append(whole.upper() if k % 5 == 4 else whole)
+    return " ".join(out)
 
 
-def seeded_pairs() -> np.ndarray:
-    """Pair counts of the seeded random strings."""
+def _seeded() -> np.ndarray:
+    """Step counts of the seeded samples: ordinary identifiers, random strings."""
     rng = random.Random(20)
-    total = np.zeros(SIZE * SIZE, dtype=np.int64)
-    for letters in ALPHABETS:
-        for _ in range(SEEDED):
-            total += np.bincount(_pairs("".join(rng.choices(letters, k=SEEDED_LENGTH))), minlength=SIZE * SIZE)
-    return total
+    known = IDENTIFIER_WORDS.split()
+    number = (lambda: str(rng.randrange(100)), lambda: f"{rng.randrange(100):02}", lambda: str(rng.randrange(1990, 2030)), lambda: str(rng.randrange(100, 20000)))
+    part = lambda: rng.choice(number)() if rng.random() < 0.12 else rng.choice(known) if rng.random() < 0.9 else rng.choice(known).title()
+    ordinary = identifier_forms([part() for _ in range(3 * SEEDED_IDENTIFIERS)])
+    strings = " ".join("".join(rng.choices(letters, k=SEEDED_LENGTH)) for letters in ALPHABETS for _ in range(SEEDED))
+    return np.stack([np.bincount(_pairs(x), minlength=SIZE * SIZE) for x in (ordinary, strings)])
+
+
+_LETTERS = re.compile(r"[A-Za-z]+")
 
 
 def pair_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """(label, pair, n) over all documents: label 1 inside base spans, 0 elsewhere."""
+    """(label, pair, n) over all documents: label 1 for base spans, 0 for words in the forms of identifiers."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, SIZE * SIZE), dtype=np.int64)
         for b in byte_slices(batches, "t"):
-            texts = b.column("t").to_pylist()
-            total[0] += np.bincount(_pairs("\n".join(texts)), minlength=SIZE * SIZE)
-            for text in texts:
+            for text in b.column("t").to_pylist():
                 found = base_spans(text)
                 # A candidate that no base pattern covers has no label: it trains neither side.
-                spans = [(s, e) for s, _, e in found] + [m.span() for m in _candidates(text, found)]
-                for start, end in _union(spans):  # each pair is taken off once
-                    total[0] -= np.bincount(_pairs(text[start:end]), minlength=SIZE * SIZE)
+                labelled = [(s, e) for s, _, e in found] + [m.span() for m in _candidates(text, found)]
+                at, rest = 0, []
+                for start, end in _union(labelled):
+                    rest.append(text[at:start])
+                    at = end
+                words = _LETTERS.findall(" ".join([*rest, text[at:]]))
+                if words:
+                    total[0] += np.bincount(_pairs(identifier_forms(words)), minlength=SIZE * SIZE)
                 for start, kind, end in found:
                     if kind:  # an assignment also holds its name
                         total[1] += np.bincount(_pairs(text[start:end]), minlength=SIZE * SIZE)
@@ -130,28 +169,40 @@ def pair_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
     return counts.groupBy("label", "pair").agg(F.sum("n").alias("n"))
 
 
+def _chain(counts: np.ndarray) -> np.ndarray:
+    """Step probabilities of each row; an unseen row is even."""
+    seen = counts.sum(axis=1, keepdims=True)
+    return SMOOTH / SIZE + (1 - SMOOTH) * np.where(seen > 0, counts / np.maximum(seen, 1), 1 / SIZE)
+
+
 def train(docs: DataFrame, text_column: str = "text") -> np.ndarray:
-    """Log-likelihood ratio (random against ordinary) of each character pair, SIZE x SIZE.
+    """Log-likelihood ratio (random against ordinary) of each step, SIZE x SIZE.
 
     The driver receives at most 2 * SIZE ** 2 counts, whatever the size of the corpus.
     """
     total = np.zeros((2, SIZE, SIZE))
-    total[1] += seeded_pairs().reshape(SIZE, SIZE)
     for r in pair_counts(docs, text_column).collect():
         total[r.label].flat[r.pair] += r.n
-    total += 0.05
-    logs = np.log(total / total.sum(axis=2, keepdims=True))
-    return logs[1] - logs[0]
+    chains = []
+    for seeded, own in zip(_seeded().reshape(2, SIZE, SIZE), total, strict=True):
+        both = (seeded.sum(axis=1, keepdims=True) > 0) & (own.sum(axis=1, keepdims=True) > 0)
+        # A row that only one sample has is that sample's.
+        chains.append(np.where(both, (_chain(seeded) + _chain(own)) / 2, _chain(seeded + own)))
+    # What random strings never hold says nothing of the next character.
+    seen = chains[1].max(axis=1, keepdims=True) > 1 / SIZE + 1e-12
+    return np.where(seen, np.log(chains[1] / chains[0]), 0.0)
+
+
+def score(word: str, ratio: np.ndarray) -> float:
+    """Log-likelihood ratio per step, start and end included."""
+    c = np.concatenate([[START], _codes(word), [END]])
+    return float(ratio[c[:-1], c[1:]].mean())
 
 
 def scan_text(text: str, ratio: np.ndarray, threshold: float = THRESHOLD) -> list[Span]:
     """Base spans and the random ones, by start and then kind."""
     base = base_spans(text)
-    extra = []
-    for m in _candidates(text, base):
-        c = _codes(m[0])
-        if ratio[c[:-1], c[1:]].mean() > threshold:
-            extra.append((m.start(), 3, m.end()))
+    extra = [(m.start(), 3, m.end()) for m in _candidates(text, base) if score(m[0], ratio) > threshold]
     return sorted(base + extra)
 
 

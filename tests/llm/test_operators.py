@@ -177,15 +177,46 @@ def test_pair_counts_do_not_depend_on_partitions(spark):
     for text in texts:
         base = secrets.base_spans(text)
         spans = [(s, e) for s, _, e in base] + [m.span() for m in secrets._candidates(text, base)]
-        for k in range(len(text) - 1):
-            if not any(s <= k and k + 1 < e for s, e in spans) and ord(text[k]) > 32 and ord(text[k + 1]) > 32:
-                pair = ord(text[k]) * secrets.SIZE + ord(text[k + 1])
-                want[pair] = want.get(pair, 0) + 1
+        rest = "".join(" " if any(s <= k < e for s, e in spans) else c for k, c in enumerate(text))
+        for word in secrets.identifier_forms(re.findall("[A-Za-z]+", rest)).split():
+            steps = [secrets.START, *map(ord, word), secrets.END]
+            for a, b in zip(steps, steps[1:], strict=False):
+                want[a * secrets.SIZE + b] = want.get(a * secrets.SIZE + b, 0) + 1
     d = docs(spark, texts)
     one, many = ({(r.label, r.pair): r.n for r in secrets.pair_counts(x).collect()} for x in (d.coalesce(1), d.repartitionByRange(4, "doc_id")))
     assert one == many and {p: n for (label, p), n in one.items() if label == 0} == want
 
 
+#: Held out: none of these is in the labelled samples.
+ORDINARY = """com/example/project/Main2Activity https/www/example/com/index2html getUserAccountById2FromCache internationalization_of_the_configuration2
+org/springframework/boot/autoconfigure/web/servlet MAX_RETRY_COUNT_DEFAULT thisIsAVeryLongVariableName node_modules/lodash/package aws-sdk-client-s3-presigned
+Donaudampfschifffahrtsgesellschaft src/main/java/org/apache/hadoop kubernetes_namespace_label java/util/concurrent/ConcurrentHashMap release-candidate-2024-01-12
+test_should_return_empty_list_when_none HttpServletRequestWrapper2 XMLHttpRequestUpload org-mode-export-to-latex /usr/local/share/man/man1
+transformer_block_12_attention_weights README-zh-Hans-CN-2023 libstdc++-v3/include/bits anticonstitutionnellement responsibilityOverload Sehenswuerdigkeiten_in_Muenchen
+windows-server-2019-datacenter convolutional2DTranspose /wp-content/uploads/2019/07/ SELECT_FOR_UPDATE_NOWAIT 2024-01-12T10-30-00Z ================ ________________________
+---------------------------- 12/34/5678/90/12/34 user_profile_picture_thumbnail_url com/google/protobuf/GeneratedMessageV3 ipv4_address_validator_test""".split()
+
+
+@pytest.mark.parametrize("length", [16, 24, 40])
+def test_random_strings_against_identifiers(spark, length):
+    """Held-out precision and recall, with and without a corpus of a few invented words."""
+    rng = random.Random(500 + length)
+    for texts in ([], ["ththe tion ere wasand on it the of ed ing " * 50]):
+        ratio = secrets.train(docs(spark, texts) if texts else docs(spark, EDGE).limit(0))
+        strings = ["".join(rng.choices(letters, k=length)) for letters in secrets.ALPHABETS[1:] for _ in range(300)]
+        found = sum(secrets.score(w, ratio) > secrets.THRESHOLD for w in strings)
+        wrong = [w for w in ORDINARY if secrets.score(w, ratio) > secrets.THRESHOLD]
+        # Precision and recall; a German compound is all that a chain of English identifiers alone may get wrong.
+        assert found >= 0.95 * len(strings) and set(wrong) <= {"Donaudampfschifffahrtsgesellschaft"}
+
+
+def test_score_equals_the_chain_step_by_step(spark):
+    ratio = secrets.train(docs(spark, EDGE))
+    for word in ("qK7vT2xR9mZ4pL8wB3nC6", "get_user", "\u00e9-1"):
+        steps = [secrets.START, *(min(ord(c), 128) for c in word), secrets.END]
+        assert secrets.score(word, ratio) == pytest.approx(sum(ratio[a, b] for a, b in zip(steps, steps[1:], strict=False)) / (len(word) + 1))
+
+
 # --- op5 ------------------------------------------------------------------------------------------
 
 PAGE = (
