@@ -352,6 +352,41 @@ def test_language_by_compression(spark):
     assert empty == {} and {r.lang_pred for r in langid.identify(d, empty).collect()} == {"und"}
 
 
+def test_letters_alone_make_words():
+    assert langid.words("½ ² Ⅷ x½y 12a_b Éa") == "x y a b éa".encode()
+    model = langid.Classifier({"aa": b"some words", "bb": b"otras palabras"})
+    assert model.predict("½ ² Ⅷ 12 _")[0] == "und" and model.predict("")[1] == 0 and model.predict("a")[0] != "und"
+
+
+def test_language_sample_is_whole_texts(spark):
+    texts = [f"text {'abcdefghij'[k % 10] * 3} {'word ' * (k % 7)}" for k in range(300)] + ["long " * 3000]
+    d = docs(spark, texts, ["aa"] * 150 + ["bb"] * 150 + ["cc"])
+    rows = langid.labelled_sample(d, per_language=20, most_bytes=300).collect()
+    assert {r.text for r in rows} <= set(texts) and {r.lang for r in rows} == {"aa", "bb", "cc"}
+    for lang in ("aa", "bb"):
+        mine = [r.text for r in rows if r.lang == lang]
+        assert 5 < len(mine) <= 20 and sum(len(t) + 1 for t in mine) <= 300
+    assert langid.fit(d, 20, 300)["cc"] == ("long " * 3000).strip().encode()
+
+
+def test_languages_equal_a_plain_compressor(spark):
+    import zstandard
+
+    rng = random.Random(6)
+    vocab = {"aa": [f"ka{c}lo" for c in "bcdfghjklm"], "bb": [f"the{c}ing" for c in "bcdfghjklm"], "cc": [f"ñu{c}ez" for c in "bcdfghjklm"]}
+    content = {k: " ".join(rng.choices(v, k=300)).encode() for k, v in vocab.items()}
+    texts = [" ".join(rng.choices([*vocab["aa"], *vocab["bb"], *vocab["cc"]], k=n)) for n in (1, 2, 5, 30, 300, 20000)] + ["same", "same"]
+    got = {r.doc_id: r for r in langid.identify(docs(spark, texts), content).collect()}
+    for k, text in enumerate(texts):
+        data, sizes = text.encode(), []
+        for name in sorted(content):
+            d = zstandard.ZstdCompressionDict(content[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            coder = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes.append((sum(len(coder.compress(data[i : i + langid.BLOCK])) for i in range(0, len(data), langid.BLOCK)), name))
+        sizes.sort()
+        assert got[k].lang_pred == sizes[0][1] and got[k].rejected == (sizes[1][0] / sizes[0][0] - 1 < langid.MARGIN)
+
+
 # --- op8 ------------------------------------------------------------------------------------------
 
 URLS = [
