@@ -5,7 +5,8 @@ stored form is lossless.  The stored bytes are read back, cut into Hann-windowed
 frames (short-time Fourier transform; zeros fill the last frame), the magnitude peaks that
 exceed all their neighbours in time and frequency are kept, and each peak is paired with
 the next ones of later frames (Wang 2003).  A pair is one 64-bit integer, with its time in the upper bits:
-``time << 32 | f1 << 20 | f2 << 8 | dt``.
+``time << 32 | f1 << 20 | f2 << 8 | dt``.  The query writes the media column as a table in the shared
+folder, reads it back, and returns the array ``pairs`` and its digest ``feature``.
 
 Memory: frames are transformed ``BLOCK`` at a time, with the neighbours' frames
 overlapping, so a long payload needs its own bytes and one block.
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import byte_slices, table, text_or_empty
+from lodestone.llm.common import byte_slices, materialize, table, text_or_empty
 
 RATE = 8000
 FRAME, HOP = 256, 128
@@ -147,6 +148,6 @@ def media_features(media: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
 
 def op1_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = media_features(store_media(table(spark, sf_dir, "documents")))
+    rows = media_features(materialize(store_media(table(spark, sf_dir, "documents")), "media"))
     digest = F.concat_ws(":", F.size("pairs").cast("string"), F.md5(F.array_join(F.transform("pairs", lambda p: p.cast("string")), ",")))
-    return rows.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", digest.alias("feature"))
+    return rows.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", digest.alias("feature"), "pairs")

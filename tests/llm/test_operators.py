@@ -74,6 +74,35 @@ def test_peaks_are_paired_with_later_frames():
     assert media.fingerprint(bytes(64)).tolist() == []
 
 
+def test_peaks_equal_a_plain_transform():
+    rng = np.random.default_rng(12)
+    for n in (64, 320, 1024, 4160):
+        x = 128 + 50 * np.sin(np.arange(n) * 0.9) + rng.integers(-60, 60, n)
+        payload = bytes(np.clip(x, 0, 255).astype(np.uint8))
+        samples = [b - 128.0 for b in payload]
+        count = 1 + max(0, -(-(n - 256) // 128))
+        samples += [0.0] * (256 + 128 * (count - 1) - n)
+        window = [0.5 - 0.5 * np.cos(2 * np.pi * k / 255) for k in range(256)]
+        turn = np.exp(-2j * np.pi * np.outer(np.arange(1, 129), np.arange(256)) / 256)
+        m = [np.round(np.abs(turn @ np.array([samples[128 * t + k] * window[k] for k in range(256)])), 3) for t in range(count)]
+        want = []
+        for t in range(count):
+            for f in range(128):
+                around = [m[u][g] for u in range(max(0, t - 2), min(count, t + 3)) for g in range(max(0, f - 4), min(128, f + 5))]
+                if m[t][f] >= max(around) and m[t][f] > 2 * m[t].mean():
+                    want.append((t, f + 1))
+        assert list(zip(*(v.tolist() for v in media.peaks(payload)), strict=True)) == want and want
+
+
+def test_media_query_reads_a_stored_table(spark, tmp_path):
+    docs(spark, EDGE).write.parquet(str(tmp_path / "documents.parquet"))
+    got = media.op1_media_columns(spark, str(tmp_path)).collect()
+    assert len(got) == len(EDGE) and got[0].pairs is not None
+    for r in got:
+        text = ",".join(map(str, r.pairs))
+        assert r.feature == f"{len(r.pairs)}:{hashlib.md5(text.encode()).hexdigest()}"
+
+
 # --- op2, tokens ----------------------------------------------------------------------------------
 
 
