@@ -2,19 +2,22 @@
 
 Format: a Parquet table with one row per shard.  A shard holds whole documents in order,
 about ``SHARD_IDS`` ids.  Its ids are compressed by Re-Pair (Larsson and Moffat 1999):
-frequent adjacent pairs are repeatedly replaced by new symbols.  A shard stores
+frequent adjacent pairs are repeatedly replaced by new symbols, until no pair is left that is
+replaced ``LEAST_COUNT`` times.  A shard stores, each at its own bit width (``pack_bits``),
 
 * ``part``, ``shard``: its place in the order; ``n_ids``: its ids;
-* ``left``, ``right``: the rules, symbol ``FIRST_RULE + k`` standing for left[k] right[k];
+* ``terms``: its distinct ids, ascending; symbol k below their number T is terms[k];
+* ``left``, ``right``: the rules, symbol T + k standing for left[k] right[k];
 * ``lengths``: how many ids each rule expands to;
 * ``symbols``: the compressed sequence;
 * ``doc_ids`` and ``sizes``: its documents and their ids.
 
 A document is decoded without the rest of its shard: expansion lengths give the symbols
-that cover its ids, and only those are expanded (``decode_range``).
+that cover its ids, and only those are expanded (``decode_range``, ``read_document``).
 
-Several disjoint pairs are replaced in one pass (pairs with no common symbol, by falling
-count), which gives a grammar of the same form with far fewer passes.
+One pass replaces many pairs: every place takes its pair unless an overlapping one is more
+frequent, so the grammar is one that Re-Pair makes, but for the order of near ties.  A rule
+costs two symbols and may widen all of them, hence a ``LEAST_COUNT`` over three.
 
 Order without one task: rows are dealt by ranges of doc_id and sorted inside; the start of
 a document is its part's first id, plus its shard's, plus its place.  Only one sum per part
@@ -29,6 +32,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,152 +45,148 @@ from lodestone.llm.tokens import WORD_FILE, encoder, gather
 
 END_ID = 1
 SHARD_IDS = 1 << 20
-#: Symbols from here on are rules.
-FIRST_RULE = 1 << 17
-#: A pair is replaced if it occurs so often; passes and rules of a shard are bounded.
-LEAST_COUNT, PASSES, RULES = 8, 12, 1 << 15
-
-_SCHEMA = "part int, shard int, n_ids long, left binary, right binary, lengths binary, symbols binary, doc_ids array<bigint>, sizes array<bigint>"
-
-
-def _keys(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The pairs at ``at`` as numbers."""
-    return symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1].astype(np.uint64)
-
-
-def _bucket(keys: np.ndarray) -> np.ndarray:
-    """A 20-bit hash."""
-    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).view(np.int64)
-
-
-def _frequent(keys: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
-    """(pairs with LEAST_COUNT or more, each key's number among them from ``first`` on, -1 for others)."""
-    pair, count = np.unique(keys, return_counts=True)
-    pair = pair[count >= LEAST_COUNT]
-    if not len(pair):
-        return pair, np.full(len(keys), -1, np.int32)
-    if len(keys) > 1 << 16:  # by hash, and by search where two pairs have one
-        at = np.zeros(1 << 20, np.int32)
-        at[_bucket(pair)] = np.arange(len(pair))
-        at = at[_bucket(keys)]
-        miss = np.flatnonzero(pair[at] != keys)
-        at[miss] = np.minimum(np.searchsorted(pair, keys[miss]), len(pair) - 1)
-    else:
-        at = np.minimum(np.searchsorted(pair, keys), len(pair) - 1)
-    return pair, np.where(pair[at] == keys, at + first, -1).astype(np.int32)
-
-
-def _choose(pairs: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
-    """Numbers of frequent pairs, no two of which share a symbol, most frequent first."""
-    often = np.flatnonzero(counts >= LEAST_COUNT)
-    often = often[np.lexsort((pairs[often], -counts[often]))]
-    left, right = (pairs[often] >> np.uint64(32)).astype(np.int64), (pairs[often] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    size = int(max(left.max(), right.max())) + 1 if len(often) else 0
-    place, chosen = np.arange(len(often)), []
-    # A pair that comes first for both its symbols is chosen, and others with these symbols go.
-    while len(place):
-        first = np.full(size, len(often))
-        first[right[place][::-1]] = place[::-1]
-        by_left = np.full(size, len(often))
-        by_left[left[place][::-1]] = place[::-1]
-        np.minimum(first, by_left, out=first)
-        won = place[(first[left[place]] == place) & (first[right[place]] == place)]
-        chosen.append(won)
-        taken = np.zeros(size, dtype=bool)
-        taken[left[won]] = taken[right[won]] = True
-        place = place[~taken[left[place]] & ~taken[right[place]]]
-    return often[np.sort(np.concatenate(chosen))[:most]] if chosen else often
-
-
-def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(left, right, lengths, symbols) of a Re-Pair grammar of the ids.
+#: A pair gets a rule if so many places take it in a pass.
+LEAST_COUNT = 8
+
+_SCHEMA = "part int, shard int, n_ids long, terms binary, left binary, right binary, lengths binary, symbols binary, doc_ids array<bigint>, sizes array<bigint>"
+
+_BLOBS = ("terms", "left", "right", "lengths", "symbols")
+
+
+class Grammar(NamedTuple):
+    """Numbers of a shard, as described above."""
+
+    terms: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    lengths: np.ndarray
+    symbols: np.ndarray
+
+
+def pack_bits(values: np.ndarray) -> bytes:
+    """Count and bit width (8 bytes each), then the values at that width, 64 to a row of words."""
+    width = max(1, int(values.max(initial=0)).bit_length())
+    v = np.zeros((-(-len(values) // 64), 64), dtype=np.uint64)
+    v.reshape(-1)[: len(values)] = values
+    v, words = np.ascontiguousarray(v.T), np.zeros((width, len(v)), dtype=np.uint64)
+    for j in range(64):
+        at, shift = divmod(j * width, 64)
+        words[at] |= v[j] << np.uint64(shift)
+        if shift + width > 64:
+            words[at + 1] |= v[j] >> np.uint64(64 - shift)
+    return np.array([len(values), width], dtype="<u8").tobytes() + words.T.astype("<u8").tobytes()
+
+
+def unpack_bits(stored: bytes) -> np.ndarray:
+    count, width = np.frombuffer(stored[:16], dtype="<u8").tolist()
+    words = np.ascontiguousarray(np.frombuffer(stored, dtype="<u8", offset=16).reshape(-1, width).T)
+    v, mask = np.empty((64, words.shape[1]), dtype=np.int64), np.uint64((1 << width) - 1)
+    for j in range(64):
+        at, shift = divmod(j * width, 64)
+        x = words[at] >> np.uint64(shift)
+        if shift + width > 64:
+            x = x | words[at + 1] << np.uint64(64 - shift)
+        v[j] = x & mask
+    return v.T.reshape(-1)[:count]
+
+
+def _number(symbols: np.ndarray, at: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs at ``at`` that are frequent there, each place's number among them from ``first`` on, -1 for others)."""
+    keys = symbols[at].astype(np.int64) << 32 | symbols[at + 1]
+    hashed = ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).view(np.int64)
+    # Only pairs in a frequent hashed bucket can be frequent.
+    some = np.flatnonzero((np.bincount(hashed, minlength=1 << 20) >= LEAST_COUNT)[hashed]) if len(keys) > 1 << 14 else np.arange(len(keys))
+    pairs, which, counts = np.unique(keys[some], return_inverse=True, return_counts=True)
+    often = counts >= LEAST_COUNT
+    named = np.full(len(pairs), -1, np.int32)
+    named[often] = first + np.arange(int(often.sum()))
+    number = np.full(len(keys), -1, np.int32)
+    number[some] = named[which]
+    return pairs[often], number
+
+
+def compress(ids: np.ndarray) -> Grammar:
+    """Re-Pair grammar of the ids.
 
     Counts of pairs only fall, but for pairs with a new symbol: pairs are numbered once, a
     rare one (-1) stays rare, and after a pass only the pairs beside new symbols are looked up.
     """
-    symbols = ids.astype(np.int32)
-    lefts, rights, lengths = [], [], np.zeros(0, np.int64)
+    terms, symbols = np.unique(ids, return_inverse=True)
+    symbols = symbols.astype(np.int32)
+    lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    lengths = np.ones(len(terms), dtype=np.int64)
     number = np.full(len(symbols), -1, np.int32)
-    at = np.arange(max(0, len(symbols) - 1))
-    keys = _keys(symbols, at)
-    # Only pairs in a frequent hashed bucket can be frequent.
-    bucket = _bucket(keys)
-    at = at[(np.bincount(bucket, minlength=1 << 20) >= LEAST_COUNT)[bucket]]
-    pairs, number[at] = _frequent(keys[at], 0)
-    for _ in range(PASSES):
-        made = len(lengths)
-        if made >= RULES or not len(pairs):
-            break
-        chosen = _choose(pairs, np.bincount(number + 1, minlength=len(pairs) + 1)[1:], RULES - made)
+    pairs = np.zeros(0, np.int64)
+    if len(symbols) > 1:
+        pairs, number[:-1] = _number(symbols, np.arange(len(symbols) - 1), 0)
+    while len(pairs):
+        counts = np.bincount(number + 1, minlength=len(pairs) + 1)[1:]
+        order = np.argsort(counts, kind="stable")
+        rank = np.zeros(len(pairs) + 1, np.int32)  # the last place is number -1
+        rank[order] = np.where(counts[order] >= LEAST_COUNT, np.arange(1, len(pairs) + 1), 0)
+        own = rank[number]
+        # Of overlapping pairs the most frequent is taken, of equal ones (a, a, a) the first.
+        hit = np.flatnonzero((own > np.concatenate([[0], own[:-1]])) & (own >= np.concatenate([own[1:], [0]])))
+        pays = np.bincount(number[hit], minlength=len(pairs)) >= LEAST_COUNT
+        chosen = np.flatnonzero(pays)
         if not len(chosen):
             break
-        name = np.zeros(len(pairs) + 1, np.int32)  # the last place is number -1
-        name[chosen] = FIRST_RULE + made + np.arange(len(chosen))
-        named = name[number]
-        hit = np.flatnonzero(named)
-        # Of overlapping hits (a, a, a) every second one counts, from the left.
-        fresh = np.ones(len(hit), dtype=bool)
-        fresh[1:] = hit[1:] != hit[:-1] + 1
-        run = np.maximum.accumulate(np.where(fresh, np.arange(len(hit)), 0))
-        hit = hit[(np.arange(len(hit)) - run) % 2 == 0]
-        symbols[hit] = named[hit]
+        hit = hit[pays[number[hit]]]
+        name = np.zeros(len(pairs), np.int32)
+        name[chosen] = len(lengths) + np.arange(len(chosen))
+        lefts.append(pairs[chosen] >> 32)
+        rights.append(pairs[chosen] & 0xFFFFFFFF)
+        lengths = np.concatenate([lengths, lengths[lefts[-1]] + lengths[rights[-1]]])
+        symbols[hit] = name[number[hit]]
         keep = np.ones(len(symbols), dtype=bool)
         keep[hit + 1] = False
         symbols, number = symbols[keep], number[keep]
-        own = hit - np.arange(len(hit))
+        new = hit - np.arange(len(hit))
         beside = np.zeros(len(symbols) + 1, dtype=bool)
-        beside[own] = beside[own - 1] = True  # place -1 is the spare one
+        beside[new] = beside[new - 1] = True  # place -1 is the spare one
         near = np.flatnonzero(beside[: len(symbols) - 1])
-        number[len(symbols) - 1] = -1
-        more, number[near] = _frequent(_keys(symbols, near), len(pairs))
-        lefts.append((pairs[chosen] >> np.uint64(32)).astype(np.int32))
-        rights.append((pairs[chosen] & np.uint64(0xFFFFFFFF)).astype(np.int32))
+        number[-1] = -1
+        more, number[near] = _number(symbols, near, len(pairs))
         pairs = np.concatenate([pairs, more])
-        lengths = np.concatenate([lengths, _lengths(lefts[-1], lengths) + _lengths(rights[-1], lengths)])
-    none = [np.zeros(0, np.int32)]
-    return np.concatenate(lefts or none), np.concatenate(rights or none), lengths, symbols
-
-
-def _lengths(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Ids that each symbol expands to."""
-    out = np.ones(len(symbols), dtype=np.int64)
-    rule = symbols >= FIRST_RULE
-    out[rule] = lengths[symbols[rule] - FIRST_RULE]
-    return out
+    return Grammar(terms.astype(np.int64), np.concatenate(lefts), np.concatenate(rights), lengths[len(terms) :], symbols.astype(np.int64))
 
 
-def expand(symbols: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Ids of a sequence of symbols: the rules are expanded once, then looked up."""
-    rules, owner = np.arange(FIRST_RULE, FIRST_RULE + len(left)), np.arange(len(left))
-    while (rule := rules >= FIRST_RULE).any():
+def expand(g: Grammar, symbols: np.ndarray | None = None) -> np.ndarray:
+    """Ids of the grammar's sequence, or of some symbols: the rules are expanded once, then looked up."""
+    symbols, base = g.symbols if symbols is None else symbols, len(g.terms)
+    rules, owner = np.arange(base, base + len(g.left)), np.arange(len(g.left))
+    while (rule := rules >= base).any():
         at = np.cumsum(rule + 1) - (rule + 1)
         out = np.empty(len(rules) + int(rule.sum()), dtype=np.int64)
         out[at[~rule]] = rules[~rule]
-        k = rules[rule] - FIRST_RULE
-        out[at[rule]], out[at[rule] + 1] = left[k], right[k]
+        k = rules[rule] - base
+        out[at[rule]], out[at[rule] + 1] = g.left[k], g.right[k]
         rules, owner = out, np.repeat(owner, rule + 1)
-    sizes = np.ones(FIRST_RULE + len(left), dtype=np.int32)
-    sizes[FIRST_RULE:] = np.bincount(owner, minlength=len(left))
+    sizes = np.ones(base + len(g.left), dtype=np.int32)
+    sizes[base:] = g.lengths
     starts = np.arange(len(sizes), dtype=np.int32)
-    starts[FIRST_RULE:] = FIRST_RULE + np.cumsum(sizes[FIRST_RULE:]) - sizes[FIRST_RULE:]
-    flat = np.concatenate([np.arange(FIRST_RULE), rules])
+    starts[base:] = base + np.cumsum(sizes[base:]) - sizes[base:]
+    flat = g.terms[np.concatenate([np.arange(base), rules])]
     return gather(flat, starts[symbols], sizes[symbols])
 
 
-def decode_range(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, lengths: np.ndarray, start: int, size: int) -> np.ndarray:
+def decode_range(g: Grammar, start: int, size: int) -> np.ndarray:
     """``size`` ids from place ``start``: only the symbols that cover them are expanded."""
-    ends = np.cumsum(_lengths(symbols, lengths))
+    ends = np.cumsum(np.concatenate([np.ones(len(g.terms), np.int64), g.lengths])[g.symbols])
     a, b = np.searchsorted(ends, start, side="right"), np.searchsorted(ends, start + size, side="left")
     before = int(ends[a - 1]) if a else 0
-    return expand(symbols[a : b + 1], left, right)[start - before : start - before + size]
+    base, out, todo = len(g.terms), [], g.symbols[a : b + 1][::-1].tolist()
+    while todo:
+        x = todo.pop()
+        if x < base:
+            out.append(x)
+        else:
+            todo += (g.right[x - base], g.left[x - base])
+    return g.terms[np.array(out, dtype=np.int64)][start - before : start - before + size]
 
 
-def _pack(values: np.ndarray) -> bytes:
-    return values.astype("<u4").tobytes()
-
-
-def _unpack(stored: bytes) -> np.ndarray:
-    return np.frombuffer(stored, dtype="<u4").astype(np.int64)
+def _grammar(row: dict) -> Grammar:
+    return Grammar(*(unpack_bits(row[c]) for c in _BLOBS))
 
 
 def write_ids(docs: DataFrame, path: str, name: str = WORD_FILE, end_id: int = END_ID) -> None:
@@ -201,13 +201,12 @@ def write_ids(docs: DataFrame, path: str, name: str = WORD_FILE, end_id: int = E
 
         def flush() -> pa.RecordBatch:
             nonlocal shard
-            left, right, lengths, symbols = compress(np.concatenate(held))
-            row = [[part], [shard], [sum(sizes)], *([_pack(x)] for x in (left, right, lengths, symbols)), [list(doc_ids)], [list(sizes)]]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4, pa.list_(pa.int64()), pa.list_(pa.int64())]
+            row = [[part], [shard], [sum(sizes)], *([pack_bits(x)] for x in compress(np.concatenate(held))), [list(doc_ids)], [list(sizes)]]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * len(_BLOBS), pa.list_(pa.int64()), pa.list_(pa.int64())]
             shard += 1
             for x in (held, doc_ids, sizes):
                 x.clear()
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], ["part", "shard", "n_ids", "left", "right", "lengths", "symbols", "doc_ids", "sizes"])
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], ["part", "shard", "n_ids", *_BLOBS, "doc_ids", "sizes"])
 
         waiting = 0
         for b in byte_slices(batches, "t", 4 << 20):
@@ -243,7 +242,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 r = batch.slice(k, 1).to_pylist()[0]
-                ids = expand(_unpack(r["symbols"]), _unpack(r["left"]), _unpack(r["right"])).astype("<u4")
+                ids = expand(_grammar(r)).astype("<u4")
                 sizes = np.array(r["sizes"], dtype=np.int64)
                 ends = np.cumsum(sizes)
                 crc = [zlib.crc32(ids[e - n : e]) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
@@ -254,6 +253,21 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return decoded.join(places, ["part", "shard"]).select("doc_id", (F.col("start") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def read_document(spark: SparkSession, path: str, doc_id: int) -> DataFrame:
+    """Rows (doc_id, ids) of one document: only its shard is read, and only its symbols are expanded."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                ends = np.cumsum(r["sizes"])
+                places = [k for k, d in enumerate(r["doc_ids"]) if d == doc_id]
+                ids = [decode_range(_grammar(r), int(ends[k]) - r["sizes"][k], r["sizes"][k]) for k in places]
+                yield pa.RecordBatch.from_arrays([pa.array([doc_id] * len(ids), pa.int64()), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "ids"])
+
+    shards = spark.read.schema(_SCHEMA).parquet(path).where(F.array_contains("doc_ids", F.lit(doc_id).cast("long")))
+    return shards.mapInArrow(run, "doc_id long, ids array<bigint>")
+
+
 def op10_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token-ids")
     write_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), path)

@@ -567,22 +567,61 @@ def test_token_files_round_trip(spark, tmp_path, monkeypatch):
         ids = np.array([*lib.encode(t or "", add_special_tokens=False).ids, 1], dtype="<u4")
         assert (got[k].start, got[k].n_tokens, got[k].ids_crc32) == (at, len(ids), zlib.crc32(ids))
         at += len(ids)
+    for k in (0, 5, 40):
+        (r,) = repair.read_document(spark, path, k).collect()
+        assert r.ids == [*lib.encode(texts[k] or "", add_special_tokens=False).ids, 1]
+    assert repair.read_document(spark, path, 10**6).count() == 0
     empty = "file://" + str(tmp_path / "none")
     repair.write_ids(docs(spark, texts).limit(0), empty)
     assert repair.read_ids(spark, empty).count() == 0
 
 
+def test_token_files_with_repeated_and_null_ids(spark, tmp_path):
+    rows = [(3, "b b b"), (3, "a a"), (None, "first"), (1, None), (3, "b b b"), (2, "word " * 60000)]
+    path = "file://" + str(tmp_path / "ids")
+    repair.write_ids(spark.createDataFrame(rows, "doc_id long, text string"), path)
+    got = sorted(repair.read_ids(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None, 1, 2, 3, 3, 3] and sum(r.n_tokens for r in got) == got[-1].start + got[-1].n_tokens
+    assert got[1].n_tokens == 1 and len(repair.read_document(spark, path, 3).collect()) == 3
+
+
 def test_grammar_decodes_any_range():
     rng = np.random.default_rng(3)
     ids = np.concatenate([np.tile(rng.integers(0, 50, 40), 100), rng.integers(0, 49408, 500), np.full(333, 7)])
-    left, right, lengths, symbols = repair.compress(ids)
-    assert len(symbols) < len(ids) / 3 and len(left) == len(lengths)
-    assert np.array_equal(repair.expand(symbols, left, right), ids)
+    g = repair.compress(ids)
+    assert len(g.symbols) < len(ids) / 3 and len(g.left) == len(g.lengths)
+    assert np.array_equal(repair.expand(g), ids)
     for a in range(0, len(ids), 97):
         n = int(min(rng.integers(0, 200), len(ids) - a))
-        assert np.array_equal(repair.decode_range(symbols, left, right, lengths, a, n), ids[a : a + n])
-    for few in (np.zeros(0, np.int64), np.array([5])):
-        assert np.array_equal(repair.expand(*[repair.compress(few)[i] for i in (3, 0, 1)]), few)
+        assert np.array_equal(repair.decode_range(g, a, n), ids[a : a + n])
+    for few in (np.zeros(0, np.int64), np.array([5]), np.full(2, 9), np.full(17, 9)):
+        assert np.array_equal(repair.expand(repair.compress(few)), few)
+
+
+def test_no_pair_is_left_that_pays():
+    rng = np.random.default_rng(5)
+    words = [rng.integers(0, 3000, rng.integers(1, 6)) for _ in range(400)]
+    ids = np.concatenate([words[k] for k in np.minimum(rng.geometric(0.02, 20000), 399)])
+    g = repair.compress(ids)
+    assert np.array_equal(repair.expand(g), ids)
+    counts, previous = {}, None
+    for pair in zip(g.symbols[:-1].tolist(), g.symbols[1:].tolist(), strict=True):
+        if pair != previous or pair[0] != pair[1]:  # overlapping places of (a, a) count once
+            counts[pair] = counts.get(pair, 0) + 1
+            previous = pair
+        else:
+            previous = None
+    assert max(counts.values()) < 2 * repair.LEAST_COUNT
+    assert sum(len(repair.pack_bits(x)) for x in g) < len(ids) * 2 * 0.6
+
+
+def test_bits_round_trip():
+    rng = np.random.default_rng(8)
+    for width in (1, 2, 7, 16, 17, 31, 33, 63):
+        for n in (0, 1, 63, 64, 65, 1000):
+            v = rng.integers(0, 1 << width, n)
+            stored = repair.pack_bits(v)
+            assert np.array_equal(repair.unpack_bits(stored), v) and len(stored) <= 16 + -(-n // 64) * 8 * width
 
 
 # --- pipeline -------------------------------------------------------------------------------------
