@@ -2,14 +2,15 @@
 
 Pass 1 parses every page, hashes the subtree of each block element (tag, class, id and
 content) and counts in Spark with how many distinct articles of a host each hash occurs, so
-copies of one article count once.  Hashes with at least ``MIN_PAGES`` articles and ``SHARE``
-of the host's articles are the host's template.
-Pass 2 parses again, deletes template subtrees, and of the rest keeps the article: the
-``article`` (else ``main``, else ``body``) elements without menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and reader comments, which small hosts
-have no counts for.  Where the template has more than half of an article's text, the
-article is taken for an edited copy, and only what recurs with ``MAIN_SHARE`` of at least
-``MAIN_PAGES`` articles is deleted from it.  What holds the article is never deleted.
+copies of one article count once.  A hash with n of a host's m articles is the host's template if
+n > 1 + sqrt(m): all of three, four of five, a tenth of a hundred, and ever less of larger hosts.
+Pass 2 parses again and deletes template subtrees wherever they stand.  Of the rest it keeps the
+article: the ``article`` (else ``main``, else ``body``) elements without menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles and reader comments, which differ from page to
+page or stand on hosts of one or two articles.  Where the template has more than half of an
+article's text, the article is taken for an edited copy, and only what recurs with
+n >= ``COPIES`` + ``COPY_SHARE`` * m articles is deleted from it.  What holds the article is never
+deleted.
 
 The template table is written first, so Spark broadcasts it only when it is small and
 otherwise joins by host, where a hot host's partition is split.
@@ -32,8 +33,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import byte_slices, materialize, table
 from lodestone.llm.urlrules import url_parts
 
-MIN_PAGES, SHARE = 5, 0.1
-MAIN_PAGES, MAIN_SHARE = 20, 0.6
+COPIES, COPY_SHARE = 8, 0.6
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"""
@@ -234,10 +234,10 @@ def count_subtrees(pages: DataFrame) -> DataFrame:
 
 def site_templates(counts: DataFrame) -> DataFrame:
     """(host, template array<long>, main_template array<long>)."""
-    sizes = counts.where("hash = -1").select("host", F.col("n").alias("pages"))
-    many = counts.where(F.col("hash") >= 0).where(F.col("n") >= MIN_PAGES).join(sizes, "host").where(F.col("n") >= F.col("pages") * SHARE)
-    strong = (F.col("n") >= MAIN_PAGES) & (F.col("n") >= F.col("pages") * MAIN_SHARE)
-    # A host's list is short: each entry is with SHARE of its articles.
+    sizes = counts.where("hash = -1").select("host", F.col("n").alias("articles"))
+    many = counts.where("hash >= 0").join(sizes, "host").where(F.col("n") > 1 + F.sqrt("articles"))
+    strong = F.col("n") >= COPIES + COPY_SHARE * F.col("articles")
+    # A host's list grows with the root of its articles: each entry is with more than sqrt(articles) of them.
     return many.groupBy("host").agg(F.collect_list("hash").alias("template"), F.collect_list(F.when(strong, F.col("hash"))).alias("main_template"))
 
 
@@ -245,7 +245,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
     host, _ = url_parts(F.col("url"))
     rows = pages.select("page_id", "url", F.coalesce(host, F.lit("")).alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    counts = materialize(count_subtrees(rows).where((F.col("n") >= MIN_PAGES) | (F.col("hash") == -1)), "subtrees")
+    # No template has fewer than three articles.
+    counts = materialize(count_subtrees(rows).where("n > 2 OR hash = -1"), "subtrees")
     templates = materialize(site_templates(counts), "templates")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

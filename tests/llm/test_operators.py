@@ -309,6 +309,53 @@ def test_edited_copies_of_an_article_stay(spark):
     assert got == {k: "\n".join(text(k)) for k in range(40)}
 
 
+def _twin(rows):
+    """Texts by a dict of the article texts that each subtree of a host occurs with."""
+    trees, seen, articles = [], {}, {}
+    for _, url, page in rows:
+        host = re.match(r"[^/?#]*", url.split("://", 1)[1])[0].lower() if url and "://" in url else ""
+        root = html.parse(page or "")
+        html.hash_subtrees(root)
+        article = html.main_text(root)
+        articles.setdefault(host, set()).add(article)
+        for h in html.block_hashes(root):
+            seen.setdefault((host, h), set()).add(article)
+        trees.append((host, root))
+    out = []
+    for host, root in trees:
+        m = len(articles[host])
+        counts = {h: len(v) for (o, h), v in seen.items() if o == host}
+        template = {h for h, n in counts.items() if n > 1 + m**0.5}
+        out.append(html.main_text(root, template, {h for h in template if counts[h] >= html.COPIES + html.COPY_SHARE * m}))
+    return out
+
+
+def test_extraction_equals_a_dict_of_hashes(spark):
+    """Hosts of 1 to 40 pages, with and without articles, with boilerplate inside and outside; templates decide."""
+    rng = random.Random(13)
+    words = [f"w{k}" for k in range(200)]
+    text = lambda n: " ".join(rng.choices(words, k=n))
+    rows = []
+    for host, pages in enumerate([1, 2, 3, 5, 9, 40]):
+        blocks = [f"<div><p>rule {host} {j} {text(8)}</p></div>" for j in range(4)]
+        for k in range(pages):
+            own = f"<p>{text(40)}</p>" if k % 4 else "<p>one story that copies share</p>"
+            kept = "".join(b for j, b in enumerate(blocks) if k % (j + 1) == 0)
+            page = (f"<body>{kept}{own}</body>", f"<article>{kept}{own}</article>", f"<body><div class=x>{kept}<article>{own}{blocks[0]}</article></div></body>")[(host + k // 20) % 3]
+            rows.append((len(rows), f"http://H{host}.example/{k}", page))
+    rows += [(len(rows), None, None), (len(rows) + 1, "http://h5.example/1", "")]
+    frame = spark.createDataFrame([(*r, 9, 9, 9) for r in rows], "page_id long, url string, html string, text int, n_chars int, template int")
+    got = {r.page_id: r.text for r in html.extract(frame).collect()}
+    assert [got[k] for k in range(len(rows))] == _twin(rows)
+    plain = [html.main_text(html.parse(r[2] or "")) for r in rows]
+    assert sum(got[k] != plain[k] for k in got) > 30  # the counts decide
+
+
+def test_template_of_a_small_host(spark):
+    got = _extracted(spark, [f"<body><p>subscribe to our letter</p><p>the story {k} of three</p></body>" for k in range(3)])
+    assert got == {k: f"the story {k} of three" for k in range(3)}
+
+
 # --- op6 ------------------------------------------------------------------------------------------
 
 
