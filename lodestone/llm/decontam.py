@@ -13,11 +13,14 @@ at once; the others are aligned once per distinct item and passage, and the scor
 back, so an edited copy in very many documents is found and stays cheap.
 
 Benchmark items go to the tasks in blocks of at most ``BLOCK_WORDS`` words (one pass over
-the documents per block), so what is broadcast is bounded.
-
-Edge cases: items with fewer words than a seed, and null or wordless items or texts, match
-nothing; an item given twice matches under both ids; repeated documents give one row per
-doc_id and item; empty tables give no rows.
+the documents per block; benchmarks of a million words are one pass), so what is broadcast is
+bounded; what is counted per seed of a block is bounded by its words, too, and broadcast.  An
+alignment spans at most three times its item's words, so long chains of hits are cut into
+windows that overlap by as much.
+
+Edge cases: an item with fewer words than a seed matches documents of just these words; null or
+wordless items or texts match nothing; an item given twice matches under both ids; repeated
+documents give one row per doc_id and item; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -35,7 +38,9 @@ from lodestone.llm.common import byte_slices, materialize, table, text_or_empty
 SEED = 3
 RARE_FLOOR = 50
 THRESHOLD = 0.5
-BLOCK_WORDS = 500_000
+BLOCK_WORDS = 1_000_000
+#: A passage has at most so many times its item's words; an alignment spans three times at most.
+WINDOW, SPAN = 12, 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 _WORD = re.compile(r"[^\W_]+")
@@ -62,6 +67,10 @@ class Items:
         order = np.argsort(keys, kind="stable")
         self.keys_, self.item, self.place = keys[order], item[order], place[order]
         self.bags = [np.unique(ws, return_counts=True) for ws in self.words]
+        self.short: dict[tuple[int, ...], list[int]] = {}
+        for k, ws in enumerate(self.words):
+            if len(ws) < SEED:
+                self.short.setdefault(tuple(ws.tolist()), []).append(k)
 
     def keys(self, ws: np.ndarray) -> np.ndarray:
         """Number of each seed; meaningless where a word is -1."""
@@ -87,10 +96,10 @@ class Items:
 
     def passages(self, text: str, threshold: float = 0.0) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
         """(item, first word, seeds hit, words) of the places that share seeds with an item and can score ``threshold``."""
-        if len(self.keys_) == 0:
-            return []
         ws = self.numbers(text)
         if len(ws) < SEED:
+            return [(k, 0, np.zeros(0, np.int64), ws) for k in self.short.get(tuple(ws.tolist()), ())]
+        if len(self.keys_) == 0:
             return []
         known = np.ones(len(ws) - SEED + 1, dtype=bool)
         for k in range(SEED):
@@ -112,9 +121,11 @@ class Items:
             size, b = len(self.words[k]), begin[mine]
             for group in np.split(mine, np.flatnonzero(np.diff(b) > size) + 1):
                 first, last = max(0, int(begin[group].min()) - size // 2), int(begin[group].max()) + size + size // 2
-                matches, passage = self.own_words(k, ws[first:last])
-                if matches / size >= threshold:
-                    found.append((k, first, np.unique(self.keys_[entry[group]]), passage))
+                seeds = np.unique(self.keys_[entry[group]])
+                for start in range(first, max(first + 1, min(last, len(ws)) - SPAN * size), (WINDOW - SPAN) * size):
+                    matches, passage = self.own_words(k, ws[start : min(last, start + WINDOW * size)])
+                    if matches / size >= threshold:
+                        found.append((k, start, seeds, passage))
         return found
 
 
@@ -164,7 +175,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, list[str]]]]:
     block, size = [], 0
     for r in benchmark.select("item_id", "text").where("text IS NOT NULL").toLocalIterator():
         ws = words(r.text)
-        if len(ws) < SEED:
+        if not ws:
             continue
         if size + len(ws) > BLOCK_WORDS and block:
             yield block
@@ -178,10 +189,10 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, list[str]]]]:
 def _contaminated_block(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
     spark = docs.sparkSession
     passages = materialize(find_passages(docs, items, threshold), "passages")
-    # One row per seed and item of the block at most.
+    # One row per seed and item of the block at most: no more than its words.
     hits = passages.select("doc_id", "item", F.explode("seeds").alias("seed")).groupBy("item", "seed").agg(F.count("*").alias("n"))
     rare = hits.where(F.col("n") <= RARE_FLOOR).groupBy("item").agg(F.collect_list("seed").alias("rare"))
-    routed = passages.join(rare, "item", "left").withColumn("few", F.coalesce(F.arrays_overlap("seeds", "rare"), F.lit(False)))
+    routed = passages.join(F.broadcast(rare), "item", "left").withColumn("few", F.coalesce(F.arrays_overlap("seeds", "rare"), F.lit(False)))
     shared = spark.sparkContext.broadcast(items)  # at most BLOCK_WORDS words
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

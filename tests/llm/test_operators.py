@@ -386,10 +386,10 @@ def test_leaks_and_edited_leaks(spark):
         edited[k] = "changed"
     del edited[14]
     texts = [filler(200), filler(50) + " " + " ".join(items[0]).upper() + "! " + filler(50), " ".join(edited), None, "", filler(3000), " ".join(items[2][:8]) + " " + filler(100)]
-    texts += [filler(20) + " " + " ".join(items[3])] * 60
+    texts += [filler(20) + " " + " ".join(items[3])] * 60 + ["Two words!", "two, words", "two words more"]
     bench = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)] + [(90, "two words"), (91, None), (92, "")], "item_id long, text string")
     got = {(r.doc_id, r.item_id): r for r in decontam.contaminated(docs(spark, texts), bench).collect()}
-    assert set(got) == {(1, 0), (2, 1)} | {(k, 3) for k in range(7, 67)}
+    assert set(got) == {(1, 0), (2, 1)} | {(k, 3) for k in range(7, 67)} | {(67, 90), (68, 90)}
     assert got[1, 0].score == 1.0 and got[1, 0].first == 50 - 15 and 0.5 <= got[2, 1].score < 1
     assert decontam.contaminated(docs(spark, texts), bench.limit(0)).count() == 0
     assert decontam.contaminated(docs(spark, texts).limit(0), bench).count() == 0
@@ -404,6 +404,54 @@ def test_frequent_edited_copies_beside_a_verbatim_one(spark):
     assert got[0] == 1.0 and {got[k] for k in range(1, 201)} == {0.65}
 
 
+def test_join_equals_brute_force(spark):
+    """Every document against every item by the textbook alignment, where they share a seed."""
+    rng = random.Random(17)
+    vocab = [f"w{k}" for k in range(60)]
+    items = [rng.choices(vocab, k=rng.randrange(3, 25)) for _ in range(12)]
+    texts = []
+    for k in range(60):
+        w = rng.choices(vocab, k=rng.randrange(0, 60))
+        part = [x if rng.random() > 0.25 else rng.choice(vocab) for x in items[k % 12]]
+        at = rng.randrange(len(w) + 1)
+        texts.append(" ".join(w[:at] + part + w[at:]))
+    texts += [" ".join(items[4] * 150), " ".join(["w1"] * 3000 + items[5]), " ".join(["w1 w2 w3"] * 900), texts[0], None]
+    bench = spark.createDataFrame([(k, " ".join(i), 1, 2) for k, i in enumerate(items)], "item_id long, text string, doc_id int, score int")
+    got = {(r.doc_id, r.item_id): r.score for r in decontam.contaminated(docs(spark, texts), bench).collect()}
+    grams = lambda w: {tuple(w[i : i + 3]) for i in range(len(w) - 2)}
+    for d, text in enumerate(texts):
+        w = (text or "").split()
+        for i, item in enumerate(items):
+            shared = grams(w) & grams(item)
+            score = decontam.align(np.array([vocab.index(x) for x in item]), np.array([vocab.index(x) for x in w], dtype=np.int64)) / (2 * len(item)) if shared else 0
+            assert ((d, i) in got) == (score >= decontam.THRESHOLD), (d, i, score)
+            if score >= decontam.THRESHOLD:
+                assert got[d, i] == score
+
+
+@pytest.mark.parametrize(("rate", "recall"), [(0.1, 0.99), (0.2, 0.97), (0.3, 0.7)])
+def test_recall_by_edit_rate(rate, recall):
+    """Items of 40 words with words replaced, dropped or added."""
+    rng = random.Random(23)
+    items = [[f"v{rng.randrange(5000)}" for _ in range(40)] for _ in range(200)]
+    known = decontam.Items(list(enumerate(items)))
+    found = 0
+    for k, item in enumerate(items):
+        copy = []
+        for w in item:
+            copy += [[w], [f"x{rng.randrange(9)}"], [], [w, "x0"]][0 if rng.random() >= rate else rng.randrange(1, 4)]
+        text = " ".join(["before"] * 50 + copy + ["after"] * 50)
+        found += any(j == k and decontam.align(known.words[j], p) >= 2 * 40 * decontam.THRESHOLD for j, _, _, p in known.passages(text, decontam.THRESHOLD))
+    assert found >= recall * len(items)
+
+
+def test_a_repetitive_text_is_cut_into_windows():
+    item = [f"w{k}" for k in range(20)]
+    known = decontam.Items([(0, item)])
+    passages = known.passages(" ".join(item * 5000), decontam.THRESHOLD)
+    assert len(passages) > 100 and max(len(p) for _, _, _, p in passages) <= decontam.WINDOW * 20
+
+
 # --- op7 ------------------------------------------------------------------------------------------
 
 
