@@ -54,22 +54,21 @@ def wavg(df: DataFrame, keys: Sequence[Column | str], threshold: float = 1.0, *e
     return finish(partial_sums(df, keys, *extra), threshold)
 
 
-def solution_interval(n_dumps: int, nominal: int) -> int:
+def solution_interval(n_dumps: Column, nominal: int) -> Column:
     """Dumps per interval: near the nominal number, dividing the scan as evenly as possible."""
-    if n_dumps <= nominal:
-        return max(1, n_dumps)
-    intervals = max(1, round(n_dumps / nominal))
-    return -(-n_dumps // intervals)
+    intervals = F.greatest(F.lit(1), F.round(n_dumps / F.lit(nominal)))
+    return F.when(n_dumps <= nominal, F.greatest(F.lit(1), n_dumps)).otherwise(F.ceil(n_dumps / intervals)).cast("long")
 
 
-def wavg_solint(df: DataFrame, dumps: int, keys: Sequence[str], dump: str = "dump") -> DataFrame:
-    """Average of every ``dumps`` dumps from each key's scan start; mean time as ``ts``.
+def wavg_solint(df: DataFrame, nominal: int, keys: Sequence[str], scan: Sequence[str], dump: str = "dump") -> DataFrame:
+    """Average per solution interval of each scan, counted from the scan's own first dump; mean dump as ``mean_dump``.
 
-    The scan starts come from a small aggregate that is joined back.
+    The scans' starts and lengths are an aggregate of a row per scan, joined back.
     """
-    start = df.agg(F.min(dump).alias("_start"))
-    binned = df.crossJoin(F.broadcast(start)).withColumn("solint", F.floor((F.col(dump) - F.col("_start")) / F.lit(dumps)).cast("int"))
-    return wavg(binned, ["solint", *keys], 1.0, F.avg(dump).alias("mean_dump"))
+    per = solution_interval(F.col("_n"), nominal)
+    scans = df.select(*scan, dump).distinct().groupBy(*scan).agg(F.min(dump).alias("_start"), F.count("*").alias("_n")).withColumn("_per", per)
+    binned = df.join(scans, list(scan)).withColumn("solint", F.floor((F.col(dump) - F.col("_start")) / F.col("_per")).cast("int"))
+    return wavg(binned, [*scan, "solint", *keys], 1.0, F.avg(dump).alias("mean_dump"))
 
 
 def per_antenna(df: DataFrame, conjugate_second: bool = False) -> DataFrame:

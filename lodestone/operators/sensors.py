@@ -63,13 +63,15 @@ def islands(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
 def largest_window(channels: DataFrame, limit: int, position: str = "chan", server: str = "server", masked: str = "masked") -> DataFrame:
     """The longest unmasked run: lowest server, and the last run of a server, on ties.
 
-    Longer than ``limit``: its central ``limit`` channels.
+    Of ``limit`` channels or more: half of ``limit`` on each side of the run's middle channel, so
+    ``last`` is the channel at which the window ends.  Of fewer: the whole run.
     """
     runs = islands(channels.where(~F.col(masked)), [server], position)
     best = runs.orderBy(F.desc("length"), F.asc(server), F.desc("first")).limit(1)
-    cut = F.col("length") > limit
-    first = F.when(cut, F.col("first") + F.floor((F.col("length") - limit) / 2)).otherwise(F.col("first")).cast("long")
-    last = F.when(cut, first + limit - 1).otherwise(F.col("last")).cast("long")
+    middle = F.col("first") + F.floor(F.col("length") / 2)
+    cut = F.col("length") >= limit
+    first = F.when(cut, middle - limit // 2).otherwise(F.col("first")).cast("long")
+    last = F.when(cut, middle + limit // 2).otherwise(F.col("last")).cast("long")
     return best.select(server, first.alias("first"), last.alias("last"))
 
 

@@ -95,8 +95,10 @@ def unmasked_runs(masked: Sequence[bool]) -> list[tuple[int, int]]:
 
 
 def blank_window(axis: Axis, masked: Sequence[bool], most: int = 6400) -> tuple[int, int]:
-    """The longest unmasked run inside one server, cut to its middle ``most`` channels.
+    """[first, last] of the longest unmasked run inside one server.
 
+    A run of ``most`` channels or more is cut to half of ``most`` on each side of its middle
+    channel (the last is where the window ends); a shorter one is kept whole.
     Ties: the lowest server, and in a server its last run.
     """
     most = min(most, axis.per_server)
@@ -110,7 +112,7 @@ def blank_window(axis: Axis, masked: Sequence[bool], most: int = 6400) -> tuple[
     if best is None:
         raise ValueError("every channel is masked")
     length, _, first, last = best
-    if length > most:
-        first += (length - most) // 2
-        last = first + most - 1
+    if length >= most:
+        middle = first + length // 2
+        return middle - most // 2, middle + most // 2
     return first, last

@@ -102,10 +102,14 @@ def wavg_time(spark, sf):
     return average.wavg(spec(spark, sf), ["chan", "pol"]).select("chan", "pol", "flags", _r("re").alias("re"), _r("weight").alias("weight"))
 
 
-@query(f"WITH s AS ({_sums('CAST((dump - (SELECT min(dump) FROM spec)) // 10 AS INTEGER) AS solint, chan, pol', ' spec', ', avg(dump) AS mean_dump')} GROUP BY 1, 2, 3) SELECT solint, chan, pol, round(mean_dump, 6) AS mean_dump, {_AVG} FROM s")
+@query(f"""WITH n AS (SELECT *, CAST(dump // 37 AS INTEGER) AS scan FROM spec), d AS (SELECT scan, min(dump) AS t0, count(DISTINCT dump) AS nd FROM n GROUP BY scan),
+p AS (SELECT *, CASE WHEN nd <= 10 THEN nd ELSE CAST(ceil(nd / greatest(1, round(nd / 10))) AS BIGINT) END AS per FROM d),
+s AS ({_sums('n.scan, CAST((dump - t0) // per AS INTEGER) AS solint, chan, pol', ' n JOIN p ON n.scan = p.scan', ', avg(dump) AS mean_dump')} GROUP BY 1, 2, 3, 4) SELECT scan, solint, chan, pol, round(mean_dump, 6) AS mean_dump, {_AVG} FROM s""")
 def wavg_solint(spark, sf):
-    out = average.wavg_solint(spec(spark, sf), 10, ["chan", "pol"])
-    return out.select("solint", "chan", "pol", _r("mean_dump").alias("mean_dump"), "flags", _r("re").alias("re"), _r("weight").alias("weight"))
+    """Solution intervals from each scan's own start, near 10 dumps and dividing the scan evenly."""
+    rows = spec(spark, sf).withColumn("scan", F.floor(F.col("dump") / 37).cast("int"))
+    out = average.wavg_solint(rows, 10, ["chan", "pol"], ["scan"])
+    return out.select("scan", "solint", "chan", "pol", _r("mean_dump").alias("mean_dump"), "flags", _r("re").alias("re"), _r("weight").alias("weight"))
 
 
 @query(f"WITH s AS ({_sums('dump, CAST(chan // 4 AS INTEGER) AS block, pol', ' spec')} GROUP BY 1, 2, 3) SELECT dump, block, pol, {_AVG} FROM s")
@@ -316,8 +320,8 @@ def islands(spark, sf):
 @query("""WITH c AS (SELECT p_partkey AS chan, CAST(p_partkey // 50 AS INTEGER) AS server, p_size < 8 AS masked FROM part),
 r AS (SELECT server, chan, chan - row_number() OVER (PARTITION BY server ORDER BY chan) AS run FROM c WHERE NOT masked),
 w AS (SELECT server, min(chan) AS f, max(chan) AS l, count(*) AS n FROM r GROUP BY server, run),
-b AS (SELECT * FROM w ORDER BY n DESC, server, f DESC LIMIT 1)
-SELECT server, CAST(CASE WHEN n > 20 THEN f + (n - 20) // 2 ELSE f END AS BIGINT) AS \"first\", CAST(CASE WHEN n > 20 THEN f + (n - 20) // 2 + 19 ELSE l END AS BIGINT) AS \"last\" FROM b""")
+b AS (SELECT *, n >= 20 AS cut FROM w ORDER BY n DESC, server, f DESC LIMIT 1)
+SELECT server, CAST(CASE WHEN cut THEN f + n // 2 - 10 ELSE f END AS BIGINT) AS \"first\", CAST(CASE WHEN cut THEN f + n // 2 + 10 ELSE l END AS BIGINT) AS \"last\" FROM b""")
 def largest_window(spark, sf):
     part = spark.read.parquet(f"{sf}/part.parquet")
     chans = part.select(F.col("p_partkey").alias("chan"), F.floor(F.col("p_partkey") / 50).cast("int").alias("server"), (F.col("p_size") < 8).alias("masked"))

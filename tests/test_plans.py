@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.operators import sensors
+from lodestone.operators import average, sensors
 from lodestone.plans import params
 from lodestone.sources import config
 from lodestone.streaming import batcher
@@ -36,17 +36,33 @@ def test_channel_form_wins_and_errors():
 
 
 def test_blank_windows():
-    axis = params.Axis(32768, 856e6, 1284e6, 4)
+    axis = params.Axis(32768, 1070e6, 1871.5e6, 4)
     mask = [5090 <= i < 5100 or 25000 <= i < 27100 for i in range(32768)]
-    first, last = params.blank_window(axis, mask)
-    assert last - first + 1 == 6400
-    narrow = [m or 8192 <= i < 10092 or 16384 <= i for i, m in enumerate(mask)]
-    first, last = params.blank_window(axis, narrow)
-    assert (first, last) == (10092, 16383) or last - first + 1 == min(6400, last - first + 1)
+    assert params.blank_window(axis, mask) == (9088, 15488)
+    narrow = [m or 8192 <= i < 10092 or 16384 <= i < 18384 for i, m in enumerate(mask)]
+    assert params.blank_window(axis, narrow) == (10092, 16383)
     with pytest.raises(ValueError):
         params.blank_window(axis, [True] * 32768)
 
 
+def test_largest_window_of_a_table(spark):
+    chans = spark.range(32768).select(F.col("id").alias("chan"), F.floor(F.col("id") / 8192).alias("server"))
+    mask = (F.col("chan").between(5090, 5099)) | (F.col("chan").between(25000, 27099))
+    r = sensors.largest_window(chans.withColumn("masked", mask), 6400).first()
+    assert (r.server, r["first"], r["last"]) == (1, 9088, 15488)
+    mask = mask | F.col("chan").between(8192, 10091) | F.col("chan").between(16384, 18383)
+    r = sensors.largest_window(chans.withColumn("masked", mask), 6400).first()
+    assert (r["first"], r["last"]) == (10092, 16383)
+
+
+def test_intervals_start_with_each_scan(spark):
+    rows = [(0, d) for d in range(100, 107)] + [(1, d) for d in range(203, 226)]
+    df = spark.createDataFrame(rows, "scan int, dump int").selectExpr("*", "1.0d AS re", "0.0d AS im", "0 AS flags", "1.0d AS weight")
+    got = {(r.scan, r.solint): r.mean_dump for r in average.wavg_solint(df, 10, [], ["scan"]).collect()}
+    # 7 dumps are one interval; 23 are two of 12 and 11.
+    assert got == {(0, 0): 103.0, (1, 0): 208.5, (1, 1): 220.0}
+
+
 def test_parameter_file():
     got = config.read_parameters(["a : 5 # five", "", "# note", "b : x, y"], {"a": int, "b": list})
     assert got == {"a": 5, "b": ["x", "y"]}
