@@ -86,16 +86,17 @@ def gains_in_window(scans: DataFrame, gains: DataFrame, window_s: float = 7200.0
     """Scans with the gain solutions within ``window_s`` of them that were solved before.
 
     An interval join: times fall into bins of the window's width, each scan asks for the
-    bins it touches, so the join is on equal bins and a filter.
+    bins it touches, so the join is on equal bins (and equal targets, if wanted) and a filter.
     """
     width = F.lit(window_s)
     s = scans.withColumn("_lo", F.col("t0") - width).withColumn("_hi", F.col("t1") + width)
     s = s.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_lo") / width), F.floor(F.col("_hi") / width))))
-    g = gains.withColumn("_bin", F.floor(F.col("time") / width)).withColumnRenamed("target", "g_target").withColumnRenamed("proc_seq", "g_seq")
-    joined = s.join(g, "_bin").where((F.col("time") >= F.col("_lo")) & (F.col("time") <= F.col("_hi")) & (F.col("g_seq") < F.col("proc_seq")))
+    g = gains.withColumn("_bin", F.floor(F.col("time") / width)).withColumnRenamed("proc_seq", "g_seq")
     if same_target:
-        joined = joined.where(F.col("g_target") == F.col("target"))
-    return joined.drop("_bin", "_lo", "_hi")
+        joined = s.join(g, ["_bin", "target"]).withColumn("g_target", F.col("target"))
+    else:
+        joined = s.join(g.withColumnRenamed("target", "g_target"), "_bin")
+    return joined.where((F.col("time") >= F.col("_lo")) & (F.col("time") <= F.col("_hi")) & (F.col("g_seq") < F.col("proc_seq"))).drop("_bin", "_lo", "_hi")
 
 
 def latest_solution(scans: DataFrame, solutions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

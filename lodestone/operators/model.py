@@ -63,16 +63,19 @@ def component_flux(components: DataFrame, channels: DataFrame) -> DataFrame:
 def model_visibilities(components: DataFrame, channels: DataFrame, baselines: DataFrame, ra0: float, dec0: float) -> DataFrame:
     """Sum over components of S exp(2 pi i delay freq) per (dump, baseline, chan).
 
-    ``baselines``: dump, ant1, ant2, u, v, w in metres.  Components and channels are small
-    dimensions, spread over the baselines' rows; the sum is combined before its shuffle.
+    ``baselines``: dump, ant1, ant2, u, v, w in metres.  A channel's components are one array, so
+    a baseline makes a row per channel, and the sum is inside the row.
     """
     flux = component_flux(components, channels)
     l, m, n = keys.sin_projection(F.col("ra"), F.col("dec"), F.lit(ra0), F.lit(dec0))
-    sky = flux.withColumns({"l": l, "m": m, "n": n})
-    rows = baselines.crossJoin(F.broadcast(sky))
-    turns = (F.col("u") * F.col("l") + F.col("v") * F.col("m") + F.col("w") * (F.col("n") - 1)) * F.col("freq_hz") / LIGHT
-    re, im = cplx.phasor(turns)
-    return rows.groupBy("dump", "ant1", "ant2", "chan").agg(F.sum(F.col("flux") * re).alias("re"), F.sum(F.col("flux") * im).alias("im"))
+    sky = flux.groupBy("chan", "freq_hz").agg(F.collect_list(F.struct("flux", l.alias("l"), m.alias("m"), (n - 1).alias("n"))).alias("sources"))
+    rows = baselines.crossJoin(sky)
+
+    def total(wave):
+        return F.aggregate("sources", F.lit(0.0), lambda acc, s: acc + s["flux"] * wave((F.col("u") * s["l"] + F.col("v") * s["m"] + F.col("w") * s["n"]) * F.col("freq_hz") / LIGHT)).alias("x")
+
+    re, im = (total(lambda t, k=k: cplx.phasor(t)[k]) for k in (0, 1))
+    return rows.select("dump", "ant1", "ant2", "chan", re.alias("re"), im.alias("im"))
 
 
 def is_point(components: DataFrame, ra0: float, dec0: float, arcsec: float = 8.0) -> DataFrame:

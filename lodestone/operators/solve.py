@@ -47,7 +47,8 @@ def stefcal(vis: np.ndarray, weight: np.ndarray, ant1: np.ndarray, ant2: np.ndar
         if moved < tolerance:
             break
     g = np.where(fw.sum(axis=1) > 0, g, np.nan)
-    turn = g[ref] / np.abs(g[ref])
+    with np.errstate(all="ignore"):
+        turn = g[ref] / np.abs(g[ref])
     g = g * np.where(np.isfinite(turn), turn, 1).conj()
     return g.reshape(n_ants, *shape)
 
@@ -133,37 +134,52 @@ def _misfit(x: np.ndarray, freq: np.ndarray, delay: float) -> float:
 
 
 def solve_delays(vis: DataFrame, channels: DataFrame, keys: list[str], n_ants: int, ref: int) -> DataFrame:
-    """Delay per key, pol and antenna relative to the reference, from time-averaged rows."""
+    """Delay per key, pol and antenna relative to the reference, from time-averaged rows.
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        v, w, a1, a2, chans = _cube(pdf)
-        freq = pdf.groupby("chan").freq_hz.first().reindex(chans).to_numpy()
-        # Baseline delays, then the antennas' by weighted least squares with the reference at zero.
-        delay = np.array([delay_of(x, y, freq) for x, y in zip(v, w, strict=True)])
+    A group of the first step is one baseline's spectrum, of the second the baselines' delays of a
+    key and polarisation; the SNR is one over the weighted rms of the residual phasors about one.
+    """
+    kinds = "".join(f"`{k}` {vis.schema[k].dataType.simpleString()}, " for k in keys)
+    names = [*keys, "pol", "ant1", "ant2"]
+
+    def baseline(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("freq_hz")
+        weight = np.where(pdf["flags"].to_numpy() == 0, pdf.weight.to_numpy(), 0.0)
+        v, freq = (pdf.re + 1j * pdf.im).to_numpy(), pdf.freq_hz.to_numpy()
+        delay = delay_of(v, weight, freq)
+        with np.errstate(all="ignore"):
+            flat = v * np.exp(-2j * np.pi * delay * freq)
+            mean = np.nansum(np.where(weight > 0, flat * weight, 0))
+            unit = flat * np.conj(mean) / np.abs(flat * mean)
+        ok = np.isfinite(unit) & (weight > 0)
+        return pd.DataFrame([[*(pdf[k].iloc[0] for k in names), delay, weight.sum(), float((weight[ok] * np.abs(unit[ok] - 1) ** 2).sum())]], columns=[*names, "delay", "w", "sq"])
+
+    def antennas(pdf: pd.DataFrame) -> pd.DataFrame:
+        # Weighted least squares with the reference at zero.
+        pdf = pdf.sort_values(["ant1", "ant2"])
+        a1, a2, delay, w, sq = (pdf[c].to_numpy() for c in ("ant1", "ant2", "delay", "w", "sq"))
         ok = np.isfinite(delay)
         design = np.zeros((ok.sum(), n_ants))
         rows = np.arange(ok.sum())
         design[rows, a1[ok]] += 1
         design[rows, a2[ok]] -= 1
         design = np.delete(design, ref, axis=1)
-        sol = np.full(n_ants, np.nan)
+        sol, snr = np.full(n_ants, np.nan), np.full(n_ants, np.nan)
         if ok.any():
             sol[np.arange(n_ants) != ref] = np.linalg.lstsq(design, delay[ok], rcond=None)[0]
             seen = np.zeros(n_ants, dtype=bool)
             seen[a1[ok]] = seen[a2[ok]] = True
             sol[ref], sol[~seen] = 0.0, np.nan
-        with np.errstate(all="ignore"):
-            resid = v * np.exp(-2j * np.pi * (sol[a1] - sol[a2])[:, None] * freq)
-            mean = np.nansum(resid * w, axis=1, keepdims=True)
-            resid = resid * np.conj(mean) / np.abs(mean)
-        snr = antenna_snr(np.nanmean(resid / np.abs(resid), axis=1), w.sum(axis=1), np.ones(n_ants, dtype=complex), a1, a2)
+            for a in np.flatnonzero(seen):
+                mine = ok & ((a1 == a) | (a2 == a))
+                snr[a] = 1 / max(np.sqrt(sq[mine].sum() / w[mine].sum()), 1e-12)
         out = pd.DataFrame({k: pdf[k].iloc[0] for k in keys} | {"pol": pdf.pol.iloc[0], "ant": np.arange(n_ants), "delay": sol, "snr": snr})
         return out[[*keys, "pol", "ant", "delay", "snr"]]
 
-    kinds = "".join(f"`{k}` {vis.schema[k].dataType.simpleString()}, " for k in keys)
-    cross = vis.where("ant1 <> ant2").join(F.broadcast(channels.select("chan", "freq_hz")), "chan")
-    cross = cross.select(*keys, "chan", "pol", "ant1", "ant2", "re", "im", "flags", "weight", "freq_hz")
-    return cross.groupBy(*keys, "pol").applyInPandas(solve, f"{kinds}pol string, ant int, delay double, snr double")
+    # Channels are a dimension of the instrument: Spark broadcasts them where they are few.
+    cross = vis.where("ant1 <> ant2").join(channels.select("chan", "freq_hz"), "chan").select(*names, "freq_hz", "re", "im", "flags", "weight")
+    spectra = cross.groupBy(*names).applyInPandas(baseline, f"{kinds}pol string, ant1 int, ant2 int, delay double, w double, sq double")
+    return spectra.groupBy(*keys, "pol").applyInPandas(antennas, f"{kinds}pol string, ant int, delay double, snr double")
 
 
 def solve_cross_delay(combined: DataFrame, channels: DataFrame, keys: list[str], pol: str) -> DataFrame:

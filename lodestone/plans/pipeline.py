@@ -1,40 +1,17 @@
-"""Tag-driven calibration of a batch of scans.
+"""Calibration of one or more calibrator scans without tags, and interference flags.
 
-Scans are taken by product, not one after the other: all delays are solved in one job
-(a group per scan and polarisation), then bandpasses with the delays applied, then gains,
-then the solutions that each target scan may use are applied.  Which solution a scan sees
-is decided by ``proc_seq`` (batch ascending, scan descending), as if scans were processed
-from the newest to the oldest.
+All delays are solved in one job, then bandpasses with the delays applied, then gains; each
+product is a table before the next one reads it.  The tag-driven plan of a whole observation
+is in ``reduction``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.functions import keys
 from lodestone.operators import apply, average, rfi, solve
-
-
-def with_scans(vis: DataFrame, scans: DataFrame) -> DataFrame:
-    """Visibilities with scan, tags and proc_seq; ``scans`` (t0, t1, ...) is a small dimension."""
-    return vis.join(F.broadcast(scans), (vis.ts >= scans.t0) & (vis.ts <= scans.t1))
-
-
-def processing_order(scans: DataFrame) -> DataFrame:
-    """proc_seq: batch ascending, scan descending (one row per scan)."""
-    from pyspark.sql import Window
-
-    return scans.withColumn("proc_seq", F.row_number().over(Window.orderBy("batch", F.desc("scan"))).cast("long"))
-
-
-def tagged(scans: DataFrame, parts: Sequence[str]) -> DataFrame:
-    hit = F.lit(False)
-    for p in parts:
-        hit = hit | keys.any_tag_like(F.col("tags"), p)
-    return scans.where(hit)
+from lodestone.sources.scratch import written
 
 
 def parallel_hands(vis: DataFrame) -> DataFrame:
@@ -52,11 +29,11 @@ def calibrate(vis: DataFrame, channels: DataFrame, n_ants: int, ref: int) -> dic
     scan, one polarisation and the baselines' spectra.
     """
     hands = parallel_hands(vis)
-    spectra = average.wavg(hands, ["scan", "chan", "pol", "ant1", "ant2"])
-    k = solve.solve_delays(spectra, channels, ["scan"], n_ants, ref)
+    spectra = written(average.wavg(hands, ["scan", "chan", "pol", "ant1", "ant2"]), "spectra")
+    k = written(solve.solve_delays(spectra, channels, ["scan"], n_ants, ref), "delays")
     no_delay = apply.apply_gains(spectra, _by_scan(k, channels), ["scan", "chan"], True)
     blocks = no_delay.withColumn("block", F.floor(F.col("chan") / 64).cast("int"))
-    b = solve.solve_gains(blocks, ["scan", "block"], n_ants, ref).drop("block")
+    b = written(solve.solve_gains(blocks, ["scan", "block"], n_ants, ref).drop("block"), "bandpasses")
     flat = apply.apply_gains(no_delay, b.select("scan", "chan", "pol", "ant", "re", "im"), ["scan", "chan"], True)
     whole = average.wavg(flat, ["scan", "pol", "ant1", "ant2"]).withColumn("chan", F.lit(0))
     g = solve.solve_gains(whole, ["scan"], n_ants, ref).drop("chan")
@@ -67,7 +44,7 @@ def _by_scan(delays: DataFrame, channels: DataFrame) -> DataFrame:
     from lodestone.functions import cplx
 
     re, im = cplx.delay_phasor(F.col("delay"), F.col("freq_hz"))
-    return delays.crossJoin(F.broadcast(channels)).select("scan", "chan", "pol", "ant", re.alias("re"), im.alias("im"))
+    return delays.crossJoin(channels).select("scan", "chan", "pol", "ant", re.alias("re"), im.alias("im"))
 
 
 def apply_all(vis: DataFrame, products: dict[str, DataFrame], channels: DataFrame) -> DataFrame:
@@ -82,6 +59,11 @@ def apply_all(vis: DataFrame, products: dict[str, DataFrame], channels: DataFram
     return v.drop("pol").withColumnRenamed("_hand", "pol")
 
 
+def flag_rows(vis: DataFrame, **kw) -> DataFrame:
+    """Interference flags of each row's own hand, scan by scan."""
+    return rfi.flag_interference(vis, ("scan", "pol", "ant1", "ant2"), **kw)
+
+
 def flag(vis: DataFrame, **kw) -> DataFrame:
     """Interference flags from the cross hands, set on all hands of the cell."""
     found = rfi.flag_interference(vis.where("pol1 <> pol2"), **kw)

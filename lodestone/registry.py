@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodestone import calibration_queries as _calibration  # noqa: F401 (registers its queries)
 from lodestone import queries as _sql_queries
-from lodestone import synthetic_queries as _synthetic
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return _sql_queries.QUERIES | _synthetic.QUERIES
+    return dict(_sql_queries.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
