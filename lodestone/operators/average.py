@@ -82,6 +82,22 @@ def wavg_antenna(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return wavg(per_antenna(df), [*keys, "ant"])
 
 
+def summarize_full(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Average over time per baseline, then per antenna; weights and flags stay."""
+    return wavg_antenna(wavg(df, [*keys, "ant1", "ant2"]), keys)
+
+
+def summarize(df: DataFrame, keys: Sequence[str], refant: int | None = None, ts: str = "ts", antennas: bool = False) -> DataFrame:
+    """Average over time per baseline (or antenna), flagged ones null, stamped with the mean time; optionally of the reference antenna's baselines alone."""
+    if refant is not None:
+        df = df.where((F.col("ant1") == refant) != (F.col("ant2") == refant))
+    mean = wavg(df, [*keys, "ant1", "ant2"], 1.0, F.avg(ts).alias(ts))
+    if antennas:
+        mean = wavg(per_antenna(mean), [*keys, "ant"], 1.0, F.avg(ts).alias(ts))
+    good = F.col("flags") == 0
+    return mean.withColumn("re", F.when(good, F.col("re"))).withColumn("im", F.when(good, F.col("im")))
+
+
 def weight_data(df: DataFrame) -> DataFrame:
     """Weighted values: flagged cells have weight and value zero."""
     w = F.when(_good(), F.col("weight")).otherwise(F.lit(0.0))

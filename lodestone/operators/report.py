@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import cplx, keys
@@ -96,3 +96,22 @@ def metadata(attributes: DataFrame) -> DataFrame:
     """One JSON text per capture block from a map of attributes, keys in order."""
     ordered = F.map_from_entries(F.array_sort(F.map_entries("attributes")))
     return attributes.select("cb", F.to_json(ordered).alias("json"))
+
+
+def summary(rows: DataFrame) -> DataFrame:
+    """Start, counts and antennas (a short list) of each capture block; rows: cb, time, dump, chan, ant1."""
+    ants = F.array_join(F.array_sort(F.collect_set(F.col("ant1").cast("string"))), ",")
+    return rows.groupBy("cb").agg(F.min("time").alias("first_time"), F.count_distinct("dump").alias("n_dumps"), F.count_distinct("chan").alias("n_chans"), ants.alias("antennas"))
+
+
+def before_nth(log: DataFrame, marks: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, ts: str) -> DataFrame:
+    """Rows of the log before the n-th mark of their key; all of them where there are fewer marks."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    stop = marks.withColumn("_k", F.row_number().over(w)).where(F.col("_k") == n).select(*keys, F.col(ts).alias("_stop"))
+    return log.join(stop, list(keys), "left").where(F.col("_stop").isNull() | (F.col(ts) < F.col("_stop"))).drop("_stop")
+
+
+def states_json(rows: DataFrame, keys: Sequence[str], dump: str, state: str) -> DataFrame:
+    """JSON object of dump and state name per key, dumps in order."""
+    entries = F.array_sort(F.collect_list(F.struct(F.col(dump), F.col(state))))
+    return rows.groupBy(*keys).agg(F.to_json(F.map_from_entries(entries)).alias("states"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestone import calibration_queries as _calibration  # noqa: F401 (registers its queries)
+from lodestone import observation_queries as _observation  # noqa: F401
 from lodestone import queries as _sql_queries
 
 
