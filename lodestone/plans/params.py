@@ -116,3 +116,95 @@ def blank_window(axis: Axis, masked: Sequence[bool], most: int = 6400) -> tuple[
         middle = first + length // 2
         return middle - most // 2, middle + most // 2
     return first, last
+
+
+#: Parameters that are taken as they are, with their types; the last two are shared out among the servers.
+PLAIN = {
+    "k_solint": float, "k_chan_sample": int, "kcross_chanave": int, "bp_solint": float, "g_solint": float, "rfi_calib_nsigma": float, "rfi_targ_nsigma": float, "rfi_spike_width_time": float,
+    "bcross_sky_knots": list, "bcross_sky_coefs": list, "bcross_sky_k": int, "rfi_freq_chunks": int, "epoint_freq_chunks": int,
+}
+SHARED = ("rfi_freq_chunks", "epoint_freq_chunks")
+#: Channel form of a width and its form in Hz.
+WIDTHS = {"rfi_average_freq": "rfi_average_hz", "rfi_targ_spike_width_freq": "rfi_targ_spike_width_hz", "rfi_calib_spike_width_freq": "rfi_calib_spike_width_hz", "rfi_extend_freq": "rfi_extend_hz", "rfi_windows_freq": "rfi_windows_post_average"}
+WINDOWS = ("k", "g")
+#: Parameters that may be left out.
+OPTIONAL = ("subband_bfreq", "array_position")
+
+
+def known_names() -> set[str]:
+    ends = {f"{p}_{e}{f}" for p in WINDOWS for e in "be" for f in ("chan", "freq")}
+    return {*PLAIN, *WIDTHS, *WIDTHS.values(), *OPTIONAL, *ends}
+
+
+def blank_prefixes(given: dict) -> list[str]:
+    """Prefixes whose frequency window is given and empty at both ends."""
+    return [p for p in WINDOWS if given.get(f"{p}_bfreq", 0) == given.get(f"{p}_efreq", 0) == []]
+
+
+def for_subband(axis: Axis, values: Sequence[float], starts: Sequence[float] | None) -> list[float]:
+    """The one value of the last sub-band that starts at or below the axis."""
+    if len(values) < 2:
+        return list(values)
+    below = [k for k, s in enumerate(starts or ()) if axis.frequency(0) >= s * 1e6]
+    if not below:
+        raise ValueError("values for several sub-bands need subband_bfreq")
+    return [values[below[-1]]]
+
+
+def width_in_channels(axis: Axis, name: str, value, average: int):
+    """A width in Hz (or windows on averaged data) as channels."""
+    if name == "rfi_windows_freq":
+        return [1, *(int(w * average) for w in value[1:])] if value else []
+    chans = math.ceil(value / axis.width)
+    return max(3, chans // 2 * 2 + 1) if name == "rfi_extend_freq" else chans
+
+
+def resolve(axis: Axis, given: dict, masked: Sequence[bool] | None = None) -> dict:
+    """All parameters of a server, in its local channels; ``masked`` (per channel) is needed for blank windows.
+
+    The channel form of a parameter wins over its frequency form.  Unknown names, missing parameters,
+    bad ranges and windows over several servers are errors.
+    """
+    unknown = set(given) - known_names()
+    if unknown:
+        raise ValueError(f"unknown parameters: {', '.join(sorted(unknown))}")
+    p, out = dict(given), {}
+    for prefix in blank_prefixes(p):
+        if masked is None:
+            raise ValueError(f"a blank window for {prefix!r} needs the mask")
+        first, last = blank_window(axis, masked)
+        p[f"{prefix}_bfreq"], p[f"{prefix}_efreq"] = [axis.frequency(first) / 1e6], [axis.frequency(last) / 1e6]
+    for prefix in WINDOWS:
+        for key in (f"{prefix}_bfreq", f"{prefix}_efreq"):
+            if key in p:
+                p[key] = for_subband(axis, p[key], p.get("subband_bfreq"))
+        window = resolve_window(axis, p, prefix)
+        out[f"{prefix}_bchan"], out[f"{prefix}_echan"] = (to_local(axis, c) for c in window)
+        if not 0 <= out[f"{prefix}_bchan"] < axis.per_server:
+            # Solved by another server; what this one uses is the solution.
+            out[f"{prefix}_owner"] = window[0] // axis.per_server
+    for name, hz in WIDTHS.items():
+        if name in p:
+            out[name] = p[name]
+        elif hz in p:
+            out[name] = width_in_channels(axis, name, p[hz], out.get("rfi_average_freq", 1))
+        else:
+            raise ValueError(f"neither {name} nor {hz} is given")
+    for name, kind in PLAIN.items():
+        if name not in p:
+            raise ValueError(f"{name} is not given")
+        out[name] = server_share(p[name], axis.servers) if name in SHARED else kind(p[name])
+    return out
+
+
+def published(axis: Axis, local: dict) -> dict:
+    """Local values as global ones under ``param_`` names; splines stay private."""
+    out = {}
+    for name, value in local.items():
+        if name.endswith("chan"):
+            value = to_global(axis, value)
+        elif name in SHARED:
+            value = value * axis.servers
+        if not name.startswith("bcross_sky") and not name.endswith("_owner"):
+            out[f"param_{name}"] = value
+    return out

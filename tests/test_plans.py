@@ -63,6 +63,41 @@ def test_intervals_start_with_each_scan(spark):
     assert got == {(0, 0): 103.0, (1, 0): 208.5, (1, 1): 220.0}
 
 
+USER = {
+    "k_solint": 5.0, "k_chan_sample": 1, "k_bfreq": [1326.2], "k_efreq": [1368.012], "kcross_chanave": 1, "bp_solint": 5.0, "g_solint": 5.0, "g_bfreq": [1326.2], "g_efreq": [1368.012],
+    "rfi_calib_nsigma": 4.5, "rfi_targ_nsigma": 7.0, "rfi_windows_post_average": [1, 2, 4, 8], "rfi_average_hz": 104491, "rfi_targ_spike_width_hz": 4179687, "rfi_calib_spike_width_hz": 2089843,
+    "rfi_spike_width_time": 100.0, "rfi_extend_hz": 391845, "rfi_freq_chunks": 8, "epoint_freq_chunks": 16, "bcross_sky_knots": [0.0] * 14, "bcross_sky_coefs": [0.0] * 14, "bcross_sky_k": 3,
+}
+L4 = params.Axis(4096, 856e6, 1284e6, 4, 2)
+
+
+def test_parameters_of_a_server():
+    got = params.resolve(L4, USER)
+    assert (got["k_bchan"], got["k_echan"], got["g_bchan"], got["g_echan"]) == (202, 402, 202, 402)
+    assert (got["rfi_freq_chunks"], got["epoint_freq_chunks"]) == (2, 4)
+    wide = params.resolve(WIDE, USER)
+    assert (wide["rfi_average_freq"], wide["rfi_extend_freq"], wide["rfi_windows_freq"]) == (4, 15, [1, 8, 16, 32])
+    assert params.published(L4, got)["param_k_bchan"] == 2250 and params.published(L4, got)["param_rfi_freq_chunks"] == 8
+    listed = USER | {"k_bfreq": [1112.1, 1326.2], "k_efreq": [1154.012, 1368.012], "subband_bfreq": [642.0, 856.0]}
+    assert params.resolve(L4, listed)["k_bchan"] == 202
+    assert params.resolve(L4, USER | {"g_bchan": 2100, "g_echan": 2300})["g_bchan"] == 52
+
+
+def test_blank_windows_of_parameters():
+    blank = USER | {"k_bfreq": [], "k_efreq": []}
+    mask = [k in (500, 3100) for k in range(4096)]
+    got = params.resolve(params.Axis(4096, 856e6, 1284e6, 4, 1), blank, mask)
+    assert (got["k_bchan"], got["k_echan"]) == (0, 1023)
+    assert params.blank_prefixes(blank) == ["k"] and params.blank_prefixes({"g_bchan": 5}) == []
+
+
+@pytest.mark.parametrize("change", [{"k_bfreq": None}, {"k_efreq": [1315.0]}, {"k_efreq": [1498.3]}, {"foo": "bar"}, {"k_solint": None}, {"rfi_extend_hz": None}, {"k_bfreq": [1.0, 2.0]}])
+def test_bad_parameters(change):
+    bad = {k: v for k, v in (USER | change).items() if v is not None}
+    with pytest.raises(ValueError):
+        params.resolve(L4, bad)
+
+
 def test_parameter_file():
     got = config.read_parameters(["a : 5 # five", "", "# note", "b : x, y"], {"a": int, "b": list})
     assert got == {"a": 5, "b": ["x", "y"]}
