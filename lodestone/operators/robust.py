@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import cplx
@@ -17,6 +17,42 @@ def median(x: Column) -> Column:
     return F.percentile(cplx.clean(x), F.lit(0.5))
 
 
+#: Cuts of the histogram in ``quantiles``.
+CUTS = 512
+
+
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """Exact quantiles (linear between two ranks) per key, for keys that hold any share of the rows.
+
+    First a histogram: cuts from a sketch of bounded size, and counts between them.  Then only the
+    buckets that hold the wanted ranks are ranked, so no task holds all values of a key.
+    """
+    x = cplx.clean(F.col(value).cast("double"))
+    rows = df.select(*keys, x.alias("_x")).where("_x IS NOT NULL")
+    cuts = rows.groupBy(*keys).agg(F.array_distinct(F.percentile_approx("_x", [k / CUTS for k in range(1, CUTS)], 10 * CUTS)).alias("_cuts"))
+    below = F.size(F.filter("_cuts", lambda c: c < F.col("_x")))
+    # Equal values are one row with their number.
+    values = rows.join(cuts, list(keys)).withColumn("_bucket", below).groupBy(*keys, "_bucket", "_x").agg(F.count("*").alias("_n"))
+    buckets = values.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_n"))
+    upto = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    buckets = buckets.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n")).withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
+    at = F.array(*((F.lit(float(q)) * (F.col("_total") - 1)).alias(f"q{k}") for k, q in enumerate(shares)))
+    ranks = F.array_distinct(F.flatten(F.transform(at, lambda r: F.array(F.floor(r), F.ceil(r)))))
+    wanted = F.filter(ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_end")))
+    chosen = buckets.withColumn("_ranks", wanted).where(F.size("_ranks") > 0).select(*keys, "_bucket", "_start", "_total", "_ranks")
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = values.join(chosen, [*keys, "_bucket"]).withColumn("_last", F.col("_start") + F.sum("_n").over(inside)).withColumn("_first", F.col("_last") - F.col("_n"))
+    hit = ranked.withColumn("_rank", F.explode(F.filter("_ranks", lambda r: (r >= F.col("_first")) & (r < F.col("_last")))))
+    found = hit.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_x"))).alias("_m"), F.first("_total").alias("_total"))  # two ranks a share
+
+    def pick(q: float) -> Column:
+        r = F.lit(float(q)) * (F.col("_total") - 1)
+        lo, hi = F.element_at("_m", F.floor(r)), F.element_at("_m", F.ceil(r))
+        return lo + (hi - lo) * (r - F.floor(r))
+
+    return found.select(*keys, *(pick(q).alias(n) for q, n in zip(shares, names, strict=True)))
+
+
 def phase_nmad(df: DataFrame, over: Sequence[str], per: Sequence[str], phase: str = "phase") -> DataFrame:
     """1.4826 times the median deviation of the phase from its median.
 
@@ -28,14 +64,14 @@ def phase_nmad(df: DataFrame, over: Sequence[str], per: Sequence[str], phase: st
 
 def amplitude_range(df: DataFrame, pol: str = "pol", amp: str = "amp", sigmas: float = 3.0) -> DataFrame:
     """(low, high) over the polarisations of median -/+ sigmas * NMAD; low at least zero."""
-    mid = df.groupBy(pol).agg(median(F.col(amp)).alias("mid"))
-    dev = df.join(mid, pol).groupBy(pol, "mid").agg((median(F.abs(F.col(amp) - F.col("mid"))) * (NMAD * sigmas)).alias("dev"))
+    mid = quantiles(df, [pol], amp, [0.5], ["mid"])
+    apart = df.join(mid, pol).withColumn("_apart", F.abs(F.col(amp) - F.col("mid")))
+    dev = quantiles(apart, [pol], "_apart", [0.5], ["dev"]).join(mid, pol).withColumn("dev", F.col("dev") * (NMAD * sigmas))
     return dev.agg(F.greatest(F.lit(0.0), F.min(F.col("mid") - F.col("dev"))).alias("low"), F.max(F.col("mid") + F.col("dev")).alias("high"))
 
 
 def quartiles(df: DataFrame, keys: Sequence[str], value: str = "snr") -> DataFrame:
-    q = F.percentile(cplx.clean(F.col(value)), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return df.groupBy(*keys).agg(q.alias("q")).select(*keys, F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"))
+    return quantiles(df, keys, value, [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
 
 
 def low_snr_count(df: DataFrame, keys: Sequence[str], limit: float, value: str = "snr") -> DataFrame:

@@ -468,9 +468,12 @@ def latest_solution(spark, sf):
     return apply.latest_solution(scans, sols, ["ant"]).select("proc_seq", "ant", "solution")
 
 
-@query("SELECT pol, quantile_cont(re, 0.5) AS delay FROM vis WHERE chan = 1 GROUP BY pol")
+@query("""WITH m AS (SELECT pol, quantile_cont(re, 0.5) AS delay FROM vis GROUP BY pol) SELECT ant, v.pol, round(delay, 6) AS delay FROM (SELECT DISTINCT ant1 AS ant, pol FROM vis) v JOIN m ON v.pol = m.pol""")
 def cross_delay_median(spark, sf):
-    return vis(spark, sf).where("chan = 1").groupBy("pol").agg(robust.median(F.col("re")).alias("delay"))
+    """The cross-hand delay is one for all antennas: the median over them, spread back."""
+    rows = vis(spark, sf)
+    mid = robust.quantiles(rows, ["pol"], "re", [0.5], ["delay"])
+    return rows.select(F.col("ant1").alias("ant"), "pol").distinct().join(mid, "pol").select("ant", "pol", _r("delay").alias("delay"))
 
 
 # --- times, keys, dimensions ----------------------------------------------------------------------
@@ -530,7 +533,9 @@ def flux_table(spark, sf):
 @query("""SELECT ant, round(quantile_cont(amp, 0.5), 6) AS flux, round(stddev_samp(amp), 6) AS flux_std, count(*) AS n FROM (SELECT ant1 AS ant, sqrt(re * re + im * im) AS amp FROM vis WHERE flags = 0) GROUP BY ant""")
 def measured_flux(spark, sf):
     rows = vis(spark, sf).where("flags = 0").withColumn("amp", cplx.amplitude(cplx.col()))
-    return rows.groupBy(F.col("ant1").alias("ant")).agg(_r(robust.median(F.col("amp"))).alias("flux"), _r(F.stddev_samp("amp")).alias("flux_std"), F.count("*").alias("n"))
+    rows = rows.withColumn("ant", F.col("ant1"))
+    rest = rows.groupBy("ant").agg(_r(F.stddev_samp("amp")).alias("flux_std"), F.count("*").alias("n"))
+    return robust.quantiles(rows, ["ant"], "amp", [0.5], ["flux"]).join(rest, "ant").select("ant", _r("flux").alias("flux"), "flux_std", "n")
 
 
 @query("""WITH m(lo, hi) AS (VALUES (3, 5), (20, 22), (40, 41)) SELECT p_partkey AS chan, bool_or(m.lo IS NOT NULL) AS masked FROM part LEFT JOIN m ON p_size + 0.5 >= lo AND p_size - 0.5 <= hi GROUP BY p_partkey""")

@@ -177,3 +177,16 @@ def test_poor_antennas(spark):
 def test_pointing_offsets(spark):
     got = pointing.offsets(spark.createDataFrame([(10.0, 1.0, 10.0, 0.0), (11.0, 0.0, 10.0, 0.0)], "az double, el double, target_az double, target_el double")).collect()
     assert np.allclose([got[0].x, got[0].y, got[1].x, got[1].y], [0, 1, 1, 0], atol=1e-9)
+
+
+def test_quantiles_equal_numpy(spark):
+    rng = np.random.default_rng(7)
+    data = {"a": rng.normal(size=3000), "b": np.repeat([1.0, 2.0, 2.0, 5.0], 250), "c": np.array([4.0]), "d": np.round(rng.random(999), 2)}
+    rows = [(k, float(x)) for k, v in data.items() for x in v] + [("a", float("nan")), ("e", None)]
+    from lodestone.operators import robust
+
+    shares = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    got = {r.k: r for r in robust.quantiles(spark.createDataFrame(rows, "k string, x double"), ["k"], "x", shares, [f"q{i}" for i in range(6)]).collect()}
+    assert set(got) == set(data)
+    for k, v in data.items():
+        assert np.allclose([got[k][f"q{i}"] for i in range(6)], np.quantile(v, shares))
