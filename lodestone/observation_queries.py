@@ -231,3 +231,59 @@ def validated_streams(spark, sf):
     parsed = F.from_json(text, "array<struct<continuum_factor:int,rate_ratio:double>>", {"mode": "FAILFAST"})
     rows = t.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("line"), F.explode(parsed).alias("s")).select("k", "line", "s.*")
     return rows.where("continuum_factor >= 1 AND rate_ratio > 1")
+
+
+@query("""WITH s AS (SELECT CAST(dump % 5 AS INTEGER) AS target, chan, pol, avg(re) AS re, avg(im) AS im, min(flags) AS flags FROM vis GROUP BY ALL), f(target, flux) AS (VALUES (1, 2.5), (3, 4.0))
+SELECT s.target, chan, pol, round(CASE WHEN flags = 0 THEN sqrt(re * re + im * im) * coalesce(flux, 1) END, 6) AS amp, round(CASE WHEN flags = 0 THEN degrees(atan2(im, re)) END, 6) AS phase FROM s LEFT JOIN f ON s.target = f.target""")
+def report_spectrum(spark, sf):
+    """Amplitude and phase of each target's average, scaled by its measured flux; flagged ones hidden."""
+    rows = vis(spark, sf).groupBy((F.col("dump") % 5).cast("int").alias("target"), "chan", "pol").agg(F.avg("re").alias("re"), F.avg("im").alias("im"), F.min("flags").alias("flags"))
+    fluxes = spark.createDataFrame([(1, 2.5), (3, 4.0)], "target int, flux double")
+    return report.spectrum(rows, fluxes).select("target", "chan", "pol", _r("amp").alias("amp"), _r("phase").alias("phase"))
+
+
+@query("""WITH f AS (SELECT CAST(chan // 2 AS INTEGER) AS block, pol, ant1, ant2, count(*) FILTER (WHERE flags <> 0) AS nf, count(*) AS n FROM vis GROUP BY ALL)
+SELECT block, pol, ant1, ant2, round(sqrt(pow(10.0 * (ant1 - ant2), 2) + pow(3.0 * (ant1 * ant1 - ant2 * ant2), 2)), 6) AS length, round(100.0 * nf / n, 6) AS flag_pct FROM f""")
+def report_flags(spark, sf):
+    """Flagged percentage per channel block and baseline, with the baseline's length to order by."""
+    by_bl = vis(spark, sf).groupBy(F.floor(F.col("chan") / 2).cast("int").alias("block"), "pol", "ant1", "ant2").agg(F.count_if(F.col("flags") != 0).alias("n_flagged"), F.count("*").alias("n"))
+    ants = spark.range(8).select(F.col("id").cast("int").alias("ant"), (F.col("id") * 10.0).alias("e"), (F.col("id") * F.col("id") * 3.0).alias("n"), F.lit(0.0).alias("u"))
+    return report.flag_table(by_bl, ants).select("block", "pol", "ant1", "ant2", _r("length").alias("length"), _r("flag_pct").alias("flag_pct"))
+
+
+@query("""WITH t AS (SELECT o_orderkey AS k, CASE o_orderkey % 4 WHEN 0 THEN 'bfcal' WHEN 1 THEN 'gaincal polcal' WHEN 2 THEN 'target' ELSE 'bpcal target' END AS t FROM orders)
+SELECT k, contains(t, 'bpcal') OR contains(t, 'bfcal') AS is_bp, contains(t, 'gaincal') AS is_gain, contains(t, 'polcal') AS is_pol, t = 'target' AS is_target FROM t""")
+def report_groups(spark, sf):
+    """The four overlapping groups of targets; a pure target is no calibrator."""
+    kinds = F.element_at(F.array(*(F.split(F.lit(t), " ") for t in ("bfcal", "gaincal polcal", "target", "bpcal target"))), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    o = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("k"), kinds.alias("tags"))
+    return report.target_groups(o).select("k", "is_bp", "is_gain", "is_pol", "is_target")
+
+
+@query("""SELECT s_suppkey AS cb, '{"antenna":"' || s_name || '","nation":"' || s_nationkey || '"}' AS json, s_name AS antenna, 'unknown' AS observer FROM supplier""")
+def report_metadata(spark, sf):
+    """One JSON text per capture block, keys in order; an absent attribute is unknown."""
+    s = spark.read.parquet(f"{sf}/supplier.parquet").select(F.col("s_suppkey").alias("cb"), F.create_map(F.lit("nation"), F.col("s_nationkey").cast("string"), F.lit("antenna"), F.col("s_name")).alias("attributes"))
+    named = s.select("cb", report.value_or_unknown(F.col("attributes"), "antenna").alias("antenna"), report.value_or_unknown(F.col("attributes"), "observer").alias("observer"))
+    return report.metadata(s).join(named, "cb").select("cb", "json", "antenna", "observer")
+
+
+@query("SELECT DISTINCT ant1, ant2, 'm' || CASE WHEN ant1 = 3 THEN ant2 ELSE ant1 END AS name FROM vis WHERE (ant1 = 3) <> (ant2 = 3)")
+def report_refant(spark, sf):
+    """Name of the other antenna of the reference antenna's baselines."""
+    names = spark.range(8).select(F.col("id").cast("int").alias("ant"), F.concat(F.lit("m"), F.col("id").cast("string")).alias("name"))
+    return report.refant_labels(vis(spark, sf).select("ant1", "ant2").distinct(), names, 3)
+
+
+@query("SELECT chan, pol, ant1 AS ant, round(sqrt(avg(re) * avg(re) + avg(im) * avg(im)), 6) AS amp, round(degrees(atan2(avg(im), avg(re))), 6) AS phase FROM vis GROUP BY ALL")
+def report_amp_phase(spark, sf):
+    """Amplitude and phase of solutions."""
+    g = vis(spark, sf).groupBy("chan", "pol", F.col("ant1").alias("ant")).agg(F.avg("re").alias("re"), F.avg("im").alias("im"))
+    return report.amp_phase(g).select("chan", "pol", "ant", _r("amp").alias("amp"), _r("phase").alias("phase"))
+
+
+@query("SELECT CAST(o_custkey % 5 AS INTEGER) AS report, CASE WHEN bool_and(contains(o_orderpriority, 'LOW') OR o_totalprice > 1000) THEN 'Jy' ELSE 'arb' END AS units FROM orders GROUP BY ALL")
+def report_units(spark, sf):
+    """Jansky where every target of a report has a flux, else arbitrary."""
+    o = spark.read.parquet(f"{sf}/orders.parquet").select((F.col("o_custkey") % 5).cast("int").alias("report"), F.when(F.contains("o_orderpriority", F.lit("LOW")) | (F.col("o_totalprice") > 1000), "Jy").otherwise("Counts").alias("units"))
+    return report.common_units(o, ["report"])

@@ -33,11 +33,6 @@ def target_groups(targets: DataFrame) -> DataFrame:
     return targets.withColumns({"is_bp": bp, "is_gain": gain, "is_pol": pol, "is_target": keys.has_tag(t, "target") & ~(gain | pol | bp)})
 
 
-def product(solutions: DataFrame, name: str) -> DataFrame:
-    """All solutions of a product (the whole capture block)."""
-    return solutions.where(F.col("product") == name)
-
-
 def delay_table(delays: DataFrame, ants: Sequence[int]) -> DataFrame:
     """Delays in ns: a row per time and polarisation, a column per antenna."""
     ns = F.round(cplx.clean(F.col("delay")) * 1e9, 3)
@@ -68,8 +63,8 @@ def spectrum(summary: DataFrame, fluxes: DataFrame) -> DataFrame:
     return joined.withColumn("amp", amp).withColumn("phase", F.when(shown, cplx.phase_deg(cplx.col()))).drop("_f", "flux")
 
 
-def common_units(rows: DataFrame) -> DataFrame:
-    return rows.agg(F.when(F.bool_and(F.col("units") == "Jy"), "Jy").otherwise("arb").alias("units"))
+def common_units(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.when(F.bool_and(F.col("units") == "Jy"), "Jy").otherwise("arb").alias("units"))
 
 
 def uv_distance(rows: DataFrame, light: float = 299792458.0) -> DataFrame:
