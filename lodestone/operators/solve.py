@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -136,23 +137,27 @@ def _misfit(x: np.ndarray, freq: np.ndarray, delay: float) -> float:
 def solve_delays(vis: DataFrame, channels: DataFrame, keys: list[str], n_ants: int, ref: int) -> DataFrame:
     """Delay per key, pol and antenna relative to the reference, from time-averaged rows.
 
-    A group of the first step is one baseline's spectrum, of the second the baselines' delays of a
+    A row of the first step is one baseline's spectrum, a group of the second the baselines' delays of a
     key and polarisation; the SNR is one over the weighted rms of the residual phasors about one.
     """
     kinds = "".join(f"`{k}` {vis.schema[k].dataType.simpleString()}, " for k in keys)
     names = [*keys, "pol", "ant1", "ant2"]
 
-    def baseline(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("freq_hz")
-        weight = np.where(pdf["flags"].to_numpy() == 0, pdf.weight.to_numpy(), 0.0)
-        v, freq = (pdf.re + 1j * pdf.im).to_numpy(), pdf.freq_hz.to_numpy()
+    def baseline(spectrum: list) -> tuple[float, float, float]:
+        freq, re, im, weight = np.array([tuple(x.values()) for x in spectrum], dtype=float).T
+        v = re + 1j * im
         delay = delay_of(v, weight, freq)
         with np.errstate(all="ignore"):
             flat = v * np.exp(-2j * np.pi * delay * freq)
             mean = np.nansum(np.where(weight > 0, flat * weight, 0))
             unit = flat * np.conj(mean) / np.abs(flat * mean)
         ok = np.isfinite(unit) & (weight > 0)
-        return pd.DataFrame([[*(pdf[k].iloc[0] for k in names), delay, weight.sum(), float((weight[ok] * np.abs(unit[ok] - 1) ** 2).sum())]], columns=[*names, "delay", "w", "sq"])
+        return delay, float(weight.sum()), float((weight[ok] * np.abs(unit[ok] - 1) ** 2).sum())
+
+    def baselines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([baseline(s) for s in batch.column("spectrum").to_pylist()]).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(x) for x in found.T)], [*names, "delay", "w", "sq"])
 
     def antennas(pdf: pd.DataFrame) -> pd.DataFrame:
         # Weighted least squares with the reference at zero.
@@ -177,8 +182,11 @@ def solve_delays(vis: DataFrame, channels: DataFrame, keys: list[str], n_ants: i
         return out[[*keys, "pol", "ant", "delay", "snr"]]
 
     # Channels are a dimension of the instrument: Spark broadcasts them where they are few.
-    cross = vis.where("ant1 <> ant2").join(channels.select("chan", "freq_hz"), "chan").select(*names, "freq_hz", "re", "im", "flags", "weight")
-    spectra = cross.groupBy(*names).applyInPandas(baseline, f"{kinds}pol string, ant1 int, ant2 int, delay double, w double, sq double")
+    weight = F.when((F.col("flags") == 0) & F.col("re").isNotNull() & F.col("im").isNotNull(), F.col("weight")).otherwise(0.0)
+    cross = vis.where("ant1 <> ant2").join(channels.select("chan", "freq_hz"), "chan")
+    cell = F.struct("freq_hz", F.col("re").cast("double").alias("re"), F.col("im").cast("double").alias("im"), weight.cast("double").alias("weight"))
+    rows = cross.groupBy(*names).agg(F.array_sort(F.collect_list(cell)).alias("spectrum"))
+    spectra = rows.mapInArrow(baselines, f"{kinds}pol string, ant1 int, ant2 int, delay double, w double, sq double")
     return spectra.groupBy(*keys, "pol").applyInPandas(antennas, f"{kinds}pol string, ant int, delay double, snr double")
 
 
