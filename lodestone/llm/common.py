@@ -34,12 +34,14 @@ def bound_batches(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (local tests) a temporary folder is used.
+    Where it is unset a local master gets a temporary folder; a cluster gets an error.
     """
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if path is None:
         path = spark.conf.get("lodestone.local.checkpoint.dir", None)
         if path is None:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             path = "file://" + tempfile.mkdtemp(prefix="lodestone-")
             spark.conf.set("lodestone.local.checkpoint.dir", path)
     return path.rstrip("/")
@@ -59,6 +61,44 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing will read again."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if folder.rsplit("/", 1)[0].rstrip("/").endswith(shared_dir(spark).split(":", 1)[-1].lstrip("/")):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows of 64 bits of ``hash_filter``: its size is bounded whatever the number of hashes.
+FILTER_ROWS = 1 << 18
+
+
+def hash_filter(hashes: DataFrame) -> DataFrame:
+    """(_place, _bits) of one column of 64-bit hashes: at most ``FILTER_ROWS`` rows, so it can be broadcast."""
+    (h,) = hashes.columns
+    bit = F.expr(f"shiftleft(1L, CAST(`{h}` & 63 AS INT))")
+    return hashes.select(F.pmod(F.shiftright(h, 6), F.lit(FILTER_ROWS)).alias("_place"), bit.alias("_bit")).groupBy("_place").agg(F.bit_or("_bit").alias("_bits"))
+
+
+def maybe_in(df: DataFrame, h: Column, bits: DataFrame) -> DataFrame:
+    """``df`` with ``_maybe``: false only where the hash isn't in the filter."""
+    rows = df.withColumn("_h", h).withColumn("_place", F.pmod(F.shiftright("_h", 6), F.lit(FILTER_ROWS)))
+    hit = F.coalesce(F.getbit("_bits", F.col("_h").bitwiseAND(F.lit(63)).cast("int")) == 1, F.lit(False))
+    return rows.join(F.broadcast(bits), "_place", "left").withColumn("_maybe", hit).drop("_h", "_place", "_bits")
+
+
+def without(df: DataFrame, keys: list[Column], gone: DataFrame) -> DataFrame:
+    """Rows whose keys aren't a row of ``gone``; only those that a bounded filter of hashes can't clear are shuffled."""
+    own, other = [f"_k{k}" for k in range(len(keys))], [f"_g{k}" for k in range(len(keys))]
+    bits = hash_filter(gone.select(F.xxhash64(*gone.columns).alias("h")))
+    marked = maybe_in(df.withColumns(dict(zip(own, keys, strict=True))), F.xxhash64(*own), bits)
+    same = [F.col(a) == F.col(b) for a, b in zip(own, other, strict=True)]
+    left = marked.where("_maybe").join(gone.toDF(*other), same, "left_anti")
+    return marked.where("NOT _maybe").unionByName(left).select(df.columns)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

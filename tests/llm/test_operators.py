@@ -620,13 +620,18 @@ def test_jaccard_join_large_group_in_blocks(spark, monkeypatch):
     assert setjoin.link_components(docs(spark, texts).limit(0), 3, 90, 100).count() == 0
 
 
-@pytest.mark.parametrize("counts", [1, 10**7])
-def test_similar_sets_share_a_signature(counts):
-    """Both allocations: whole segments (few nodes) and one-deletion neighbourhoods (many)."""
+@pytest.mark.parametrize("kind", [1, 10**9, "deletions", "mixed"])
+def test_similar_sets_share_a_signature(kind):
+    """All allocations: whole segments with and without empty ones, and one-deletion neighbourhoods."""
     rng = np.random.default_rng(9)
     bands = setjoin.Bands(90, 100)
-    bands = bands.allocate(dict.fromkeys(range(20), counts))
-    assert (counts == 1) == (bands.segments(12)[1] == 0)
+    if isinstance(kind, str):
+        most = {b: bands.differences(b) for b in range(20)}
+        bands = setjoin.Bands(90, 100, {b: ((h + 3) % 2, (h + 3) // 2, 3) if kind == "deletions" else (h - 2 * (h // 3) + 2, h // 3, 2) for b, h in most.items()})
+    else:
+        bands = bands.allocate(dict.fromkeys(range(20), kind))
+        assert (kind > 1) == any(bands.segments(b)[2] > 1 for b in range(20))
+    assert all(w + 2 * d == bands.differences(b) + c for b in range(20) for w, d, c in [bands.segments(b)])
     for _ in range(300):
         n = int(rng.integers(9, 300))
         a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
@@ -639,13 +644,62 @@ def test_similar_sets_share_a_signature(counts):
                 assert len(np.intersect1d(bands.signatures(a), bands.signatures(b)))
 
 
+def test_empty_segments_are_indexed_where_they_must_be():
+    """Two sets that agree in as many empty segments as the slack allows, and in others."""
+    for slack in (1, 3, 8):
+        whole = 20 + slack
+        for n in range(1, 60):
+            tokens = np.arange(n, dtype=np.uint64) * np.uint64(977)
+            got = setjoin.Bands._signatures(tokens, 5, whole, 0, slack)
+            every = setjoin.Bands._signatures(tokens, 5, whole, 0, 1)
+            # 0 < empties < slack: the empty ones are left out, and at least whole - slack + 1 stay.
+            assert set(got.tolist()) <= set(every.tolist()) and len(got) >= whole - slack + 1
+
+
 def test_sketch_never_exceeds_the_difference():
     rng = np.random.default_rng(2)
     for n in (5, 50, 500, 5000):
         a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
-        b = np.unique(np.concatenate([a[n // 10 :], rng.integers(0, 2**63, 3).astype(np.uint64)]))
-        x, y = (np.frombuffer(setjoin.sketch(s), np.uint8) for s in (a, b))
-        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+        b = np.unique(np.concatenate([a[n // 10 :], rng.integers(0, 2**63, 3 + n // 4).astype(np.uint64)]))
+        x, y = setjoin._sketch_rows([setjoin.sketch(s) for s in (a, b)])
+        apart = int(np.bitwise_count(x ^ y).sum())
+        assert apart <= len(np.setxor1d(a, b))
+        other = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        x, y = setjoin._sketch_rows([setjoin.sketch(s) for s in (a, other)])
+        # Unrelated sets are told apart at every size.
+        assert int(np.bitwise_count(x ^ y).sum()) * 180 > 20 * (len(a) + len(other))
+
+
+def test_pairs_grow_with_the_rows(spark, monkeypatch):
+    """Edited copies near the threshold: what is verified grows in proportion, and every link is found."""
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(1500)]
+    seen = []
+    verify = setjoin.verify
+    monkeypatch.setattr(setjoin, "verify", lambda pairs, *a: (seen.append(pairs.count()), verify(pairs, *a))[1])
+
+    def pairs(n):
+        seen.clear()
+        texts = []
+        for _ in range(n):
+            w = list(base)
+            for at in rng.sample(range(1500), rng.randrange(5, 45)):
+                w[at] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(w))
+        got = {r.doc_id: r.component_id for r in setjoin.link_components(docs(spark, texts), 5, 80, 100).collect()}
+        assert [got[i] for i in range(n)] == _components(_sets(texts, 5), 80, 100)
+        return sum(seen)
+
+    assert pairs(30) <= 90 and pairs(120) <= 360
+
+
+def test_jaccard_join_of_repeated_and_null_ids(spark):
+    base = [f"w{k}" for k in range(60)]
+    near = " ".join(base + ["end"])
+    rows = [(5, " ".join(base)), (5, "another text under the same id"), (None, near), (None, "alone"), (7, near), (7, near), (9, "another text under the same id")]
+    frame = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, node int, fp1 int")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in setjoin.link_components(frame, 3, 90, 100).collect()), key=str)
+    assert got == sorted([(5, 58, 5), (5, 4, 5), (None, 59, 5), (None, 1, None), (7, 59, 5), (7, 59, 5), (9, 4, 5)], key=str)
 
 
 # --- op10 -----------------------------------------------------------------------------------------
