@@ -6,7 +6,8 @@ sequences of their own.  The rest is packed in rounds: every partition packs its
 best-fit (longest first, into the fullest sequence with room), emits the sequences that
 are nearly full, and hands the underfull ones up as items.  Groups of ``FAN_IN``
 partitions merge in each round, until one group is left or every group would hold more
-than ``GROUP_ITEMS`` items; then the last groups emit all.  A sequence has at most as many
+than ``GROUP_ITEMS`` items; then the last groups emit all, which leaves at most about one
+sequence of each such group less than nearly full (figures in the README).  A sequence has at most as many
 pieces as tokens, so an item's row is bounded; a partition packs ``GROUP_ITEMS`` items at a
 time, so a task is bounded too.
 
@@ -149,7 +150,7 @@ def pack(docs: DataFrame, name: str = BYTE_FILE, length: int = LENGTH, end_id: i
             break
         least = -(-left // GROUP_ITEMS)
         groups = max(least, min(-(-groups // FAN_IN), -(-left // 500)))
-        last = groups == least or len(rounds) == 14
+        last = groups == least
         rounds.append(materialize(_next_round(rest, groups, len(rounds), length, slack, last), "packed"))
         if last:
             break

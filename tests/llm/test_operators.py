@@ -162,6 +162,16 @@ def test_best_fit_takes_the_fullest():
     assert sorted(f for f, _ in packing.best_fit(items, 100)) == [100, 100]
 
 
+def test_packing_of_ties_and_repeated_rows(spark):
+    rows = [(k % 4, "same text here") for k in range(40)] + [(None, None), (9, ""), (9, "")]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 43 and len({(r.sequence_id, r.offset) for r in got}) == 43
+    lengths = {r.sequence_id: 0 for r in got}
+    for r in got:
+        lengths[r.sequence_id] += r.length
+    assert len(lengths) == 1
+
+
 # --- op4 ------------------------------------------------------------------------------------------
 
 
@@ -803,3 +813,25 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(packed.columns) >= {"doc_id", "piece", "start", "length", "sequence_id", "offset"}
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == set(kept[3])
     assert packed.where(F.col("length") > 2048).count() == 0
+
+
+def test_pipeline_of_an_empty_table_and_of_clashing_columns(spark, tmp_path):
+    import corpus_pipeline as p
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, component_id int, text_hash string, t string, gone_id int"
+    texts = [" ".join(f"k{chr(97 + j % 26)}lo{chr(97 + j // 26)}" for j in range(90)) + f" {k}" for k in range(6)]
+    rows = [(k, t, "aa", "s", len(t), 7, "h", "t", 1) for k, t in enumerate(texts)]
+    rows += [(1, "quite other words under an id given twice " * 9, "aa", "s", 1, 7, "h", "t", 1), rows[0], (7, None, None, None, None, None, None, None, None)]
+    spark.createDataFrame([(0, "an item that no document holds")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, table in (("full", rows), ("empty", [])):
+        d = spark.createDataFrame(table, schema)
+        for _, stage in p.STAGES[:-1]:
+            d = stage(spark, d, str(tmp_path))
+            assert d.columns == schema.replace(",", "").split()[::2]
+            d.write.parquet(str(tmp_path / f"{name}-{stage.__name__}"))
+            d = spark.read.parquet(str(tmp_path / f"{name}-{stage.__name__}"))
+        packed = p.STAGES[-1][1](spark, d, str(tmp_path)).collect()
+        if name == "full":  # texts 1 to 5 are near copies of 0; the other text under id 1 stays
+            assert sorted(r.doc_id for r in packed) == [0, 0, 1]
+        else:
+            assert packed == []
