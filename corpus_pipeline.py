@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import decontam, langid, packing, secrets, setjoin
-from lodestone.llm.common import materialize, table
+from lodestone.llm.common import materialize, table, without
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,13 +28,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     linked = setjoin.link_components(docs, 5, 80, 100)
-    gone = linked.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    # By text as well: of rows that share a doc_id only those with the copied text go.
+    gone = materialize(linked.where("component_id <> doc_id").select("doc_id", "text_hash").distinct(), "gone")
+    return without(docs, [docs["doc_id"], F.xxhash64(F.coalesce(docs["text"], F.lit("")))], gone)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     leaks = decontam.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    gone = materialize(leaks.select("doc_id").distinct(), "leaks")
+    return without(docs, [docs["doc_id"]], gone)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
