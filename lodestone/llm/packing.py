@@ -102,7 +102,7 @@ def _first_round(docs: DataFrame, name: str, length: int, end_id: int, slack: in
         enc = encoder(name)
         packer = _Packer(TaskContext.get().partitionId() << 40, length, slack, False)
         waiting: list[Item] = []
-        for b in byte_slices(batches, "t"):
+        for b in byte_slices(batches, "t", 1 << 20):
             ids, sizes = enc.encode(b.column("t"))
             full, at = [], 0
             for doc_id, n in zip(b.column("doc_id").to_pylist(), sizes.tolist(), strict=True):
