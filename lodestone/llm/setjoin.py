@@ -74,6 +74,11 @@ class _Words(dict):
 _WORDS = _Words()
 
 
+def forget_words() -> None:
+    """Free the word cache at the end of a task: its worker lives on."""
+    _WORDS.clear()
+
+
 def shingles(text: str, k: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word k-shingles; only A-Z are lower-cased."""
     known = _WORDS
@@ -203,7 +208,7 @@ def describe(docs: DataFrame, k: int) -> DataFrame:
                 sketches.append(sketch(tokens))
             both = np.frombuffer(b"".join(prints), dtype=np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]), b.column("text_hash"), pa.array(sketches, pa.binary())], ["doc_id", "n", "fp1", "fp2", "text_hash", "sketch"])
-        _WORDS.clear()  # a worker lives on
+        forget_words()
 
     rows = docs.select("doc_id", text_or_empty().alias("t")).withColumn("text_hash", F.xxhash64("t"))
     return rows.mapInArrow(run, "doc_id long, n long, fp1 long, fp2 long, text_hash long, sketch binary")
@@ -227,7 +232,7 @@ def sign(docs: DataFrame, k: int, bands: Bands) -> DataFrame:
                 sigs.append(bands.signatures(tokens).view(np.int64))
                 prints.append(np.full(len(sigs[-1]), np.frombuffer(name, dtype=np.int64)[0]))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(prints))], ["sig", "fp1"])
-        _WORDS.clear()  # a worker lives on
+        forget_words()
 
     return docs.select(text_or_empty().alias("t")).mapInArrow(run, "sig long, fp1 long")
 
@@ -245,7 +250,7 @@ def node_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
         for b in byte_slices(batches, "t", 4 << 20):
             sets = [shingles(t, k) for t in b.column("t").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("own"), b.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["own", "text_hash", "n", "tokens"])
-        _WORDS.clear()  # a worker lives on
+        forget_words()
 
     sets = rows.mapInArrow(run, "own long, text_hash long, n long, tokens binary").withColumnsRenamed({"own": "_own", "text_hash": "_hash"})
     same = F.col("_own").eqNullSafe(F.col("own")) & (F.col("_hash") == F.col("text_hash"))
