@@ -93,16 +93,28 @@ def unpack_bits(stored: bytes) -> np.ndarray:
 def _number(symbols: np.ndarray, at: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
     """(pairs at ``at`` that are frequent there, each place's number among them from ``first`` on, -1 for others)."""
     keys = symbols[at].astype(np.int64) << 32 | symbols[at + 1]
-    hashed = ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).view(np.int64)
+    number = np.full(len(keys), -1, np.int32)
     # Only pairs in a frequent hashed bucket can be frequent.
+    hashed = _bucket(keys)
     some = np.flatnonzero((np.bincount(hashed, minlength=1 << 20) >= LEAST_COUNT)[hashed]) if len(keys) > 1 << 14 else np.arange(len(keys))
-    pairs, which, counts = np.unique(keys[some], return_inverse=True, return_counts=True)
-    often = counts >= LEAST_COUNT
-    named = np.full(len(pairs), -1, np.int32)
-    named[often] = first + np.arange(int(often.sum()))
-    number = np.full(len(keys), -1, np.int32)
-    number[some] = named[which]
-    return pairs[often], number
+    keys, hashed = keys[some], hashed[some]
+    ordered = np.sort(keys)
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
+    pairs = ordered[starts[np.diff(starts, append=len(ordered)) >= LEAST_COUNT]]
+    if len(pairs):
+        # Looked up by hash, and by search where two frequent pairs have one.
+        place = np.zeros(1 << 20, np.int32)
+        place[_bucket(pairs)] = np.arange(len(pairs))
+        which = place[hashed]
+        miss = np.flatnonzero(pairs[which] != keys)
+        which[miss] = np.minimum(np.searchsorted(pairs, keys[miss]), len(pairs) - 1)
+        number[some] = np.where(pairs[which] == keys, which + first, -1)
+    return pairs, number
+
+
+def _bucket(keys: np.ndarray) -> np.ndarray:
+    """A 20-bit hash."""
+    return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).view(np.int64)
 
 
 def compress(ids: np.ndarray) -> Grammar:
@@ -111,8 +123,8 @@ def compress(ids: np.ndarray) -> Grammar:
     Counts of pairs only fall, but for pairs with a new symbol: pairs are numbered once, a
     rare one (-1) stays rare, and after a pass only the pairs beside new symbols are looked up.
     """
-    terms, symbols = np.unique(ids, return_inverse=True)
-    symbols = symbols.astype(np.int32)
+    seen = np.bincount(ids, minlength=1) > 0
+    terms, symbols = np.flatnonzero(seen), (np.cumsum(seen) - 1).astype(np.int32)[ids]
     lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     lengths = np.ones(len(terms), dtype=np.int64)
     number = np.full(len(symbols), -1, np.int32)
