@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import decontam, html, langid, media, packing, repair, secrets, setjoin, tokens, urlrules
+from lodestone.llm import clustering, decontam, html, langid, media, packing, repair, resampling, secrets, setjoin, suffixes, tokens, urlrules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": urlrules.op8_url_filter,
         "op9_jaccard_join": setjoin.op9_jaccard_join,
         "op10_token_id_files": repair.op10_token_id_files,
+        "op11_suffix_dedup": suffixes.op11_suffix_dedup,
+        "op12_importance_resampling": resampling.op12_importance_resampling,
+        "op13_centroid_clusters": clustering.op13_centroid_clusters,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_filter": urlrules.ORACLE, "op9_jaccard_join": setjoin.ORACLE}
+    return {
+        "op8_url_filter": urlrules.ORACLE,
+        "op9_jaccard_join": setjoin.ORACLE,
+        "op11_suffix_dedup": suffixes.ORACLE,
+        "op12_importance_resampling": resampling.ORACLE,
+        "op13_centroid_clusters": clustering.ORACLE,
+    }
