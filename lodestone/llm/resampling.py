@@ -52,20 +52,22 @@ def bucket_of(feature: Column, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.crc32(feature), F.lit(buckets)).cast("int")
 
 
-def _features(texts: DataFrame, *keys: str | Column, orders: int, buckets: int, outer: bool) -> DataFrame:
-    """Keys and a bucket for each feature of ``text``."""
+def _features(texts: DataFrame, *keys: str | Column, orders: int, buckets: int) -> DataFrame:
+    """Keys and a bucket for each feature of ``text``; a null one for texts without.
+
+    ``explode`` would have Spark filter by the array's size first and so make every array twice.
+    """
     words = texts.select(*keys, words_of(text_or_empty()).alias("_w"))
     kept = [c for c in words.columns if c != "_w"]
     grams = words.select(*kept, F.size("_w").alias("n_words"), n_grams(F.col("_w"), orders).alias("_g"))
-    explode = F.explode_outer if outer else F.explode
-    return grams.select(*kept, "n_words", explode("_g").alias("_f")).select(*kept, "n_words", bucket_of(F.col("_f"), buckets).alias("bucket"))
+    return grams.select(*kept, "n_words", F.explode_outer("_g").alias("_f")).select(*kept, "n_words", bucket_of(F.col("_f"), buckets).alias("bucket"))
 
 
 def gain_table(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS, orders: int = ORDERS) -> DataFrame:
     """(bucket, s, t, gain): at most ``buckets`` rows, those that the corpus or the target has."""
-    sides = [_features(x, F.lit(k).alias("side"), orders=orders, buckets=buckets, outer=False) for x, k in ((docs, 0), (target, 1))]
+    sides = [_features(x, F.lit(k).alias("side"), orders=orders, buckets=buckets) for x, k in ((docs, 0), (target, 1))]
     count = lambda k: F.sum((F.col("side") == k).cast("long"))
-    counts = materialize(sides[0].unionByName(sides[1]).groupBy("bucket").agg(count(0).alias("s"), count(1).alias("t")), "buckets")
+    counts = materialize(sides[0].unionByName(sides[1]).where("bucket IS NOT NULL").groupBy("bucket").agg(count(0).alias("s"), count(1).alias("t")), "buckets")
     total = counts.agg(F.coalesce(F.sum("s"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))).first()
     part = lambda own, other: (F.col(own) + 1).cast("double") * F.lit(float(other + buckets))
     return counts.withColumn("gain", F.floor(1000 * F.log(part("t", total[0]) / part("s", total[1]))))
@@ -74,7 +76,7 @@ def gain_table(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS, order
 def weigh(docs: DataFrame, gains: DataFrame, buckets: int = BUCKETS, orders: int = ORDERS, seed: int = SEED) -> DataFrame:
     """Per row: _row (its number), doc_id, n_words, n_features, weight, score."""
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
-    found = _features(rows, "_row", "doc_id", orders=orders, buckets=buckets, outer=True)
+    found = _features(rows, "_row", "doc_id", orders=orders, buckets=buckets)
     # No more rows than buckets.
     joined = found.join(F.broadcast(gains.select("bucket", "gain")), "bucket", "left")
     sums = joined.groupBy("_row", "doc_id", "n_words").agg(F.count("bucket").alias("n_features"), F.coalesce(F.sum("gain"), F.lit(0)).alias("gains"))
