@@ -2,15 +2,18 @@
 
 Pass 1 parses every page, hashes the subtree of each block element (tag, class, id and
 content) and counts in Spark with how many distinct articles of a host each hash occurs, so
-copies of one article count once.  A hash with n of a host's m articles is the host's template if
-n > 1 + sqrt(m): all of three, four of five, a tenth of a hundred, and ever less of larger hosts.
-Pass 2 parses again and deletes template subtrees wherever they stand.  Of the rest it keeps the
-article: the ``article`` (else ``main``, else ``body``) elements without menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and reader comments, which differ from page to
-page or stand on hosts of one or two articles.  Where the template has more than half of an
-article's text, the article is taken for an edited copy, and only what recurs with
-n >= ``COPIES`` + ``COPY_SHARE`` * m articles is deleted from it.  What holds the article is never
-deleted.
+copies of one article count once.  A hash with n of a host's m articles is template
+
+* on pages without an ``article`` (or ``main``) element if n > 1 + sqrt(m): all of three, four of five;
+* inside an article if n >= ``INSIDE`` + ``INSIDE_SHARE`` * m, whatever the size of the host: a sentence that
+  many articles happen to share stays, a notice in half of them goes.  Where that has more than half of an
+  article's text, the article is taken for an edited copy, and only what recurs with
+  n >= ``COPIES`` + ``COPY_SHARE`` * m articles is deleted from it.
+
+Pass 2 parses again and deletes template subtrees.  Of the rest it keeps the article: the ``article``
+(else ``main``, else ``body``) elements without menus, headers, footers, sidebars, notices,
+adverts, forms, scripts, styles and reader comments, which differ from page to page or stand on
+hosts of a few articles.  What holds the article is never deleted.
 
 The template table is written first, so Spark broadcasts it only when it is small and
 otherwise joins by host, where a hot host's partition is split.
@@ -33,6 +36,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import byte_slices, materialize, table
 from lodestone.llm.urlrules import url_parts
 
+INSIDE, INSIDE_SHARE = 4, 0.4
 COPIES, COPY_SHARE = 8, 0.6
 
 _TOKEN = re.compile(
@@ -160,19 +164,22 @@ def block_hashes(root: Node) -> set[int]:
     return {x.hash for x, leaving in _walk(root) if not leaving and x.children and x.tag not in _INLINE and x.tag not in ("#root", "html", "head", "body")}
 
 
-def main_text(root: Node, template: frozenset[int] | set[int] = frozenset(), main_template: frozenset[int] | set[int] = frozenset()) -> str:
-    """Blocks of the article joined by line ends."""
+Hashes = frozenset[int] | set[int]
+
+
+def main_text(root: Node, template: Hashes = frozenset(), inside: Hashes = frozenset(), strong: Hashes = frozenset()) -> str:
+    """Blocks of the article joined by line ends; the templates are those of pages without one, of articles, and of edited copies."""
     tags = {x.tag for x, leaving in _walk(root) if not leaving and not x.dropped}
     main = next((t for t in ("article", "main") if t in tags), None)
-    text, deleted = _text_without(root, main, template)
+    text, deleted = _text_without(root, main, inside if main else template)
     if main and deleted:
-        whole, _ = _text_without(root, main, main_template)
+        whole, _ = _text_without(root, main, strong)
         if 2 * len(text) < len(whole):
             return whole
     return text
 
 
-def _text_without(root: Node, main: str | None, template: frozenset[int] | set[int]) -> tuple[str, bool]:
+def _text_without(root: Node, main: str | None, template: Hashes) -> tuple[str, bool]:
     """Text of the ``main`` elements (None: of the page) without the template, and whether any was deleted."""
     deleted = False
     blocks: list[str] = []
@@ -232,13 +239,17 @@ def count_subtrees(pages: DataFrame) -> DataFrame:
     return pages.select("host", "html").mapInArrow(run, "host string, hash long, article long").groupBy("host", "hash").agg(F.count_distinct("article").alias("n"))
 
 
+_SETS = ("template", "inside", "strong")
+
+
 def site_templates(counts: DataFrame) -> DataFrame:
-    """(host, template array<long>, main_template array<long>)."""
+    """(host, template, inside, strong), each an array<long>."""
     sizes = counts.where("hash = -1").select("host", F.col("n").alias("articles"))
-    many = counts.where("hash >= 0").join(sizes, "host").where(F.col("n") > 1 + F.sqrt("articles"))
-    strong = F.col("n") >= COPIES + COPY_SHARE * F.col("articles")
-    # A host's list grows with the root of its articles: each entry is with more than sqrt(articles) of them.
-    return many.groupBy("host").agg(F.collect_list("hash").alias("template"), F.collect_list(F.when(strong, F.col("hash"))).alias("main_template"))
+    at_least = lambda least, share: F.col("n") >= least + share * F.col("articles")
+    rules = (F.col("n") > 1 + F.sqrt("articles"), at_least(INSIDE, INSIDE_SHARE), at_least(COPIES, COPY_SHARE))
+    many = counts.where("hash >= 0").join(sizes, "host").where(rules[0] | rules[1])
+    # A host's lists grow with the root of its articles: each entry is with more than sqrt(articles) of them.
+    return many.groupBy("host").agg(*(F.collect_list(F.when(r, F.col("hash"))).alias(c) for c, r in zip(_SETS, rules, strict=True)))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -250,22 +261,22 @@ def extract(pages: DataFrame) -> DataFrame:
     templates = materialize(site_templates(counts), "templates")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[set[int], set[int]]] = {}
+        known: dict[str, list[set[int]]] = {}
         for b in byte_slices(batches, "html"):
             texts = []
-            hosts, drops, strong = b.column("host").to_pylist(), b.column("template"), b.column("main_template")
+            hosts = b.column("host").to_pylist()
             for k, page in enumerate(b.column("html").to_pylist()):
                 if hosts[k] not in known:
                     if len(known) > 1000:
                         known.clear()
-                    known[hosts[k]] = (set(drops[k].as_py() or ()), set(strong[k].as_py() or ()))
+                    known[hosts[k]] = [set(b.column(c)[k].as_py() or ()) for c in _SETS]
                 root = parse(page)
                 hash_subtrees(root)
                 texts.append(main_text(root, *known[hosts[k]]))
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    joined = rows.join(templates, "host", "left").select("page_id", "url", "host", "html", "template", "main_template")
+    joined = rows.join(templates, "host", "left").select("page_id", "url", "host", "html", *_SETS)
     out = joined.mapInArrow(run, f"page_id {kind}, url string, text string")
     return out.withColumn("n_chars", F.length("text").cast("long"))
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import byte_slices, table
+from lodestone.llm.common import byte_slices, give_back, table
 
 #: The fit: labelled texts per language, length from which a text is a last resort, bytes of a language's dictionary.
 SAMPLE, SHORT, DICT_BYTES = 256, 4096, 64 << 10
@@ -129,6 +129,7 @@ def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], margin: flo
         model = Classifier(shared.value)
         for b in byte_slices(batches, text_column):
             yield b.filter(pa.array([not model.predict(t, margin)[2] for t in b.column(text_column).to_pylist()], pa.bool_()))
+            give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

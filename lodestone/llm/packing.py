@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import byte_slices, materialize, partitions, table, text_or_empty
+from lodestone.llm.common import byte_slices, give_back, materialize, partitions, ranges, table, text_or_empty
 from lodestone.llm.tokens import BYTE_FILE, encoder
 
 LENGTH, END_ID = 2048, 0
@@ -42,116 +43,155 @@ _PIECE = "doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint"
 _ITEM = f"seq long, fill int, pieces array<struct<{_PIECE}>>"
 _ARROW_PIECES = pa.list_(pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]))
 
-Item = tuple[int, list[dict]]
-
-
-def best_fit(items: list[Item], length: int = LENGTH) -> list[Item]:
-    """Pack (fill, pieces) items, longest first, each into the fullest sequence with room."""
-    items = sorted(items, key=lambda x: (-x[0], *((p["doc_id"] or 0, p["start"], p["ids_crc32"]) for p in x[1][:1])))
-    open_by_room: list[list[list]] = [[] for _ in range(length + 1)]
+def best_fit(fills: Iterable[int], length: int = LENGTH) -> np.ndarray:
+    """The sequence of each item, taken in the order given, each into the fullest sequence with room."""
+    open_by_room: list[list[int]] = [[] for _ in range(length + 1)]
     rooms = 0  # bit r: some sequence has r free places
-    bins: list[list] = []
-    for fill, pieces in items:
+    number, out = 0, []
+    for fill in fills:
         fitting = rooms >> fill
         if fitting:
             room = fill + (fitting & -fitting).bit_length() - 1
             found = open_by_room[room].pop()
             if not open_by_room[room]:
                 rooms &= ~(1 << room)
-            found[0] += fill
-            found[1].extend(pieces)
+            room -= fill
         else:
-            found = [fill, list(pieces)]
-            bins.append(found)
-        room = length - found[0]
+            found, room = number, length - fill
+            number += 1
         if room:
             open_by_room[room].append(found)
             rooms |= 1 << room
-    return [(fill, pieces) for fill, pieces in bins]
+        out.append(found)
+    return np.array(out, dtype=np.int64)
 
 
-def _batch(rows: list[tuple[int | None, int, list[dict]]]) -> pa.RecordBatch:
-    seq, fill, pieces = zip(*rows, strict=True) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(seq, pa.int64()), pa.array(fill, pa.int32()), pa.array(pieces, _ARROW_PIECES)], ["seq", "fill", "pieces"])
+class Pieces(NamedTuple):
+    """Columns of pieces; ``doc_id`` is 0 where ``no_id``."""
 
+    doc_id: np.ndarray
+    no_id: np.ndarray
+    piece: np.ndarray
+    start: np.ndarray
+    length: np.ndarray
+    ids_crc32: np.ndarray
+
+    def take(self, at: np.ndarray) -> Pieces:
+        return Pieces(*(x[at] for x in self))
 
-class _Packer:
-    """Packs items of one task, ``GROUP_ITEMS`` at a time, and numbers what is emitted."""
 
-    def __init__(self, base: int, length: int, slack: int, last: bool):
-        self.next, self.length, self.slack, self.last = base, length, slack, last
+def _joined(parts: list[Pieces]) -> Pieces:
+    return Pieces(*(np.concatenate(x) for x in zip(*parts, strict=True)))
 
-    def emit(self, fill: int, pieces: list[dict]) -> tuple[int, int, list[dict]]:
-        self.next += 1
-        return self.next, fill, pieces
 
-    def pack(self, items: list[Item]) -> pa.RecordBatch:
-        full = self.length - self.slack
-        return _batch([self.emit(f, p) if self.last or f >= full else (None, f, p) for f, p in best_fit(items, self.length)])
+def pieces_of(doc_ids: pa.Array, ids: np.ndarray, sizes: np.ndarray, length: int = LENGTH) -> Pieces:
+    """Cut documents (``sizes`` of the flat ``ids``, the end id of each among them)."""
+    n = -(-sizes // length)
+    owner = np.repeat(np.arange(len(sizes)), n)
+    piece = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    first = (sizes - 1) % length + 1
+    start = np.where(piece > 0, first[owner] + (piece - 1) * length, 0)
+    own = np.where(piece > 0, length, first[owner])
+    at = (np.cumsum(sizes) - sizes)[owner] + start
+    flat = np.ascontiguousarray(ids, dtype="<u4")
+    crc = np.array([zlib.crc32(flat[a:b]) for a, b in zip(at.tolist(), (at + own).tolist(), strict=True)], dtype=np.int64)
+    no_id = np.asarray(doc_ids.is_null())
+    return Pieces(np.asarray(doc_ids.fill_null(0))[owner], no_id[owner], piece.astype(np.int32), start, own, crc)
 
 
-def pieces_of(doc_id: int | None, ids: np.ndarray, length: int = LENGTH) -> list[dict]:
-    """Cut a document's ids (with the end id)."""
-    first = len(ids) % length or length
-    edges = [0, *range(first, len(ids) + 1, length)]
-    return [{"doc_id": doc_id, "piece": k, "start": a, "length": b - a, "ids_crc32": zlib.crc32(ids[a:b])} for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
+def _batch(seq: np.ndarray, fill: np.ndarray, sizes: np.ndarray, pieces: Pieces) -> pa.RecordBatch:
+    """Rows of sequences; a negative number stands for none."""
+    kinds = [f.type for f in _ARROW_PIECES.value_type]
+    own = [pa.array(pieces.doc_id, kinds[0], mask=pieces.no_id), *(pa.array(x, k) for x, k in zip(pieces[2:], kinds[1:], strict=True))]
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.StructArray.from_arrays(own, fields=list(_ARROW_PIECES.value_type)))
+    return pa.RecordBatch.from_arrays([pa.array(seq, pa.int64(), mask=seq < 0), pa.array(fill, pa.int32()), lists], ["seq", "fill", "pieces"])
 
 
-def _first_round(docs: DataFrame, name: str, length: int, end_id: int, slack: int) -> DataFrame:
+class _Packer:
+    """Packs the items of one task, ``GROUP_ITEMS`` or a few more at a time, and numbers what is emitted."""
+
+    def __init__(self, base: int, length: int, slack: int, last: bool, most: int):
+        self.next, self.length, self.slack, self.last, self.most = base, length, slack, last, most
+        self.waiting: list[tuple[np.ndarray, Pieces]] = []
+        self.n = 0
+
+    def numbers(self, n: int) -> np.ndarray:
+        self.next += n
+        return np.arange(self.next - n, self.next)
+
+    def add(self, sizes: np.ndarray, pieces: Pieces) -> Iterator[pa.RecordBatch]:
+        """Items of ``sizes`` pieces each; packed when there are enough."""
+        self.waiting.append((sizes, pieces))
+        self.n += len(sizes)
+        if self.n >= self.most:
+            yield from self.pack()
+
+    def pack(self) -> Iterator[pa.RecordBatch]:
+        if not self.n:
+            return
+        sizes, pieces = np.concatenate([s for s, _ in self.waiting]), _joined([p for _, p in self.waiting])
+        self.waiting, self.n = [], 0
+        first = np.cumsum(sizes) - sizes
+        fill = np.add.reduceat(pieces.length, first)
+        # Longest first, equal ones by the first piece.
+        order = np.lexsort((pieces.ids_crc32[first], pieces.start[first], pieces.doc_id[first], -fill))
+        which = best_fit(fill[order].tolist(), self.length)
+        order = order[np.argsort(which, kind="stable")]
+        which.sort()
+        total, counts = (np.bincount(which, x[order]).astype(np.int64) for x in (fill, sizes))
+        done = np.ones(len(total), bool) if self.last else total >= self.length - self.slack
+        seq = np.full(len(total), -1)
+        seq[done] = self.numbers(int(done.sum()))
+        yield _batch(seq, total, counts, pieces.take(ranges(first[order], sizes[order])))
+
+
+def _first_round(docs: DataFrame, name: str, length: int, end_id: int, slack: int, most: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(name)
-        packer = _Packer(TaskContext.get().partitionId() << 40, length, slack, False)
-        waiting: list[Item] = []
+        packer = _Packer(TaskContext.get().partitionId() << 40, length, slack, False, most)
         for b in byte_slices(batches, "t", 1 << 20):
             ids, sizes = enc.encode(b.column("t"))
-            full, at = [], 0
-            for doc_id, n in zip(b.column("doc_id").to_pylist(), sizes.tolist(), strict=True):
-                own = np.empty(n + 1, dtype="<u4")
-                own[:n], own[n] = ids[at : at + n], end_id
-                at += n
-                for p in pieces_of(doc_id, own, length):
-                    if p["length"] == length:
-                        full.append(packer.emit(length, [p]))
-                    else:
-                        waiting.append((p["length"], [p]))
-            yield _batch(full)
-            if len(waiting) >= GROUP_ITEMS:
-                yield packer.pack(waiting)
-                waiting = []
-        yield packer.pack(waiting)
-
-    return docs.select("doc_id", text_or_empty().alias("t")).mapInArrow(run, _ITEM)
-
-
-def _next_round(items: DataFrame, groups: int, number: int, length: int, slack: int, last: bool) -> DataFrame:
+            p = pieces_of(b.column("doc_id"), np.insert(ids, np.cumsum(sizes), end_id), sizes + 1, length)
+            full = p.length == length
+            n = int(full.sum())
+            yield _batch(packer.numbers(n), np.full(n, length), np.ones(n, np.int64), p.take(full))
+            yield from packer.add(np.ones(len(full) - n, np.int64), p.take(~full))
+            give_back()
+        yield from packer.pack()
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("t")).mapInArrow(run, _ITEM)
+
+
+def _next_round(items: DataFrame, groups: int, number: int, length: int, slack: int, last: bool, most: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer(number << 58 | TaskContext.get().partitionId() << 40, length, slack, last)
-        waiting: list[Item] = []
+        packer = _Packer(number << 58 | TaskContext.get().partitionId() << 40, length, slack, last, most)
         for b in batches:
-            waiting += zip(b.column("fill").to_pylist(), b.column("pieces").to_pylist(), strict=True)
-            if len(waiting) >= GROUP_ITEMS:
-                yield packer.pack(waiting)
-                waiting = []
-        yield packer.pack(waiting)
+            lists = b.column("pieces")
+            flat = lists.flatten()
+            doc_id, *rest = (flat.field(f.name) for f in _ARROW_PIECES.value_type)
+            pieces = Pieces(np.asarray(doc_id.fill_null(0)), np.asarray(doc_id.is_null()), *(np.asarray(x) for x in rest))
+            yield from packer.add(np.asarray(lists.value_lengths()).astype(np.int64), pieces)
+        yield from packer.pack()
+        give_back()
 
     # An item's first piece names it, so a repeated task gets the same items; they are sorted before packing.
     key = F.xxhash64(F.lit(number), F.col("pieces")[0]["doc_id"], F.col("pieces")[0]["start"])
     return items.select("fill", "pieces").repartition(groups, key).mapInArrow(run, _ITEM)
 
 
-def pack(docs: DataFrame, name: str = BYTE_FILE, length: int = LENGTH, end_id: int = END_ID, slack: int = SLACK) -> DataFrame:
+def pack(docs: DataFrame, name: str = BYTE_FILE, length: int = LENGTH, end_id: int = END_ID, slack: int = SLACK, group_items: int = GROUP_ITEMS) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    rounds = [materialize(_first_round(docs, name, length, end_id, slack), "packed")]
+    rounds = [materialize(_first_round(docs, name, length, end_id, slack, group_items), "packed")]
     groups = partitions(docs.sparkSession) * FAN_IN
     while True:
         rest = rounds[-1].where("seq IS NULL")
         left = rest.count()
         if not left:
             break
-        least = -(-left // GROUP_ITEMS)
+        least = -(-left // group_items)
         groups = max(least, min(-(-groups // FAN_IN), -(-left // 500)))
         last = groups == least
-        rounds.append(materialize(_next_round(rest, groups, len(rounds), length, slack, last), "packed"))
+        rounds.append(materialize(_next_round(rest, groups, len(rounds), length, slack, last, group_items), "packed"))
         if last:
             break
     out = None

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import byte_slices, table, text_or_empty
+from lodestone.llm.common import byte_slices, give_back, table, text_or_empty
 
 _ASSIGN = re.compile(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -238,6 +238,7 @@ def redact(docs: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD, mas
             k = b.schema.get_field_index(text_column)
             texts = [t if t is None else clean(t) for t in b.column(k).to_pylist()]
             yield b.set_column(k, b.schema.field(k), pa.array(texts, b.schema.field(k).type))
+            give_back()
 
     return docs.mapInArrow(run, docs.schema)
 
