@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import bound_batches, byte_slices, materialize, partitions, scratch, table, text_or_empty
+from lodestone.llm.common import bound_batches, byte_slices, materialize, partitions, ranges, scratch, table, text_or_empty
 from lodestone.llm.tokens import gather
 
 WINDOW = 50
@@ -219,10 +219,10 @@ class Slice:
             if bucket in bits:
                 k = self.order[a:b]
                 flat = np.unpackbits(_opened(bits[bucket], np.uint8), count=int(count[k].sum())).view(bool)
-                hit[gather(np.arange(len(hit)), first[k], count[k])] = flat
+                hit[ranges(first[k], count[k])] = flat
         n = self.all.count
         gone = gather(hit, first[self.which], n) | np.repeat(self.owner > self.least[self.which], n)
-        at = (np.repeat(self.all.start - (np.cumsum(n) - n), n) + np.arange(n.sum()))[gone]
+        at = ranges(self.all.start, n)[gone]
         step = np.zeros(len(self.text) + 1, np.int32)
         step[at] += 1
         step[at + self.window] -= 1
@@ -251,23 +251,42 @@ class Family:
         self.levels.append(batch)
         while len(self.levels) > 1 and len(self.levels[-1].entry).bit_length() >= len(self.levels[-2].entry).bit_length():
             b, a = self.levels.pop(), self.levels.pop()
-            self.levels.append(sort_level(*(np.concatenate(x) for x in zip(a, b, strict=True))))
+            self.levels.append(merge(a, b))
 
     @staticmethod
     def _scan(batch: Level, level: Level) -> None:
-        """Mark equal anchors on both sides: equal high words first, then the low ones inside them."""
-        a, b = np.searchsorted(level.high, batch.high, "left"), np.searchsorted(level.high, batch.high, "right")
-        some = np.flatnonzero(b > a)
-        # A search for the low word between a and b, all anchors at once.
-        want, lo, hi = batch.low[some], a[some], b[some]
-        while (open_ := lo < hi).any():
-            mid = (lo + hi) // 2
-            less = open_ & (level.low[np.minimum(mid, len(level.low) - 1)] < want)
-            lo, hi = np.where(less, mid + 1, lo), np.where(open_ & ~less, mid, hi)
-        hit = lo < b[some]
-        hit[hit] = level.low[lo[hit]] == want[hit]
-        batch.met[some[hit]] = True
-        level.met[lo[hit]] = True
+        """Mark equal anchors on both sides."""
+        at = place(level, batch)
+        hit = at < len(level.high)
+        hit[hit] = (level.high[at[hit]] == batch.high[hit]) & (level.low[at[hit]] == batch.low[hit])
+        batch.met[hit] = True
+        level.met[at[hit]] = True
+
+
+def place(level: Level, batch: Level) -> np.ndarray:
+    """For each suffix of a sorted batch, how many of the level's come before it."""
+    lo, hi = np.searchsorted(level.high, batch.high, "left"), np.searchsorted(level.high, batch.high, "right")
+    # Between equal high words, a search for the low word.
+    open_ = np.flatnonzero(lo < hi)
+    while len(open_):
+        mid = (lo[open_] + hi[open_]) // 2
+        less = level.low[mid] < batch.low[open_]
+        lo[open_[less]], hi[open_[~less]] = mid[less] + 1, mid[~less]
+        open_ = open_[lo[open_] < hi[open_]]
+    return lo
+
+
+def merge(a: Level, b: Level) -> Level:
+    """One level of two."""
+    at = place(a, b) + np.arange(len(b.entry))
+    mine = np.ones(len(a.entry) + len(b.entry), bool)
+    mine[at] = False
+    out = []
+    for x, y in zip(a, b, strict=True):
+        both = np.empty(len(mine), x.dtype)
+        both[mine], both[at] = x, y
+        out.append(both)
+    return Level(*out)
 
 
 def sort_level(high: np.ndarray, low: np.ndarray, entry: np.ndarray, met: np.ndarray) -> Level:
@@ -319,8 +338,7 @@ class Bucket:
         n = self.count[chosen]
         if not len(n):
             return out
-        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        at = np.repeat(self.start[chosen], n) + within
+        at = ranges(self.start[chosen], n)
         doc = np.repeat(self.doc[chosen], n)
         h = _mix(words(self.text, at))
         for o in [*range(8, self.window - 8, 8), self.window - 8]:
@@ -343,7 +361,7 @@ class Bucket:
             for k, s in zip(mine, named, strict=True):
                 by[s] = min(by.get(s, doc[k]), doc[k])
             hit[mine] = [by[s] < doc[k] for k, s in zip(mine, named, strict=True)]
-        out[np.repeat((np.cumsum(self.count) - self.count)[chosen], n) + within] = hit
+        out[ranges((np.cumsum(self.count) - self.count)[chosen], n)] = hit
         return out
 
     def bits(self) -> Iterator[tuple[int, int, bytes]]:
