@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import cplx
-from lodestone.operators import average, model, pointing, report, solve
+from lodestone.operators import average, model, pointing, report, rfi, solve
 from lodestone.plans import pipeline, reduction
 from lodestone.queries import _r, query, sens, vis
 from lodestone.sources.scratch import shared_path, written
@@ -160,11 +160,19 @@ def report_snr(spark, sf):
     return report.snr_table(rows).select("product", "time", "pol", *(_r(q).alias(q) for q in ("q25", "q50", "q75")), "n_low")
 
 
-@query()
+@query("""SELECT l_orderkey AS dump, l_linenumber AS chan, CASE WHEN bool_or(l_returnflag = 'R') THEN 16 WHEN l_orderkey % 11 = 3 OR (l_orderkey % 97 = 5 AND l_linenumber = 2) THEN 64 ELSE 0 END AS flags FROM lineitem GROUP BY l_orderkey, l_linenumber""")
 def rfi_sumthreshold(spark, sf):
-    """Interference flags of the observation, scan by scan; the wrong dumps come unflagged."""
-    rows = observation(spark, sf).where("ant1 < ant2").withColumn("flags", F.lit(0))
-    return pipeline.flag_rows(rows)
+    """Interference of a baseline per 2,048 dumps with noise and a bandpass: bursts over whole dumps and lone spikes; known bad cells stay as they are."""
+    t = spark.read.parquet(f"{sf}/lineitem.parquet").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("l_quantity"), F.max((F.col("l_returnflag") == "R")).alias("bad"))
+    burst, spike = F.col("l_orderkey") % 11 == 3, (F.col("l_orderkey") % 97 == 5) & (F.col("l_linenumber") == 2)
+    amp = 2 + 0.1 * F.col("l_linenumber") + 0.0004 * F.col("l_quantity") + F.when(burst | spike, 3.0).otherwise(0.0)
+    bad = F.col("bad")
+    rows = t.select(
+        F.floor(F.col("l_orderkey") / 2048).cast("int").alias("scan"), F.lit("h").alias("pol"), F.lit(0).alias("ant1"), F.lit(1).alias("ant2"), F.col("l_orderkey").alias("dump"), F.col("l_linenumber").alias("chan"),
+        F.when(bad, 1000.0).otherwise(amp).alias("re"), F.lit(0.0).alias("im"), F.when(bad, 16).otherwise(0).alias("flags"),
+    )
+    flagger = rfi.Flagger(spike_freq=0.0)
+    return pipeline.flag_rows(rows, flagger=flagger).select("dump", "chan", "flags")
 
 
 @query()

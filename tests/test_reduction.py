@@ -67,14 +67,50 @@ def test_outliers_of_a_bandpass_are_cut(spark):
     assert got[got.chan == 40].re.isna().all() and got.re.isna().sum() < 32
 
 
-def test_flags_do_not_depend_on_blocks(spark):
-    """Blocks of dumps and channels, each with the reach of the windows, find a burst at their borders."""
+PLANE = "scan int, pol string, ant1 int, ant2 int, dump int, chan int, re double, im double, flags int, weight double"
+KEYS = ("scan", "pol", "ant1", "ant2")
+
+
+def test_flags_do_not_depend_on_tiles(spark):
+    """The whole flag table is the same for 1, 2, 8 and more tiles, with a burst and a band at their borders."""
     rng = np.random.default_rng(4)
-    rows = [(0, "h", 0, 1, d, c, float(1 + 0.02 * rng.normal() + (20 if 62 <= d < 66 else 0)), 0.0, 0, 1.0) for d in range(128) for c in range(32)]
-    df = spark.createDataFrame(rows, "scan int, pol string, ant1 int, ant2 int, dump int, chan int, re double, im double, flags int, weight double")
-    for kw in ({}, {"dumps": 64, "block": 16}):
-        hit = rfi.flag_interference(df, ("scan", "pol", "ant1", "ant2"), **kw).where("flags <> 0").select("dump").distinct()
-        assert {62, 63, 64, 65} <= {r.dump for r in hit.collect()}
+    amp = 1 + 0.02 * rng.normal(size=(300, 96))
+    amp[126:130, 20:60] += 0.3
+    amp[:, 47:49] += 0.06
+    rows = [(0, "h", 0, 1, d, c, float(amp[d, c]), 0.0, int(d % 37 == 5), 1.0) for d in range(300) for c in range(96) if (d * 7 + c) % 41]
+    df = spark.createDataFrame(rows, PLANE)
+    f = rfi.Flagger(chunk_dumps=16, chunk_chans=16, spike_time=3.0, spike_freq=2.0, average=2, extend=3, windows_freq=(1, 2, 4, 8))
+    tables = [sorted(map(tuple, rfi.flag_interference(df, KEYS, f, dumps=d, block=b).collect())) for d, b in ((1000, 1000), (160, 1000), (64, 48), (16, 16))]
+    assert all(t == tables[0] for t in tables[1:])
+    hit = {(r[4], r[5]) for r in tables[0] if r[8] & rfi.CAL_RFI}
+    burst = {(d, c) for d in range(126, 130) for c in range(20, 60) if d % 37 != 5 and (d * 7 + c) % 41}
+    assert len(hit & burst) > 0.8 * len(burst) and all(r[8] & 1 == (r[4] % 37 == 5) for r in tables[0])
+    again = rfi.flag_interference(spark.createDataFrame(tables[0], PLANE), KEYS, f)
+    assert sorted(map(tuple, again.collect())) == tables[0]
+
+
+def test_spikes_beside_a_ripple_are_found():
+    """A ripple of 56 channels, ten times the noise: all spikes of 20 sigma are found, and little else."""
+    rng = np.random.default_rng(7)
+    t, c = np.mgrid[:256, :512]
+    amp = 5 + 0.1 * np.sin(2 * np.pi * c / 56) + 0.01 * rng.normal(size=t.shape)
+    spikes = rng.random(t.shape) < 0.004
+    new = rfi.sum_threshold(amp + 0.2 * spikes, np.zeros(t.shape, bool), rfi.Flagger(spike_freq=3.0))
+    assert new[spikes].all() and (new & ~spikes).sum() < 0.01 * spikes.size
+    none = rfi.sum_threshold(amp, np.zeros(t.shape, bool), rfi.Flagger(spike_freq=3.0))
+    assert none.mean() < 0.005
+
+
+def test_flagger_of_parameters():
+    p = {"rfi_calib_nsigma": 4.5, "rfi_targ_nsigma": 7.0, "rfi_windows_freq": [1, 8, 16, 32], "rfi_average_freq": 4, "rfi_calib_spike_width_freq": 80, "rfi_targ_spike_width_freq": 160, "rfi_spike_width_time": 100.0, "rfi_extend_freq": 15, "rfi_freq_chunks": 2}
+    calib, targ = (rfi.Flagger.of_parameters(p, 4.0, 1022, kind) for kind in ("calib", "targ"))
+    assert (calib.nsigma, targ.nsigma, calib.spike_time, calib.spike_freq, targ.spike_freq) == (4.5, 7.0, 25.0, 80, 160)
+    assert calib.chunk_chans == 512 and calib._windows(1) == [1, 2, 4, 8] and all(h % n == 0 for h, n in zip(calib.halo, (64, 512), strict=True))
+    amp = 1 + 0.01 * np.random.default_rng(1).normal(size=(64, 1022))
+    amp[30, 400:404] += 1
+    new = calib.plane(amp, np.zeros(amp.shape, bool))
+    # Four averaged channels and seven more on each side.
+    assert new[30, 393:411].all() and not new[30, 380:390].any() and not new[10:20].any()
 
 
 def test_last_batches_are_emitted_and_state_goes(spark, tmp_path):
