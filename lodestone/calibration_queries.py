@@ -2,8 +2,8 @@
 
 ``observation`` (from ``lineitem``) is a table of visibilities whose values are those of unit
 sources seen with known delays, bandpasses and gains; a scan is 500 orders, so scans grow with
-the table.  The SQL gives what a solver must recover.  ``rfi_sumthreshold`` and
-``stream_batches`` have no SQL and are tested against plain versions.
+the table.  The SQL gives what a solver must recover.  ``stream_batches`` has no
+SQL and is tested against a plain version.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from lodestone.sources.scratch import shared_path, written
 from lodestone.streaming import batcher
 
 ANTS, REF = 8, 0
+#: Gains in intervals of about 170 dumps, which divide a scan of 500 in three.
+SETTINGS = reduction.Settings(g_solint=170)
 #: Directions (cosine, sine) of the gains, by antenna modulo 4.
 TURNS = ((1.0, 0.0), (0.6, 0.8), (0.8, -0.6), (0.28, 0.96))
 
@@ -60,16 +62,15 @@ def scans(observed: DataFrame) -> DataFrame:
 
 
 def _reduced(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    observed = observation(spark, sf)
-    return reduction.reduce_scans(observed.drop("scan"), scans(observed), channels(spark), ANTS, REF)
+    observed = written(observation(spark, sf), "observation")
+    return reduction.reduce_scans(observed.drop("scan"), scans(observed), channels(spark), ANTS, REF, SETTINGS)
 
 
 @query(f"{_TRUTH} SELECT scan, pol, ant, round(delay_ns, 3) + 0.0 AS delay_ns FROM truth WHERE scan % 4 < 2")
 def solve_delay(spark, sf):
     """K of the delay and beamformer calibrators, relative to the reference antenna."""
     observed = observation(spark, sf)
-    spectra = average.wavg(observed.where("ant1 <> ant2"), ["scan", "chan", "pol", "ant1", "ant2"])
-    k = reduction.solve_delays(spectra, scans(observed), channels(spark), ANTS, REF)
+    k = reduction.solve_delays(observed.where("ant1 <> ant2"), scans(observed), channels(spark), ANTS, REF)
     return k.select("scan", "pol", "ant", (_r(F.col("delay") * 1e9, 3) + 0.0).alias("delay_ns"))
 
 
@@ -80,10 +81,13 @@ def solve_bandpass(spark, sf):
     return b.select("scan", "chan", "pol", "ant", _r("re", 3).alias("re"), (_r("im", 3) + 0.0).alias("im"))
 
 
-@query(f"{_TRUTH}, i AS (SELECT 0 AS solint UNION ALL SELECT 1) SELECT scan, solint, pol, ant, round(amp * c, 3) + 0.0 AS re, round(amp * s, 3) + 0.0 AS im FROM truth, i WHERE scan % 4 < 3 AND (scan % 4 > 0 OR solint = 0)")
+@query(f"""{_TRUTH}, d AS (SELECT CAST(l_orderkey // 500 AS INTEGER) AS scan, l_orderkey AS dump FROM lineitem WHERE l_suppkey % 8 <> l_partkey % 8),
+n AS (SELECT scan, min(dump) AS d0, max(dump) - min(dump) + 1 AS n FROM d GROUP BY scan), q AS (SELECT scan, d0, CASE WHEN scan % 4 = 0 OR n <= 170 THEN n ELSE ceil(n / greatest(1, round(n / 170.0))) END AS per FROM n),
+i AS (SELECT DISTINCT scan, CAST(floor((dump - d0) / per) AS INTEGER) AS solint FROM d JOIN q USING (scan))
+SELECT scan, solint, pol, ant, round(amp * c, 3) + 0.0 AS re, round(amp * s, 3) + 0.0 AS im FROM truth JOIN i USING (scan) WHERE scan % 4 < 3""")
 def solve_gain(spark, sf):
-    """G in two intervals of the gain calibrators and one of the beamformer calibrators."""
-    g = _reduced(spark, sf)["G"].where("solint < 2")  # the last dumps of an even scan may be a third interval
+    """G in even intervals of the gain calibrators and in one of the beamformer calibrators."""
+    g = _reduced(spark, sf)["G"]
     return g.select("scan", "solint", "pol", "ant", (_r("re", 3) + 0.0).alias("re"), (_r("im", 3) + 0.0).alias("im"))
 
 

@@ -54,9 +54,10 @@ def wavg(df: DataFrame, keys: Sequence[Column | str], threshold: float = 1.0, *e
     return finish(partial_sums(df, keys, *extra), threshold)
 
 
-def solution_interval(n_dumps: Column, nominal: int) -> Column:
+def solution_interval(n_dumps: Column, nominal: int | Column) -> Column:
     """Dumps per interval: near the nominal number, dividing the scan as evenly as possible."""
-    intervals = F.greatest(F.lit(1), F.round(n_dumps / F.lit(nominal)))
+    nominal = F.lit(nominal) if isinstance(nominal, int) else nominal
+    intervals = F.greatest(F.lit(1), F.round(n_dumps / nominal))
     return F.when(n_dumps <= nominal, F.greatest(F.lit(1), n_dumps)).otherwise(F.ceil(n_dumps / intervals)).cast("long")
 
 

@@ -40,6 +40,12 @@ def at_times(solutions: DataFrame, times: DataFrame, keys: Sequence[str], ts: st
     return fill_linear(both, keys, ts, values).where("_want = 1").drop("_want")
 
 
+def complex_at_times(solutions: DataFrame, times: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """Complex solutions at the given times of each key, by amplitude and phase: the phase takes its shortest turn, the ends are held."""
+    both = solutions.withColumn("_want", F.lit(0)).unionByName(times.withColumn("_want", F.lit(1)), allowMissingColumns=True)
+    return fill_amp_phase(both, keys, ts).where("_want = 1").drop("_want")
+
+
 def fill_amp_phase(df: DataFrame, keys: Sequence[str], x: str) -> DataFrame:
     """Complex (re, im) filled by amplitude and by the phase's shortest turn between neighbours."""
     w = Window.partitionBy(*keys).orderBy(x)

@@ -11,14 +11,20 @@ processed one by one, newest first:
   there are any and else of all, interpolated to each dump, the ends held;
 * a scan for which a product has no solution goes on without it.
 
-K and B come from ``delaycal`` and ``bpcal`` scans, G from ``gaincal`` ones in two intervals, and
-all three from ``bfcal`` scans, whose G is one interval; a ``bpcal`` scan that is no ``gaincal``
-gives one G, too.
+K and B come from ``delaycal`` and ``bpcal`` scans, G from ``gaincal`` ones in intervals near ``g_solint`` that divide
+the scan evenly, and all three from ``bfcal`` scans, whose G is one interval; a ``bpcal`` scan that is
+no ``gaincal`` gives one G, too.
+
+Before K and B are solved, relative gains per ``k_solint`` and ``bp_solint`` are solved on the window's channels
+and taken off every dump, so a calibrator may drift while it is observed.  A model of the source divides the
+calibrators first, and interference is flagged, if they are given.  Scans of several capture blocks (``cb``) may stand
+in one table: none sees another block's solutions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,9 +40,43 @@ DELAY_TAGS, BAND_TAGS, GAIN_TAGS = ("delaycal", "bfcal"), ("bpcal", "bfcal"), ("
 APPLY_TAGS = ("gaincal", "target", "bfcal", "bpcal", "delaycal")
 
 
+@dataclass(frozen=True)
+class Settings:
+    """What a plan takes from the parameters: windows of channels [begin, end), intervals in dumps, flaggers."""
+
+    k_window: tuple[int, int] | None = None
+    g_window: tuple[int, int] | None = None
+    k_solint: int | None = None
+    bp_solint: int | None = None
+    #: None: two intervals a scan.
+    g_solint: int | None = None
+    k_chan_sample: int = 1
+    #: Of calibrators and of targets.
+    flaggers: tuple[rfi.Flagger, rfi.Flagger] | None = None
+    #: Whether interference is sought in the cross hands and set on all hands, or sought in each hand.
+    flag_cross: bool = False
+
+    @classmethod
+    def of_parameters(cls, p: dict, dump_period: float, n_chans: int, flag_cross: bool = True) -> Settings:
+        """Of resolved parameters (``params.resolve``)."""
+        dumps = {k: max(1, round(p[k] / dump_period)) for k in ("k_solint", "bp_solint", "g_solint")}
+        windows = {f"{k}_window": (p[f"{k}_bchan"], p[f"{k}_echan"]) for k in ("k", "g")}
+        flaggers = tuple(rfi.Flagger.of_parameters(p, dump_period, n_chans, kind) for kind in ("calib", "targ"))
+        return cls(**windows, **dumps, k_chan_sample=p["k_chan_sample"], flaggers=flaggers, flag_cross=flag_cross)
+
+
+def inside(window: tuple[int, int] | None) -> Column:
+    return F.lit(True) if window is None else (F.col("chan") >= window[0]) & (F.col("chan") < window[1])
+
+
+def blocks(scans: DataFrame) -> DataFrame:
+    """The scans with their capture block (one for all if the table has none)."""
+    return scans if "cb" in scans.columns else scans.withColumn("cb", F.lit(""))
+
+
 def processing_order(scans: DataFrame) -> DataFrame:
-    """proc_seq: batch ascending, scan descending (one row per scan)."""
-    return scans.withColumn("proc_seq", F.row_number().over(Window.orderBy("batch", F.desc("scan"))).cast("long"))
+    """proc_seq: batch ascending, scan descending, in each capture block (one row per scan)."""
+    return blocks(scans).withColumn("proc_seq", F.row_number().over(Window.partitionBy("cb").orderBy("batch", F.desc("scan"))).cast("long"))
 
 
 def has_any(parts: Sequence[str]) -> Column:
@@ -49,16 +89,15 @@ def has_any(parts: Sequence[str]) -> Column:
 def with_scans(vis: DataFrame, scans: DataFrame) -> DataFrame:
     """Visibilities with the scan (t0 to t1) they lie in: an equal join on time bins, then a filter."""
     bins = F.sequence(F.floor(F.col("t0") / BIN_S), F.floor(F.col("t1") / BIN_S))
-    spread = scans.withColumn("_bin", F.explode(bins))
-    return vis.withColumn("_bin", F.floor(F.col("ts") / BIN_S)).join(spread, "_bin").where("ts >= t0 AND ts <= t1").drop("_bin")
+    spread, own = scans.withColumn("_bin", F.explode(bins)), ["_bin", *(c for c in ("cb",) if c in vis.columns and c in scans.columns)]
+    return vis.withColumn("_bin", F.floor(F.col("ts") / BIN_S)).join(spread, own).where("ts >= t0 AND ts <= t1").drop("_bin")
 
 
 def _last(scans: DataFrame, solved: DataFrame, name: str) -> DataFrame:
     """(scan, name): the scan whose solution each scan uses, by processing order, its own included."""
-    sources = scans.join(solved.select("scan").distinct(), "scan", "left_semi").select("proc_seq", F.col("scan").alias(name))
-    marked = scans.select("scan", "proc_seq").join(sources, "proc_seq", "left")
-    # One row per scan.
-    w = Window.orderBy("proc_seq").rowsBetween(Window.unboundedPreceding, 0)
+    marked = scans.select("scan", "cb", "proc_seq").join(solved.select("scan", F.col("scan").alias(name)).distinct(), "scan", "left")
+    # One row per scan of the capture block.
+    w = Window.partitionBy("cb").orderBy("proc_seq").rowsBetween(Window.unboundedPreceding, 0)
     return marked.withColumn(name, F.last(name, ignorenulls=True).over(w)).select("scan", name)
 
 
@@ -86,71 +125,140 @@ def band_gains(scans: DataFrame, delays: DataFrame, bands: DataFrame | None, cha
     return both.withColumn("_b", covered).select("scan", "chan", "pol", "ant", g[0].alias("re"), g[1].alias("im"))
 
 
-def _applied(vis: DataFrame, gains: DataFrame, on: Sequence[str], scans_with: DataFrame, weights: bool) -> DataFrame:
-    """``apply_gains`` for the scans that have gains at all; the others as they are."""
-    known = scans_with.select("scan").distinct()
-    out = apply.apply_gains(vis.join(known, "scan", "left_semi"), gains, on, weights)
-    return out.unionByName(vis.join(known, "scan", "left_anti"))
+def _applied(vis: DataFrame, gains: DataFrame, on: Sequence[str], weights: bool) -> DataFrame:
+    """``apply_gains`` for the scans that have gains at all; the others as they are (in one pass over the rows)."""
+    known = gains.select("scan").distinct().withColumn("_has", F.lit(True))
+    cells = {"re": "_re0", "im": "_im0", "weight": "_weight0"}
+    rows = vis.join(known, "scan", "left").withColumns({old: F.col(c) for c, old in cells.items()})
+    out = apply.apply_gains(rows, gains, on, weights, F.substring("pol", 1, 1), F.substring("pol", -1, 1))
+    return out.withColumns({c: F.when(F.col("_has"), F.col(c)).otherwise(F.col(old)) for c, old in cells.items()}).select(*vis.columns)
+
+
+def _of(rows: DataFrame, scans: DataFrame, tags: Sequence[str]) -> DataFrame:
+    return rows.join(scans.where(has_any(tags)).select("scan"), "scan", "left_semi")
 
 
-def solve_delays(spectra: DataFrame, scans: DataFrame, channels: DataFrame, n_ants: int, ref: int) -> DataFrame:
-    chosen = spectra.join(scans.where(has_any(DELAY_TAGS)).select("scan"), "scan", "left_semi")
-    return solve.solve_delays(chosen, channels, ["scan"], n_ants, ref)
+def with_intervals(rows: DataFrame, nominal: Column) -> DataFrame:
+    """``solint`` of each row: intervals near ``nominal`` dumps (of columns ``_n`` and the scan's own) that divide the scan evenly."""
+    spans = rows.groupBy("scan").agg(F.min("dump").alias("_d0"), (F.max("dump") - F.min("dump") + 1).alias("_n"))
+    per = average.solution_interval(F.col("_n"), nominal)
+    cut = rows.join(spans, "scan").withColumn("solint", F.floor((F.col("dump") - F.col("_d0")) / per).cast("int"))
+    return cut.drop("_d0", "_n")
 
 
-def solve_bands(spectra: DataFrame, scans: DataFrame, delays: DataFrame, channels: DataFrame, n_ants: int, ref: int, block: int = 64) -> DataFrame:
-    """Bandpasses with a mean of one over the channels, gaps filled along the band."""
-    chosen = spectra.join(scans.where(has_any(BAND_TAGS)).select("scan"), "scan", "left_semi")
+def interval_gains(rows: DataFrame, nominal: Column, n_ants: int, ref: int) -> DataFrame:
+    """Gains of each scan's intervals: scan, solint, time (mean), pol, ant, re, im, snr."""
+    cut = with_intervals(rows, nominal)
+    # Over dumps first, then over channels: partial sums, in one aggregate.
+    means = average.wavg(cut, ["scan", "solint", "pol", "ant1", "ant2"]).withColumn("chan", F.lit(0))
+    times = cut.groupBy("scan", "solint").agg(F.avg("ts").alias("time"))
+    return solve.solve_gains(means, ["scan", "solint"], n_ants, ref).drop("chan").join(times, ["scan", "solint"])
+
+
+def without_drift(rows: DataFrame, solint: int | None, window: tuple[int, int] | None, n_ants: int, ref: int, sources: DataFrame | None = None) -> DataFrame:
+    """Rows divided by preliminary relative gains per ``solint`` dumps, solved on the window (on ``sources`` if given) and interpolated to each dump."""
+    if solint is None:
+        return rows
+    solved = interval_gains((rows if sources is None else sources).where(inside(window)), F.lit(solint), n_ants, ref)
+    relative = written(apply.relative_gains(solved, ["scan", "pol", "ant"]).select("scan", F.col("time").alias("ts"), "pol", "ant", "re", "im"), "preliminary")
+    times = rows.select("scan", "dump", "ts").distinct().join(relative.select("scan", "pol", "ant").distinct(), "scan")
+    at = interp.complex_at_times(relative, times, ["scan", "pol", "ant"], "ts").select("scan", "dump", "pol", "ant", "re", "im")
+    return _applied(rows, at, ["scan", "dump"], True)
+
+
+def time_averages(rows: DataFrame) -> DataFrame:
+    return average.wavg(rows, ["scan", "chan", "pol", "ant1", "ant2"])
+
+
+def solve_delays(rows: DataFrame, scans: DataFrame, channels: DataFrame, n_ants: int, ref: int, settings: Settings = Settings()) -> DataFrame:
+    """K of the delay calibrators, from the dumps of their cross-correlations."""
+    s = settings
+    chosen = without_drift(_of(rows, scans, DELAY_TAGS).where(inside(s.k_window)), s.k_solint, s.k_window, n_ants, ref)
+    first = s.k_window[0] if s.k_window else 0
+    spectra = written(time_averages(chosen.where((F.col("chan") - first) % s.k_chan_sample == 0)), "spectra")
+    return solve.solve_delays(spectra, channels, ["scan"], n_ants, ref)
+
+
+def solve_bands(rows: DataFrame, scans: DataFrame, delays: DataFrame, channels: DataFrame, n_ants: int, ref: int, settings: Settings = Settings(), block: int = 64) -> DataFrame:
+    """Bandpasses, gaps filled along the band; each antenna's mean over the window is one."""
+    s = settings
     k = delay_gains(scans, delays, channels)
-    flat = _applied(chosen, k, ["scan", "chan"], k, True).withColumn("block", F.floor(F.col("chan") / block).cast("int"))
+    straight = _applied(_of(rows, scans, BAND_TAGS), k, ["scan", "chan"], True)
+    flat = written(time_averages(without_drift(straight, s.bp_solint, s.g_window, n_ants, ref)), "spectra").withColumn("block", F.floor(F.col("chan") / block).cast("int"))
     raw = solve.solve_gains(flat, ["scan", "block"], n_ants, ref).drop("block", "snr")
-    flagged = rfi.flag_spectra(raw, ["scan", "pol", "ant"])
+    flagged = rfi.flag_spectra(raw, ["scan", "pol", "ant"], s.flaggers[0] if s.flaggers else None)
     filled = interp.fill_amp_phase(flagged, ["scan", "pol", "ant"], "chan")
     over = Window.partitionBy("scan", "pol", "ant")
-    mean = (F.avg("re").over(over), F.avg("im").over(over))
+    mean = tuple(F.avg(F.when(inside(s.g_window), F.col(c))).over(over) for c in ("re", "im"))
     re, im = cplx.div(cplx.col(), mean)
     return filled.select("scan", "chan", "pol", "ant", re.alias("re"), im.alias("im"))
 
 
-def solve_gains(hands: DataFrame, scans: DataFrame, band: DataFrame, n_ants: int, ref: int) -> DataFrame:
+def solve_gains(rows: DataFrame, scans: DataFrame, band: DataFrame, n_ants: int, ref: int, settings: Settings = Settings()) -> DataFrame:
     """G per scan and interval: scan, solint, time (mean), pol, ant, re, im, snr."""
-    chosen = scans.where(has_any(GAIN_TAGS)).select("scan", (F.array_contains("tags", "gaincal") & ~F.array_contains("tags", "bfcal")).alias("two"))
-    rows = _applied(hands.join(chosen.select("scan"), "scan", "left_semi"), band, ["scan", "chan"], band, True)
-    spans = rows.select("scan", "dump").distinct().groupBy("scan").agg(F.min("dump").alias("_d0"), (F.max("dump") - F.min("dump") + 1).alias("_n")).join(chosen, "scan")
-    per = F.when(F.col("two"), F.greatest(F.lit(1), F.ceil((F.col("_n") - 1) / 2))).otherwise(F.col("_n"))
-    rows = rows.join(spans.select("scan", "_d0", per.alias("_per")), "scan").withColumn("solint", F.floor((F.col("dump") - F.col("_d0")) / F.col("_per")).cast("int"))
-    means = average.wavg(rows, ["scan", "solint", "pol", "ant1", "ant2"], 1.0, F.avg("ts").alias("time")).withColumn("chan", F.lit(0))
-    times = rows.groupBy("scan", "solint").agg(F.avg("ts").alias("time"))
-    return solve.solve_gains(means.drop("time"), ["scan", "solint"], n_ants, ref).drop("chan").join(times, ["scan", "solint"])
+    many = F.array_contains("tags", "gaincal") & ~F.array_contains("tags", "bfcal")
+    chosen = _of(rows, scans, GAIN_TAGS).join(scans.select("scan", many.alias("_many")), "scan").where(inside(settings.g_window))
+    half = F.ceil(F.col("_n") / 2)
+    nominal = F.when(F.col("_many"), half if settings.g_solint is None else F.lit(settings.g_solint)).otherwise(F.col("_n"))
+    return interval_gains(_applied(chosen, band, ["scan", "chan"], True), nominal, n_ants, ref)
 
 
 def gains_at_dumps(dumps: DataFrame, scans: DataFrame, gains: DataFrame) -> DataFrame:
     """(scan, dump, pol, ant, re, im): the gains that each scan may use, interpolated; ``dumps``: scan, dump, ts."""
-    solved = gains.join(scans.select("scan", "target", "proc_seq"), "scan").drop("scan")
+    scans = blocks(scans)
+    solved = gains.join(scans.select("scan", "target", "proc_seq", F.col("cb").alias("g_cb")), "scan").drop("scan")
     # Up to the scan's own solutions: those of the same number count.
-    wanted = scans.select("scan", "target", "t0", "t1", (F.col("proc_seq") + 1).alias("proc_seq"))
-    allowed = apply.gains_in_window(wanted, solved, WINDOW_S)
+    wanted = scans.select("scan", "cb", "target", "t0", "t1", (F.col("proc_seq") + 1).alias("proc_seq"))
+    allowed = apply.gains_in_window(wanted, solved, WINDOW_S).where("cb = g_cb")
     own = F.max((F.col("g_target") == F.col("target")).cast("int")).over(Window.partitionBy("scan"))
     allowed = allowed.withColumn("_own", own).where((F.col("_own") == 0) | (F.col("g_target") == F.col("target")))
     allowed = written(allowed.select("scan", F.col("time").alias("ts"), "pol", "ant", "re", "im"), "gains")
     times = dumps.join(allowed.select("scan", "pol", "ant").distinct(), "scan").select("scan", "pol", "ant", "dump", "ts")
-    return interp.at_times(allowed, times, ["scan", "pol", "ant"], "ts", ["re", "im"]).select("scan", "dump", "pol", "ant", "re", "im")
-
-
-def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants: int, ref: int) -> dict[str, DataFrame]:
+    return interp.complex_at_times(allowed, times, ["scan", "pol", "ant"], "ts").select("scan", "dump", "pol", "ant", "re", "im")
+
+
+def flag_scans(rows: DataFrame, scans: DataFrame, settings: Settings) -> DataFrame:
+    """Rows with interference flags, calibrators and targets by their own flagger."""
+    cross = F.substring("pol", 1, 1) != F.substring("pol", -1, 1)
+    target = scans.select("scan", (F.array_contains("tags", "target") & ~has_any(GAIN_TAGS + DELAY_TAGS)).alias("_target"))
+    marked, out = rows.join(target, "scan"), None
+    for kind, flagger in zip((False, True), settings.flaggers, strict=True):
+        own = marked.where(F.col("_target") == kind).drop("_target")
+        keys = ("scan", "pol", "ant1", "ant2")
+        if settings.flag_cross:
+            found = rfi.flag_interference(own.where(cross), keys, flagger).where(F.col("flags").bitwiseAND(F.lit(rfi.CAL_RFI)) != 0)
+            hits = found.select("scan", "dump", "chan", "ant1", "ant2").distinct().withColumn("_hit", F.lit(rfi.CAL_RFI))
+            own = own.join(hits, ["scan", "dump", "chan", "ant1", "ant2"], "left").withColumn("flags", F.col("flags").bitwiseOR(F.coalesce("_hit", F.lit(0)))).select(*rows.columns)
+        else:
+            own = rfi.flag_interference(own, keys, flagger)
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants: int, ref: int, settings: Settings = Settings(), model: DataFrame | None = None) -> dict[str, DataFrame]:
     """K, B, G and ``corrected`` of an observation.
 
-    ``vis``: ts, dump, chan, pol (one letter), ant1, ant2, re, im, flags, weight, parallel hands;
-    ``scans``: scan, batch, target, tags, t0, t1; ``channels``: chan, freq_hz.
+    ``vis``: ts, dump, chan, pol, ant1, ant2, re, im, flags, weight (and cb, if ``scans`` has it); pol is one letter for a parallel
+    hand or two for any hand: the solvers take the parallel ones, all are corrected.  ``scans``: scan (unique), batch, target,
+    tags, t0, t1 (and cb); ``channels``: chan, freq_hz.  ``model``: dump, chan, ant1, ant2, re, im of the calibrators; cells
+    that it lacks stay as they are.
     """
     scans = written(processing_order(scans), "scans")
-    rows = with_scans(vis, scans.select("scan", "t0", "t1")).select("scan", *vis.columns)
-    spectra = written(average.wavg(rows.where("ant1 <> ant2"), ["scan", "chan", "pol", "ant1", "ant2"]), "spectra")
-    k = written(solve_delays(spectra, scans, channels, n_ants, ref), "delays")
-    b = written(solve_bands(spectra, scans, k, channels, n_ants, ref), "bandpasses")
+    timed = with_scans(vis, scans.select("scan", "cb", "t0", "t1")).select("scan", *(c for c in vis.columns if c != "cb"))
+    if settings.flaggers:
+        timed = flag_scans(written(timed, "timed"), scans, settings)
+    # Read by every step; the source isn't.
+    rows = written(timed, "rows")
+    first = F.substring("pol", 1, 1)
+    hands = rows.where((first == F.substring("pol", -1, 1)) & (F.col("ant1") != F.col("ant2"))).withColumn("pol", first)
+    if model is not None:
+        divided = apply.divide_model(hands.join(model.select("dump", "chan", "ant1", "ant2").distinct(), ["dump", "chan", "ant1", "ant2"], "left_semi"), model, ["dump", "chan", "ant1", "ant2"])
+        hands = written(divided.unionByName(hands.join(model, ["dump", "chan", "ant1", "ant2"], "left_anti")), "divided")
+    k = written(solve_delays(hands, scans, channels, n_ants, ref, settings), "delays")
+    b = written(solve_bands(hands, scans, k, channels, n_ants, ref, settings), "bandpasses")
     band = written(band_gains(scans, k, b, channels), "band")
-    g = written(solve_gains(rows.where("ant1 <> ant2"), scans, band, n_ants, ref), "gains")
-    wanted = rows.join(scans.where(has_any(APPLY_TAGS)).select("scan"), "scan", "left_semi")
-    flat = _applied(wanted, band, ["scan", "chan"], band, False)
+    g = written(solve_gains(hands, scans, band, n_ants, ref, settings), "gains")
+    wanted = _of(rows, scans, APPLY_TAGS)
+    flat = _applied(wanted, band, ["scan", "chan"], False)
     at = written(gains_at_dumps(wanted.select("scan", "dump", "ts").distinct(), scans, g), "gains_at_dumps")
-    return {"K": k, "B": b, "G": g, "corrected": _applied(flat, at, ["scan", "dump"], at, False)}
+    return {"K": k, "B": b, "G": g, "corrected": _applied(flat, at, ["scan", "dump"], False)}

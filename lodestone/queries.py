@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import cplx, keys
-from lodestone.operators import apply, average, interp, robust, sensors
+from lodestone.operators import apply, average, interp, masks, robust, sensors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -538,15 +538,20 @@ def measured_flux(spark, sf):
     return robust.quantiles(rows, ["ant"], "amp", [0.5], ["flux"]).join(rest, "ant").select("ant", _r("flux").alias("flux"), "flux_std", "n")
 
 
-@query("""WITH m(lo, hi) AS (VALUES (3, 5), (20, 22), (40, 41)) SELECT p_partkey AS chan, bool_or(m.lo IS NOT NULL) AS masked FROM part LEFT JOIN m ON p_size + 0.5 >= lo AND p_size - 0.5 <= hi GROUP BY p_partkey""")
+@query("""WITH m AS (SELECT DISTINCT 1e6 * p_size + 3e5 * (p_partkey % 7) AS lo, 1e6 * p_size + 3e5 * (p_partkey % 7) + 1e4 * (p_partkey % 40) AS hi, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE 10.0 * (p_partkey % 30) END AS max_length FROM part WHERE p_size % 5 = 0),
+b AS (SELECT DISTINCT ant1, ant2, 40.0 * abs(ant2 - ant1) AS length FROM vis), c AS (SELECT DISTINCT chan, dump % 200 AS band FROM vis),
+x AS (SELECT chan, band, 1e6 * (band % 50) + 1e5 * chan AS f FROM c)
+SELECT chan, band, ant1, ant2, bool_or(m.lo IS NOT NULL) AS masked FROM x CROSS JOIN b LEFT JOIN m ON f + 5e4 >= lo AND f - 5e4 <= hi AND (max_length IS NULL OR length <= max_length) GROUP BY chan, band, ant1, ant2""")
 def static_mask(spark, sf):
-    """Channels (with their width) that overlap a masked range; the mask is a handful of ranges."""
-    p = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").alias("chan"), "p_size")
-    mask = [(3, 5), (20, 22), (40, 41)]
-    hit = F.lit(False)
-    for lo, hi in mask:
-        hit = hit | ((F.col("p_size") + 0.5 >= lo) & (F.col("p_size") - 0.5 <= hi))
-    return p.select("chan", hit.alias("masked"))
+    """Channels of every baseline that a masked range overlaps; a range may hold for short baselines alone."""
+    p = spark.read.parquet(f"{sf}/part.parquet").where("p_size % 5 = 0")
+    lo = 1e6 * F.col("p_size") + 3e5 * (F.col("p_partkey") % 7)
+    most = F.when(F.col("p_partkey") % 3 != 0, 10.0 * (F.col("p_partkey") % 30))
+    ranges = p.select(lo.alias("lo"), (lo + 1e4 * (F.col("p_partkey") % 40)).alias("hi"), most.alias("max_length")).distinct()
+    v = vis(spark, sf)
+    baselines = v.select("ant1", "ant2").distinct().withColumn("length", 40.0 * F.abs(F.col("ant2") - F.col("ant1")))
+    channels = v.select("chan", (F.col("dump") % 200).alias("band")).distinct().withColumn("freq_hz", 1e6 * (F.col("band") % 50) + 1e5 * F.col("chan"))
+    return masks.baseline_mask(channels, baselines, ranges, 1e5, ["chan", "band"]).select("chan", "band", "ant1", "ant2", "masked")
 
 
 @query("""WITH b(band_start, band) AS (VALUES (0, 'u'), (15, 'l'), (35, 's')) SELECT p_partkey AS k, arg_max(band, band_start) AS band FROM part JOIN b ON b.band_start <= p_size GROUP BY p_partkey""")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.operators import rfi
+from lodestone.operators import apply, rfi
 from lodestone.plans import reduction
 from lodestone.sources import synthetic
 from lodestone.streaming import batcher
@@ -67,6 +67,90 @@ def test_outliers_of_a_bandpass_are_cut(spark):
     assert got[got.chan == 40].re.isna().all() and got.re.isna().sum() < 32
 
 
+def _drifting(v, turns):
+    """Every antenna's phase turns with time, by its number times ``turns`` over the dumps of a scan."""
+    angle = 2 * np.pi * turns * (F.col("ant1") - F.col("ant2")) * (F.col("dump") % DUMPS) / DUMPS
+    c, s = F.cos(angle), F.sin(angle)
+    return v.withColumn("_re", F.col("re") * c - F.col("im") * s).withColumn("im", F.col("re") * s + F.col("im") * c).withColumn("re", F.col("_re")).drop("_re")
+
+
+def test_a_drifting_calibrator_gives_the_same_delays_and_bandpass(spark, truth):
+    """Antenna 3 turns once in the scan, so its average over time is nothing; preliminary gains take that off."""
+    v, scans, channels = _observation(spark, truth, ["delaycal bpcal gaincal"])
+    settings = reduction.Settings(k_solint=1, bp_solint=1, g_solint=1, k_window=(4, 28), g_window=(8, 24))
+    got, want = (reduction.reduce_scans(x, scans, channels, 4, 0, settings) for x in (_drifting(v, 1 / 3), v))
+    for name, tolerance in (("K", 1e-3 * 1e-9), ("B", 1e-2)):
+        keys = ["pol", "ant"] + ["chan"] * (name == "B")
+        a, b = (x[name].orderBy(*keys).toPandas() for x in (got, want))
+        for c in ("delay",) if name == "K" else ("re", "im"):
+            assert np.allclose(a[c], b[c], atol=tolerance) and a[c].notna().all()
+    k = got["K"].where("pol = 'h'").orderBy("ant").toPandas().delay.to_numpy()
+    assert np.allclose(k, truth.delay[1] - truth.delay[1, 0], rtol=1e-3, atol=1e-15)
+    assert got["G"].select("solint").distinct().count() == DUMPS
+    flat = got["corrected"].where("ant1 <> ant2").agg(F.max(F.abs(F.col("re") - 1)).alias("re"), F.max(F.abs("im")).alias("im")).first()
+    assert flat.re < 2e-2 and flat.im < 2e-2
+    b = got["B"].where("chan >= 8 AND chan < 24").groupBy("pol", "ant").agg(F.avg("re").alias("re"), F.avg("im").alias("im")).collect()
+    assert all(abs(r.re - 1) < 1e-9 and abs(r.im) < 1e-9 for r in b)
+
+
+def test_gains_half_a_turn_apart_keep_their_amplitude(spark):
+    scans = reduction.processing_order(spark.createDataFrame([(0, 0, "a", ["gaincal"], 0.0, 30.0)], "scan int, batch int, target string, tags array<string>, t0 double, t1 double"))
+    gains = spark.createDataFrame([(0, 0.0, "h", 0, 2.0, 0.0), (0, 20.0, "h", 0, -2.0, 1e-9)], "scan int, time double, pol string, ant int, re double, im double")
+    dumps = spark.createDataFrame([(0, 1, 10.0)], "scan int, dump int, ts double")
+    r = reduction.gains_at_dumps(dumps, scans, gains).first()
+    assert abs(r.re) < 1e-6 and abs(r.im - 2) < 1e-6
+
+
+def test_capture_blocks_do_not_see_each_other(spark, truth):
+    """Two blocks at the same times in one table: the second has no calibrator, so its target stays as it is."""
+    v, scans, channels = _observation(spark, truth, ["delaycal gaincal bpcal", "target"])
+    both = v.withColumn("cb", F.lit("one")).unionByName(v.where(f"dump >= {DUMPS}").withColumn("cb", F.lit("two")))
+    scans = scans.withColumn("cb", F.lit("one")).unionByName(scans.where("scan = 1").withColumn("cb", F.lit("two")).withColumn("scan", F.lit(9)))
+    got = reduction.reduce_scans(both, scans.withColumn("batch", F.col("scan")), channels, 4, 0)["corrected"]
+    raw = v.where(f"dump >= {DUMPS}").select("dump", "chan", "pol", "ant1", "ant2", "re", "im")
+    same = got.where("scan = 9").select(*raw.columns)
+    assert same.exceptAll(raw).count() == 0 and same.count() == raw.count()
+    flat = got.where("scan = 1 AND ant1 <> ant2").agg(F.max(F.abs(F.col("re") - 1)).alias("re"), F.count("re").alias("n")).first()
+    assert flat.re < 1e-2 and flat.n == 2 * 6 * CHANS * DUMPS
+
+
+def test_two_sources_by_their_model_and_four_hands(spark, truth):
+    """A calibrator of two sources: divided by its model it gives the gains of a point, and all hands are corrected."""
+    v = synthetic.visibilities(spark, truth, CHANS, DUMPS).withColumn("pol", F.concat("pol1", "pol2"))
+    v = v.select("ts", "dump", "chan", "pol", "ant1", "ant2", "re", "im", "flags", "weight")
+    turn = 0.3 * (F.col("ant1") - F.col("ant2")) * (1 + F.col("chan") / 10) + 0.2 * F.col("dump")
+    m_re, m_im = 1 + 0.4 * F.cos(turn), 0.4 * F.sin(turn)
+    model = v.select("dump", "chan", "ant1", "ant2").distinct().withColumn("re", m_re).withColumn("im", m_im)
+    seen = v.withColumn("_r", F.col("re") * m_re - F.col("im") * m_im).withColumn("im", F.col("re") * m_im + F.col("im") * m_re).withColumn("re", F.col("_r")).drop("_r")
+    scans = spark.createDataFrame([(0, 0, "t", ["delaycal", "bpcal", "gaincal"], 100.0, 100.0 + 4 * DUMPS)], "scan int, batch int, target string, tags array<string>, t0 double, t1 double")
+    channels = synthetic.channel_table(spark, CHANS, 856e6, 1284e6)
+    with_model, point = (reduction.reduce_scans(x, scans, channels, 4, 0, model=m) for x, m in ((seen, model), (v, None)))
+    for name, cols in (("K", ["delay"]), ("B", ["re", "im"]), ("G", ["re", "im"])):
+        keys = [c for c in ("scan", "solint", "chan", "pol", "ant") if c in point[name].columns]
+        a, b = (x[name].orderBy(*keys).toPandas() for x in (with_model, point))
+        assert all(np.allclose(a[c], b[c], rtol=5e-2, atol=1e-12 if name == "K" else 5e-3) for c in cols)
+    flat = apply.divide_model(with_model["corrected"].where("ant1 <> ant2"), model, ["dump", "chan", "ant1", "ant2"])
+    parallel = flat.where("pol IN ('hh', 'vv')").agg(F.max(F.abs(F.col("re") - 1)).alias("re"), F.max(F.abs("im")).alias("im")).first()
+    assert parallel.re < 5e-2 and parallel.im < 5e-2
+    cross = point["corrected"].where("ant1 <> ant2 AND pol IN ('hv', 'vh')")
+    want = flat.where("pol IN ('hv', 'vh')").select("dump", "chan", "pol", "ant1", "ant2", F.col("re").alias("wr"), F.col("im").alias("wi"))
+    apart = cross.join(want, ["dump", "chan", "pol", "ant1", "ant2"]).agg(F.max(F.hypot(F.col("re") - F.col("wr"), F.col("im") - F.col("wi"))).alias("d"), F.count("re").alias("n")).first()
+    assert apart.d < 5e-2 and apart.n == 2 * 6 * CHANS * DUMPS
+
+
+def test_flaggers_of_calibrators_and_targets(spark, truth):
+    """Bursts in a calibrator and a target: each is found by its own flagger, and the calibrator's doesn't spoil the gains."""
+    v, scans, channels = _observation(spark, truth, ["delaycal gaincal bpcal", "target"], batch=[0, 1])
+    burst = (F.col("dump") % DUMPS == 5) & (F.col("chan") % 3 == 0)
+    noisy = v.withColumn("re", F.col("re") * (1 + 0.002 * F.randn(3)) + F.when(burst, 500.0).otherwise(0.0))
+    calib, targ = rfi.Flagger(chunk_dumps=DUMPS, spike_time=2.0, spike_freq=0.0), rfi.Flagger(nsigma=1e9)
+    got = reduction.reduce_scans(noisy, scans, channels, 4, 0, reduction.Settings(flaggers=(calib, targ)))["corrected"]
+    hit = got.withColumn("burst", burst).where("ant1 <> ant2").groupBy("scan", "burst").agg(F.avg((F.col("flags") != 0).cast("double")).alias("share"), F.max(F.when(F.col("flags") == 0, F.abs(F.col("re") - 1))).alias("off")).collect()
+    by = {(r.scan, r.burst): r for r in hit}
+    assert by[0, True].share == 1.0 and by[0, False].share < 0.05 and by[1, True].share == by[1, False].share == 0.0
+    assert by[0, False].off < 5e-2 and by[1, False].off < 5e-2
+
+
 PLANE = "scan int, pol string, ant1 int, ant2 int, dump int, chan int, re double, im double, flags int, weight double"
 KEYS = ("scan", "pol", "ant1", "ant2")
 
