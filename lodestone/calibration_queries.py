@@ -185,7 +185,7 @@ def stream_batches(spark, sf):
     e = spark.read.parquet(f"{sf}/events.parquet")
     heaps = e.select(
         F.lit("cb").alias("cb"), F.col("user_id").cast("int").alias("chan_group"), F.col("event_id").alias("dump"), F.col("event_type").alias("activity"), F.col("event_id").cast("double").alias("activity_time"),
-        F.lit("gaincal").alias("tags"), F.lit(False).alias("is_stop"), F.lit(0).alias("flags"), F.lit(None).cast("string").alias("payload"),
+        F.lit("gaincal").alias("tags"), F.lit(False).alias("is_stop"), F.lit(0).alias("flags"), F.lit(None).cast("string").alias("payload"), F.col("event_id").cast("bigint").alias("seq"),
     )
     stops = heaps.select("cb", "chan_group").distinct().withColumn("is_stop", F.lit(True))
     log = written(heaps.unionByName(stops, allowMissingColumns=True), "heaps")

@@ -9,8 +9,8 @@ from lodestone.functions import cplx
 from lodestone.operators import astro, average, ingest, report, robust, sensors
 from lodestone.queries import _epoch, _r, query, sens, vis
 
-#: A site in the Karoo (degrees).
-LATITUDE, LONGITUDE = -30.713, 21.443
+#: Any site (degrees).
+LATITUDE, LONGITUDE = -30.0, 20.0
 
 _SKY = f"""lst AS (SELECT *, (280.46061837 + {LONGITUDE} + (t / 86400.0 - 10957.5) * 360.98564736629) AS raw FROM base),
 h AS (SELECT *, radians(raw - 360 * floor(raw / 360) - ra) AS h, radians(de) AS d, radians({LATITUDE}) AS p FROM lst)"""

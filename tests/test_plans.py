@@ -152,18 +152,17 @@ def test_disorder_gap_fill_and_late_data():
     track = ("track", 0.0, "gaincal")
     rows = []
     for dump in (0, 1, 3, 2, 6):
-        rows += b.add(dump, 0, f"p{dump}", track, 100)
-    rows += b.add(7, 0, "p7", ("slew", 7.0, "gaincal"), 100)
+        rows += sum(b.add(dump, 0, f"p{dump}", track, 100), [])
+    rows += sum(b.add(7, 0, "p7", ("slew", 7.0, "gaincal"), 100), [])
     assert [(r[1], r[2]) for r in rows] == [(0, 0), (1, 0), (2, 0), (3, 0), (4, 8), (5, 8), (6, 0)]
-    b.add(3, 0, "late", track, 100)
-    assert b.late == 1
+    assert list(b.add(3, 0, "late", track, 100)) == [] and b.late == 1
 
 
 def test_size_limit_wraps():
     b = batcher.Batch()
     rows = []
     for dump in range(130):
-        rows += b.add(dump, 0, "x", ("track", 0.0, ""), 30)
+        rows += sum(b.add(dump, 0, "x", ("track", 0.0, ""), 30), [])
     rows += b.close()
     assert len(rows) == 130 and max(r[0] for r in rows) == 4
     assert [r[1] for r in rows] == list(range(130))
@@ -181,6 +180,56 @@ def test_stream_of_files(spark, tmp_path):
     assert out.dump.tolist() == [0, 1, 2, 3, 4] and out["flags"].tolist() == [0, 0, 0, 8, 0]
 
 
+def _log():
+    """Two groups of heaps in the order of a log: disorder, gaps, late ones, changes of activity, two endpoints' stops, heaps behind the last stop."""
+    rng, rows = random.Random(11), []
+    for g in (0, 1):
+        dumps = [d for d in range(60) if rng.random() > 0.15]
+        for k in range(0, len(dumps) - 3, 3):
+            if rng.random() < 0.4:
+                dumps[k], dumps[k + 2] = dumps[k + 2], dumps[k]
+        dumps.insert(40, 2)
+        for d in dumps:
+            rows.append(("cb", g, d, "track", float(d // 13), "gaincal", False, 0, f"p{g}-{d}", len(rows), None))
+        stop = lambda e: rows.append(("cb", g, None, None, None, None, True, None, None, len(rows), e))  # noqa: B023, E731
+        stop(0)
+        stop(0)
+        rows.append(("cb", g, 61, "track", 4.0, "gaincal", False, 0, "between", len(rows), None))
+        stop(1)
+        rows.append(("cb", g, 70, "track", 5.0, "gaincal", False, 0, "behind", len(rows), None))
+    return rows
+
+
+@pytest.mark.parametrize("cuts", [[], [17, 50, 90], list(range(9, 100, 9))])
+def test_batches_do_not_depend_on_micro_batches(spark, tmp_path, cuts):
+    """One log in one, four and many files, one a micro-batch: the rows are those of the log read heap by heap."""
+    log = _log()
+    edges = [0, *cuts, len(log)]
+    for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+        part = spark.createDataFrame(random.Random(k).sample(log[a:b], b - a), batcher.HEAP)
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(batcher.HEAP).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    batcher.write_batches(batcher.batch_stream(stream, 20, endpoints=2), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination(240)
+    got = sorted((r.chan_group, r.batch, r.dump, r.flags, r.payload or "", r.too_late) for r in spark.read.schema(batcher.OUT).parquet(str(tmp_path / "out")).collect())
+    want = []
+    for g in (0, 1):
+        b = batcher.Batch()
+        for r in (r for r in log if r[1] == g and not b.ended):
+            parts = [b.stop(r[10], 2)] if r[6] else b.add(r[2], r[7], r[8], (r[3], r[4], r[5]), 20)
+            want += [(g, n, d, f, p or "", late) for part in parts for n, d, f, p, late in part]
+    assert got == sorted(want)
+    assert {r[4] for r in got} >= {"between"} and "behind" not in {r[4] for r in got} and max(r[5] for r in got) > 0
+
+
+def test_state_survives_its_columns():
+    b = batcher.Batch()
+    list(b.add(3, 1, "x", ("track", 0.0, "t"), 9))
+    b.stop(4, 2)
+    again = batcher.Batch(*b.state())
+    assert again.held == {3: (1, "x")} and again.stopped == [4] and again.state() == b.state()
+    assert [r[1] for r in again.stop(5, 2)] == [3] and again.ended
+
+
 def test_fill_gaps_marks_lost(spark):
     df = spark.createDataFrame([("a", 1, 5.0, 0), ("a", 4, 6.0, 2)], "k string, i int, v double, flags int")
     got = sensors.fill_gaps(df, ["k"], "i", ["v"], 8).orderBy("i").collect()

@@ -199,7 +199,7 @@ def test_flagger_of_parameters():
 
 def test_last_batches_are_emitted_and_state_goes(spark, tmp_path):
     rows = [("cb", g, d, "track", 0.0, "gaincal", False, 0, f"p{g}{d}") for g in (0, 1) for d in (0, 1, 3, 4)] + [("cb", g, None, None, None, None, True, None, None) for g in (0, 1)]
-    spark.createDataFrame(rows, batcher.HEAP).coalesce(1).write.parquet(str(tmp_path / "in"))
+    spark.createDataFrame([(*r, None, None) for r in rows], batcher.HEAP).coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(batcher.HEAP).parquet(str(tmp_path / "in"))
     batcher.write_batches(batcher.batch_stream(stream, 3), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     got = sorted((r.chan_group, r.batch, r.dump, r.flags, r.payload) for r in spark.read.schema(batcher.OUT).parquet(str(tmp_path / "out")).collect())
