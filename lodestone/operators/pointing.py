@@ -9,39 +9,58 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import keys
 
-BEAM = "ant int, chunk int, pol string, x0 double, y0 double, wx double, wy double, height double, valid boolean"
+BEAM = "ant int, chunk int, pol string, x0 double, y0 double, wx double, wy double, height double, valid boolean, x0_err double, y0_err double, wx_err double, wy_err double, height_err double"
 
 
-def fit_beam(x: np.ndarray, y: np.ndarray, amp: np.ndarray, iterations: int = 50) -> tuple[np.ndarray, bool]:
-    """(x0, y0, wx, wy, height) of height * exp(-((x-x0)/wx)^2 / 2 - ...), by Gauss-Newton on log amplitudes."""
-    ok = np.isfinite(amp) & (amp > 0)
+def fit_beam(x: np.ndarray, y: np.ndarray, amp: np.ndarray, weight: np.ndarray | None = None, iterations: int = 50) -> tuple[np.ndarray, np.ndarray, bool]:
+    """(x0, y0, wx, wy, height) of height * exp(-((x-x0)/wx)^2 / 2 - ...) by weighted Gauss-Newton, their errors, and whether the fit is valid.
+
+    ``weight``: one over each amplitude's variance; without it all count alike, and the errors follow from the
+    scatter about the fit (nothing is left of it with five points: their errors are unknown).  A fit is valid if it
+    has positive widths and its centre is known to less than a width.
+    """
+    none = np.full(5, np.nan), np.full(5, np.nan), False
+    root = np.ones(len(amp)) if weight is None else np.sqrt(np.where(np.isfinite(weight) & (weight > 0), weight, 0.0))
+    ok = np.isfinite(amp) & (amp > 0) & (root > 0)
     if ok.sum() < 5:
-        return np.full(5, np.nan), False
-    x, y, a = x[ok], y[ok], amp[ok]
+        return none
+    x, y, a, root = x[ok], y[ok], amp[ok], root[ok]
     # The log of a Gaussian is a quadratic: c0 + c1 x + c2 y + c3 x^2 + c4 y^2.
-    design = np.stack([np.ones_like(x), x, y, x * x, y * y], axis=1) * a[:, None]
-    c, *_ = np.linalg.lstsq(design, np.log(a) * a, rcond=None)
+    design = np.stack([np.ones_like(x), x, y, x * x, y * y], axis=1) * (a * root)[:, None]
+    c, *_ = np.linalg.lstsq(design, np.log(a) * a * root, rcond=None)
     if not (c[3] < 0 and c[4] < 0):
-        return np.full(5, np.nan), False
+        return none
     p = np.array([-c[1] / (2 * c[3]), -c[2] / (2 * c[4]), np.sqrt(-0.5 / c[3]), np.sqrt(-0.5 / c[4]), 0.0])
     p[4] = np.exp(c[0] - c[3] * p[0] ** 2 - c[4] * p[1] ** 2)
-    for _ in range(iterations):
+    def model() -> tuple[np.ndarray, np.ndarray]:
         dx, dy = (x - p[0]) / p[2], (y - p[1]) / p[3]
         f = p[4] * np.exp(-0.5 * (dx**2 + dy**2))
-        jac = np.stack([f * dx / p[2], f * dy / p[3], f * dx**2 / p[2], f * dy**2 / p[3], f / p[4]], axis=1)
-        step, *_ = np.linalg.lstsq(jac, a - f, rcond=None)
+        return f, np.stack([f * dx / p[2], f * dy / p[3], f * dx**2 / p[2], f * dy**2 / p[3], f / p[4]], axis=1)
+
+    for _ in range(iterations):
+        f, jac = model()
+        step, *_ = np.linalg.lstsq(jac * root[:, None], (a - f) * root, rcond=None)
         p = p + step
         if np.abs(step).max() < 1e-12 * max(1.0, np.abs(p).max()):
             break
-    return p, bool(np.isfinite(p).all() and p[2] > 0 and p[3] > 0)
+    if not (np.isfinite(p).all() and p[2] > 0 and p[3] > 0):
+        return p, none[1], False
+    f, jac = model()
+    with np.errstate(all="ignore"):
+        variance = np.diag(np.linalg.pinv((jac * root[:, None]).T @ (jac * root[:, None])))
+        if weight is None:
+            variance = variance * ((a - f) ** 2).sum() / (len(a) - 5)
+        error = np.sqrt(variance)
+    return p, error, not (error[0] >= p[2] or error[1] >= p[3])
 
 
 def beam_fits(gains: DataFrame) -> DataFrame:
-    """Beam per antenna, frequency chunk and pol; rows: ant, chunk, pol, x, y (degrees), amp."""
+    """Beam per antenna, frequency chunk and pol; rows: ant, chunk, pol, x, y (degrees), amp and, if known, weight (one over its variance)."""
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        p, valid = fit_beam(pdf.x.to_numpy(), pdf.y.to_numpy(), pdf.amp.to_numpy())
-        row = [pdf.ant.iloc[0], pdf.chunk.iloc[0], pdf.pol.iloc[0], *p, valid]
+        weight = pdf.weight.to_numpy() if "weight" in pdf else None
+        p, error, valid = fit_beam(pdf.x.to_numpy(), pdf.y.to_numpy(), pdf.amp.to_numpy(), weight)
+        row = [pdf.ant.iloc[0], pdf.chunk.iloc[0], pdf.pol.iloc[0], *p, valid, *error]
         return pd.DataFrame([row], columns=[c.split()[0] for c in BEAM.split(", ")])
 
     return gains.groupBy("ant", "chunk", "pol").applyInPandas(fit, BEAM)

@@ -158,6 +158,28 @@ def test_beam_fit_recovers_a_gaussian(spark):
     assert r.valid and np.allclose([r.x0, r.y0, r.wx, r.wy, r.height], [0.1, -0.2, 0.8, 0.6, 3.0], rtol=1e-4)
 
 
+def test_errors_of_a_beam_equal_a_monte_carlo():
+    """Predicted errors within a fifth of the scatter over many noisy beams, with weights and without."""
+    rng = np.random.default_rng(8)
+    x, y = (v.ravel() for v in np.meshgrid(np.linspace(-1, 1, 7), np.linspace(-1, 1, 7)))
+    clean = 3 * np.exp(-0.5 * (((x - 0.1) / 0.8) ** 2 + ((y + 0.2) / 0.6) ** 2))
+    sigma = np.where(x > 0, 0.02, 0.06)
+    fits = [pointing.fit_beam(x, y, clean + sigma * rng.normal(size=len(x)), 1 / sigma**2) for _ in range(400)]
+    assert all(ok for _, _, ok in fits)
+    scatter, predicted = np.std([p for p, _, _ in fits], axis=0), np.mean([e for _, e, _ in fits], axis=0)
+    assert np.allclose(predicted, scatter, rtol=0.2)
+    even = [pointing.fit_beam(x, y, clean + 0.03 * rng.normal(size=len(x))) for _ in range(400)]
+    assert np.allclose(np.mean([e for _, e, _ in even], axis=0), np.std([p for p, _, _ in even], axis=0), rtol=0.2)
+
+
+def test_beams_that_cannot_be_fitted_are_not_valid():
+    x, y = (v.ravel() for v in np.meshgrid([-1.0, 0.0, 1.0], [-1.0, 0.0, 1.0]))
+    assert not pointing.fit_beam(x, y, np.ones(9))[2] and not pointing.fit_beam(x[:4], y[:4], np.ones(4))[2]
+    beam = 3 * np.exp(-0.5 * (x**2 + y**2))
+    assert pointing.fit_beam(x, y, beam, np.full(9, 1e4))[2] and not pointing.fit_beam(x, y, beam, np.full(9, 1e-4))[2]
+    assert not pointing.fit_beam(x, y, beam, np.zeros(9))[2]
+
+
 def test_flags_are_monotone():
     rng = np.random.default_rng(0)
     amp = rng.normal(1, 0.1, (20, 40))
