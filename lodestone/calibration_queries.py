@@ -106,6 +106,16 @@ def reference_antenna(spark, sf):
     return solve.reference_antenna(vis(spark, sf))
 
 
+@query("""WITH s AS (SELECT pol, ant1, ant2, chan, coalesce(sum(re * weight) FILTER (WHERE flags = 0) / sum(weight) FILTER (WHERE flags = 0), 0) AS re, coalesce(sum(im * weight) FILTER (WHERE flags = 0) / sum(weight) FILTER (WHERE flags = 0), 0) AS im FROM vis WHERE ant1 <> ant2 GROUP BY ALL),
+p AS (SELECT *, row_number() OVER (PARTITION BY pol, ant1, ant2 ORDER BY chan) - 1 AS j, 8 * count(*) OVER (PARTITION BY pol, ant1, ant2) AS n FROM s), k AS (SELECT *, unnest(range(0, n)) AS k FROM p),
+t AS (SELECT pol, ant1, ant2, k, sqrt(pow(sum(re * cos(2 * pi() * j * k / n) + im * sin(2 * pi() * j * k / n)), 2) + pow(sum(im * cos(2 * pi() * j * k / n) - re * sin(2 * pi() * j * k / n)), 2)) AS a FROM k GROUP BY pol, ant1, ant2, k),
+b AS (SELECT pol, ant1, ant2, max(a) / quantile_cont(a, 0.5) AS peak FROM t GROUP BY ALL), q AS (SELECT ant, avg(peak) AS quality FROM (SELECT unnest([ant1, ant2]) AS ant, peak FROM b) GROUP BY ant)
+SELECT ant, round(quality, 5) AS quality, row_number() OVER (ORDER BY quality DESC, ant) AS place FROM q""")
+def antenna_ranking(spark, sf):
+    """All antennas from the best reference on, by the delay transforms of their baselines."""
+    return solve.antenna_ranking(vis(spark, sf), channels(spark)).select("ant", _r("quality", 5).alias("quality"), "place")
+
+
 @query("SELECT CAST(l_orderkey // 500 AS INTEGER) AS scan, CAST(l_suppkey % 8 AS INTEGER) AS ant, round(CAST((l_orderkey // 500) % 5 - 2 AS DOUBLE), 3) + 0.0 AS delay_ns FROM lineitem GROUP BY ALL")
 def solve_cross_delay(spark, sf):
     """Cross-hand delay per scan and antenna of spectra with a known slope."""

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 GAIN_SCHEMA = "chan int, pol string, ant int, re double, im double, snr double"
@@ -257,6 +257,47 @@ def reference_antenna(vis: DataFrame, previous: int | None = None, most_flagged:
     return quality.orderBy(F.desc(keep), excluded, F.desc_nulls_last("quality"), "ant").limit(1).select("ant")
 
 
+def delay_peaks(vis: DataFrame, channels: DataFrame, pad: int = 8) -> DataFrame:
+    """(pol, ant1, ant2, peak, flagged) per baseline: the peak of its padded delay transform over the transform's median.
+
+    Spectra are averaged over time first; a row is one baseline's spectrum.  A delay moves the peak and
+    leaves its height, so an antenna with a large one is as good as any other.
+    """
+    from lodestone.operators.average import partial_sums
+
+    names = ["pol", "ant1", "ant2"]
+    sums = partial_sums(vis.where("ant1 <> ant2"), [*names, "chan"]).join(channels.select("chan", "freq_hz"), "chan")
+    cell = F.struct("freq_hz", F.coalesce(F.col("swr") / F.col("sw"), F.lit(0.0)).alias("re"), F.coalesce(F.col("swi") / F.col("sw"), F.lit(0.0)).alias("im"))
+    rows = sums.groupBy(*names).agg(F.array_sort(F.collect_list(cell)).alias("spectrum"), (F.sum("n_flagged") / F.sum("n")).alias("flagged"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("spectrum")
+            flat, sizes = lists.flatten(), np.asarray(lists.value_lengths())
+            z = np.asarray(flat.field("re")) + 1j * np.asarray(flat.field("im"))
+            found = np.zeros(len(sizes))
+            for k, part in enumerate(np.split(z, np.cumsum(sizes)[:-1])):
+                size = np.abs(np.fft.fft(part, pad * len(part)))
+                found[k] = size.max() / middle if (middle := np.median(size)) > 0 else 0.0
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found), batch.column("flagged")], [*names, "peak", "flagged"])
+
+    return rows.mapInArrow(run, "pol string, ant1 int, ant2 int, peak double, flagged double")
+
+
+def antenna_ranking(vis: DataFrame, channels: DataFrame, most_flagged: float = 0.8, previous: int | None = None) -> DataFrame:
+    """(ant, quality, flagged, place): antennas from the best reference on, by the mean peak of their baselines.
+
+    Antennas with ``most_flagged`` of their cells flagged come last; the previous reference stays first unless it is one of them.
+    """
+    ends = F.explode(F.array("ant1", "ant2")).alias("ant")
+    by_ant = delay_peaks(vis, channels).select(ends, "peak", "flagged").groupBy("ant").agg(F.avg("peak").alias("quality"), F.avg("flagged").alias("flagged"))
+    last = F.col("flagged") >= most_flagged
+    kept = (F.col("ant") == F.lit(previous)) & ~last if previous is not None else F.lit(False)
+    # One row per antenna.
+    place = F.row_number().over(Window.orderBy(F.desc(kept), last, F.desc("quality"), "ant"))
+    return by_ant.withColumn("place", place)
+
+
 def residuals(vis: DataFrame, gains: DataFrame, on: list[str]) -> DataFrame:
     """Corrected visibilities less one."""
     from lodestone.operators.apply import apply_gains

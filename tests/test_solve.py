@@ -113,6 +113,25 @@ def test_reference_antenna_avoids_noise_and_flags(spark, truth):
     assert solve.reference_antenna(flagged, previous=first).first().ant not in (0, first)
 
 
+def test_ranking_likes_delays_and_leaves_noise_last(spark, truth):
+    """Antenna 1 has a delay of twice one over the bandwidth, antenna 3 is noise, antenna 2 is flagged for the most part."""
+    v = pipeline.parallel_hands(synthetic.visibilities(spark, truth, 64, 4))
+    channels = synthetic.channel_table(spark, 64, 856e6, 1284e6)
+    number = lambda a: (F.col("ant1") == a).cast("int") - (F.col("ant2") == a).cast("int")
+    angle = 2 * np.pi * 2 * F.col("chan") / 64 * number(1)
+    turned = v.withColumn("_r", F.col("re") * F.cos(angle) - F.col("im") * F.sin(angle)).withColumn("im", F.col("re") * F.sin(angle) + F.col("im") * F.cos(angle)).withColumn("re", F.col("_r")).drop("_r")
+    noise = number(3) != 0
+    seen = turned.withColumn("re", F.when(noise, F.randn(1)).otherwise(F.col("re"))).withColumn("im", F.when(noise, F.randn(2)).otherwise(F.col("im")))
+    places = lambda **kw: [r.ant for r in solve.antenna_ranking(seen, channels, **kw).orderBy("place").collect()]
+    first = places()
+    assert first[-1] == 3 and set(first[:3]) == {0, 1, 2}
+    quality = {r.ant: r.quality for r in solve.antenna_ranking(seen, channels).collect()}
+    assert quality[1] > 0.8 * quality[first[0]] and quality[3] < 0.5 * quality[1]
+    assert places(previous=3)[0] == 3
+    seen = seen.withColumn("flags", F.when(number(2) != 0, 1).otherwise(F.col("flags")))
+    assert places(most_flagged=0.9, previous=2)[-1] == 2
+
+
 def test_interference_is_found_and_idempotent(spark, truth):
     v = synthetic.visibilities(spark, truth, 64, 12, corrupt=(4, 9), noise=0.05)
     v = v.withColumn("im", F.col("im") + F.when(F.col("chan") == 20, 50.0).otherwise(0.0))
