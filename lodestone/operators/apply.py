@@ -21,8 +21,11 @@ DELAYS = ("K", "KCROSS", "KCROSS_DIODE")
 GAINS = ("G", "B", "BCROSS_DIODE", "BCROSS_DIODE_SKY")
 
 
-def gain_table(solution: DataFrame, soltype: str, channels: DataFrame | None = None) -> DataFrame:
-    """Complex gains of a solution; delays are spread over ``channels`` (chan, freq_hz)."""
+def gain_table(solution: DataFrame, soltype: str, channels: DataFrame | None = None, keys: Sequence[str] = (), ants: DataFrame | None = None) -> DataFrame:
+    """Complex gains of a solution per ``keys``; delays are spread over ``channels`` (chan, freq_hz).
+
+    A cross-hand delay is the median of the solution's and goes to ``ants`` (ant and any of the keys; None: the solution's own).
+    """
     if soltype in GAINS:
         return solution
     if soltype not in DELAYS:
@@ -30,9 +33,13 @@ def gain_table(solution: DataFrame, soltype: str, channels: DataFrame | None = N
     if channels is None:
         raise ValueError("a delay needs the channel frequencies")
     if soltype != "K":  # one delay for all antennas: their median
-        solution = solution.groupBy("pol").agg(median(F.col("delay")).alias("delay")).crossJoin(F.broadcast(solution.select("ant").distinct()))
+        ants = solution.select(*keys, "ant").distinct() if ants is None else ants
+        shared = [k for k in keys if k in ants.columns]
+        middle = solution.groupBy(*keys, "pol").agg(median(F.col("delay")).alias("delay"))
+        solution = middle.join(ants, shared) if shared else middle.crossJoin(ants)
     re, im = cplx.delay_phasor(F.col("delay"), F.col("freq_hz"))
-    return solution.crossJoin(F.broadcast(channels)).select("ant", "pol", "chan", re.alias("re"), im.alias("im"))
+    # A row per antenna and channel of the instrument is what is applied.
+    return solution.crossJoin(channels.select("chan", "freq_hz")).select(*keys, "ant", "pol", "chan", re.alias("re"), im.alias("im"))
 
 
 def apply_gains(vis: DataFrame, gains: DataFrame, on: Sequence[str] = (), update_weights: bool = False, pol1: Column | None = None, pol2: Column | None = None) -> DataFrame:

@@ -199,7 +199,7 @@ def solve_cross_delay(combined: DataFrame, channels: DataFrame, keys: list[str],
         return pd.DataFrame({k: [pdf[k].iloc[0]] for k in keys} | {"pol": [pol], "delay": [d]})
 
     kinds = "".join(f"`{k}` {combined.schema[k].dataType.simpleString()}, " for k in keys)
-    rows = combined.join(F.broadcast(channels.select("chan", "freq_hz")), "chan").select(*keys, "freq_hz", "re", "im", "weight")
+    rows = combined.join(channels.select("chan", "freq_hz"), "chan").select(*keys, "freq_hz", "re", "im", "weight")
     return rows.groupBy(*keys).applyInPandas(solve, f"{kinds}pol string, delay double")
 
 
@@ -212,17 +212,14 @@ def cross_phase(combined: DataFrame) -> DataFrame:
 
 def spline(x: np.ndarray, knots: np.ndarray, coefs: np.ndarray, degree: int) -> np.ndarray:
     """B-spline values by de Boor's recursion (ends extended)."""
-    out = np.empty(len(x))
-    for i, v in enumerate(x):
-        k = int(np.clip(np.searchsorted(knots, v, side="right") - 1, degree, len(knots) - degree - 2))
-        d = [float(coefs[j + k - degree]) for j in range(degree + 1)]
-        for r in range(1, degree + 1):
-            for j in range(degree, r - 1, -1):
-                lo, hi = knots[j + k - degree], knots[j + 1 + k - r]
-                a = (v - lo) / (hi - lo) if hi != lo else 0.0
-                d[j] = (1 - a) * d[j - 1] + a * d[j]
-        out[i] = d[degree]
-    return out
+    k = np.clip(np.searchsorted(knots, x, side="right") - 1, degree, len(knots) - degree - 2)
+    d = [np.asarray(coefs, dtype=float)[j + k - degree] for j in range(degree + 1)]
+    for r in range(1, degree + 1):
+        for j in range(degree, r - 1, -1):
+            lo, span = knots[j + k - degree], knots[j + 1 + k - r] - knots[j + k - degree]
+            a = np.divide(x - lo, span, out=np.zeros(len(x)), where=span != 0)
+            d[j] = (1 - a) * d[j - 1] + a * d[j]
+    return d[degree]
 
 
 def rotate_by_spline(solution: DataFrame, knots: list[float], coefs: list[float], degree: int, conjugate: bool) -> DataFrame:

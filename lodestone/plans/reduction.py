@@ -55,6 +55,9 @@ class Settings:
     flaggers: tuple[rfi.Flagger, rfi.Flagger] | None = None
     #: Whether interference is sought in the cross hands and set on all hands, or sought in each hand.
     flag_cross: bool = False
+    #: Channels averaged before a cross-hand delay, and the (knots in MHz, coefficients in degrees, degree) of the sky's phase.
+    kcross_average: int = 1
+    sky_spline: tuple[list[float], list[float], int] | None = None
 
     @classmethod
     def of_parameters(cls, p: dict, dump_period: float, n_chans: int, flag_cross: bool = True) -> Settings:
@@ -62,7 +65,10 @@ class Settings:
         dumps = {k: max(1, round(p[k] / dump_period)) for k in ("k_solint", "bp_solint", "g_solint")}
         windows = {f"{k}_window": (p[f"{k}_bchan"], p[f"{k}_echan"]) for k in ("k", "g")}
         flaggers = tuple(rfi.Flagger.of_parameters(p, dump_period, n_chans, kind) for kind in ("calib", "targ"))
-        return cls(**windows, **dumps, k_chan_sample=p["k_chan_sample"], flaggers=flaggers, flag_cross=flag_cross)
+        spline = tuple(p.get(f"bcross_sky_{n}") for n in ("knots", "coefs", "k"))
+        # Coefficients of nothing but zeros stand for no spline.
+        sky = spline if spline[1] and any(spline[1]) else None
+        return cls(**windows, **dumps, k_chan_sample=p["k_chan_sample"], flaggers=flaggers, flag_cross=flag_cross, kcross_average=p.get("kcross_chanave", 1), sky_spline=sky)
 
 
 def inside(window: tuple[int, int] | None) -> Column:
@@ -235,22 +241,24 @@ def flag_scans(rows: DataFrame, scans: DataFrame, settings: Settings) -> DataFra
     return out
 
 
-def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants: int, ref: int, settings: Settings = Settings(), model: DataFrame | None = None) -> dict[str, DataFrame]:
-    """K, B, G and ``corrected`` of an observation.
+def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants: int, ref: int, settings: Settings = Settings(), model: DataFrame | None = None, diode: DataFrame | None = None, first: str = "h") -> dict[str, DataFrame]:
+    """K, B, G and ``corrected`` of an observation; with ``polcal`` scans KCROSS and ``cross``, with ``diode`` the products of ``crosshands.solve_diode``.
 
     ``vis``: ts, dump, chan, pol, ant1, ant2, re, im, flags, weight (and cb, if ``scans`` has it); pol is one letter for a parallel
     hand or two for any hand: the solvers take the parallel ones, all are corrected.  ``scans``: scan (unique), batch, target,
     tags, t0, t1 (and cb); ``channels``: chan, freq_hz.  ``model``: dump, chan, ant1, ant2, re, im of the calibrators; cells
-    that it lacks stay as they are.
+    that it lacks stay as they are.  ``diode``: ant, ts, value of the noise diodes; ``first``: the hand that cross-hand products
+    are of.  Without four hands there are none of these.
     """
+    from lodestone.plans import crosshands
+
     scans = written(processing_order(scans), "scans")
     timed = with_scans(vis, scans.select("scan", "cb", "t0", "t1")).select("scan", *(c for c in vis.columns if c != "cb"))
     if settings.flaggers:
         timed = flag_scans(written(timed, "timed"), scans, settings)
     # Read by every step; the source isn't.
     rows = written(timed, "rows")
-    first = F.substring("pol", 1, 1)
-    hands = rows.where((first == F.substring("pol", -1, 1)) & (F.col("ant1") != F.col("ant2"))).withColumn("pol", first)
+    hands = crosshands.parallel_rows(rows)
     if model is not None:
         divided = apply.divide_model(hands.join(model.select("dump", "chan", "ant1", "ant2").distinct(), ["dump", "chan", "ant1", "ant2"], "left_semi"), model, ["dump", "chan", "ant1", "ant2"])
         hands = written(divided.unionByName(hands.join(model, ["dump", "chan", "ant1", "ant2"], "left_anti")), "divided")
@@ -261,4 +269,9 @@ def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants:
     wanted = _of(rows, scans, APPLY_TAGS)
     flat = _applied(wanted, band, ["scan", "chan"], False)
     at = written(gains_at_dumps(wanted.select("scan", "dump", "ts").distinct(), scans, g), "gains_at_dumps")
-    return {"K": k, "B": b, "G": g, "corrected": _applied(flat, at, ["scan", "dump"], False)}
+    out = {"K": k, "B": b, "G": g, "corrected": _applied(flat, at, ["scan", "dump"], False)}
+    if not scans.where(has_any(crosshands.POL_TAGS)).isEmpty():
+        out |= crosshands.solve_polcal(rows, scans, channels, band, n_ants, ref, settings, first)
+    if diode is not None:
+        out |= crosshands.solve_diode(rows, scans, channels, band, g.drop("solint", "time", "snr"), diode, settings, first)
+    return out
