@@ -16,7 +16,7 @@ from lodestone.operators import average, model, pointing, report, rfi, solve
 from lodestone.plans import pipeline, reduction
 from lodestone.queries import _r, query, sens, vis
 from lodestone.sources.scratch import shared_path, written
-from lodestone.streaming import batcher
+from lodestone.streaming import batcher, incremental
 
 ANTS, REF = 8, 0
 #: Gains in intervals of about 170 dumps, which divide a scan of 500 in three.
@@ -91,12 +91,35 @@ def solve_gain(spark, sf):
     return g.select("scan", "solint", "pol", "ant", (_r("re", 3) + 0.0).alias("re"), (_r("im", 3) + 0.0).alias("im"))
 
 
-@query("""WITH o AS (SELECT CAST(l_orderkey // 500 AS INTEGER) AS scan, l_linenumber AS chan FROM lineitem WHERE l_orderkey % 11 <> 3)
-SELECT scan, chan, count(*) AS n, round(CASE WHEN scan % 4 = 3 THEN pow((1 + 0.5 * (scan % 3)) / (1 + 0.5 * ((scan - 1) % 3)), 2) ELSE 1 END, 3) AS re, 0.0 AS im FROM o GROUP BY scan, chan""")
+_APPLIED = """WITH o AS (SELECT CAST(l_orderkey // 500 AS INTEGER) AS scan, l_linenumber AS chan FROM lineitem WHERE l_orderkey % 11 <> 3)
+SELECT scan, chan, count(*) AS n, round(CASE WHEN scan % 4 = 3 THEN pow((1 + 0.5 * (scan % 3)) / (1 + 0.5 * ((scan - 1) % 3)), 2) ELSE 1 END, 3) AS re, 0.0 AS im FROM o GROUP BY scan, chan"""
+
+
+@query(_APPLIED)
 def calibrate_apply(spark, sf):
     """The whole reduction: calibrators come out as one, a target by the gains of the scan before it."""
-    flat = _reduced(spark, sf)["corrected"].where("flags = 0")
-    return flat.groupBy("scan", "chan").agg(F.count("*").alias("n"), _r(F.avg("re"), 3).alias("re"), (_r(F.avg("im"), 3) + 0.0).alias("im"))
+    return _means(_reduced(spark, sf)["corrected"])
+
+
+def _means(corrected: DataFrame) -> DataFrame:
+    flat = corrected.where("flags = 0").groupBy("scan", "chan").agg(F.count("*").alias("n"), _r(F.avg("re"), 3).alias("re"), (_r(F.avg("im"), 3) + 0.0).alias("im"))
+    return flat.withColumn("scan", F.col("scan").cast("int"))
+
+
+@query(_APPLIED)
+def incremental_apply(spark, sf):
+    """The same from a stream in two parts, the second of which begins with a target that takes the gains of the first."""
+    rows = observation(spark, sf)
+    told = written(rows.join(scans(rows).select("scan", "batch", "target", "tags"), "scan").withColumn("cb", F.lit("cb")), "told")
+    newest = told.agg(F.max("scan")).first()[0] or 0
+    cut = min(newest, newest // 8 * 4 + 3)
+    store = incremental.Store(spark, shared_path(spark, "store")).open()
+    source, checkpoint = shared_path(spark, "observation"), shared_path(spark, "stream")
+    step = incremental.reducer(store, channels(spark), ANTS, REF, SETTINGS)
+    for part in (F.col("scan") < cut, F.col("scan") >= cut):
+        told.where(part).write.mode("append").parquet(source)
+        incremental.reduce_stream(spark.readStream.schema(told.schema).parquet(source), step, checkpoint).awaitTermination()
+    return _means(store.read("corrected"))
 
 
 @query("""WITH e AS (SELECT unnest([ant1, ant2]) AS ant, pol, ant1, ant2, flags, re, im FROM vis WHERE ant1 <> ant2),

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -100,11 +101,12 @@ def with_scans(vis: DataFrame, scans: DataFrame) -> DataFrame:
 
 
 def _last(scans: DataFrame, solved: DataFrame, name: str) -> DataFrame:
-    """(scan, name): the scan whose solution each scan uses, by processing order, its own included."""
-    marked = scans.select("scan", "cb", "proc_seq").join(solved.select("scan", F.col("scan").alias(name)).distinct(), "scan", "left")
+    """(scan, name): the scan whose solution each scan uses, by processing order, its own included; scans that are ``old`` use none any more."""
+    earlier = F.col("old") if "old" in scans.columns else F.lit(False)
+    marked = scans.select("scan", "cb", "proc_seq", earlier.alias("old")).join(solved.select("scan", F.col("scan").alias(name)).distinct(), "scan", "left")
     # One row per scan of the capture block.
     w = Window.partitionBy("cb").orderBy("proc_seq").rowsBetween(Window.unboundedPreceding, 0)
-    return marked.withColumn(name, F.last(name, ignorenulls=True).over(w)).select("scan", name)
+    return marked.withColumn(name, F.last(name, ignorenulls=True).over(w)).where("NOT old").select("scan", name)
 
 
 def delay_gains(scans: DataFrame, delays: DataFrame, channels: DataFrame) -> DataFrame:
@@ -241,19 +243,24 @@ def flag_scans(rows: DataFrame, scans: DataFrame, settings: Settings) -> DataFra
     return out
 
 
-def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants: int, ref: int, settings: Settings = Settings(), model: DataFrame | None = None, diode: DataFrame | None = None, first: str = "h") -> dict[str, DataFrame]:
+def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants: int, ref: int, settings: Settings = Settings(), model: DataFrame | None = None, diode: DataFrame | None = None, first: str = "h", earlier: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """K, B, G and ``corrected`` of an observation; with ``polcal`` scans KCROSS and ``cross``, with ``diode`` the products of ``crosshands.solve_diode``.
 
     ``vis``: ts, dump, chan, pol, ant1, ant2, re, im, flags, weight (and cb, if ``scans`` has it); pol is one letter for a parallel
     hand or two for any hand: the solvers take the parallel ones, all are corrected.  ``scans``: scan (unique), batch, target,
     tags, t0, t1 (and cb); ``channels``: chan, freq_hz.  ``model``: dump, chan, ant1, ant2, re, im of the calibrators; cells
     that it lacks stay as they are.  ``diode``: ant, ts, value of the noise diodes; ``first``: the hand that cross-hand products
-    are of.  Without four hands there are none of these.
+    are of.  Without four hands there are none of these.  ``earlier``: scans, K, B and G of batches reduced before, which these scans may
+    use; nothing of them is reduced or returned again.
     """
     from lodestone.plans import crosshands
 
+    scans, known = blocks(scans).withColumn("old", F.lit(False)), {"K": [], "B": [], "G": []}
+    if earlier is not None:
+        scans = scans.unionByName(blocks(earlier["scans"]).withColumn("old", F.lit(True)).select(scans.columns))
+        known = {name: [earlier[name]] for name in known}
     scans = written(processing_order(scans), "scans")
-    timed = with_scans(vis, scans.select("scan", "cb", "t0", "t1")).select("scan", *(c for c in vis.columns if c != "cb"))
+    timed = with_scans(vis, scans.where("NOT old").select("scan", "cb", "t0", "t1")).select("scan", *(c for c in vis.columns if c != "cb"))
     if settings.flaggers:
         timed = flag_scans(written(timed, "timed"), scans, settings)
     # Read by every step; the source isn't.
@@ -263,15 +270,16 @@ def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants:
         divided = apply.divide_model(hands.join(model.select("dump", "chan", "ant1", "ant2").distinct(), ["dump", "chan", "ant1", "ant2"], "left_semi"), model, ["dump", "chan", "ant1", "ant2"])
         hands = written(divided.unionByName(hands.join(model, ["dump", "chan", "ant1", "ant2"], "left_anti")), "divided")
     k = written(solve_delays(hands, scans, channels, n_ants, ref, settings), "delays")
-    b = written(solve_bands(hands, scans, k, channels, n_ants, ref, settings), "bandpasses")
-    band = written(band_gains(scans, k, b, channels), "band")
+    ks = reduce(DataFrame.unionByName, known["K"], k)
+    b = written(solve_bands(hands, scans, ks, channels, n_ants, ref, settings), "bandpasses")
+    band = written(band_gains(scans, ks, reduce(DataFrame.unionByName, known["B"], b), channels), "band")
     g = written(solve_gains(hands, scans, band, n_ants, ref, settings), "gains")
     wanted = _of(rows, scans, APPLY_TAGS)
     flat = _applied(wanted, band, ["scan", "chan"], False)
-    at = written(gains_at_dumps(wanted.select("scan", "dump", "ts").distinct(), scans, g), "gains_at_dumps")
+    at = written(gains_at_dumps(wanted.select("scan", "dump", "ts").distinct(), scans, reduce(DataFrame.unionByName, known["G"], g)), "gains_at_dumps")
     out = {"K": k, "B": b, "G": g, "corrected": _applied(flat, at, ["scan", "dump"], False)}
-    if not scans.where(has_any(crosshands.POL_TAGS)).isEmpty():
+    if not scans.where(has_any(crosshands.POL_TAGS) & ~F.col("old")).isEmpty():
         out |= crosshands.solve_polcal(rows, scans, channels, band, n_ants, ref, settings, first)
     if diode is not None:
-        out |= crosshands.solve_diode(rows, scans, channels, band, g.drop("solint", "time", "snr"), diode, settings, first)
+        out |= crosshands.solve_diode(rows, scans.where("NOT old"), channels, band, g.drop("solint", "time", "snr"), diode, settings, first)
     return out
