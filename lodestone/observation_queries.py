@@ -29,6 +29,39 @@ def elevation(spark, sf):
     return o.select(F.col("o_orderkey").alias("k"), n.cast("int").alias("target"), _r(el).alias("el"))
 
 
+_PLACE = f"""WITH base AS (SELECT o_orderkey AS k, o_orderkey * 40000.0 + 0.9e9 AS t, 10 + (o_custkey % 7) * 50.0 AS ra, -60.0 + (o_custkey % 7) * 17 AS de FROM orders),
+c AS (SELECT *, (t / 86400.0 - 10957.5) / 36525.0 AS c FROM base),
+p AS (SELECT *, radians(((0.017998 * c + 0.30188) * c + 2306.2181) * c / 3600 + ra) AS a0, ((0.018203 * c + 1.09468) * c + 2306.2181) * c / 3600 AS z, radians(((-0.041833 * c - 0.42665) * c + 2004.3109) * c / 3600) AS th, radians(de) AS d0,
+ radians(125.04452 - 1934.136261 * c) AS nd, radians(280.4665 + 36000.7698 * c) AS sl, radians(218.3165 + 481267.8813 * c) AS ml, radians(357.52911 + (35999.05029 - 0.0001537 * c) * c) AS m, radians(102.93735 + (1.71946 + 0.00046 * c) * c) AS q, 0.016708634 - 0.000042037 * c AS ec FROM c),
+u AS (SELECT *, radians(degrees(atan2(cos(d0) * sin(a0), cos(th) * cos(d0) * cos(a0) - sin(th) * sin(d0))) + z) AS a, asin(sin(th) * cos(d0) * cos(a0) + cos(th) * sin(d0)) AS d,
+ (-17.20 * sin(nd) - 1.32 * sin(2 * sl) - 0.23 * sin(2 * ml) + 0.21 * sin(2 * nd)) / 3600 AS psi, (9.20 * cos(nd) + 0.57 * cos(2 * sl) + 0.10 * cos(2 * ml) - 0.09 * cos(2 * nd)) / 3600 AS eps,
+ radians(280.46646 + (36000.76983 + 0.0003032 * c) * c + (1.914602 - 0.004817 * c) * sin(m) + (0.019993 - 0.000101 * c) * sin(2 * m) + 0.000289 * sin(3 * m)) AS s FROM p),
+w AS (SELECT *, radians(23 + 26 / 60.0 + 21.448 / 3600 - 46.8150 / 3600 * c + eps) AS o, 20.49552 / 3600 AS kap FROM u),
+ap AS (SELECT k, t, psi, o, degrees(a) + (cos(o) + sin(o) * sin(a) * tan(d)) * psi - cos(a) * tan(d) * eps + kap / cos(d) * (ec * (cos(a) * cos(q) * cos(o) + sin(a) * sin(q)) - cos(a) * cos(s) * cos(o) - sin(a) * sin(s)) AS ra,
+ degrees(d) + sin(o) * cos(a) * psi + sin(a) * eps + kap * (ec * (cos(q) * (sin(o) * cos(d) - cos(o) * sin(a) * sin(d)) + cos(a) * sin(d) * sin(q)) - cos(s) * (sin(o) * cos(d) - cos(o) * sin(a) * sin(d)) - cos(a) * sin(d) * sin(s)) AS de FROM w)"""
+
+
+def _places(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    n = F.col("o_custkey") % 7
+    return o.select(F.col("o_orderkey").alias("k"), (F.col("o_orderkey") * 40000.0 + 0.9e9).alias("t"), (10 + n * 50.0).alias("ra"), (F.lit(-60.0) + n * 17).alias("de"))
+
+
+@query(f"{_PLACE} SELECT k, round(ra - 360 * floor(ra / 360), 6) AS ra, round(de, 6) AS de FROM ap")
+def apparent_places(spark, sf):
+    """Places of date of the targets: precession, nutation and aberration."""
+    ra, de = astro.apparent(F.col("t"), F.col("ra"), F.col("de"))
+    return _places(spark, sf).select("k", _r(ra).alias("ra"), _r(de).alias("de"))
+
+
+@query(f"""{_PLACE}, h AS (SELECT *, radians(280.46061837 + {LONGITUDE} + (t / 86400.0 - 10957.5) * 360.98564736629 + psi * cos(o) - ra) AS h, radians(de) AS d, radians({LATITUDE}) AS p FROM ap)
+SELECT k, round(degrees(asin(sin(d) * sin(p) + cos(d) * cos(h) * cos(p))), 6) AS el FROM h""")
+def apparent_elevation(spark, sf):
+    """Elevation by apparent place and apparent sidereal time."""
+    el = astro.apparent_az_el(F.col("t"), F.col("ra"), F.col("de"), LATITUDE, LONGITUDE)[1]
+    return _places(spark, sf).select("k", _r(el).alias("el"))
+
+
 @query(f"""WITH base AS (SELECT DISTINCT dump, ant1, ant2, chan, dump * 4.0 + 1.4e9 AS t, 40.0 AS ra, -25.0 AS de, (ant2 - ant1) * 30.0 AS e, (ant2 % 3 - ant1 % 3) * 50.0 AS n, (ant2 - ant1) * 0.5 AS u FROM vis), {_SKY},
 x AS (SELECT *, -sin(p) * n + cos(p) * u AS x, e AS y, cos(p) * n + sin(p) * u AS z, (1284e6 + chan * 1e6) / 299792458.0 AS f FROM h)
 SELECT dump, ant1, ant2, chan, round((sin(h) * x + cos(h) * y) * f, 4) + 0.0 AS u, round((-sin(d) * cos(h) * x + sin(d) * sin(h) * y + cos(d) * z) * f, 4) + 0.0 AS v, round((cos(d) * cos(h) * x - cos(d) * sin(h) * y + sin(d) * z) * f, 4) + 0.0 AS w FROM x""")
