@@ -2,8 +2,7 @@
 
 ``observation`` (from ``lineitem``) is a table of visibilities whose values are those of unit
 sources seen with known delays, bandpasses and gains; a scan is 500 orders, so scans grow with
-the table.  The SQL gives what a solver must recover.  ``stream_batches`` has no
-SQL and is tested against a plain version.
+the table.  The SQL gives what a solver must recover.
 """
 
 from __future__ import annotations
@@ -212,12 +211,20 @@ def rfi_sumthreshold(spark, sf):
     return pipeline.flag_rows(rows, flagger=flagger).select("dump", "chan", "flags")
 
 
-@query()
+@query("""WITH e AS (SELECT CAST(user_id AS INTEGER) AS g, event_id AS dump, CASE event_type WHEN 'purchase' THEN 'await_pipeline' WHEN 'signup' THEN 'slew' ELSE event_type END AS activity FROM events),
+o AS (SELECT *, lag(dump) OVER w AS prev, lag(activity) OVER w AS old FROM e WINDOW w AS (PARTITION BY g ORDER BY dump)),
+n AS (SELECT *, sum(CASE WHEN old NOT IN ('slew', 'await_pipeline') THEN 1 ELSE 0 END) OVER (PARTITION BY g ORDER BY dump) AS part FROM o),
+r AS (SELECT g, part, min(coalesce(prev + 1, dump)) AS first, min(dump) AS opened, max(dump) AS last, arg_min(activity, dump) AS activity FROM n GROUP BY g, part),
+b AS (SELECT *, CAST(coalesce(sum((last - first) // 30 + 1) OVER (PARTITION BY g ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS base FROM r),
+d AS (SELECT g, base, first, unnest(range(first, last + 1)) AS dump FROM b)
+SELECT 'cb' AS cb, d.g AS chan_group, base + (d.dump - first) // 30 AS batch, d.dump, CASE WHEN e.dump IS NULL THEN 8 ELSE 0 END AS flags, '' AS payload, CAST(0 AS BIGINT) AS too_late, '' AS control FROM d LEFT JOIN e ON d.g = e.g AND d.dump = e.dump
+UNION ALL SELECT 'cb', g, base - 1, opened, 0, '', 0, 'sync' FROM b WHERE part > 0 AND activity = 'await_pipeline'""")
 def stream_batches(spark, sf):
-    """The event log as a stream of heaps, ended by a stop heap for each group; closed batches are written and read back."""
+    """The event log as a stream of heaps, ended by a stop heap for each group: batches of up to 30 dumps, broken by activity, control rows where the pipeline is awaited; closed batches are written and read back."""
     e = spark.read.parquet(f"{sf}/events.parquet")
+    activity = F.when(F.col("event_type") == "purchase", batcher.AWAIT).when(F.col("event_type") == "signup", "slew").otherwise(F.col("event_type"))
     heaps = e.select(
-        F.lit("cb").alias("cb"), F.col("user_id").cast("int").alias("chan_group"), F.col("event_id").alias("dump"), F.col("event_type").alias("activity"), F.col("event_id").cast("double").alias("activity_time"),
+        F.lit("cb").alias("cb"), F.col("user_id").cast("int").alias("chan_group"), F.col("event_id").alias("dump"), activity.alias("activity"), F.col("event_id").cast("double").alias("activity_time"),
         F.lit("gaincal").alias("tags"), F.lit(False).alias("is_stop"), F.lit(0).alias("flags"), F.lit(None).cast("string").alias("payload"), F.col("event_id").cast("bigint").alias("seq"),
     )
     stops = heaps.select("cb", "chan_group").distinct().withColumn("is_stop", F.lit(True))
@@ -225,4 +232,4 @@ def stream_batches(spark, sf):
     stream = spark.readStream.schema(log.schema).parquet(log.inputFiles()[0].rsplit("/", 1)[0])
     out = shared_path(spark, "batches")
     batcher.write_batches(batcher.batch_stream(stream, 30), out, shared_path(spark, "stream")).awaitTermination()
-    return spark.read.schema(batcher.OUT).parquet(out)
+    return spark.read.schema(batcher.OUT).parquet(out).fillna("", ["payload", "control"])

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.functions import keys
+from lodestone.functions import keys as funcs
 
 BEAM = "ant int, chunk int, pol string, x0 double, y0 double, wx double, wy double, height double, valid boolean, x0_err double, y0_err double, wx_err double, wy_err double, height_err double"
 
@@ -54,23 +56,50 @@ def fit_beam(x: np.ndarray, y: np.ndarray, amp: np.ndarray, weight: np.ndarray |
     return p, error, not (error[0] >= p[2] or error[1] >= p[3])
 
 
-def beam_fits(gains: DataFrame) -> DataFrame:
-    """Beam per antenna, frequency chunk and pol; rows: ant, chunk, pol, x, y (degrees), amp and, if known, weight (one over its variance)."""
+def beam_fits(gains: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Beam per antenna, frequency chunk and pol (and ``keys``); rows: ant, chunk, pol, x, y (degrees), amp and, if known, weight (one over its variance)."""
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         weight = pdf.weight.to_numpy() if "weight" in pdf else None
         p, error, valid = fit_beam(pdf.x.to_numpy(), pdf.y.to_numpy(), pdf.amp.to_numpy(), weight)
-        row = [pdf.ant.iloc[0], pdf.chunk.iloc[0], pdf.pol.iloc[0], *p, valid, *error]
-        return pd.DataFrame([row], columns=[c.split()[0] for c in BEAM.split(", ")])
+        row = [*pdf[[*keys, "ant", "chunk", "pol"]].iloc[0], *p, valid, *error]
+        return pd.DataFrame([row], columns=[*keys, *(c.split()[0] for c in BEAM.split(", "))])
+
+    own = "".join(f"{k} {gains.schema[k].dataType.simpleString()}, " for k in keys)
+    return gains.groupBy(*keys, "ant", "chunk", "pol").applyInPandas(fit, own + BEAM)
 
-    return gains.groupBy("ant", "chunk", "pol").applyInPandas(fit, BEAM)
+
+def chunk_amplitudes(bands: DataFrame, keys: Sequence[str], channels: int) -> DataFrame:
+    """Amplitude of each antenna and chunk of ``channels`` channels (keys, ant, chunk, amp, weight): means over a chunk, polarisations by their weights.
+
+    A mean's weight is one over its variance; gains that don't vary over the chunk (or are alone in it) count as known
+    to a thousandth.  Channels without a gain don't count; a chunk without any gives no row.
+    """
+    amp = F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im"))
+    known = bands.select(*keys, "pol", "ant", funcs.blocks(F.col("chan"), channels).alias("chunk"), amp.alias("a")).where("a > 0 AND NOT isnan(a)")
+    means = known.groupBy(*keys, "pol", "ant", "chunk").agg(F.avg("a").alias("a"), F.var_pop("a").alias("v"), F.count("*").alias("n"))
+    means = means.withColumn("w", F.col("n") / F.greatest("v", F.pow(F.col("a") * 1e-3, 2)))
+    return means.groupBy(*keys, "ant", "chunk").agg((F.sum(F.col("a") * F.col("w")) / F.sum("w")).alias("amp"), F.sum("w").alias("weight"))
 
 
 def offsets(track: DataFrame) -> DataFrame:
     """Offsets (x, y, degrees) of pointings from their target; columns az, el, target_az, target_el in degrees.
 
-    The target's direction cosines seen from the pointing, so x grows with azimuth.
+    Distances from the target are kept (an arc projection), and x grows with azimuth.
     """
     az, el, az0, el0 = (F.radians(c) for c in ("az", "el", "target_az", "target_el"))
-    l, m, _ = keys.sin_projection(az, el, az0, el0)
-    return track.withColumn("x", F.degrees(F.asin(l))).withColumn("y", F.degrees(F.asin(m)))
+    l, m, _ = funcs.sin_projection(az, el, az0, el0)
+    n = F.sin(el) * F.sin(el0) + F.cos(el) * F.cos(el0) * F.cos(az - az0)
+    away = F.hypot(l, m)
+    arc = F.when(away == 0, 1.0).otherwise(F.atan2(away, n) / away)
+    return track.withColumn("x", F.degrees(l * arc)).withColumn("y", F.degrees(m * arc))
+
+
+def directions(track: DataFrame) -> DataFrame:
+    """Azimuth and elevation (az, el, degrees) of pointings at offsets x, y from target_az, target_el: the inverse of ``offsets``."""
+    x, y, az0, el0 = (F.radians(c) for c in ("x", "y", "target_az", "target_el"))
+    away = F.hypot(x, y)
+    shrink = F.when(away == 0, 1.0).otherwise(F.sin(away) / away)
+    l, m, n = x * shrink, y * shrink, F.cos(away)
+    az = az0 + F.atan2(l, n * F.cos(el0) - m * F.sin(el0))
+    return track.withColumn("az", F.pmod(F.degrees(az), F.lit(360.0))).withColumn("el", F.degrees(F.asin(m * F.cos(el0) + n * F.sin(el0))))

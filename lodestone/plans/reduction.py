@@ -244,7 +244,7 @@ def flag_scans(rows: DataFrame, scans: DataFrame, settings: Settings) -> DataFra
 
 
 def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants: int, ref: int, settings: Settings = Settings(), model: DataFrame | None = None, diode: DataFrame | None = None, first: str = "h", earlier: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """K, B, G and ``corrected`` of an observation; with ``polcal`` scans KCROSS and ``cross``, with ``diode`` the products of ``crosshands.solve_diode``.
+    """K, B, G and ``corrected`` of an observation; with ``pointingcal`` scans B_POINTING, with ``polcal`` scans KCROSS and ``cross``, with ``diode`` the products of ``crosshands.solve_diode``.
 
     ``vis``: ts, dump, chan, pol, ant1, ant2, re, im, flags, weight (and cb, if ``scans`` has it); pol is one letter for a parallel
     hand or two for any hand: the solvers take the parallel ones, all are corrected.  ``scans``: scan (unique), batch, target,
@@ -253,7 +253,7 @@ def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants:
     are of.  Without four hands there are none of these.  ``earlier``: scans, K, B and G of batches reduced before, which these scans may
     use; nothing of them is reduced or returned again.
     """
-    from lodestone.plans import crosshands
+    from lodestone.plans import crosshands, pointing
 
     scans, known = blocks(scans).withColumn("old", F.lit(False)), {"K": [], "B": [], "G": []}
     if earlier is not None:
@@ -278,6 +278,9 @@ def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants:
     flat = _applied(wanted, band, ["scan", "chan"], False)
     at = written(gains_at_dumps(wanted.select("scan", "dump", "ts").distinct(), scans, reduce(DataFrame.unionByName, known["G"], g)), "gains_at_dumps")
     out = {"K": k, "B": b, "G": g, "corrected": _applied(flat, at, ["scan", "dump"], False)}
+    own = scans.where(~F.col("old"))
+    if not own.where(has_any((pointing.POINTING_TAG,))).isEmpty():
+        out["B_POINTING"] = pointing.solve_pointings(hands, own, n_ants, ref)
     if not scans.where(has_any(crosshands.POL_TAGS) & ~F.col("old")).isEmpty():
         out |= crosshands.solve_polcal(rows, scans, channels, band, n_ants, ref, settings, first)
     if diode is not None:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodestone import calibration_queries as _calibration  # noqa: F401 (registers its queries)
 from lodestone import crosshand_queries as _crosshands  # noqa: F401
 from lodestone import observation_queries as _observation  # noqa: F401
+from lodestone import pointing_queries as _pointing  # noqa: F401
 from lodestone import queries as _sql_queries
 
 

@@ -2,7 +2,7 @@
 
 Every micro-batch of visibilities is reduced with the solutions of the ones before it, so its scans see what they would
 have seen in one plan over the whole observation.  What comes out is kept in tables of one folder, a partition per
-micro-batch which is replaced as a whole: a micro-batch that is replayed after a failure changes nothing.  The table of scans
+micro-batch which is replaced as a whole: a micro-batch that is replayed after a failure changes nothing.  The table ``done``
 is written last and marks the micro-batch as complete.
 
 Summaries are of four kinds, and merge over the micro-batches in any order:
@@ -12,6 +12,11 @@ Summaries are of four kinds, and merge over the micro-batches in any order:
 * ``models``: running means, kept as a count and sums, per target and channel;
 * ``scan_means``: rows that are appended, per scan, polarisation and baseline.
 
+Control rows of the stream (``control`` is ``sync``, with cb and batch; see ``batcher``) finish reference pointing: the
+bandpasses of ``pointingcal`` scans wait in B_POINTING, over micro-batches if need be, and a sync turns those of its capture
+block that no earlier sync took into beams, EPOINT.  Nothing is deleted: which are still waiting follows from the table of
+syncs.  A sync comes in the micro-batch of its batch or a later one.
+
 A scan lies in one micro-batch, as ``batcher`` emits its batches; one that comes back in a later micro-batch is an error.
 An empty micro-batch leaves no rows.  Rows without a scan or time belong to no scan and are left out.
 """
@@ -25,8 +30,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.operators import average
-from lodestone.plans import reduction
+from lodestone.plans import pointing, reduction
 from lodestone.sources.scratch import shared_path, written
+from lodestone.streaming import batcher
 
 _SUMS = "swr double, swi double, sw double, n_flagged bigint, n bigint"
 TABLES = {
@@ -35,6 +41,10 @@ TABLES = {
     "B": "scan bigint, chan int, pol string, ant int, re double, im double",
     "G": "scan bigint, solint int, time double, pol string, ant int, re double, im double, snr double",
     "corrected": "scan bigint, ts double, dump bigint, chan int, pol string, ant1 int, ant2 int, re double, im double, flags int, weight double",
+    "B_POINTING": "cb string, batch bigint, target string, scan bigint, time double, chan int, pol string, ant int, re double, im double",
+    "syncs": "cb string, batch bigint",
+    "EPOINT": "cb string, sync bigint, time double, target string, chunk int, pol string, ant int, x0 double, y0 double, wx double, wy double, height double, valid boolean, x0_snr double, y0_snr double, wx_snr double, wy_snr double, height_snr double",
+    "done": "complete boolean",
     "flags": "cb string, block int, pol string, ant1 int, ant2 int, n_flagged bigint, n bigint",
     "spectra": f"cb string, target string, chan int, pol string, ant int, {_SUMS}",
     "models": "cb string, target string, chan int, n bigint, sr double, si double",
@@ -62,7 +72,7 @@ class Store:
         rows = self.spark.read.schema(f"{TABLES[name]}, epoch int").parquet(f"{self.root}/{name}")
         if before is not None:
             return rows.where(F.col("epoch") < before)
-        return rows if name == "scans" else rows.join(self.read("scans").select("epoch").distinct(), "epoch", "left_semi")
+        return rows if name == "done" else rows.join(self.read("done"), "epoch", "left_semi")
 
     def put(self, name: str, rows: DataFrame, epoch: int) -> DataFrame:
         """Replace a micro-batch's rows; what was written, read back."""
@@ -98,14 +108,16 @@ def merged(store: Store) -> dict[str, DataFrame]:
     return {"flags": flags, "spectra": spectra, "models": models, "scan_means": store.read("scan_means").drop("epoch")}
 
 
-def reducer(store: Store, channels: DataFrame, n_ants: int, ref: int, settings: reduction.Settings = reduction.Settings(), model: DataFrame | None = None, block: int = 64) -> Callable[[DataFrame, int], None]:
-    """The function of ``foreachBatch``: reduce a micro-batch and keep its products and summaries."""
+def reducer(store: Store, channels: DataFrame, n_ants: int, ref: int, settings: reduction.Settings = reduction.Settings(), model: DataFrame | None = None, block: int = 64, site: pointing.Site | None = None) -> Callable[[DataFrame, int], None]:
+    """The function of ``foreachBatch``: reduce a micro-batch and keep its products and summaries; with a ``site``, fit the pointings that its control rows finish."""
 
     def step(micro: DataFrame, epoch: int) -> None:
         path = shared_path(store.spark, "micro")
-        micro.where("scan IS NOT NULL AND ts IS NOT NULL").write.parquet(path)
+        micro.write.parquet(path)
         # Read in the session of the other tables; a micro-batch has its own.
-        rows = store.spark.read.schema(micro.schema).parquet(path)
+        told = store.spark.read.schema(micro.schema).parquet(path)
+        control = F.col("control") if "control" in micro.columns else F.lit(None)
+        rows = told.where(control.isNull() & F.expr("scan IS NOT NULL AND ts IS NOT NULL")).drop("control")
         scans = rows.groupBy("cb", "scan", "batch").agg(F.first("target").alias("target"), F.first("tags").alias("tags"), F.min("ts").alias("t0"), F.max("ts").alias("t1"))
         scans = written(scans, "scans")
         earlier = {name: store.read(name, epoch).drop("epoch") for name in ("scans", "K", "B", "G")}
@@ -120,7 +132,16 @@ def reducer(store: Store, channels: DataFrame, n_ants: int, ref: int, settings:
         corrected = store.put("corrected", out["corrected"], epoch)
         for name, part in summaries(corrected, scans, model, block).items():
             store.put(name, part, epoch)
+        if "B_POINTING" in out:
+            store.put("B_POINTING", out["B_POINTING"].join(scans.select("scan", "cb", "batch", "target"), "scan"), epoch)
+        syncs = store.put("syncs", told.where(control == batcher.SYNC).select("cb", "batch").distinct(), epoch)
+        if site is not None and not syncs.isEmpty():
+            both = {n: store.read(n, epoch + 1).drop("epoch") for n in ("B_POINTING", "syncs")}
+            own = syncs.select("cb", F.col("batch").alias("sync"))
+            beams = pointing.fit_pointings(both["B_POINTING"].join(own.select("cb").distinct(), "cb", "left_semi"), both["syncs"], site)
+            store.put("EPOINT", beams.join(own, ["cb", "sync"], "left_semi"), epoch)
         store.put("scans", scans, epoch)
+        store.put("done", store.spark.range(1).select(F.lit(True).alias("complete")), epoch)
 
     return step
 
