@@ -48,7 +48,7 @@ def test_control_rows_of_batches():
         rows += sum(b.add(dump, 0, "p", (activity, float(dump), "pointingcal"), 30), [])
     # Between two tracks' own change of time a batch breaks; only the one that waits has a control row, behind its batch.
     assert [(r[0], r[1]) for r in rows if r[-1] == batcher.SYNC] == [(1, 2)]
-    assert [(r[0], r[1]) for r in rows if r[-1] is None] == [(0, 0), (1, 1), (2, 2), (2, 3), (2, 4)]
+    assert [(r[0], r[1]) for r in rows if r[-1] != batcher.SYNC] == [(0, 0), (1, 1), (2, 2), (2, 3), (2, 4)]
 
 
 def _heaps():
