@@ -15,6 +15,10 @@ Labelled samples, each chain an even mixture of two:
 * ordinary: seeded identifiers (camel case, snake case, paths, versions of the words in
   ``IDENTIFIER_WORDS``), and the corpus's own words in the same forms (``identifier_forms``).
 
+What looks random but has a form is ordinary, too: chains of UUIDs (for candidates with a hyphen) and of runs and
+repeats of the alphabet, digits and keyboard rows are trained on seeded samples, and a candidate that one of them explains as well
+(``is_random``) is no secret.  Keys of hexadecimal digits in groups joined by hyphens are therefore not found.
+
 The corpus's counts of character pairs cover every document and word outside base spans and
 unlabelled candidates; only the two count tables (alphabet squared) reach the driver.  Rows of
 the chains are mixed as probabilities, so the size of the corpus doesn't shift the balance.
@@ -31,6 +35,7 @@ import random
 import re
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -58,6 +63,8 @@ IDENTIFIER_WORDS = (
     "read record region remote report request reset resource result role root route row run save schema scope search server service session set shape size source src start state status step stream string "
     "system table target task test text thread time title token tool tree type unit update upload url user util value version view volume web width window word work wrapper www xml zone"
 )
+#: Rows of keys that are typed in order.
+KEY_ROWS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 #: Shortest run of key characters that the chains score.
 LEAST = 16
 #: Log-likelihood ratio per step (nats) from which a candidate is random.
@@ -199,10 +206,40 @@ def score(word: str, ratio: np.ndarray) -> float:
     return float(ratio[c[:-1], c[1:]].mean())
 
 
+def _uuids(rng: random.Random) -> list[str]:
+    """Random UUIDs, every other one in capitals."""
+    groups = (8, 4, 4, 4, 12)
+    out = ["-".join("".join(rng.choices(ALPHABETS[0], k=n)) for n in groups) for _ in range(SEEDED)]
+    return [u.upper() if k % 2 else u for k, u in enumerate(out)]
+
+
+def _rows_of_keys() -> list[str]:
+    """Every key row forwards, backwards and each of its keys repeated, as it is and in capitals."""
+    rows = [x for row in KEY_ROWS for x in (row * 3, row[::-1] * 3)] + [c * SEEDED_LENGTH for row in KEY_ROWS[:2] for c in row]
+    return rows + [x.upper() for x in rows]
+
+
+@lru_cache(maxsize=1)
+def formed() -> tuple[np.ndarray, np.ndarray]:
+    """Log-likelihood ratios (random against UUIDs, random against rows of keys) of each step, from seeded samples alone."""
+    strange = _chain(_seeded()[1].reshape(SIZE, SIZE))
+    chains = (_chain(np.bincount(_pairs(" ".join(x)), minlength=SIZE * SIZE).reshape(SIZE, SIZE)) for x in (_uuids(random.Random(21)), _rows_of_keys()))
+    uuids, rows = (np.log(strange / c) for c in chains)
+    return uuids, rows
+
+
+def is_random(word: str, ratio: np.ndarray, threshold: float = THRESHOLD) -> bool:
+    """Whether neither ordinary identifiers nor UUIDs nor rows of keys explain the word."""
+    if score(word, ratio) <= threshold:
+        return False
+    uuids, rows = formed()
+    return score(word, rows) > threshold and ("-" not in word or score(word, uuids) > threshold)
+
+
 def scan_text(text: str, ratio: np.ndarray, threshold: float = THRESHOLD) -> list[Span]:
     """Base spans and the random ones, by start and then kind."""
     base = base_spans(text)
-    extra = [(m.start(), 3, m.end()) for m in _candidates(text, base) if score(m[0], ratio) > threshold]
+    extra = [(m.start(), 3, m.end()) for m in _candidates(text, base) if is_random(m[0], ratio, threshold)]
     return sorted(base + extra)
 
 

@@ -6,6 +6,7 @@ import hashlib
 import io
 import random
 import re
+import uuid
 import wave
 import zlib
 
@@ -259,6 +260,20 @@ def test_random_strings_against_identifiers(spark, length):
         assert found >= 0.95 * len(strings) and set(wrong) <= {"Donaudampfschifffahrtsgesellschaft"}
 
 
+def test_forms_are_no_secrets(spark):
+    """Held-out UUIDs, runs and repeats; random strings are found as before, hexadecimal ones in capitals included."""
+    ratio, rng = secrets.train(docs(spark, EDGE).limit(0)), random.Random(77)
+    uuids = [str(uuid.UUID(int=rng.getrandbits(128), version=4)) for _ in range(500)]
+    assert not any(secrets.is_random(w, ratio) for u in uuids for w in (u, u.upper()))
+    assert not any(secrets.is_random(w, ratio) for w in ("aaaaaaaaaaaaaaaaaaaa", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "zyxwvutsrqponmlkjihgfedcba", "qwertyuiopasdfghjklzxcvbnm", "0000000000000000000"))
+    for letters in (*secrets.ALPHABETS[1:], "0123456789ABCDEF"):
+        strings = ["".join(rng.choices(letters, k=24)) for _ in range(300)]
+        # The forms take nothing away from what the chains of identifiers leave.
+        assert [w for w in strings if secrets.is_random(w, ratio)] == [w for w in strings if secrets.score(w, ratio) > secrets.THRESHOLD]
+    text = f"id {uuids[0]} key qK7vT2xR9mZ4pL8wB3nC6"
+    assert [text[s:e] for s, k, e in secrets.scan_text(text, ratio)] == ["qK7vT2xR9mZ4pL8wB3nC6"]
+
+
 def test_score_equals_the_chain_step_by_step(spark):
     ratio = secrets.train(docs(spark, EDGE))
     for word in ("qK7vT2xR9mZ4pL8wB3nC6", "get_user", "\u00e9-1"):
