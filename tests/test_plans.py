@@ -230,16 +230,24 @@ def test_state_survives_its_columns():
     assert [r[1] for r in again.stop(5, 2)] == [3] and again.ended
 
 
+def test_a_gap_is_a_few_runs(spark):
+    """What the stateful step emits grows with the heaps, not with the lost dumps; rows of the runs are those of the batches."""
+    track, far = ("track", 0.0, "gaincal"), 10_000_007
+    b = batcher.Batch()
+    runs = [r for dump in (3, 5, far) for some in b.take(dump, 0, f"p{dump}", track, 30) for r in some] + b.finish(0, 1)
+    assert len(runs) < 200 and sum(r[6] - r[1] + 1 for r in runs) == far - 3 + 1 and b.batch == (far - 3) // 30 + 1
+    b, want = batcher.Batch(), []
+    for dump in (3, 5, 200_000):
+        want += sum(b.add(dump, 0, f"p{dump}", track, 30), [])
+    want += b.stop(0, 1)
+    b = batcher.Batch()
+    short = [r for dump in (3, 5, 200_000) for some in b.take(dump, 0, f"p{dump}", track, 30) for r in some] + b.finish(0, 1)
+    got = batcher.dump_rows(spark.createDataFrame([("cb", 0, *r) for r in short], batcher.RUNS)).orderBy("dump").collect()
+    assert [(r.batch, r.dump, r.flags, r.payload, r.too_late) for r in got] == want
+
+
 def test_fill_gaps_marks_lost(spark):
     df = spark.createDataFrame([("a", 1, 5.0, 0), ("a", 4, 6.0, 2)], "k string, i int, v double, flags int")
     got = sensors.fill_gaps(df, ["k"], "i", ["v"], 8).orderBy("i").collect()
     assert [(r.i, r.v, r.flags) for r in got] == [(1, 5.0, 0), (2, None, 8), (3, None, 8), (4, 6.0, 2)]
     assert sensors.fill_gaps(df.limit(0), ["k"], "i", ["v"], 8).count() == 0
-
-
-def test_asof_before_first_is_null(spark):
-    left = spark.createDataFrame([(1, 5), (1, 15)], "k int, ts int")
-    right = spark.createDataFrame([(1, 10, "x")], "k int, ts int, v string")
-    got = sensors.asof(left, right, ["k"], "ts", ["v"]).orderBy("ts").collect()
-    assert [r.v for r in got] == [None, "x"]
-    assert sensors.asof(left, right.where(F.lit(False)), ["k"], "ts", ["v"]).where("v IS NOT NULL").count() == 0
