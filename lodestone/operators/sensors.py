@@ -99,15 +99,24 @@ def batches(dumps: DataFrame, keys: Sequence[str], order: Sequence[str], max_len
     return session.withColumn("batch", F.floor((F.row_number().over(inner) - 1) / max_length).cast("int"))
 
 
+def gaps(df: DataFrame, keys: Sequence[str], index: str) -> DataFrame:
+    """Rows with ``lost_after``: how many indices of their key are missing up to the next one.
+
+    The last row of a key, and all but one of an equal index, have none.  Rows without an index are left out.
+    """
+    w = Window.partitionBy(*keys).orderBy(index)
+    nxt = F.coalesce(F.lead(index).over(w), F.col(index) + 1)
+    return df.where(F.col(index).isNotNull()).withColumn("lost_after", F.greatest(F.lit(0).cast("long"), (nxt - F.col(index) - 1).cast("long")))
+
+
 def fill_gaps(df: DataFrame, keys: Sequence[str], index: str, values: Sequence[str], lost: int) -> DataFrame:
     """A row for every index from the first to the last of each key.
 
     Each row brings the missing indices up to the next one, so no key is gathered.
-    Missing rows have null values and ``flags`` = ``lost``.
+    Missing rows have null values and ``flags`` = ``lost``.  What is only to be counted is counted from ``gaps``,
+    without a row per missing index.
     """
-    w = Window.partitionBy(*keys).orderBy(index)
-    nxt = F.coalesce(F.lead(index).over(w), F.col(index) + 1)
-    spread = df.withColumn("_next", nxt).withColumn("_i", F.explode(F.sequence(F.col(index), F.greatest(F.col(index), F.col("_next") - 1))))
+    spread = gaps(df, keys, index).withColumn("_i", F.explode(F.sequence(F.col(index), (F.col(index) + F.col("lost_after")).cast(df.schema[index].dataType))))
     real = F.col("_i") == F.col(index)
     return spread.select(*keys, F.col("_i").alias(index), *(F.when(real, F.col(v)).alias(v) for v in values), F.when(real, F.col("flags")).otherwise(F.lit(lost)).alias("flags"))
 

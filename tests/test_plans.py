@@ -251,3 +251,25 @@ def test_fill_gaps_marks_lost(spark):
     got = sensors.fill_gaps(df, ["k"], "i", ["v"], 8).orderBy("i").collect()
     assert [(r.i, r.v, r.flags) for r in got] == [(1, 5.0, 0), (2, None, 8), (3, None, 8), (4, 6.0, 2)]
     assert sensors.fill_gaps(df.limit(0), ["k"], "i", ["v"], 8).count() == 0
+
+
+def test_counts_of_a_filled_series_without_its_rows(spark):
+    """A gap of 10^12 indices is counted from its ends; the counts are those of the filled rows where there are any to make."""
+    df = spark.createDataFrame([("a", 1, 5.0, 0), ("a", 4, 6.0, 8), ("a", 5, 7.0, 0), ("b", 2, 1.0, 0)], "k string, i bigint, v double, flags int")
+    filled = sensors.fill_gaps(df, ["k"], "i", ["v"], 8).groupBy("k").agg(F.count("*").alias("n"), F.count_if(F.col("flags") == 8).alias("lost"), F.sum("v").alias("v"))
+    counted = lambda d: d.groupBy("k").agg(F.sum(1 + F.col("lost_after")).alias("n"), F.sum("lost_after").alias("lost"), F.sum("v").alias("v"))
+    flagged = df.where("flags = 8").groupBy("k").count()
+    got = {r.k: r for r in counted(sensors.gaps(df, ["k"], "i")).collect()}
+    for r in filled.collect():
+        own = flagged.where(F.col("k") == r.k).agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+        assert (r.n, r.lost, r.v) == (got[r.k].n, got[r.k].lost + own, got[r.k].v)
+    wide = spark.createDataFrame([("a", 0, 1.0), ("a", 10**12, 2.0)], "k string, i bigint, v double")
+    assert counted(sensors.gaps(wide, ["k"], "i")).first()[1:] == (10**12 + 1, 10**12 - 1, 3.0)
+
+
+def test_asof_before_first_is_null(spark):
+    left = spark.createDataFrame([(1, 5), (1, 15)], "k int, ts int")
+    right = spark.createDataFrame([(1, 10, "x")], "k int, ts int, v string")
+    got = sensors.asof(left, right, ["k"], "ts", ["v"]).orderBy("ts").collect()
+    assert [r.v for r in got] == [None, "x"]
+    assert sensors.asof(left, right.where(F.lit(False)), ["k"], "ts", ["v"]).where("v IS NOT NULL").count() == 0
