@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Cells that a solver holds as arrays at once.
+CELLS = 1 << 18
 GAIN_SCHEMA = "chan int, pol string, ant int, re double, im double, snr double"
 
 
@@ -104,34 +106,90 @@ def solve_gains(vis: DataFrame, keys: list[str], n_ants: int, ref: int) -> DataF
     return cross.groupBy(*keys, "pol").applyInPandas(solve, f"{kinds}{', ' if keys else ''}{GAIN_SCHEMA}")
 
 
+def grid_step(freq: np.ndarray) -> float:
+    """The widest step of which all distances between the frequencies are multiples (to a thousandth); the least distance where there is none."""
+    apart = np.diff(np.sort(freq))
+    apart = apart[apart > 0]
+    if not len(apart):
+        return 0.0
+    least = float(apart.min())
+    whole = lambda step: (np.abs(apart / step - np.round(apart / step)) < 1e-3).all()
+    return next((least / k for k in range(1, 17) if whole(least / k)), least)
+
+
 def delay_of(spectrum: np.ndarray, weight: np.ndarray, freq: np.ndarray, pad: int = 8) -> float:
-    """Delay (s) of a phase slope: peak of the padded transform, then a weighted phase fit."""
+    """Delay (s) of a phase slope: that of ``alike_delays``, on the channels with a value and weight."""
     ok = np.isfinite(spectrum) & (weight > 0)
-    if ok.sum() < 2:
-        return float("nan")
-    x = np.where(ok, spectrum * weight, 0)
-    step = float(np.median(np.diff(freq)))
-    n = pad * len(x)
-    power = np.abs(np.fft.ifft(x, n))
-    k = int(power.argmax())
-    a, b, c = power[(k - 1) % n], power[k], power[(k + 1) % n]
-    offset = 0.5 * (a - c) / (a - 2 * b + c) if a - 2 * b + c else 0.0
-    k = (k + offset + n / 2) % n - n / 2
-    delay = -k / (n * step)
+    return float(alike_delays((spectrum * weight)[ok][None], freq[ok], pad)[0])
+
+
+def alike_delays(x: np.ndarray, freq: np.ndarray, pad: int = 8) -> np.ndarray:
+    """Delays of weighted spectra (spectrum, channel) on the same channels: peaks of the padded transform, each refined by a weighted phase fit; the most coherent stands.
+
+    Channels stand at their place on the frequency grid, whichever are missing.  Delays that the channels cannot
+    tell apart (one over their ``grid_step``) give the one nearest to zero; fewer than two channels give none.
+    """
+    step = grid_step(freq)
+    if not step:
+        return np.full(len(x), np.nan)
+    place = np.round((freq - freq.min()) / step).astype(int)
+    grid = np.zeros((len(x), place.max() + 1), dtype=complex)
+    np.add.at(grid, (slice(None), place), x)
+    n = pad * grid.shape[1]
+    power = np.abs(np.fft.ifft(grid, n, axis=1))
+    before, after = np.roll(power, 1, axis=1), np.roll(power, -1, axis=1)
+    # A peak between two bins is at most a few hundredths above them.
+    row, k = np.nonzero((power >= before) & (power >= after) & (power >= 0.9 * power.max(axis=1, keepdims=True)))
+    a, b, c = before[row, k], power[row, k], after[row, k]
+    bend = a - 2 * b + c
+    offset = np.divide(0.5 * (a - c), bend, out=np.zeros_like(bend), where=bend != 0)
     # Transform sign: x ~ exp(2 pi i delay f) peaks at -delay.
-    delay = -delay if _misfit(x, freq, -delay) < _misfit(x, freq, delay) else delay
-    for _ in range(3):
-        rest = x * np.exp(-2j * np.pi * delay * (freq - freq.mean()))
-        mean = rest[ok].sum()
-        phase = np.angle(rest[ok] * np.conj(mean))
-        f, w = freq[ok] - freq.mean(), np.abs(x[ok])
-        f = f - (w * f).sum() / w.sum()
-        delay += float((w * f * phase).sum() / (w * f * f).sum() / (2 * np.pi))
-    return delay
+    delay = -((k + offset + n / 2) % n - n / 2) / (n * step)
+    z, f = x[row], freq - freq.mean()
+    size = np.abs(z)
+    with np.errstate(all="ignore"):
+        fw = f - (size * f).sum(axis=1, keepdims=True) / size.sum(axis=1, keepdims=True)
+        spread = (size * fw * fw).sum(axis=1) * 2 * np.pi
+        for _ in range(3):
+            rest = z * np.exp(-2j * np.pi * delay[:, None] * f)
+            delay = delay + (size * fw * np.angle(rest * np.conj(rest.sum(axis=1, keepdims=True)))).sum(axis=1) / spread
+    coherent = np.abs((z * np.exp(-2j * np.pi * delay[:, None] * f)).sum(axis=1))
+    most = np.zeros(len(x))
+    np.maximum.at(most, row, np.nan_to_num(coherent))
+    near = np.where(coherent >= most[row] * (1 - 1e-9), np.abs(delay), np.inf)
+    least = np.full(len(x), np.inf)
+    np.minimum.at(least, row, near)
+    out = np.full(len(x), np.nan)
+    chosen = np.isfinite(near) & (near == least[row])
+    out[row[chosen]] = delay[chosen]
+    return out
 
 
-def _misfit(x: np.ndarray, freq: np.ndarray, delay: float) -> float:
-    return -abs((x * np.exp(-2j * np.pi * delay * (freq - freq.mean()))).sum())
+def _antenna_delays(a1: np.ndarray, a2: np.ndarray, delay: np.ndarray, n_ants: int, ref: int) -> np.ndarray:
+    """Least-squares delays of the antennas, zero for the reference."""
+    design, rows = np.zeros((len(delay), n_ants)), np.arange(len(delay))
+    design[rows, a1] += 1
+    design[rows, a2] -= 1
+    sol = np.zeros(n_ants)
+    sol[np.arange(n_ants) != ref] = np.linalg.lstsq(np.delete(design, ref, axis=1), delay, rcond=None)[0]
+    return sol
+
+
+def unwrapped(a1: np.ndarray, a2: np.ndarray, delay: np.ndarray, period: np.ndarray, n_ants: int, ref: int) -> np.ndarray:
+    """Delays of baselines whose channels leave them open by a period, turned to what baselines with a wider one say."""
+    ok = np.isfinite(delay) & np.isfinite(period)
+    sure = ok & (period >= 0.999 * period[ok].max(initial=0))
+    if sure.all() or not (ok & ~sure).any():
+        return delay
+    # Antennas that the sure baselines tie to each other.
+    group = np.arange(n_ants)
+    for a, b in zip(a1[sure], a2[sure], strict=True):
+        group[group == group[a]] = group[b]
+    sol = _antenna_delays(a1[sure], a2[sure], delay[sure], n_ants, ref)
+    tied = ok & ~sure & (group[a1] == group[a2])
+    out = delay.copy()
+    out[tied] += np.round((sol[a1] - sol[a2] - delay)[tied] / period[tied]) * period[tied]
+    return out
 
 
 def solve_delays(vis: DataFrame, channels: DataFrame, keys: list[str], n_ants: int, ref: int) -> DataFrame:
@@ -143,35 +201,47 @@ def solve_delays(vis: DataFrame, channels: DataFrame, keys: list[str], n_ants: i
     kinds = "".join(f"`{k}` {vis.schema[k].dataType.simpleString()}, " for k in keys)
     names = [*keys, "pol", "ant1", "ant2"]
 
-    def baseline(spectrum: list) -> tuple[float, float, float]:
-        freq, re, im, weight = np.array([tuple(x.values()) for x in spectrum], dtype=float).T
-        v = re + 1j * im
-        delay = delay_of(v, weight, freq)
+    def alike(v: np.ndarray, weight: np.ndarray, freq: np.ndarray) -> np.ndarray:
+        """(spectrum, 4): delay, period, weight and squared residuals of spectra on the same channels."""
+        x = v * weight
+        delay, step = alike_delays(x, freq), grid_step(freq)
         with np.errstate(all="ignore"):
-            flat = v * np.exp(-2j * np.pi * delay * freq)
-            mean = np.nansum(np.where(weight > 0, flat * weight, 0))
+            flat = v * np.exp(-2j * np.pi * delay[:, None] * freq)
+            mean = (flat * weight).sum(axis=1, keepdims=True)
             unit = flat * np.conj(mean) / np.abs(flat * mean)
-        ok = np.isfinite(unit) & (weight > 0)
-        return delay, float(weight.sum()), float((weight[ok] * np.abs(unit[ok] - 1) ** 2).sum())
+        sq = np.where(np.isfinite(unit), weight * np.abs(np.nan_to_num(unit) - 1) ** 2, 0.0).sum(axis=1)
+        return np.stack([delay, np.full(len(v), 1 / step if step else np.nan), weight.sum(axis=1), sq], axis=1)
 
     def baselines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([baseline(s) for s in batch.column("spectrum").to_pylist()]).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(x) for x in found.T)], [*names, "delay", "w", "sq"])
+            lists = batch.column("spectrum")
+            flat, ends = lists.flatten(), np.cumsum(np.asarray(lists.value_lengths()))
+            freq, re, im, weight = (flat.field(c).to_numpy(zero_copy_only=False).astype(float) for c in ("freq_hz", "re", "im", "weight"))
+            v, found = re + 1j * im, np.full((len(lists), 4), np.nan)
+            ok = np.isfinite(v) & (weight > 0)
+            kinds: dict[bytes, list[np.ndarray]] = {}
+            rows: dict[bytes, list[int]] = {}
+            for k, own in enumerate(np.split(np.arange(len(v)), ends[:-1])):
+                own = own[ok[own]]
+                seen = freq[own].tobytes()
+                kinds.setdefault(seen, []).append(own)
+                rows.setdefault(seen, []).append(k)
+            for seen, own in kinds.items():
+                at, to = np.stack(own), np.array(rows[seen])
+                size = max(1, CELLS // max(1, at.shape[1]))
+                for k in range(0, len(at), size):
+                    found[to[k : k + size]] = alike(v[at[k : k + size]], weight[at[k : k + size]], freq[at[0]])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(x) for x in found.T)], [*names, "delay", "period", "w", "sq"])
 
     def antennas(pdf: pd.DataFrame) -> pd.DataFrame:
         # Weighted least squares with the reference at zero.
         pdf = pdf.sort_values(["ant1", "ant2"])
-        a1, a2, delay, w, sq = (pdf[c].to_numpy() for c in ("ant1", "ant2", "delay", "w", "sq"))
+        a1, a2, delay, period, w, sq = (pdf[c].to_numpy() for c in ("ant1", "ant2", "delay", "period", "w", "sq"))
+        delay = unwrapped(a1, a2, delay, period, n_ants, ref)
         ok = np.isfinite(delay)
-        design = np.zeros((ok.sum(), n_ants))
-        rows = np.arange(ok.sum())
-        design[rows, a1[ok]] += 1
-        design[rows, a2[ok]] -= 1
-        design = np.delete(design, ref, axis=1)
         sol, snr = np.full(n_ants, np.nan), np.full(n_ants, np.nan)
         if ok.any():
-            sol[np.arange(n_ants) != ref] = np.linalg.lstsq(design, delay[ok], rcond=None)[0]
+            sol = _antenna_delays(a1[ok], a2[ok], delay[ok], n_ants, ref)
             seen = np.zeros(n_ants, dtype=bool)
             seen[a1[ok]] = seen[a2[ok]] = True
             sol[ref], sol[~seen] = 0.0, np.nan
@@ -186,7 +256,7 @@ def solve_delays(vis: DataFrame, channels: DataFrame, keys: list[str], n_ants: i
     cross = vis.where("ant1 <> ant2").join(channels.select("chan", "freq_hz"), "chan")
     cell = F.struct("freq_hz", F.col("re").cast("double").alias("re"), F.col("im").cast("double").alias("im"), weight.cast("double").alias("weight"))
     rows = cross.groupBy(*names).agg(F.array_sort(F.collect_list(cell)).alias("spectrum"))
-    spectra = rows.mapInArrow(baselines, f"{kinds}pol string, ant1 int, ant2 int, delay double, w double, sq double")
+    spectra = rows.mapInArrow(baselines, f"{kinds}pol string, ant1 int, ant2 int, delay double, period double, w double, sq double")
     return spectra.groupBy(*keys, "pol").applyInPandas(antennas, f"{kinds}pol string, ant int, delay double, snr double")
 
 

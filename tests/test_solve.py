@@ -231,3 +231,28 @@ def test_quantiles_equal_numpy(spark):
     assert set(got) == set(data)
     for k, v in data.items():
         assert np.allclose([got[k][f"q{i}"] for i in range(6)], np.quantile(v, shares))
+
+
+def test_delays_of_any_channels():
+    """Channels 1 to 7 with any of them missing and unequal weights: the delay is that of all of them."""
+    rng = np.random.default_rng(5)
+    for chosen in range(1, 128):
+        chans = np.flatnonzero([chosen >> k & 1 for k in range(7)])
+        freq = 1281e6 + 1e6 * chans
+        for delay in (6.5e-9, -3e-9, 0.0):
+            x = np.exp(2j * np.pi * delay * freq) * rng.uniform(0.7, 1.3, len(chans))
+            got = solve.delay_of(x, rng.uniform(1, 50, len(chans)), freq)
+            assert abs(got - delay) < 1e-13 if len(chans) > 1 else np.isnan(got)
+    freq, gap = 1281e6 + 1e6 * np.arange(7), np.array([1, 0, 0, 1, 0, 0, 1.0])
+    far = np.exp(2j * np.pi * 4e-7 * freq)
+    assert abs(solve.delay_of(far, np.ones(7), freq) - 4e-7) < 1e-13
+
+
+def test_a_baseline_with_few_channels_takes_its_period_from_the_others(spark):
+    """Baseline 1-2 has channels three steps apart, so its delay is open by a third of a microsecond; 0-1 and 0-2 settle it."""
+    delays, chans = {0: 0.0, 1: 1.5e-7, 2: -1.5e-7}, {(0, 1): range(7), (0, 2): range(7), (1, 2): (0, 3, 6)}
+    rows = [(1, c, "h", a, b, float(np.cos(t)), float(np.sin(t)), 0, 1.0) for (a, b), own in chans.items() for c in own for t in [2 * np.pi * (delays[a] - delays[b]) * (1281e6 + 1e6 * c)]]
+    channels = spark.createDataFrame([(c, 1281e6 + 1e6 * c) for c in range(7)], "chan int, freq_hz double")
+    vis = spark.createDataFrame(rows, "scan int, chan int, pol string, ant1 int, ant2 int, re double, im double, flags int, weight double")
+    got = {r.ant: r.delay for r in solve.solve_delays(vis, channels, ["scan"], 3, 0).collect()}
+    assert all(abs(got[a] - d) < 1e-12 for a, d in delays.items())
