@@ -56,11 +56,15 @@ def apply_gains(vis: DataFrame, gains: DataFrame, on: Sequence[str] = (), update
     v = v.join(first.withColumnsRenamed({"ant": "ant1", "pol": "_p1"}), ["ant1", "_p1", *on], "left")
     v = v.join(second.withColumnsRenamed({"ant": "ant2", "pol": "_p2"}), ["ant2", "_p2", *on], "left")
     g = cplx.mul((F.col("_g1r"), F.col("_g1i")), cplx.conj((F.col("_g2r"), F.col("_g2i"))))
-    re, im = cplx.div(cplx.col(), g)
-    out = v.withColumn("_re", re).withColumn("_im", im)
+    # Step by step: in one expression the gains are written out so often that the JVM doesn't compile the code.
+    out = v.withColumns({"_gr": g[0], "_gi": g[1]}).withColumn("_g2", cplx.abs2((F.col("_gr"), F.col("_gi"))))
+    out = out.withColumn("_ok", cplx.positive(F.col("_g2")))
+    inverse = F.when(F.col("_ok"), F.col("_gr") / F.col("_g2")), F.when(F.col("_ok"), -F.col("_gi") / F.col("_g2"))
+    out = out.withColumns({"_ir": inverse[0], "_ii": inverse[1]})
+    re, im = cplx.mul(cplx.col(), (F.col("_ir"), F.col("_ii")))
     if update_weights:
-        out = out.withColumn("weight", F.when(cplx.positive(cplx.abs2(g)), F.col("weight") * cplx.abs2(g)).otherwise(F.lit(0.0)))
-    out = out.withColumn("re", F.col("_re")).withColumn("im", F.col("_im"))
+        out = out.withColumn("weight", F.when(F.col("_ok"), F.col("weight") * F.col("_g2")).otherwise(F.lit(0.0)))
+    out = out.withColumns({"re": re, "im": im})
     return out.select(*vis.columns)
 
 

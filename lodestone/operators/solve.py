@@ -28,82 +28,95 @@ def stefcal(vis: np.ndarray, weight: np.ndarray, ant1: np.ndarray, ant2: np.ndar
     """Gains (n_ants, ...) of unit-model visibilities (baselines, ...); NaN where unconstrained."""
     shape = vis.shape[1:]
     v, w = vis.reshape(len(vis), -1), weight.reshape(len(vis), -1)
+    n = v.shape[1]
+    column, bl = np.tile(np.arange(n), len(v)), np.repeat(np.arange(len(v)), n)
+    return alternating(v.ravel(), w.ravel(), column, ant1[bl], ant2[bl], n, n_ants, ref, iterations, tolerance).T.reshape(n_ants, *shape)
+
+
+def alternating(v: np.ndarray, w: np.ndarray, column: np.ndarray, ant1: np.ndarray, ant2: np.ndarray, n: int, n_ants: int, ref: int, iterations: int = 200, tolerance: float = 1e-9) -> np.ndarray:
+    """Gains (n, n_ants) of n independent problems; a cell is a visibility of one of them (``column``)."""
     w = np.where(np.isfinite(v) & (w > 0), w, 0.0)
     v = np.where(w > 0, v, 0)
-    full = np.zeros((n_ants, n_ants, v.shape[1]), dtype=complex)
-    fw = np.zeros((n_ants, n_ants, v.shape[1]))
-    full[ant1, ant2], full[ant2, ant1] = v, v.conj()
-    fw[ant1, ant2] = fw[ant2, ant1] = w
-    scale = np.sqrt(np.where(w.sum(axis=0) > 0, (w * np.abs(v)).sum(axis=0) / np.maximum(w.sum(axis=0), 1e-300), 1.0))
+    place = (column * n_ants + ant1) * n_ants + ant2, (column * n_ants + ant2) * n_ants + ant1
+    size = n * n_ants * n_ants
+    total = lambda at, x: np.bincount(at, x, size).reshape(n, n_ants, n_ants)
+    fw = sum(total(p, w) for p in place)
+    full = total(place[0], w * v.real) + total(place[1], w * v.real) + 1j * (total(place[0], w * v.imag) - total(place[1], w * v.imag))
+    weights, sums = np.bincount(column, w, n), np.bincount(column, w * np.abs(v), n)
+    scale = np.sqrt(np.where(weights > 0, sums / np.maximum(weights, 1e-300), 1.0))
     scale[scale == 0] = 1.0
-    g = np.ones((n_ants, v.shape[1]), dtype=complex) * scale
+    g = np.ones((n, n_ants), dtype=complex) * scale[:, None]
+    left, s, d, now = np.arange(n), full, fw, g.copy()
     for k in range(iterations):
         # Each antenna against all others: sum w v g / sum w |g|^2.
-        num = np.einsum("abc,bc->ac", fw * full, g)
-        den = np.einsum("abc,bc->ac", fw, np.abs(g) ** 2)
-        new = np.where(den > 0, num / np.where(den > 0, den, 1), np.nan)
-        new_ok = np.nan_to_num(new)
+        num = (s @ now[:, :, None])[:, :, 0]
+        den = (d @ (np.abs(now) ** 2)[:, :, None])[:, :, 0]
+        new = np.divide(num, den, out=np.zeros_like(num), where=den > 0)
         if k % 2:
-            new_ok = (new_ok + g) / 2
-        moved = np.abs(new_ok - g).max(initial=0) / max(np.abs(new_ok).max(initial=0), 1e-300)
-        g = new_ok
-        if moved < tolerance:
+            new = (new + now) / 2
+        moved = np.abs(new - now).max(axis=1, initial=0) / np.maximum(np.abs(new).max(axis=1, initial=0), 1e-300)
+        now = g[left] = new
+        going = moved >= tolerance
+        if not going.any():
             break
-    g = np.where(fw.sum(axis=1) > 0, g, np.nan)
+        if going.mean() < 0.7:  # the rest is solved
+            left, s, d, now = left[going], s[going], d[going], now[going]
+    g = np.where(fw.sum(axis=2) > 0, g, np.nan)
     with np.errstate(all="ignore"):
-        turn = g[ref] / np.abs(g[ref])
-    g = g * np.where(np.isfinite(turn), turn, 1).conj()
-    return g.reshape(n_ants, *shape)
-
-
-def antenna_snr(vis: np.ndarray, weight: np.ndarray, gains: np.ndarray, ant1: np.ndarray, ant2: np.ndarray) -> np.ndarray:
-    """Per antenna: amplitude one over the weighted rms of its corrected baselines about one."""
-    with np.errstate(all="ignore"):
-        resid = vis / (gains[ant1] * gains[ant2].conj()) - 1
-    w = np.where(np.isfinite(resid), weight, 0.0)
-    sq = np.where(w > 0, w * np.abs(np.nan_to_num(resid)) ** 2, 0.0)
-    out = np.full(len(gains), np.nan)
-    for a in range(len(gains)):
-        mine = (ant1 == a) | (ant2 == a)
-        total = w[mine].sum()
-        if total > 0:
-            out[a] = 1 / max(np.sqrt(sq[mine].sum() / total), 1e-12)
-    return out
-
-
-def _cube(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(vis, weight) by (baseline, channel), their antennas and channels."""
-    bl = pdf.ant1.to_numpy() * 100_000 + pdf.ant2.to_numpy()
-    bls, b = np.unique(bl, return_inverse=True)
-    chans, c = np.unique(pdf.chan.to_numpy(), return_inverse=True)
-    vis, weight = np.full((len(bls), len(chans)), np.nan, dtype=complex), np.zeros((len(bls), len(chans)))
-    ok = pdf["flags"].to_numpy() == 0
-    vis[b[ok], c[ok]] = (pdf.re.to_numpy() + 1j * pdf.im.to_numpy())[ok]
-    weight[b[ok], c[ok]] = pdf.weight.to_numpy()[ok]
-    return vis, weight, bls // 100_000, bls % 100_000, chans
+        turn = g[:, ref] / np.abs(g[:, ref])
+    return g * np.where(np.isfinite(turn), turn, 1).conj()[:, None]
 
 
 def solve_gains(vis: DataFrame, keys: list[str], n_ants: int, ref: int) -> DataFrame:
     """Gain per key, channel, pol and antenna, from averaged cross-correlation rows.
 
     Rows: keys, chan, pol, ant1, ant2, re, im, flags, weight; ``keys`` may hold the solution
-    interval and channel block.
+    interval and channel block.  The SNR of a key and antenna is one over the weighted rms of its corrected
+    baselines about one.  A row of the step is one key's cells; a task solves many of them in the same arrays.
     """
+    names = [*keys, "pol"]
+    columns = [*keys, "chan", "pol", "ant", "re", "im", "snr"]
+
+    def some(owner: np.ndarray, chan: np.ndarray, a1: np.ndarray, a2: np.ndarray, v: np.ndarray, w: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+        """Owner, channel, antenna, gain and SNR of the cells of n keys."""
+        both, column = np.unique(np.stack([owner, chan]), axis=1, return_inverse=True)
+        column = column.ravel()
+        g = alternating(v, w, column, a1, a2, both.shape[1], n_ants, ref)
+        with np.errstate(all="ignore"):
+            resid = v / (g[column, a1] * g[column, a2].conj()) - 1
+        own = np.where(np.isfinite(resid) & (w > 0), w, 0.0)
+        sq = own * np.abs(np.nan_to_num(resid)) ** 2
+        total, squares = (sum(np.bincount(owner * n_ants + a, x, n * n_ants) for a in (a1, a2)) for x in (own, sq))
+        with np.errstate(all="ignore"):
+            snr = np.where(total > 0, 1 / np.maximum(np.sqrt(squares / total), 1e-12), np.nan)
+        who, ant = np.repeat(both[0], n_ants), np.tile(np.arange(n_ants), both.shape[1])
+        return who, np.repeat(both[1], n_ants), ant, g.ravel(), snr[who * n_ants + ant]
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        v, w, a1, a2, chans = _cube(pdf)
-        g = stefcal(v, w, a1, a2, n_ants, ref)
-        snr = antenna_snr(v, w, g, a1, a2)
-        n = len(chans)
-        out = pd.DataFrame({"chan": np.repeat(chans, n_ants), "pol": pdf.pol.iloc[0], "ant": np.tile(np.arange(n_ants), n)})
-        out["re"], out["im"], out["snr"] = g.T.ravel().real, g.T.ravel().imag, np.tile(snr, n)
-        for k in keys:
-            out[k] = pdf[k].iloc[0]
-        return out[[*keys, "chan", "pol", "ant", "re", "im", "snr"]]
-
-    kinds = ", ".join(f"`{k}` {vis.schema[k].dataType.simpleString()}" for k in keys)
-    cross = vis.where("ant1 <> ant2").select(*keys, "chan", "pol", "ant1", "ant2", "re", "im", "flags", "weight")
-    return cross.groupBy(*keys, "pol").applyInPandas(solve, f"{kinds}{', ' if keys else ''}{GAIN_SCHEMA}")
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        null = lambda x: pa.array(x, mask=np.isnan(x))
+        for batch in batches:
+            sizes = np.asarray(batch.column("cells").value_lengths())
+            ends = np.cumsum(sizes)
+            first = 0
+            while first < len(sizes):
+                # As many keys as fit, one at least; a key has at most its cells' number of channels.
+                start = ends[first] - sizes[first]
+                last = max(first + 1, int(np.searchsorted(ends, start + max(1, 16 * CELLS // n_ants**2), side="right")))
+                part = batch.slice(first, last - first)
+                flat = part.column("cells").flatten()
+                chan, a1, a2 = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("chan", "ant1", "ant2"))
+                re, im, w = (flat.field(c).to_numpy(zero_copy_only=False).astype(float) for c in ("re", "im", "weight"))
+                who, chans, ant, g, snr = some(np.repeat(np.arange(last - first), sizes[first:last]), chan, a1, a2, re + 1j * im, np.nan_to_num(w), last - first)
+                kept = {k: part.column(k).take(pa.array(who)) for k in names}
+                made = {"chan": pa.array(chans.astype(np.int32)), "ant": pa.array(ant.astype(np.int32)), "re": null(g.real), "im": null(g.imag), "snr": null(snr)}
+                yield pa.RecordBatch.from_arrays([(kept | made)[c] for c in columns], columns)
+                first = last
+
+    kinds = "".join(f"`{k}` {vis.schema[k].dataType.simpleString()}, " for k in keys)
+    weight = F.when(F.col("flags") == 0, F.col("weight")).otherwise(0.0).cast("double").alias("weight")
+    cell = F.struct(F.col("chan").cast("int").alias("chan"), F.col("ant1").cast("int").alias("ant1"), F.col("ant2").cast("int").alias("ant2"), F.col("re").cast("double").alias("re"), F.col("im").cast("double").alias("im"), weight)
+    cells = vis.where("ant1 <> ant2").groupBy(*names).agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    return cells.mapInArrow(solve, kinds + GAIN_SCHEMA)
 
 
 def grid_step(freq: np.ndarray) -> float:

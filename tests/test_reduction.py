@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.operators import apply, rfi
+from lodestone.operators import apply, interp, rfi, solve
 from lodestone.plans import reduction
 from lodestone.sources import synthetic
 from lodestone.streaming import batcher
@@ -205,3 +207,43 @@ def test_last_batches_are_emitted_and_state_goes(spark, tmp_path):
     got = sorted((r.chan_group, r.batch, r.dump, r.flags, r.payload) for r in spark.read.schema(batcher.OUT).parquet(str(tmp_path / "out")).collect())
     lost = batcher.DATA_LOST
     assert got == [x for g in (0, 1) for x in [(g, 0, 0, 0, f"p{g}0"), (g, 0, 1, 0, f"p{g}1"), (g, 0, 2, lost, None), (g, 1, 3, 0, f"p{g}3"), (g, 1, 4, 0, f"p{g}4")]]
+
+
+def test_a_long_key_is_interpolated_in_one_pass(spark):
+    """60,000 dumps of one key: a window that is read anew for every row takes minutes."""
+    solutions = spark.createDataFrame([("a", 0.0, 1.0, 0.0), ("a", 30000.0, 2.0, 0.0), ("a", 60000.0, 4.0, 0.0)], "k string, ts double, re double, im double")
+    times = spark.range(60001).select(F.lit("a").alias("k"), F.col("id").cast("double").alias("ts"))
+    start = time.time()
+    got = {r.ts: r.re for r in interp.complex_at_times(solutions, times, ["k"], "ts").collect()}
+    assert time.time() - start < 30
+    # A time at which there is a solution takes it as it is.
+    assert len(got) == 60001 and got[0.0] == 1 and got[30000.0] == 2 and got[60000.0] == 4 and np.isclose(got[45000.0], 3) and np.isclose(got[15000.0], 1.5)
+
+
+def test_gains_and_spectra_of_many_keys_are_those_of_each_alone(spark):
+    rng = np.random.default_rng(8)
+    a1, a2 = np.triu_indices(4, 1)
+    rows, want = [], {}
+    for key in range(30):
+        g = rng.uniform(0.5, 2, (4, 3)) * np.exp(1j * rng.uniform(-1, 1, (4, 3)))
+        g = g * (np.abs(g[0]) / g[0])
+        want |= {(key, c, a): g[a, c] for a in range(4) for c in range(3)}
+        for a, b, c in ((a, b, c) for a, b in zip(a1, a2, strict=True) for c in range(3)):
+            v = g[a, c] * np.conj(g[b, c])
+            turned = rng.random() < 0.5  # a baseline may come the other way round
+            a, b, v = (b, a, np.conj(v)) if turned else (a, b, v)
+            rows.append((key, c, "h", int(a), int(b), float(v.real), float(v.imag), 0, float(rng.uniform(1, 9))))
+        rows.append((key, 0, "h", 0, 1, 1e6, 0.0, 1, 1.0) if key % 2 else (key, 0, "h", 1, 0, None, None, 0, 1.0))
+    vis = spark.createDataFrame(rows, "scan int, chan int, pol string, ant1 int, ant2 int, re double, im double, flags int, weight double").coalesce(1)
+    got = solve.solve_gains(vis, ["scan"], 4, 0).collect()
+    assert len(got) == len(want) and all(abs(complex(r.re, r.im) - want[r.scan, r.chan, r.ant]) < 1e-6 and r.snr > 1e5 for r in got)
+    spectra, sizes = [], {}
+    for key in range(40):
+        amp = 1 + 0.01 * rng.normal(size=16 + key % 3)
+        amp[5] += key % 4
+        sizes[key] = amp
+        spectra += [(key, c, float(x), 0.0) for c, x in enumerate(amp)]
+    f = rfi.Flagger()
+    flagged = {(r.k, r.chan) for r in rfi.flag_spectra(spark.createDataFrame(spectra, "k int, chan int, re double, im double").coalesce(1), ["k"], f).where("re IS NULL").collect()}
+    alone = {(k, int(c)) for k, amp in sizes.items() for c in np.flatnonzero(f.plane(amp[None], np.zeros((1, len(amp)), bool))[0])}
+    assert flagged == alone and {(k, 5) for k in sizes if k % 4} <= flagged
