@@ -17,23 +17,25 @@ def median(x: Column) -> Column:
     return F.percentile(cplx.clean(x), F.lit(0.5))
 
 
-#: Cuts of the histogram in ``quantiles``.
-CUTS = 512
+#: Ranks of the sketch in ``quantiles``: cuts are within one in so many of a rank.
+RANKS = 10_000
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float], names: Sequence[str]) -> DataFrame:
     """Exact quantiles (linear between two ranks) per key, for keys that hold any share of the rows.
 
-    First a histogram: cuts from a sketch of bounded size, and counts between them.  Then only the
-    buckets that hold the wanted ranks are ranked, so no task holds all values of a key.
+    First cuts close to both sides of each share, from a sketch of bounded size, and counts between them.  Then only the
+    buckets that hold the wanted ranks, narrow ones, are ranked, so no task holds all values of a key.  Wherever the
+    cuts fall the result is exact: a bucket that they miss is only wider.
     """
     x = cplx.clean(F.col(value).cast("double"))
     rows = df.select(*keys, x.alias("_x")).where("_x IS NOT NULL")
-    cuts = rows.groupBy(*keys).agg(F.array_distinct(F.percentile_approx("_x", [k / CUTS for k in range(1, CUTS)], 10 * CUTS)).alias("_cuts"))
-    below = F.size(F.filter("_cuts", lambda c: c < F.col("_x")))
-    # Equal values are one row with their number.
-    values = rows.join(cuts, list(keys)).withColumn("_bucket", below).groupBy(*keys, "_bucket", "_x").agg(F.count("*").alias("_n"))
-    buckets = values.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_n"))
+    near = sorted({min(1.0, max(0.0, q + d / RANKS)) for q in shares for d in (-3, 3)})
+    cuts = rows.groupBy(*keys).agg(F.percentile_approx("_x", near, RANKS).alias("_cuts"))
+    # A few comparisons a row; the number of cuts is that of the shares.
+    below = sum(((F.col("_cuts")[k] < F.col("_x")).cast("int") for k in range(len(near))), F.lit(0))
+    placed = rows.join(cuts, list(keys)).select(*keys, "_x", below.alias("_bucket"))
+    buckets = placed.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
     upto = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     buckets = buckets.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n")).withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
     at = F.array(*((F.lit(float(q)) * (F.col("_total") - 1)).alias(f"q{k}") for k, q in enumerate(shares)))
@@ -41,6 +43,8 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[f
     wanted = F.filter(ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_end")))
     chosen = buckets.withColumn("_ranks", wanted).where(F.size("_ranks") > 0).select(*keys, "_bucket", "_start", "_total", "_ranks")
     inside = Window.partitionBy(*keys, "_bucket").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    # Equal values are one row with their number.
+    values = placed.join(chosen.select(*keys, "_bucket"), [*keys, "_bucket"], "left_semi").groupBy(*keys, "_bucket", "_x").agg(F.count("*").alias("_n"))
     ranked = values.join(chosen, [*keys, "_bucket"]).withColumn("_last", F.col("_start") + F.sum("_n").over(inside)).withColumn("_first", F.col("_last") - F.col("_n"))
     hit = ranked.withColumn("_rank", F.explode(F.filter("_ranks", lambda r: (r >= F.col("_first")) & (r < F.col("_last")))))
     found = hit.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_x"))).alias("_m"), F.first("_total").alias("_total"))  # two ranks a share

@@ -256,3 +256,15 @@ def test_a_baseline_with_few_channels_takes_its_period_from_the_others(spark):
     vis = spark.createDataFrame(rows, "scan int, chan int, pol string, ant1 int, ant2 int, re double, im double, flags int, weight double")
     got = {r.ant: r.delay for r in solve.solve_delays(vis, channels, ["scan"], 3, 0).collect()}
     assert all(abs(got[a] - d) < 1e-12 for a, d in delays.items())
+
+
+def test_quantiles_compare_a_row_with_few_cuts(spark):
+    """A row meets two cuts a share, not the cuts of a whole histogram; the quantile is exact beside ties and one value alone."""
+    from lodestone.operators import robust
+
+    df = spark.range(20001).select((F.col("id") % 2).cast("string").alias("k"), F.when(F.col("id") % 7 == 0, 5.0).otherwise(F.col("id") * 1.0).alias("x"))
+    out = robust.quantiles(df, ["k"], "x", [0.25, 0.5], ["q25", "q50"])
+    assert "filter(_cuts" not in out._jdf.queryExecution().optimizedPlan().toString()
+    pdf = df.toPandas()
+    for r in out.collect():
+        assert np.allclose([r.q25, r.q50], np.quantile(pdf[pdf.k == r.k].x, [0.25, 0.5]))
