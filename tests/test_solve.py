@@ -268,3 +268,20 @@ def test_quantiles_compare_a_row_with_few_cuts(spark):
     pdf = df.toPandas()
     for r in out.collect():
         assert np.allclose([r.q25, r.q50], np.quantile(pdf[pdf.k == r.k].x, [0.25, 0.5]))
+
+
+def test_many_beams_in_one_array_are_those_of_each_alone():
+    """Padded points, too few of them and a plane that is no beam change nothing for the others."""
+    from lodestone.operators import pointing
+
+    x, y = (z.ravel() for z in np.meshgrid(np.linspace(-1, 1, 5), np.linspace(-1, 1, 5)))
+    centres = np.linspace(-0.2, 0.2, 40)
+    amp = np.stack([3 * np.exp(-0.5 * (((x - c) / 0.8) ** 2 + ((y + c) / 0.6) ** 2)) for c in centres])
+    weight = np.ones_like(amp)
+    weight[:20, 13:], weight[7, 3:], amp[11] = 0.0, 0.0, 1.0
+    p, _, valid = pointing.fit_beams(np.tile(x, (40, 1)), np.tile(y, (40, 1)), amp, weight, True)
+    assert [k for k in range(40) if not valid[k]] == [7, 11]
+    for k in np.flatnonzero(valid):
+        own = weight[k] > 0
+        assert np.allclose(p[k], [centres[k], -centres[k], 0.8, 0.6, 3.0], atol=1e-6)
+        assert np.allclose(p[k], pointing.fit_beam(x[own], y[own], amp[k, own])[0], atol=1e-9)
