@@ -187,6 +187,24 @@ def test_spikes_beside_a_ripple_are_found():
     assert none.mean() < 0.005
 
 
+def test_a_channel_with_few_cells_in_a_chunk_is_not_its_bandpass(spark):
+    """Cells far from others of their channel are measured by the chunks beside; a burst among them is found, for any tiles."""
+    rng = np.random.default_rng(5)
+    amp = 2 + 0.1 * np.arange(8) + 0.005 * rng.uniform(-1, 1, size=(320, 8))
+    bad = np.zeros(amp.shape, bool)
+    bad[128:192, 7] = True
+    bad[[158, 160, 162], 7] = False
+    amp[160] += 3
+    burst = np.zeros(amp.shape, bool)
+    burst[160] = True
+    f = rfi.Flagger(spike_freq=0.0)
+    assert (rfi.sum_threshold(amp, bad, f) == burst).all()
+    rows = [(0, "h", 0, 1, d, c, float(amp[d, c]), 0.0, int(bad[d, c]), 1.0) for d in range(320) for c in range(8)]
+    for dumps in (64, 320):
+        got = rfi.flag_interference(spark.createDataFrame(rows, PLANE), KEYS, f, dumps=dumps).where(f"flags & {rfi.CAL_RFI} <> 0").select("dump", "chan").collect()
+        assert sorted(map(tuple, got)) == [(160, c) for c in range(8)]
+
+
 def test_flagger_of_parameters():
     p = {"rfi_calib_nsigma": 4.5, "rfi_targ_nsigma": 7.0, "rfi_windows_freq": [1, 8, 16, 32], "rfi_average_freq": 4, "rfi_calib_spike_width_freq": 80, "rfi_targ_spike_width_freq": 160, "rfi_spike_width_time": 100.0, "rfi_extend_freq": 15, "rfi_freq_chunks": 2}
     calib, targ = (rfi.Flagger.of_parameters(p, 4.0, 1022, kind) for kind in ("calib", "targ"))
