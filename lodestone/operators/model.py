@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.functions import cplx, keys
+from lodestone.functions import keys
 
 LIGHT = 299792458.0
 COMPONENT = "model string, comp int, name string, ra double, dec double, kind string, fmin_mhz double, fmax_mhz double, s0 double, coeffs array<double>, is_log boolean, ref_hz double"
@@ -60,22 +63,39 @@ def component_flux(components: DataFrame, channels: DataFrame) -> DataFrame:
     return rows.select("comp", "ra", "dec", "chan", "freq_hz", F.when((mhz >= F.col("fmin_mhz")) & (mhz <= F.col("fmax_mhz")), flux).otherwise(F.lit(0.0)).alias("flux"))
 
 
+#: Baselines times components whose phases are held at a time.
+CELLS = 1 << 20
+
+
 def model_visibilities(components: DataFrame, channels: DataFrame, baselines: DataFrame, ra0: float, dec0: float) -> DataFrame:
     """Sum over components of S exp(2 pi i delay freq) per (dump, baseline, chan).
 
-    ``baselines``: dump, ant1, ant2, u, v, w in metres.  A channel's components are one array, so
-    a baseline makes a row per channel, and the sum is inside the row.
+    ``baselines``: dump, ant1, ant2, u, v, w in metres.  The sky (fluxes and directions per channel, a small
+    dimension) goes to every task, which turns each batch of baselines into one batch per channel.
     """
     flux = component_flux(components, channels)
     l, m, n = keys.sin_projection(F.col("ra"), F.col("dec"), F.lit(ra0), F.lit(dec0))
-    sky = flux.groupBy("chan", "freq_hz").agg(F.collect_list(F.struct("flux", l.alias("l"), m.alias("m"), (n - 1).alias("n"))).alias("sources"))
-    rows = baselines.crossJoin(sky)
-
-    def total(wave):
-        return F.aggregate("sources", F.lit(0.0), lambda acc, s: acc + s["flux"] * wave((F.col("u") * s["l"] + F.col("v") * s["m"] + F.col("w") * s["n"]) * F.col("freq_hz") / LIGHT)).alias("x")
-
-    re, im = (total(lambda t, k=k: cplx.phasor(t)[k]) for k in (0, 1))
-    return rows.select("dump", "ant1", "ant2", "chan", re.alias("re"), im.alias("im"))
+    listed = (F.collect_list(F.coalesce(x, F.lit(float("nan")))).alias(c) for c, x in (("l", l), ("m", m), ("n", n - 1), ("flux", F.col("flux"))))
+    sky = [(r["chan"], r["freq_hz"], np.array([r["l"], r["m"], r["n"]]), np.array(r["flux"]), r["known"]) for r in flux.groupBy("chan", "freq_hz").agg(*listed, (F.count(l + m + n + F.col("flux")) == F.count("*")).alias("known")).collect()]
+    names = ["dump", "ant1", "ant2"]
+    schema = ", ".join([*(f"`{c}` {baselines.schema[c].dataType.simpleString()}" for c in names), "chan bigint", "re double", "im double"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            uvw = [batch.column(c) for c in "uvw"]
+            null = np.any([np.asarray(x.is_null()) for x in uvw], axis=0)
+            metres = np.stack([x.to_numpy(zero_copy_only=False).astype(float) for x in uvw], axis=1)
+            for chan, freq, lmn, size, known in sky:
+                total, per = np.empty((2, len(metres))), max(1, CELLS // len(size))
+                for k in range(0, len(metres), per):
+                    angle = metres[k : k + per] @ lmn * (2 * np.pi * freq / LIGHT)
+                    total[0, k : k + per], total[1, k : k + per] = np.cos(angle) @ size, np.sin(angle) @ size
+                unknown = null if known else np.ones(len(metres), dtype=bool)
+                values = [pa.array(x, mask=unknown if unknown.any() else None) for x in total]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(np.full(len(metres), chan, dtype=np.int64)), *values], [*names, "chan", "re", "im"])
+
+    made = baselines.select(*names, *(F.col(c).cast("double") for c in "uvw")).mapInArrow(run, schema)
+    return made.withColumn("chan", F.col("chan").cast(channels.schema["chan"].dataType))
 
 
 def is_point(components: DataFrame, ra0: float, dec0: float, arcsec: float = 8.0) -> DataFrame:

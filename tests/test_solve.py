@@ -169,6 +169,30 @@ def test_model_of_offset_sources(spark):
     assert not model.is_point(comps, 0.0, 0.0).first()[0]
 
 
+def test_model_is_made_in_arrays_per_batch_of_baselines(spark, capsys):
+    """Many baselines and components in blocks, one out of its band; a baseline without a place has no model, and no row carries the sky."""
+    lines = [f"s{k}, radec, 0:0:{k}, 0:0:{7 * k}, 800 {1000 if k == 3 else 2000} wsclean {k + 1}.0 [] false 1284e6" for k in range(5)]
+    comps = spark.createDataFrame([("m", k, *model.parse_component(x)) for k, x in enumerate(lines)], model.COMPONENT)
+    channels = synthetic.channel_table(spark, 3, 856e6, 1284e6)
+    rows = [(d, 0, 1, 10.0 * d, 100.0 - d, None if d == 7 else 0.5 * d) for d in range(300)]
+    bl = spark.createDataFrame(rows, "dump int, ant1 int, ant2 int, u double, v double, w double")
+    out = model.model_visibilities(comps, channels, bl, 0.0, 0.0)
+    out.explain()
+    assert "NestedLoopJoin" not in capsys.readouterr().out
+    got = {(r.dump, r.chan): (r.re, r.im) for r in out.collect()}
+    assert len(got) == 900
+    sky = comps.toPandas()
+    l, m = np.cos(sky.dec) * np.sin(sky.ra), np.sin(sky.dec)
+    for c in channels.collect():
+        flux = np.where(c.freq_hz / 1e6 <= sky.fmax_mhz, sky.s0, 0.0)
+        for d, _, _, u, v, w in rows[::7] + rows[1::50]:
+            if w is None:
+                assert got[d, c.chan] == (None, None)
+                continue
+            want = (flux * np.exp(2j * np.pi * (u * l + v * m + w * (np.sqrt(1 - l * l - m * m) - 1)) * c.freq_hz / model.LIGHT)).sum()
+            assert abs(complex(*got[d, c.chan]) - want) < 1e-9
+
+
 def test_beam_fit_recovers_a_gaussian(spark):
     x, y = np.meshgrid([-1, -0.5, 0, 0.5, 1], [-1, -0.5, 0, 0.5, 1])
     amp = 3 * np.exp(-0.5 * (((x - 0.1) / 0.8) ** 2 + ((y + 0.2) / 0.6) ** 2))
