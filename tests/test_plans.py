@@ -7,9 +7,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lodestone import registry
 from lodestone.operators import average, sensors
 from lodestone.plans import params
-from lodestone.sources import config
+from lodestone.sources import config, scratch
 from lodestone.streaming import batcher
 
 WIDE = params.Axis(32768, 856e6, 1284e6)
@@ -273,3 +274,23 @@ def test_asof_before_first_is_null(spark):
     got = sensors.asof(left, right, ["k"], "ts", ["v"]).orderBy("ts").collect()
     assert [r.v for r in got] == [None, "x"]
     assert sensors.asof(left, right.where(F.lit(False)), ["k"], "ts", ["v"]).where("v IS NOT NULL").count() == 0
+
+
+def test_rows_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "ROWS", 100)
+    dealt = scratch.dealt(spark.range(4000), "id")
+    sizes = [len(x) for x in dealt.rdd.glom().collect()]
+    assert len(sizes) == 40 and sum(sizes) == 4000 and max(sizes) < 200
+
+
+@pytest.mark.parametrize("name", ["divide_model"])
+def test_tasks_of_long_tables_stay_small(spark, monkeypatch, capsys, name):
+    """With tables too long to be broadcast unasked: rows aren't joined by the few keys of a dimension, and groups are dealt by the number of rows."""
+    monkeypatch.setattr(scratch, "ROWS", 100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        registry.queries()[name](spark, "/root/testdata/sf0.001").explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan and "REPARTITION_BY_NUM" in plan
