@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodestone.functions import cplx
 from lodestone.operators import astro, average, ingest, report, robust, sensors
 from lodestone.queries import _epoch, _r, query, sens, vis
+from lodestone.sources.scratch import dealt
 
 #: Any site (degrees).
 LATITUDE, LONGITUDE = -30.0, 20.0
@@ -101,8 +102,9 @@ def _orders(spark, sf):
 
 
 def _excision(spark, sf):
-    bits = vis(spark, sf).join(_orders(spark, sf), ["ant1", "ant2"]).withColumn("bit", ingest.excised(F.col("flags"), F.col("dump") % 2 == 0).cast("int"))
-    return ingest.pack_bits(bits.groupBy("dump", "chan", "idx").agg(F.max("bit").alias("bit")), ["dump", "chan"], "idx", "bit")
+    cells = dealt(vis(spark, sf).select("dump", "chan", "ant1", "ant2", "flags"), "dump")
+    bits = cells.join(F.broadcast(_orders(spark, sf)), ["ant1", "ant2"]).withColumn("bit", ingest.excised(F.col("flags"), F.col("dump") % 2 == 0).cast("int"))
+    return ingest.pack_bits(bits, ["dump", "chan"], "idx", "bit")
 
 
 @query(f"""WITH {_ORDER} SELECT dump, chan, input_idx AS idx FROM vis JOIN o USING (ant1, ant2) WHERE flags <> 0 AND dump % 2 = 0 GROUP BY ALL""")

@@ -14,9 +14,9 @@ def excised(flags: Column, is_excised: Column) -> Column:
 
 
 def pack_bits(df: DataFrame, keys: Sequence[str], position: str, bit: str) -> DataFrame:
-    """(keys, byte, value): bits by position, eight to a byte, the first one highest."""
+    """(keys, byte, value): bits by position, eight to a byte, the first one highest; a position's bit is set if any of its rows has it."""
     shifted = F.expr(f"shiftleft(CAST(`{bit}` AS INT), 7 - CAST(`{position}` % 8 AS INT))")
-    return df.groupBy(*keys, F.floor(F.col(position) / 8).cast("long").alias("byte")).agg(F.sum(shifted).cast("int").alias("value"))
+    return df.groupBy(*keys, F.floor(F.col(position) / 8).cast("long").alias("byte")).agg(F.bit_or(shifted).alias("value"))
 
 
 def unpack_bits(packed: DataFrame, position: str, bit: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone import registry
-from lodestone.operators import average, sensors
+from lodestone.operators import average, ingest, sensors
 from lodestone.plans import params
 from lodestone.sources import config, scratch
 from lodestone.streaming import batcher
@@ -283,7 +283,7 @@ def test_rows_are_dealt_by_their_number(spark, monkeypatch):
     assert len(sizes) == 40 and sum(sizes) == 4000 and max(sizes) < 200
 
 
-@pytest.mark.parametrize("name", ["divide_model"])
+@pytest.mark.parametrize("name", ["divide_model", "excision_bytes"])
 def test_tasks_of_long_tables_stay_small(spark, monkeypatch, capsys, name):
     """With tables too long to be broadcast unasked: rows aren't joined by the few keys of a dimension, and groups are dealt by the number of rows."""
     monkeypatch.setattr(scratch, "ROWS", 100)
@@ -294,3 +294,9 @@ def test_tasks_of_long_tables_stay_small(spark, monkeypatch, capsys, name):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     plan = capsys.readouterr().out
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_bits_of_repeated_positions_are_set_once(spark):
+    """Rows of one position are one bit, so cells needn't be grouped before they are packed."""
+    bits = spark.createDataFrame([(1, 0, 1), (1, 0, 1), (1, 0, 0), (1, 3, 1), (1, 9, 1), (1, 9, 1), (2, 8, 0)], "dump int, idx long, bit int")
+    assert sorted(map(tuple, ingest.pack_bits(bits, ["dump"], "idx", "bit").collect())) == [(1, 0, 0b10010000), (1, 1, 0b01000000), (2, 1, 0)]
