@@ -111,7 +111,7 @@ def _excision(spark, sf):
 def excision_sent(spark, sf):
     """The packed bits unpacked and put back into the input's product order: the cells that are excised."""
     bits = ingest.unpack_bits(_excision(spark, sf), "idx", "bit")
-    return ingest.restore_order(bits, _orders(spark, sf).select("idx", "input_idx")).where("bit = 1").select("dump", "chan", "idx")
+    return ingest.restore_order(bits, F.broadcast(_orders(spark, sf).select("idx", "input_idx"))).where("bit = 1").select("dump", "chan", "idx")
 
 
 @query("""WITH s AS (SELECT 'product_' || key AS key, epoch(ts) AS t, value AS v, event_id FROM sens)

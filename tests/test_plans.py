@@ -283,7 +283,7 @@ def test_rows_are_dealt_by_their_number(spark, monkeypatch):
     assert len(sizes) == 40 and sum(sizes) == 4000 and max(sizes) < 200
 
 
-@pytest.mark.parametrize("name", ["divide_model", "excision_bytes"])
+@pytest.mark.parametrize("name", ["divide_model", "excision_bytes", "excision_sent"])
 def test_tasks_of_long_tables_stay_small(spark, monkeypatch, capsys, name):
     """With tables too long to be broadcast unasked: rows aren't joined by the few keys of a dimension, and groups are dealt by the number of rows."""
     monkeypatch.setattr(scratch, "ROWS", 100)
