@@ -247,6 +247,13 @@ def test_a_gap_is_a_few_runs(spark):
     assert [(r.batch, r.dump, r.flags, r.payload, r.too_late) for r in got] == want
 
 
+def test_rows_of_runs_say_what_stands_for_nothing(spark):
+    """A run's last batch may be short; payloads and controls that there aren't come out as the text given, before a row per dump is made."""
+    runs = spark.createDataFrame([("cb", 0, 4, 10, 8, None, 2, None, 16, 3), ("cb", 0, 7, 17, 0, "p", 0, None, 17, 1), ("cb", 0, 7, 18, 0, None, 0, "sync", 18, 1)], batcher.RUNS)
+    got = [(r.batch, r.dump, r.payload, r.control) for r in batcher.dump_rows(runs, "-").orderBy("dump").collect()]
+    assert got == [(4 + k // 3, 10 + k, "-", "-") for k in range(7)] + [(7, 17, "p", "-"), (7, 18, "-", "sync")]
+
+
 def test_fill_gaps_marks_lost(spark):
     df = spark.createDataFrame([("a", 1, 5.0, 0), ("a", 4, 6.0, 2)], "k string, i int, v double, flags int")
     got = sensors.fill_gaps(df, ["k"], "i", ["v"], 8).orderBy("i").collect()
