@@ -10,8 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lodestone.functions import cplx
 from lodestone.operators.robust import median
@@ -122,3 +125,113 @@ def latest_solution(scans: DataFrame, solutions: DataFrame, keys: Sequence[str]
     # A scan doesn't see its own solution: scans come before solutions of the same number.
     shifted = solutions.withColumn("proc_seq", F.col("proc_seq") + 1)
     return asof(scans, shifted, keys, "proc_seq", ["solution"]).drop("_all")
+
+
+def between(times: np.ndarray, values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """(series, time): complex series (NaN where unknown) at the given times by amplitude and phase, as ``interp.complex_at_times`` has them."""
+    out = np.full((len(values), len(at)), np.nan, dtype=complex)
+    order = np.argsort(times, kind="stable")
+    times, values = times[order], values[:, order]
+    alike, kind = np.unique(~np.isnan(values), axis=0, return_inverse=True)
+    for k, known in enumerate(alike):
+        if not known.any():
+            continue
+        own = np.flatnonzero(kind.ravel() == k)
+        t, z = times[known], values[own][:, known]
+        amp, ph = np.abs(z), np.angle(z)
+        after = np.searchsorted(t, at, side="right")
+        b, a = np.maximum(after - 1, 0), np.minimum(after, len(t) - 1)
+        span = t[a] - t[b]
+        x = np.divide(at - t[b], span, out=np.zeros(len(at)), where=span != 0)
+        turn = ph[:, a] - ph[:, b]
+        turn -= 2 * np.pi * np.round(turn / (2 * np.pi))
+        out[own] = (amp[:, b] + (amp[:, a] - amp[:, b]) * x) * np.exp(1j * (ph[:, b] + turn * x))
+    return out
+
+
+def _divided(rows: pa.Table, gains: pa.Table, weights: bool) -> pa.Table:
+    """Rows of one scan divided by its gains: those with a channel, those with a time, or both."""
+    if not rows.num_rows or not gains.num_rows:
+        return rows
+    chan, ts, ant, re, im = (gains.column(c).to_numpy() for c in ("chan", "ts", "ant", "re", "im"))
+    # One letter of a polarisation and one antenna are a series.
+    letters, hand = np.unique(np.array(gains.column("pol").fill_null("").to_pylist()), return_inverse=True)
+    ants, place = np.unique(ant, return_inverse=True)
+    n, code, z = len(letters) * len(ants), hand * len(ants) + place, re + 1j * im
+    pols = rows.column("pol").combine_chunks().dictionary_encode()
+    names, which = [p or "" for p in pols.dictionary.to_pylist()], pols.indices.fill_null(0).to_numpy()
+
+    def found(values: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Place of each x among the sorted values; their number where it isn't."""
+        k = np.searchsorted(values, x)
+        return np.where(values[np.minimum(k, len(values) - 1)] == x, k, len(values))
+
+    def series(side: str, letter: list[str]) -> np.ndarray:
+        p, a = found(letters, np.array(letter))[which], found(ants, rows.column(side).to_numpy())
+        return np.where((p < len(letters)) & (a < len(ants)), p * len(ants) + a, n)
+
+    first, second = series("ant1", [p[:1] for p in names]), series("ant2", [p[-1:] for p in names])
+    told = [rows.column(c).to_numpy() for c in ("re", "im", "weight")]
+    v, weight, lost = told[0] + 1j * told[1], told[2].astype(float), np.zeros(rows.num_rows, dtype=bool)
+    timed = ~np.isnan(ts)
+    for some in (~timed, timed):
+        if not some.any():
+            continue
+        if some is timed:
+            (times, at), (asked, cell) = np.unique(ts[some], return_inverse=True), np.unique(rows.column("ts").to_numpy(), return_inverse=True)
+            known = np.full((n, len(times)), np.nan, dtype=complex)
+            known[code[some], at] = z[some]
+            table = between(times, known, asked)
+        else:
+            chans = np.unique(chan[some])
+            table = np.full((n, len(chans)), np.nan, dtype=complex)
+            table[code[some], np.searchsorted(chans, chan[some])] = z[some]
+            cell = found(chans, rows.column("chan").to_numpy())
+        table = np.pad(table, ((0, 1), (0, 1)), constant_values=np.nan)
+        g = table[first, cell] * table[second, cell].conj()
+        size = g.real**2 + g.imag**2
+        ok = size > 0
+        v = v * np.divide(g.conj(), size, out=np.zeros(len(g), dtype=complex), where=ok)
+        weight = np.where(ok, weight * size, 0.0)
+        lost |= ~ok
+    made = {"re": (v.real, lost), "im": (v.imag, lost)} | ({"weight": (np.where(lost, 0.0, weight), False)} if weights else {})
+    for c, (x, gone) in made.items():
+        null = gone | rows.column(c).is_null().to_numpy()
+        rows = rows.set_column(rows.column_names.index(c), c, pa.array(x, mask=null))
+    return rows
+
+
+def divide_scans(vis: DataFrame, band: DataFrame | None = None, knots: DataFrame | None = None, weights: bool = False, tiles: int = 1) -> DataFrame:
+    """Visibilities divided, scan by scan, by the gains of both antennas: ``band`` (scan, chan, pol, ant, re, im), ``knots``
+    (scan, ts, pol, ant, re, im), between which gains are interpolated, or both.
+
+    A visibility's hand gives the polarisations of both antennas.  A scan without gains of a kind goes on without it; in one that has
+    them a missing, zero or NaN gain gives null, and with ``weights`` the weight is multiplied by the squared gain, and zero if it is null.
+    Rows and gains meet once, by scan, and no gain is made for a dump that isn't looked at; where a scan is too long for a task
+    its channels are dealt to ``tiles``.
+    """
+    tile = F.pmod(F.hash("chan"), F.lit(tiles))
+    spread = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
+    scan, parts = F.col("scan").cast(vis.schema["scan"].dataType).alias("scan"), []
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    value = [F.col(c).cast("double").alias(c) for c in ("re", "im")]
+    if band is not None:
+        parts.append(band.select(scan, F.col("chan").cast("double").alias("chan"), none("ts", "double"), "pol", "ant", *value, tile.alias("_tile")))
+        if tiles > 1:
+            # A mark for the tiles whose channels have no gain though the scan has some.
+            parts.append(band.select(scan).distinct().select("scan", F.lit(-1.0).alias("chan"), none("ts", "double"), F.lit("").alias("pol"), F.lit(-1).alias("ant"), none("re", "double"), none("im", "double"), spread.alias("_tile")))
+    if knots is not None:
+        parts.append(knots.select(scan, none("chan", "double"), F.col("ts").cast("double").alias("ts"), "pol", "ant", *value, spread.alias("_tile")))
+    gains = parts[0]
+    for part in parts[1:]:
+        gains = gains.unionByName(part)
+    names = vis.columns
+    made = {"re", "im", "weight"} if weights else {"re", "im"}
+    schema = StructType([StructField(f.name, DoubleType()) if f.name in made else f for f in vis.schema])
+
+    def step(rows: pa.Table, own: pa.Table) -> pa.Table:
+        out = _divided(rows.select(names), own, weights)
+        return out if rows.num_rows and own.num_rows else out.cast(pa.schema([pa.field(f.name, pa.float64()) if f.name in made else f for f in out.schema]))
+
+    keys = ["scan"] if tiles == 1 else ["scan", "_tile"]
+    return (vis if tiles == 1 else vis.withColumn("_tile", tile)).groupBy(*keys).cogroup(gains.groupBy(*keys)).applyInArrow(step, schema)

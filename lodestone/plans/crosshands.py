@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions import cplx
-from lodestone.operators import apply, average, interp, sensors, solve
+from lodestone.operators import apply, average, sensors, solve
 from lodestone.plans import reduction
 from lodestone.sources.scratch import written
 
@@ -58,13 +58,11 @@ def with_second(solution: DataFrame, first: str, **values: Column) -> DataFrame:
 
 
 def preliminary_gains(rows: DataFrame, solint: int | None, window: tuple[int, int] | None, n_ants: int, ref: int) -> DataFrame:
-    """(scan, dump, pol, ant, re, im): gains per ``solint`` dumps (None: the scan) of the parallel hands in the window, at each dump."""
+    """(scan, ts, pol, ant, re, im): gains per ``solint`` dumps (None: the scan) of the parallel hands in the window."""
     hands = parallel_rows(rows).where(reduction.inside(window))
     nominal = F.col("_n") if solint is None else F.lit(solint)
     solved = reduction.interval_gains(hands, nominal, n_ants, ref).select("scan", F.col("time").alias("ts"), "pol", "ant", "re", "im")
-    solved = written(solved, "preliminary")
-    times = rows.select("scan", "dump", "ts").distinct().join(solved.select("scan", "pol", "ant").distinct(), "scan")
-    return interp.complex_at_times(solved, times, ["scan", "pol", "ant"], "ts").select("scan", "dump", "pol", "ant", "re", "im")
+    return written(solved, "preliminary")
 
 
 def with_delay(rows: DataFrame, delays: DataFrame, soltype: str, channels: DataFrame, ants: DataFrame, weights: bool = True) -> DataFrame:
@@ -73,13 +71,13 @@ def with_delay(rows: DataFrame, delays: DataFrame, soltype: str, channels: DataF
     return reduction._applied(rows, gains, ["scan", "chan"], weights)
 
 
-def solve_polcal(rows: DataFrame, scans: DataFrame, channels: DataFrame, band: DataFrame, n_ants: int, ref: int, settings: reduction.Settings = reduction.Settings(), first: str = "h") -> dict[str, DataFrame]:
+def solve_polcal(rows: DataFrame, scans: DataFrame, channels: DataFrame, band: DataFrame, n_ants: int, ref: int, settings: reduction.Settings = reduction.Settings(), first: str = "h", tiles: int = 1) -> dict[str, DataFrame]:
     """``KCROSS`` (scan, pol, delay) of the polarisation calibrators and ``cross``, their corrected average on the reference's baselines."""
     s = settings
     own = reduction._of(rows, scans, POL_TAGS).where("ant1 <> ant2")
-    flat = written(reduction._applied(own, band, ["scan", "chan"], True), "polcal")
+    flat = written(apply.divide_scans(own, band, weights=True, tiles=tiles), "polcal")
     early = preliminary_gains(flat, s.k_solint, s.k_window, n_ants, ref)
-    flat = written(cross_rows(reduction._applied(flat, early, ["scan", "dump"], True), first), "crossed")
+    flat = written(cross_rows(apply.divide_scans(flat, knots=early, weights=True, tiles=tiles), first), "crossed")
     blocks = written(channel_blocks(channels, s.k_window, s.kcross_average), "blocks")
     # By baseline first: one of which a hand has nothing is left out.
     hv, vh = _hands(first)

@@ -23,7 +23,7 @@ in one table: none sees another block's solutions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import cplx, keys
 from lodestone.operators import apply, average, interp, rfi, solve
-from lodestone.sources.scratch import written
+from lodestone.sources.scratch import ROWS, together, written
 
 WINDOW_S = 7200.0
 BIN_S = 600.0
@@ -148,51 +148,63 @@ def _of(rows: DataFrame, scans: DataFrame, tags: Sequence[str]) -> DataFrame:
 
 def with_intervals(rows: DataFrame, nominal: Column) -> DataFrame:
     """``solint`` of each row: intervals near ``nominal`` dumps (of columns ``_n`` and the scan's own) that divide the scan evenly."""
-    spans = rows.groupBy("scan").agg(F.min("dump").alias("_d0"), (F.max("dump") - F.min("dump") + 1).alias("_n"))
+    # A row per scan; as a table its size is known, and the rows aren't shuffled for it.
+    spans = written(rows.groupBy("scan").agg(F.min("dump").alias("_d0"), (F.max("dump") - F.min("dump") + 1).alias("_n")), "spans")
     per = average.solution_interval(F.col("_n"), nominal)
     cut = rows.join(spans, "scan").withColumn("solint", F.floor((F.col("dump") - F.col("_d0")) / per).cast("int"))
     return cut.drop("_d0", "_n")
 
 
-def interval_gains(rows: DataFrame, nominal: Column, n_ants: int, ref: int) -> DataFrame:
-    """Gains of each scan's intervals: scan, solint, time (mean), pol, ant, re, im, snr."""
+def interval_gains(rows: DataFrame, nominal: Column, n_ants: int, ref: int, corrected: Callable[[DataFrame], DataFrame] = lambda cut: cut) -> DataFrame:
+    """Gains of each scan's intervals: scan, solint, time (mean), pol, ant, re, im, snr; ``corrected`` takes the rows with their interval and divides them first."""
     cut = with_intervals(rows, nominal)
     # Over dumps first, then over channels: partial sums, in one aggregate.
-    means = average.wavg(cut, ["scan", "solint", "pol", "ant1", "ant2"]).withColumn("chan", F.lit(0))
+    cells = cut.select("scan", "solint", "chan", "pol", "ant1", "ant2", "re", "im", "flags", "weight")
+    means = average.wavg(corrected(cells), ["scan", "solint", "pol", "ant1", "ant2"]).withColumn("chan", F.lit(0))
     times = cut.groupBy("scan", "solint").agg(F.avg("ts").alias("time"))
     return solve.solve_gains(means, ["scan", "solint"], n_ants, ref).drop("chan").join(times, ["scan", "solint"])
 
 
-def without_drift(rows: DataFrame, solint: int | None, window: tuple[int, int] | None, n_ants: int, ref: int, sources: DataFrame | None = None) -> DataFrame:
+def without_drift(rows: DataFrame, solint: int | None, window: tuple[int, int] | None, n_ants: int, ref: int, sources: DataFrame | None = None, tiles: int = 1) -> DataFrame:
     """Rows divided by preliminary relative gains per ``solint`` dumps, solved on the window (on ``sources`` if given) and interpolated to each dump."""
     if solint is None:
         return rows
     solved = interval_gains((rows if sources is None else sources).where(inside(window)), F.lit(solint), n_ants, ref)
     relative = written(apply.relative_gains(solved, ["scan", "pol", "ant"]).select("scan", F.col("time").alias("ts"), "pol", "ant", "re", "im"), "preliminary")
-    times = rows.select("scan", "dump", "ts").distinct().join(relative.select("scan", "pol", "ant").distinct(), "scan")
-    at = interp.complex_at_times(relative, times, ["scan", "pol", "ant"], "ts").select("scan", "dump", "pol", "ant", "re", "im")
-    return _applied(rows, at, ["scan", "dump"], True)
+    return apply.divide_scans(rows, knots=relative, weights=True, tiles=tiles)
+
+
+def kept(timed: DataFrame) -> tuple[DataFrame, int]:
+    """Rows as a table, and the tiles that the channels of the longest scan are dealt to, so that a task holds about ``ROWS`` rows; scans that fit a task stay together."""
+    size = timed.groupBy("scan").count().agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
+    tiles = max(1, -(-(size["most"] or 0) // ROWS))
+    return (together(timed, "rows", "scan", size["all"] or 0) if tiles == 1 else written(timed, "rows")), tiles
 
 
 def time_averages(rows: DataFrame) -> DataFrame:
     return average.wavg(rows, ["scan", "chan", "pol", "ant1", "ant2"])
 
 
-def solve_delays(rows: DataFrame, scans: DataFrame, channels: DataFrame, n_ants: int, ref: int, settings: Settings = Settings()) -> DataFrame:
+def solve_delays(rows: DataFrame, scans: DataFrame, channels: DataFrame, n_ants: int, ref: int, settings: Settings = Settings(), tiles: int = 1) -> DataFrame:
     """K of the delay calibrators, from the dumps of their cross-correlations."""
     s = settings
-    chosen = without_drift(_of(rows, scans, DELAY_TAGS).where(inside(s.k_window)), s.k_solint, s.k_window, n_ants, ref)
+    chosen = without_drift(_of(rows, scans, DELAY_TAGS).where(inside(s.k_window)), s.k_solint, s.k_window, n_ants, ref, tiles=tiles)
     first = s.k_window[0] if s.k_window else 0
-    spectra = written(time_averages(chosen.where((F.col("chan") - first) % s.k_chan_sample == 0)), "spectra")
+    spectra = time_averages(chosen.where((F.col("chan") - first) % s.k_chan_sample == 0))
     return solve.solve_delays(spectra, channels, ["scan"], n_ants, ref)
 
 
-def solve_bands(rows: DataFrame, scans: DataFrame, delays: DataFrame, channels: DataFrame, n_ants: int, ref: int, settings: Settings = Settings(), block: int = 64) -> DataFrame:
+def solve_bands(rows: DataFrame, scans: DataFrame, delays: DataFrame, channels: DataFrame, n_ants: int, ref: int, settings: Settings = Settings(), block: int = 64, tiles: int = 1) -> DataFrame:
     """Bandpasses, gaps filled along the band; each antenna's mean over the window is one."""
     s = settings
     k = delay_gains(scans, delays, channels)
-    straight = _applied(_of(rows, scans, BAND_TAGS), k, ["scan", "chan"], True)
-    flat = written(time_averages(without_drift(straight, s.bp_solint, s.g_window, n_ants, ref)), "spectra").withColumn("block", F.floor(F.col("chan") / block).cast("int"))
+    own, straight = _of(rows, scans, BAND_TAGS), lambda x: apply.divide_scans(x, k, weights=True, tiles=tiles)
+    if s.bp_solint is None:
+        # A delay is the same for all dumps of a scan, so it is taken off their averages.
+        averaged = straight(time_averages(own))
+    else:
+        averaged = time_averages(without_drift(written(straight(own), "straight"), s.bp_solint, s.g_window, n_ants, ref, tiles=tiles))
+    flat = written(averaged, "spectra").withColumn("block", F.floor(F.col("chan") / block).cast("int"))
     raw = solve.solve_gains(flat, ["scan", "block"], n_ants, ref).drop("block", "snr")
     flagged = rfi.flag_spectra(raw, ["scan", "pol", "ant"], s.flaggers[0] if s.flaggers else None)
     filled = interp.fill_amp_phase(flagged, ["scan", "pol", "ant"], "chan")
@@ -202,17 +214,17 @@ def solve_bands(rows: DataFrame, scans: DataFrame, delays: DataFrame, channels:
     return filled.select("scan", "chan", "pol", "ant", re.alias("re"), im.alias("im"))
 
 
-def solve_gains(rows: DataFrame, scans: DataFrame, band: DataFrame, n_ants: int, ref: int, settings: Settings = Settings()) -> DataFrame:
+def solve_gains(rows: DataFrame, scans: DataFrame, band: DataFrame, n_ants: int, ref: int, settings: Settings = Settings(), tiles: int = 1) -> DataFrame:
     """G per scan and interval: scan, solint, time (mean), pol, ant, re, im, snr."""
     many = F.array_contains("tags", "gaincal") & ~F.array_contains("tags", "bfcal")
     chosen = _of(rows, scans, GAIN_TAGS).join(scans.select("scan", many.alias("_many")), "scan").where(inside(settings.g_window))
     half = F.ceil(F.col("_n") / 2)
     nominal = F.when(F.col("_many"), half if settings.g_solint is None else F.lit(settings.g_solint)).otherwise(F.col("_n"))
-    return interval_gains(_applied(chosen, band, ["scan", "chan"], True), nominal, n_ants, ref)
+    return interval_gains(chosen, nominal, n_ants, ref, lambda cut: apply.divide_scans(cut, band, weights=True, tiles=tiles))
 
 
-def gains_at_dumps(dumps: DataFrame, scans: DataFrame, gains: DataFrame) -> DataFrame:
-    """(scan, dump, pol, ant, re, im): the gains that each scan may use, interpolated; ``dumps``: scan, dump, ts."""
+def allowed_gains(scans: DataFrame, gains: DataFrame) -> DataFrame:
+    """(scan, ts, pol, ant, re, im): the gains that each scan may use, at the times they were solved for."""
     scans = blocks(scans)
     solved = gains.join(scans.select("scan", "target", "proc_seq", F.col("cb").alias("g_cb")), "scan").drop("scan")
     # Up to the scan's own solutions: those of the same number count.
@@ -220,7 +232,12 @@ def gains_at_dumps(dumps: DataFrame, scans: DataFrame, gains: DataFrame) -> Data
     allowed = apply.gains_in_window(wanted, solved, WINDOW_S).where("cb = g_cb")
     own = F.max((F.col("g_target") == F.col("target")).cast("int")).over(Window.partitionBy("scan"))
     allowed = allowed.withColumn("_own", own).where((F.col("_own") == 0) | (F.col("g_target") == F.col("target")))
-    allowed = written(allowed.select("scan", F.col("time").alias("ts"), "pol", "ant", "re", "im"), "gains")
+    return written(allowed.select("scan", F.col("time").alias("ts"), "pol", "ant", "re", "im"), "gains")
+
+
+def gains_at_dumps(dumps: DataFrame, scans: DataFrame, gains: DataFrame) -> DataFrame:
+    """(scan, dump, pol, ant, re, im): the gains that each scan may use, interpolated; ``dumps``: scan, dump, ts."""
+    allowed = allowed_gains(scans, gains)
     times = dumps.join(allowed.select("scan", "pol", "ant").distinct(), "scan").select("scan", "pol", "ant", "dump", "ts")
     return interp.complex_at_times(allowed, times, ["scan", "pol", "ant"], "ts").select("scan", "dump", "pol", "ant", "re", "im")
 
@@ -246,9 +263,9 @@ def flag_scans(rows: DataFrame, scans: DataFrame, settings: Settings) -> DataFra
 def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants: int, ref: int, settings: Settings = Settings(), model: DataFrame | None = None, diode: DataFrame | None = None, first: str = "h", earlier: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """K, B, G and ``corrected`` of an observation; with ``pointingcal`` scans B_POINTING, with ``polcal`` scans KCROSS and ``cross``, with ``diode`` the products of ``crosshands.solve_diode``.
 
-    ``vis``: ts, dump, chan, pol, ant1, ant2, re, im, flags, weight (and cb, if ``scans`` has it); pol is one letter for a parallel
-    hand or two for any hand: the solvers take the parallel ones, all are corrected.  ``scans``: scan (unique), batch, target,
-    tags, t0, t1 (and cb); ``channels``: chan, freq_hz.  ``model``: dump, chan, ant1, ant2, re, im of the calibrators; cells
+    ``vis``: ts, dump, chan, pol, ant1, ant2, re, im, flags, weight (and cb, if ``scans`` has it; with a ``scan`` rows aren't sought by
+    time); pol is one letter for a parallel hand or two for any hand: the solvers take the parallel ones, all are corrected.
+    ``scans``: scan (unique), batch, target, tags, t0, t1 (and cb); ``channels``: chan, freq_hz.  ``model``: dump, chan, ant1, ant2, re, im of the calibrators; cells
     that it lacks stay as they are.  ``diode``: ant, ts, value of the noise diodes; ``first``: the hand that cross-hand products
     are of.  Without four hands there are none of these.  ``earlier``: scans, K, B and G of batches reduced before, which these scans may
     use; nothing of them is reduced or returned again.
@@ -260,29 +277,28 @@ def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants:
         scans = scans.unionByName(blocks(earlier["scans"]).withColumn("old", F.lit(True)).select(scans.columns))
         known = {name: [earlier[name]] for name in known}
     scans = written(processing_order(scans), "scans")
-    timed = with_scans(vis, scans.where("NOT old").select("scan", "cb", "t0", "t1")).select("scan", *(c for c in vis.columns if c != "cb"))
+    columns = [c for c in vis.columns if c not in ("scan", "cb")]
+    timed = (vis if "scan" in vis.columns else with_scans(vis, scans.where("NOT old").select("scan", "cb", "t0", "t1"))).select("scan", *columns)
     if settings.flaggers:
         timed = flag_scans(written(timed, "timed"), scans, settings)
     # Read by every step; the source isn't.
-    rows = written(timed, "rows")
+    rows, tiles = kept(timed)
     hands = crosshands.parallel_rows(rows)
     if model is not None:
         divided = apply.divide_model(hands.join(model.select("dump", "chan", "ant1", "ant2").distinct(), ["dump", "chan", "ant1", "ant2"], "left_semi"), model, ["dump", "chan", "ant1", "ant2"])
         hands = written(divided.unionByName(hands.join(model, ["dump", "chan", "ant1", "ant2"], "left_anti")), "divided")
-    k = written(solve_delays(hands, scans, channels, n_ants, ref, settings), "delays")
+    k = written(solve_delays(hands, scans, channels, n_ants, ref, settings, tiles), "delays")
     ks = reduce(DataFrame.unionByName, known["K"], k)
-    b = written(solve_bands(hands, scans, ks, channels, n_ants, ref, settings), "bandpasses")
+    b = written(solve_bands(hands, scans, ks, channels, n_ants, ref, settings, tiles=tiles), "bandpasses")
     band = written(band_gains(scans, ks, reduce(DataFrame.unionByName, known["B"], b), channels), "band")
-    g = written(solve_gains(hands, scans, band, n_ants, ref, settings), "gains")
-    wanted = _of(rows, scans, APPLY_TAGS)
-    flat = _applied(wanted, band, ["scan", "chan"], False)
-    at = written(gains_at_dumps(wanted.select("scan", "dump", "ts").distinct(), scans, reduce(DataFrame.unionByName, known["G"], g)), "gains_at_dumps")
-    out = {"K": k, "B": b, "G": g, "corrected": _applied(flat, at, ["scan", "dump"], False)}
+    g = written(solve_gains(hands, scans, band, n_ants, ref, settings, tiles), "gains")
+    allowed = allowed_gains(scans, reduce(DataFrame.unionByName, known["G"], g))
+    out = {"K": k, "B": b, "G": g, "corrected": apply.divide_scans(_of(rows, scans, APPLY_TAGS), band, allowed, tiles=tiles)}
     own = scans.where(~F.col("old"))
     if not own.where(has_any((pointing.POINTING_TAG,))).isEmpty():
         out["B_POINTING"] = pointing.solve_pointings(hands, own, n_ants, ref)
     if not scans.where(has_any(crosshands.POL_TAGS) & ~F.col("old")).isEmpty():
-        out |= crosshands.solve_polcal(rows, scans, channels, band, n_ants, ref, settings, first)
+        out |= crosshands.solve_polcal(rows, scans, channels, band, n_ants, ref, settings, first, tiles)
     if diode is not None:
         out |= crosshands.solve_diode(rows, scans.where("NOT old"), channels, band, g.drop("solint", "time", "snr"), diode, settings, first)
     return out

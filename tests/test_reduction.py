@@ -265,3 +265,61 @@ def test_gains_and_spectra_of_many_keys_are_those_of_each_alone(spark):
     flagged = {(r.k, r.chan) for r in rfi.flag_spectra(spark.createDataFrame(spectra, "k int, chan int, re double, im double").coalesce(1), ["k"], f).where("re IS NULL").collect()}
     alone = {(k, int(c)) for k, amp in sizes.items() for c in np.flatnonzero(f.plane(amp[None], np.zeros((1, len(amp)), bool))[0])}
     assert flagged == alone and {(k, 5) for k in sizes if k % 4} <= flagged
+
+
+def _gain_rows(rng, scans, at, n_ants, name, kind):
+    """Gains at each of ``at``: some missing, null, NaN or zero."""
+    odd = {0: (None, None), 1: (float("nan"), 0.0), 2: (0.0, 0.0)}
+    rows = [(s, x, p, a, *odd.get(int(rng.integers(0, 25)), (float(rng.normal()), float(rng.normal())))) for s in scans for x in at for p in "hv" for a in range(n_ants) if rng.random() > 0.05]
+    return rows, f"scan bigint, {name} {kind}, pol string, ant int, re double, im double"
+
+
+@pytest.mark.parametrize("tiles", [1, 3])
+@pytest.mark.parametrize("weights", [False, True])
+def test_scans_are_divided_as_by_joins(spark, tiles, weights):
+    """Rows and gains that meet once, by scan, give what joins by channel and by interpolated dump give; scan 3 has no bandpass, scan 4 no gains, scan 5 neither."""
+    rng = np.random.default_rng(tiles)
+    pols = ("h", "v", "hv", "vh")
+    cells = [
+        (s, 100.0 + 4 * d, d, c, pols[int(rng.integers(0, 4))], a, b, None if rng.random() < 0.05 else float(rng.normal()), float(rng.normal()), int(rng.random() < 0.2), float(rng.integers(1, 9)))
+        for s in range(1, 6) for d in range(9) for c in range(5) for a in range(4) for b in range(a, 4) if rng.random() < 0.7
+    ]
+    rows = spark.createDataFrame(cells, "scan int, ts double, dump bigint, chan int, pol string, ant1 int, ant2 int, re double, im double, flags int, weight double")
+    # Antenna 3 and channel 4 have no gains.
+    band = spark.createDataFrame(*_gain_rows(rng, (1, 2, 4), range(4), 3, "chan", "int"))
+    knots = spark.createDataFrame(*_gain_rows(rng, (1, 2, 3), (99.0, 108.0, 111.0, 125.5), 3, "ts", "double"))
+    times = rows.select("scan", "dump", "ts").distinct().join(knots.select("scan", "pol", "ant").distinct(), "scan")
+    at = interp.complex_at_times(knots, times, ["scan", "pol", "ant"], "ts").select("scan", "dump", "pol", "ant", "re", "im")
+    for b, k in ((band, knots), (band, None), (None, knots)):
+        want = rows if b is None else reduction._applied(rows, b, ["scan", "chan"], weights)
+        want = want if k is None else reduction._applied(want, at, ["scan", "dump"], weights)
+        got = apply.divide_scans(rows, b, k, weights, tiles)
+        assert [f.dataType for f in got.schema] == [f.dataType for f in rows.schema]
+        key = ["scan", "dump", "chan", "pol", "ant1", "ant2"]
+        one, two = (d.toPandas().sort_values(key).reset_index(drop=True) for d in (got, want))
+        assert (one[[*key, "ts", "flags"]] == two[[*key, "ts", "flags"]]).all().all() and len(one) == len(cells)
+        for c in ("re", "im", "weight"):
+            x, y = one[c].to_numpy(dtype=float), two[c].to_numpy(dtype=float)
+            assert (np.isnan(x) == np.isnan(y)).all() and np.allclose(x, y, rtol=1e-9, atol=1e-12, equal_nan=True)
+        assert got.where("isnan(re) OR isnan(weight)").isEmpty()
+
+
+def test_rows_of_scans_are_shuffled_once(spark, truth):
+    """A scan that fits a task stays together: the corrected rows come from a scan of buckets, and only gains are shuffled to them."""
+    v, scans, channels = _observation(spark, truth, ["target", "delaycal gaincal bpcal"])
+    plan = reduction.reduce_scans(v, scans, channels, 4, 0)["corrected"]._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "Bucketed: true" in plan and "Window" not in plan and "SortMergeJoin" not in plan
+
+
+def test_a_long_scan_is_dealt_by_its_channels(spark, truth, monkeypatch):
+    """Tiles of channels give the solutions and the rows of whole scans."""
+    v, scans, channels = _observation(spark, truth, ["target", "delaycal gaincal bpcal"])
+    settings = reduction.Settings(k_solint=1, bp_solint=1, g_solint=1)
+    whole = reduction.reduce_scans(v, scans, channels, 4, 0, settings)
+    monkeypatch.setattr(reduction, "ROWS", 500)
+    tiled = reduction.reduce_scans(v, scans, channels, 4, 0, settings)
+    for name, keys in (("K", ["scan", "pol", "ant"]), ("B", ["scan", "pol", "ant", "chan"]), ("G", ["scan", "solint", "pol", "ant"]), ("corrected", ["scan", "dump", "chan", "pol", "ant1", "ant2"])):
+        one, two = (x[name].toPandas().sort_values(keys).reset_index(drop=True) for x in (whole, tiled))
+        assert len(one) == len(two) > 0
+        for c in ("delay",) if name == "K" else ("re", "im"):
+            assert np.allclose(one[c].to_numpy(dtype=float), two[c].to_numpy(dtype=float), rtol=1e-6, atol=1e-12, equal_nan=True)
