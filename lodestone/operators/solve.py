@@ -208,7 +208,7 @@ def unwrapped(a1: np.ndarray, a2: np.ndarray, delay: np.ndarray, period: np.ndar
 def solve_delays(vis: DataFrame, channels: DataFrame, keys: list[str], n_ants: int, ref: int) -> DataFrame:
     """Delay per key, pol and antenna relative to the reference, from time-averaged rows.
 
-    A row of the first step is one baseline's spectrum, a group of the second the baselines' delays of a
+    A row of the first step is one baseline's spectrum, a row of the second the baselines' delays of a
     key and polarisation; the SNR is one over the weighted rms of the residual phasors about one.
     """
     kinds = "".join(f"`{k}` {vis.schema[k].dataType.simpleString()}, " for k in keys)
@@ -246,23 +246,28 @@ def solve_delays(vis: DataFrame, channels: DataFrame, keys: list[str], n_ants: i
                     found[to[k : k + size]] = alike(v[at[k : k + size]], weight[at[k : k + size]], freq[at[0]])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(x) for x in found.T)], [*names, "delay", "period", "w", "sq"])
 
-    def antennas(pdf: pd.DataFrame) -> pd.DataFrame:
+    def antennas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Weighted least squares with the reference at zero.
-        pdf = pdf.sort_values(["ant1", "ant2"])
-        a1, a2, delay, period, w, sq = (pdf[c].to_numpy() for c in ("ant1", "ant2", "delay", "period", "w", "sq"))
-        delay = unwrapped(a1, a2, delay, period, n_ants, ref)
-        ok = np.isfinite(delay)
-        sol, snr = np.full(n_ants, np.nan), np.full(n_ants, np.nan)
-        if ok.any():
-            sol = _antenna_delays(a1[ok], a2[ok], delay[ok], n_ants, ref)
-            seen = np.zeros(n_ants, dtype=bool)
-            seen[a1[ok]] = seen[a2[ok]] = True
-            sol[ref], sol[~seen] = 0.0, np.nan
-            for a in np.flatnonzero(seen):
-                mine = ok & ((a1 == a) | (a2 == a))
-                snr[a] = 1 / max(np.sqrt(sq[mine].sum() / w[mine].sum()), 1e-12)
-        out = pd.DataFrame({k: pdf[k].iloc[0] for k in keys} | {"pol": pdf.pol.iloc[0], "ant": np.arange(n_ants), "delay": sol, "snr": snr})
-        return out[[*keys, "pol", "ant", "delay", "snr"]]
+        for batch in batches:
+            lists = batch.column("cells")
+            flat, ends = lists.flatten(), np.cumsum(np.asarray(lists.value_lengths()))
+            told = [flat.field(c).to_numpy(zero_copy_only=False) for c in ("ant1", "ant2", "delay", "period", "w", "sq")]
+            found = np.full((2, len(lists), n_ants), np.nan)
+            for k, (a1, a2, delay, period, w, sq) in enumerate(zip(*(np.split(x, ends[:-1]) for x in told), strict=True)):
+                delay = unwrapped(a1, a2, delay, period, n_ants, ref)
+                ok = np.isfinite(delay)
+                if ok.any():
+                    sol = _antenna_delays(a1[ok], a2[ok], delay[ok], n_ants, ref)
+                    both = np.concatenate([a1[ok], a2[ok]])
+                    seen = np.bincount(both, minlength=n_ants) > 0
+                    sol[ref], sol[~seen] = 0.0, np.nan
+                    squares, total = (np.bincount(both, np.tile(x[ok], 2), n_ants) for x in (sq, w))
+                    with np.errstate(all="ignore"):
+                        found[:, k] = sol, np.where(seen, 1 / np.maximum(np.sqrt(squares / total), 1e-12), np.nan)
+            who = pa.array(np.repeat(np.arange(len(lists)), n_ants))
+            kept = [batch.column(c).take(who) for c in (*keys, "pol")]
+            delay, snr = (pa.array(x.ravel(), mask=np.isnan(x.ravel())) for x in found)
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(np.tile(np.arange(n_ants, dtype=np.int32), len(lists))), delay, snr], [*keys, "pol", "ant", "delay", "snr"])
 
     # Channels are a dimension of the instrument: Spark broadcasts them where they are few.
     weight = F.when((F.col("flags") == 0) & F.col("re").isNotNull() & F.col("im").isNotNull(), F.col("weight")).otherwise(0.0)
@@ -270,7 +275,8 @@ def solve_delays(vis: DataFrame, channels: DataFrame, keys: list[str], n_ants: i
     cell = F.struct("freq_hz", F.col("re").cast("double").alias("re"), F.col("im").cast("double").alias("im"), weight.cast("double").alias("weight"))
     rows = cross.groupBy(*names).agg(F.array_sort(F.collect_list(cell)).alias("spectrum"))
     spectra = rows.mapInArrow(baselines, f"{kinds}pol string, ant1 int, ant2 int, delay double, period double, w double, sq double")
-    return spectra.groupBy(*keys, "pol").applyInPandas(antennas, f"{kinds}pol string, ant int, delay double, snr double")
+    cells = spectra.groupBy(*keys, "pol").agg(F.array_sort(F.collect_list(F.struct("ant1", "ant2", "delay", "period", "w", "sq"))).alias("cells"))
+    return cells.mapInArrow(antennas, f"{kinds}pol string, ant int, delay double, snr double")
 
 
 def solve_cross_delay(combined: DataFrame, channels: DataFrame, keys: list[str], pol: str) -> DataFrame:

@@ -27,7 +27,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import cplx, keys
@@ -174,11 +174,11 @@ def without_drift(rows: DataFrame, solint: int | None, window: tuple[int, int] |
     return apply.divide_scans(rows, knots=relative, weights=True, tiles=tiles)
 
 
-def kept(timed: DataFrame) -> tuple[DataFrame, int]:
-    """Rows as a table, and the tiles that the channels of the longest scan are dealt to, so that a task holds about ``ROWS`` rows; scans that fit a task stay together."""
+def kept(timed: DataFrame, spark: SparkSession | None = None) -> tuple[DataFrame, int]:
+    """Rows as a table (of session ``spark``), and the tiles that the channels of the longest scan are dealt to, so that a task holds about ``ROWS`` rows; scans that fit a task stay together."""
     size = timed.groupBy("scan").count().agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
     tiles = max(1, -(-(size["most"] or 0) // ROWS))
-    return (together(timed, "rows", "scan", size["all"] or 0) if tiles == 1 else written(timed, "rows")), tiles
+    return (together(timed, "rows", "scan", size["all"] or 0, spark) if tiles == 1 else written(timed, "rows", spark)), tiles
 
 
 def time_averages(rows: DataFrame) -> DataFrame:
@@ -260,7 +260,7 @@ def flag_scans(rows: DataFrame, scans: DataFrame, settings: Settings) -> DataFra
     return out
 
 
-def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants: int, ref: int, settings: Settings = Settings(), model: DataFrame | None = None, diode: DataFrame | None = None, first: str = "h", earlier: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants: int, ref: int, settings: Settings = Settings(), model: DataFrame | None = None, diode: DataFrame | None = None, first: str = "h", earlier: dict[str, DataFrame] | None = None, tiles: int | None = None) -> dict[str, DataFrame]:
     """K, B, G and ``corrected`` of an observation; with ``pointingcal`` scans B_POINTING, with ``polcal`` scans KCROSS and ``cross``, with ``diode`` the products of ``crosshands.solve_diode``.
 
     ``vis``: ts, dump, chan, pol, ant1, ant2, re, im, flags, weight (and cb, if ``scans`` has it; with a ``scan`` rows aren't sought by
@@ -268,7 +268,7 @@ def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants:
     ``scans``: scan (unique), batch, target, tags, t0, t1 (and cb); ``channels``: chan, freq_hz.  ``model``: dump, chan, ant1, ant2, re, im of the calibrators; cells
     that it lacks stay as they are.  ``diode``: ant, ts, value of the noise diodes; ``first``: the hand that cross-hand products
     are of.  Without four hands there are none of these.  ``earlier``: scans, K, B and G of batches reduced before, which these scans may
-    use; nothing of them is reduced or returned again.
+    use; nothing of them is reduced or returned again.  ``tiles``: for ``vis`` with a ``scan`` that is a table of ``kept`` already.
     """
     from lodestone.plans import crosshands, pointing
 
@@ -282,7 +282,7 @@ def reduce_scans(vis: DataFrame, scans: DataFrame, channels: DataFrame, n_ants:
     if settings.flaggers:
         timed = flag_scans(written(timed, "timed"), scans, settings)
     # Read by every step; the source isn't.
-    rows, tiles = kept(timed)
+    rows, tiles = (timed, tiles) if tiles is not None and not settings.flaggers else kept(timed)
     hands = crosshands.parallel_rows(rows)
     if model is not None:
         divided = apply.divide_model(hands.join(model.select("dump", "chan", "ant1", "ant2").distinct(), ["dump", "chan", "ant1", "ant2"], "left_semi"), model, ["dump", "chan", "ant1", "ant2"])

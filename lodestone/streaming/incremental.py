@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from lodestone.operators import average
 from lodestone.plans import pointing, reduction
-from lodestone.sources.scratch import shared_path, written
+from lodestone.sources.scratch import written
 from lodestone.streaming import batcher
 
 _SUMS = "swr double, swi double, sw double, n_flagged bigint, n bigint"
@@ -112,13 +112,13 @@ def reducer(store: Store, channels: DataFrame, n_ants: int, ref: int, settings:
     """The function of ``foreachBatch``: reduce a micro-batch and keep its products and summaries; with a ``site``, fit the pointings that its control rows finish."""
 
     def step(micro: DataFrame, epoch: int) -> None:
-        path = shared_path(store.spark, "micro")
-        micro.write.parquet(path)
-        # Read in the session of the other tables; a micro-batch has its own.
-        told = store.spark.read.schema(micro.schema).parquet(path)
+        # A table of the other tables' session; a micro-batch has its own.
+        told, tiles = reduction.kept(micro, store.spark)
         control = F.col("control") if "control" in micro.columns else F.lit(None)
         rows = told.where(control.isNull() & F.expr("scan IS NOT NULL AND ts IS NOT NULL")).drop("control")
-        scans = rows.groupBy("cb", "scan", "batch").agg(F.first("target").alias("target"), F.first("tags").alias("tags"), F.min("ts").alias("t0"), F.max("ts").alias("t1"))
+        # By what a scan's rows share first: first values of texts and lists would sort all rows.
+        shared = rows.groupBy("cb", "scan", "batch", "target", "tags").agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"))
+        scans = shared.groupBy("cb", "scan", "batch").agg(F.first("target").alias("target"), F.first("tags").alias("tags"), F.min("t0").alias("t0"), F.max("t1").alias("t1"))
         scans = written(scans, "scans")
         earlier = {name: store.read(name, epoch).drop("epoch") for name in ("scans", "K", "B", "G")}
         cut = scans.join(earlier["scans"], ["cb", "scan"], "left_semi")
@@ -126,7 +126,7 @@ def reducer(store: Store, channels: DataFrame, n_ants: int, ref: int, settings:
             raise ValueError(f"a scan came in more than one micro-batch, e.g. {cut.first().asDict()}")
         blocks = scans.select("cb").distinct()
         earlier["scans"] = earlier["scans"].join(blocks, "cb", "left_semi")
-        out = reduction.reduce_scans(rows.drop("scan", "batch", "target", "tags"), scans, channels, n_ants, ref, settings, model, earlier=earlier)
+        out = reduction.reduce_scans(rows.drop("batch", "target", "tags"), scans, channels, n_ants, ref, settings, model, earlier=earlier, tiles=tiles)
         for name in ("K", "B", "G"):
             store.put(name, out[name], epoch)
         corrected = store.put("corrected", out["corrected"], epoch)

@@ -72,3 +72,20 @@ def test_batches_one_by_one_equal_the_whole_and_replays_change_nothing(spark, ob
 
 def test_columns_of_a_stream():
     assert incremental.missing_columns(["ts", "dump", "chan", "pol", "ant1", "ant2", "re", "im", "flags", "weight", "cb", "scan"]) == ["batch", "target", "tags"]
+
+
+def test_rows_that_know_their_scan_are_not_sought_by_time(spark, monkeypatch):
+    """A micro-batch is written once, as the table that every step reads: neither a search by time nor a second copy of its rows."""
+    from lodestone import calibration_queries as q
+    from lodestone.sources import scratch
+
+    copies, plain = [], scratch.together
+    monkeypatch.setattr(reduction, "together", lambda df, label, *a: copies.append(label) or plain(df, label, *a))
+    monkeypatch.setattr(reduction, "with_scans", lambda *a: pytest.fail("rows were sought by time"))
+    rows = q.observation(spark, "/root/testdata/sf0.001").where("scan < 3")
+    told = rows.join(q.scans(rows).select("scan", "batch", "target", "tags"), "scan").withColumn("cb", F.lit("cb"))
+    store = incremental.Store(spark, scratch.shared_path(spark, "store")).open()
+    incremental.reducer(store, q.channels(spark), q.ANTS, q.REF, q.SETTINGS)(told, 0)
+    assert copies == ["rows"] and store.read("corrected").count() == rows.count()
+    kinds = {r.target: r.tags for r in store.read("scans").collect()}
+    assert kinds == {r.target: r.tags for r in q.scans(rows).collect()}
